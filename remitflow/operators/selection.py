@@ -45,7 +45,7 @@ def build_requests(docs: DataFrame, params: RunParams, doc_ids: list[int] | None
         F.lit(params.lang).alias("lang"),
         F.lit(params.process_type).alias("process_type"),
         _ts(params.as_of).alias("as_of"),
-        F.lit(params.checkrun_id).cast("bigint").alias("checkrun_id"),
+        F.lit(params.checkrun_id).cast("bigint").alias("req_checkrun_id"),
     )
 
 
@@ -125,7 +125,15 @@ def select_checks(checks: DataFrame, sites: DataFrame, values: DataFrame, reques
         F.col("code").alias("_code"), F.col("language").alias("_lang"), F.col("meaning").alias("send_status")))
     out = f.join(sites, "vendor_site_id").join(
         labels, (F.col("send_code") == F.col("_code")) & (F.col("lang") == F.col("_lang")))
-    return out.drop("_code", "_lang")
+    return out.select(*SELECTION_COLUMNS)
+
+
+# Columns the selection carries downstream (file, register, status log).
+SELECTION_COLUMNS = (
+    "file_id", "run_id", "format_id", "payment_document_id", "check_id", "doc_sequence_value", "check_number",
+    "amount", "check_date", "vendor_id", "vendor_site_id", "vendor_name", "vendor_site_code", "send_code",
+    "send_status", "attribute_category", "checkrun_id", "payment_method_code", "lang",
+)
 
 
 REGISTER_COLUMNS = ("file_id", "check_id", "doc_sequence_value", "check_number", "amount", "check_date",
@@ -143,3 +151,26 @@ def run_selection(spark: SparkSession, checks: DataFrame, sites: DataFrame, valu
     req = build_requests(docs, params, doc_ids)
     env = envelope(req)
     return req, select_checks(checks, sites, values, req, env, status_col)
+
+
+def select_legacy(checks: DataFrame, requests: DataFrame, env: Envelope | None = None) -> DataFrame:
+    """G1 selection (FLT-05/08/10/11): EFT only, status defaulting to NEW must equal NEW, and either
+    the batch (``req_checkrun_id``) or the document-sequence range; no site join."""
+    c = checks.where(F.col("void_date").isNull() & (F.col("payment_method_code") == "EFT")
+                     & (F.coalesce(F.col("attribute14"), F.lit(STATUS_NEW)) == STATUS_NEW))
+    if env is not None and env.doc_ids:
+        c = c.where(F.col("payment_document_id").isin(list(env.doc_ids)))
+    j = c.join(bounded_broadcast(requests), "payment_document_id")
+    by_batch = F.col("checkrun_id") == F.col("req_checkrun_id")
+    by_range = optional_range(F.col("doc_sequence_value"), F.col("doc_ini"), F.col("doc_fin"))
+    return j.where(
+        day_range(F.col("check_date"), F.col("start_ts"), F.col("end_ts"))
+        & (F.col("amount") >= F.coalesce(F.col("base_amount"), F.col("amount")))
+        & (F.col("amount") <= F.coalesce(F.col("top_amount"), F.col("amount")))
+        & F.when(F.col("req_checkrun_id").isNotNull(), by_batch).otherwise(by_range)
+    )
+
+
+def seconds_range(col: Column, start: str, end: str) -> Column:
+    """FLT-03: second-granular closed range from canonical text dates."""
+    return col.between(_ts(start), _ts(end))

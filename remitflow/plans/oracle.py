@@ -66,10 +66,144 @@ def with_(*ctes: str) -> str:
 
 BASE = with_(ENTITIES, selection_sql())
 
+SEL_NEW = with_(ENTITIES, selection_sql(statuses=("NEW",)))
+
+SUPPLIER_BANK = """
+accts AS (
+  SELECT c_custkey * 2 AS ext_bank_account_id, c_custkey AS owner, c_name || ';MAIN' AS bank_account_name,
+         lpad(CAST(c_nationkey AS VARCHAR), 3, '0') || '-' || lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS bank_account_num
+  FROM customer
+  UNION ALL
+  SELECT c_custkey * 2 + 1, c_custkey, c_name || ';SAVINGS',
+         lpad(CAST(c_nationkey AS VARCHAR), 3, '0') || '-9' || lpad(CAST(c_custkey AS VARCHAR), 9, '0')
+  FROM customer WHERE c_acctbal < 0),
+sup AS (
+  SELECT DISTINCT a.bank_account_name, a.bank_account_num, c.c_name AS party_name, c.c_custkey AS vendor_id
+  FROM accts a JOIN customer c ON c.c_custkey = a.owner)
+"""
+
 ORACLE = {
     "check_register": BASE + """
 SELECT file_id, check_id, doc_sequence_value, check_number, amount, check_date, vendor_name, send_status,
        vendor_site_code
 FROM sel
+""",
+    "selection_totals": BASE + """
+SELECT file_id, COUNT(*) AS trx_lines, CAST(SUM(amount) AS DECIMAL(38,2)) AS sum_trans FROM sel GROUP BY file_id
+""",
+    "legacy_batch_totals": with_(ENTITIES) + """
+SELECT 'run-1-' || CAST(c.payment_document_id AS VARCHAR) AS file_id, c.checkrun_id,
+       CAST(SUM(c.amount) AS DECIMAL(38,2)) AS sum_trans, COUNT(c.amount) AS trx_lines
+FROM checks c JOIN docs d ON d.payment_document_id = c.payment_document_id
+WHERE CAST(c.check_date AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
+  AND c.amount >= 0 AND c.amount <= 99999999.99
+  AND c.payment_method_code = 'EFT' AND COALESCE(c.attribute14, 'NEW') = 'NEW' AND c.void_date IS NULL
+GROUP BY 1, 2
+""",
+    "optional_range": with_(ENTITIES, selection_sql(doc_lo=5000, base=None, top="150000.00")) + """
+SELECT file_id, check_id, doc_sequence_value, check_number, amount, check_date, vendor_name, send_status,
+       vendor_site_code
+FROM sel
+""",
+    "report_lines": BASE + """
+SELECT s.file_id, COUNT(DISTINCT s.check_id) AS trx_lines,
+       CAST(COUNT(DISTINCT s.check_id) + COALESCE((SELECT COUNT(*) FROM sel s2 JOIN inv_pay ip ON ip.check_id = s2.check_id
+                                                   WHERE s2.file_id = s.file_id), 0) AS BIGINT) AS report_lines,
+       CAST(SUM(s.amount) AS DECIMAL(38,2)) AS sum_trans
+FROM sel s GROUP BY s.file_id
+""",
+    "report_lines_legacy": BASE + """
+SELECT file_id, COUNT(*) AS trx_lines,
+       CAST(COUNT(*) * (SELECT COUNT(invoice_id) FROM inv_pay) + COUNT(*) AS BIGINT) AS report_lines,
+       CAST(SUM(amount) AS DECIMAL(38,2)) AS sum_trans
+FROM sel GROUP BY file_id
+""",
+    "paid_invoices": BASE + """
+SELECT s.file_id, s.check_id, ip.invoice_id, i.invoice_num, ip.line_number, ip.supplier_ref, ip.amount_paid
+FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id JOIN invoices i ON i.invoice_id = ip.invoice_id
+""",
+    "invoice_list": BASE + """
+SELECT s.file_id, s.check_id,
+       'DOCUMENTOS: ' || string_agg(COALESCE(i.invoice_num, '-1') || ' ', ''
+                                    ORDER BY ip.line_number, ip.invoice_id, ip.supplier_ref, ip.amount_paid) AS invoices
+FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id LEFT JOIN invoices i ON i.invoice_id = ip.invoice_id
+GROUP BY s.file_id, s.check_id
+""",
+    "supplier_bank_lines": with_(ENTITIES, SUPPLIER_BANK) + """
+, lists AS (
+  SELECT ip.check_id, 'DOCUMENTOS: ' || string_agg(COALESCE(i.invoice_num, '-1') || ' ', ''
+                      ORDER BY ip.line_number, ip.invoice_id, ip.supplier_ref, ip.amount_paid) AS invoices
+  FROM inv_pay ip LEFT JOIN invoices i ON i.invoice_id = ip.invoice_id GROUP BY ip.check_id)
+SELECT c.ce_bank_acct_use_id, c.check_id, sp.bank_account_num,
+       replace(sp.bank_account_num, '-', '') || ';' || replace(sp.bank_account_name, ';', ',') || ';;'
+       || rtrim(rtrim(CAST(c.amount AS VARCHAR), '0'), '.') || ';'
+       || strftime(c.check_date, '%d%m%Y') || ';' || replace(COALESCE(l.invoices, 'DOCUMENTOS: '), ';', ',') AS line
+FROM checks c JOIN sup sp ON sp.vendor_id = c.vendor_id LEFT JOIN lists l ON l.check_id = c.check_id
+WHERE c.check_date BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1996-12-31 23:59:59'
+  AND c.payment_method_code = 'EFT' AND c.void_date IS NULL
+""",
+    "value_set_labels": BASE + """
+SELECT s.file_id, s.send_code, l.lang AS language, l.meaning, COUNT(*) AS n_checks
+FROM sel s JOIN labels l ON l.code = s.send_code GROUP BY 1, 2, 3, 4
+""",
+    "register_heading": BASE + """
+, tl AS (SELECT * FROM (VALUES
+  ('BANK', 'Bank'), ('BANK_ACCOUNT', 'Bank Account'), ('CHECK_AMOUNT', 'Amount'), ('CHECK_DATE', 'Check Date'),
+  ('CHECK_NUMBER', 'Check Number'), ('DATE_TIME', 'Date Time'), ('LEGAL_ENTITY', 'Legal Entity'),
+  ('PAYMENT_DOCUMENT', 'Payment Document'), ('REPORT_NAME', 'Payment Register'), ('SEND_STATUS', 'Status'),
+  ('SUPPLIER_NAME', 'Supplier Name'), ('SUPPLIER_SITE', 'Supplier Site')) t(code, meaning))
+SELECT s.file_id, COUNT(*) AS trx_lines, CAST(SUM(s.amount) AS DECIMAL(38,2)) AS sum_trans,
+       r.r_name || ' BANK' AS bank_name, n.n_name || ' OPERATING' AS bank_account_name,
+       'DOC ' || n.n_name AS payment_document_name,
+       array_to_string(list_transform(string_split(lower(n.n_name) || ' payments sa', ' '),
+                                      lambda w: upper(w[1]) || lower(w[2:])), ' ') AS legal_entity,
+       (SELECT meaning FROM tl WHERE code = 'BANK') AS tl_bank,
+       (SELECT meaning FROM tl WHERE code = 'BANK_ACCOUNT') AS tl_bank_account,
+       (SELECT meaning FROM tl WHERE code = 'CHECK_AMOUNT') AS tl_check_amount,
+       (SELECT meaning FROM tl WHERE code = 'CHECK_DATE') AS tl_check_date,
+       (SELECT meaning FROM tl WHERE code = 'CHECK_NUMBER') AS tl_check_number,
+       (SELECT meaning FROM tl WHERE code = 'DATE_TIME') AS tl_date_time,
+       (SELECT meaning FROM tl WHERE code = 'LEGAL_ENTITY') AS tl_legal_entity,
+       (SELECT meaning FROM tl WHERE code = 'PAYMENT_DOCUMENT') AS tl_payment_document,
+       (SELECT meaning FROM tl WHERE code = 'REPORT_NAME') AS tl_report_name,
+       (SELECT meaning FROM tl WHERE code = 'SEND_STATUS') AS tl_send_status,
+       (SELECT meaning FROM tl WHERE code = 'SUPPLIER_NAME') AS tl_supplier_name,
+       (SELECT meaning FROM tl WHERE code = 'SUPPLIER_SITE') AS tl_supplier_site
+FROM sel s JOIN nation n ON n.n_nationkey + 1 = s.payment_document_id JOIN region r ON r.r_regionkey = n.n_regionkey
+GROUP BY s.file_id, r.r_name, n.n_name
+""",
+    "file_names": BASE + """
+, fmt AS (SELECT * FROM (VALUES (1, 'txt'), (2, 'csv'), (3, 'tsv'), (4, 'txt'), (5, 'ctl')) t(format_id, ext)),
+docfmt AS (SELECT * FROM (VALUES (1, 1), (2, 2), (3, 3), (4, 1), (5, 4), (6, 5), (7, 5)) t(doc, format_id))
+SELECT DISTINCT s.file_id, CAST(n.n_regionkey AS BIGINT) AS bank_party_id, CAST(n.n_nationkey AS BIGINT) AS bank_account_id,
+       regexp_replace('OU ' || n.n_name || '_' || 'DOC ' || n.n_name || '_' || '2014-APR-25_09AM-09-17',
+                      '[^A-Za-z0-9_-]', '', 'g') AS file_name,
+       f.ext AS file_extension
+FROM sel s JOIN nation n ON n.n_nationkey + 1 = s.payment_document_id
+LEFT JOIN docfmt df ON df.doc = s.payment_document_id LEFT JOIN fmt f ON f.format_id = df.format_id
+""",
+    "assigned_format": BASE + """
+, fmt AS (SELECT * FROM (VALUES (1, 'PAY FIXED', 'Y'), (2, 'PAY CSV', 'Y'), (3, 'PAY TAB', 'Y'), (4, 'OLD FIXED', 'N'),
+                                (5, 'CONTROL ONLY', 'Y')) t(format_id, format_name, enable_flag)),
+docfmt AS (SELECT * FROM (VALUES (1, 1), (2, 2), (3, 3), (4, 1), (5, 4), (6, 5), (7, 5)) t(doc, format_id))
+SELECT s.file_id, s.payment_document_id, CAST(df.format_id AS BIGINT) AS format_id, f.format_name,
+       COUNT(*) AS trx_lines,
+       CASE WHEN df.format_id IS NULL THEN 'NO FORMAT' WHEN f.format_name IS NULL THEN 'UNKNOWN FORMAT'
+            WHEN f.enable_flag <> 'Y' THEN 'DISABLED' ELSE 'OK' END AS format_status
+FROM sel s LEFT JOIN docfmt df ON df.doc = s.payment_document_id LEFT JOIN fmt f ON f.format_id = df.format_id
+GROUP BY 1, 2, 3, 4, 6
+""",
+    "format_parts": BASE + """
+, docfmt AS (SELECT * FROM (VALUES (1, 1), (2, 2), (3, 3), (4, 1), (5, 4), (6, 5), (7, 5)) t(doc, format_id)),
+parts AS (SELECT * FROM (VALUES (1, false, true, true, true), (2, true, true, true, true),
+                                (3, false, true, false, false), (5, true, false, false, true))
+          t(format_id, has_header, has_body, has_detail, has_trailer))
+SELECT DISTINCT s.file_id, CAST(p.format_id AS BIGINT) AS format_id, p.has_header, p.has_body, p.has_detail,
+       p.has_trailer
+FROM sel s JOIN docfmt df ON df.doc = s.payment_document_id JOIN parts p ON p.format_id = df.format_id
+""",
+    "latest_batch_name": with_(ENTITIES) + """
+SELECT checkrun_id, arg_max(checkrun_name, check_id) AS checkrun_name, MAX(check_id) AS latest_check_id
+FROM checks WHERE checkrun_id IS NOT NULL AND payment_type_flag = 'A' GROUP BY checkrun_id
 """,
 }

@@ -9,7 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from decimal import Decimal
+
+from ..functions.masks import to_char_date
+from ..functions.text import number_text
+from ..operators import aggregate as agg
+from ..operators import lookups
 from ..operators import selection as sel_ops
+from ..schema import TITLE_VALUE_SET
+from ..session import bounded_broadcast
+from ..sources import adapters
+from ..sources.adapters import INVOICE_ORDER
 from .context import Ctx
 
 
@@ -24,6 +34,168 @@ def check_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sel_ops.register_rows(sel)
 
 
+
+
+
+def selection_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-01: payments and total per file."""
+    ctx = Ctx(spark, sf_dir)
+    _, sel = _selection(ctx)
+    return agg.selection_totals(sel)
+
+
+def legacy_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-02 / FLT-10/11: G1 totals per file and batch (EFT, unsent, batch predicate)."""
+    ctx = Ctx(spark, sf_dir)
+    req = sel_ops.build_requests(ctx.docs, ctx.params.with_(only_unsent="Y"))
+    sel = sel_ops.select_legacy(ctx.checks, req, sel_ops.envelope(req))
+    return agg.amount_totals(sel, ["file_id", "checkrun_id"])
+
+
+def optional_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-04/06 with a lower number bound only and an upper amount bound only (Q33)."""
+    ctx = Ctx(spark, sf_dir)
+    p = ctx.params.with_(doc_ini=5000, doc_fin=None, base_amount=None, top_amount=Decimal("150000.00"))
+    _, sel = _selection(ctx, p)
+    return sel_ops.register_rows(sel)
+
+
+def report_lines(spark: SparkSession, sf_dir: str, legacy: bool = False) -> DataFrame:
+    """AGG-03/04: payment + invoice lines per file, with the file total."""
+    ctx = Ctx(spark, sf_dir)
+    _, sel = _selection(ctx)
+    rl = agg.report_lines(sel, ctx.invoice_payments, legacy_product=legacy)
+    return rl.join(agg.selection_totals(sel).select("file_id", "sum_trans"), "file_id")
+
+
+def report_lines_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-12 / Q14: the reference's predicate-less count, as a product of counts."""
+    return report_lines(spark, sf_dir, legacy=True)
+
+
+def paid_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-07: selected payments ⋈ invoice payments ⋈ invoices."""
+    ctx = Ctx(spark, sf_dir)
+    _, sel = _selection(ctx)
+    p = lookups.paid_invoices(sel, ctx.invoice_payments, ctx.invoices)
+    return p.select("file_id", "check_id", "invoice_id", "invoice_num", *INVOICE_ORDER[0:1], "supplier_ref",
+                    "amount_paid")
+
+
+def invoice_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-06 / JN-16: 'DOCUMENTOS: ' list of every invoice a selected payment pays, ordered."""
+    ctx = Ctx(spark, sf_dir)
+    _, sel = _selection(ctx)
+    ip = sel.select("file_id", "check_id").join(ctx.invoice_payments, "check_id")
+    named = lookups.invoice_number(ip, ctx.invoices)
+    return sel.select("file_id", "check_id").join(agg.invoice_list(named, list(INVOICE_ORDER)), "check_id")
+
+
+def supplier_bank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RND-20: the G1 six-field supplier bank file for every bank account use (FLT-03/10/12, JN-08/09)."""
+    ctx = Ctx(spark, sf_dir)
+    c = ctx.checks.where(
+        sel_ops.seconds_range(F.col("check_date"), "1996/01/01 00:00:00", "1996/12/31 23:59:59")
+        & (F.col("payment_method_code") == "EFT") & F.col("void_date").isNull())
+    sup = lookups.supplier_bank(adapters.supplier_bank_accounts(spark, sf_dir))
+    ip = c.select("check_id").join(ctx.invoice_payments, "check_id")
+    lists = agg.invoice_list(lookups.invoice_number(ip, ctx.invoices), list(INVOICE_ORDER))
+    j = c.join(sup, "vendor_id").join(lists, "check_id", "left")
+    line = F.concat_ws(
+        "", F.replace(F.col("bank_account_num"), F.lit("-"), F.lit("")), F.lit(";"),
+        F.replace(F.col("bank_account_name"), F.lit(";"), F.lit(",")), F.lit(";;"),
+        number_text(F.col("amount")), F.lit(";"), to_char_date(F.col("check_date"), "DDMMYYYY"), F.lit(";"),
+        F.replace(F.coalesce(F.col("invoices"), F.lit("DOCUMENTOS: ")), F.lit(";"), F.lit(",")))
+    return j.select("ce_bank_acct_use_id", "check_id", "bank_account_num", line.alias("line"))
+
+
+def value_set_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-03 / FLX-06 / FLT-14: selected payments per status meaning in every language."""
+    ctx = Ctx(spark, sf_dir)
+    _, sel = _selection(ctx)
+    labels = bounded_broadcast(lookups.value_set(ctx.values, "XX_EFT_STATUS_CHECK"))
+    counts = sel.groupBy("file_id", "send_code").agg(F.count(F.lit(1)).alias("n_checks"))
+    return counts.join(labels, counts.send_code == labels.code).select(
+        "file_id", "send_code", "language", "meaning", "n_checks")
+
+
+def register_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-05 / AGG-10 / RPT-05: per file, localised titles, bank chain names and totals."""
+    ctx = Ctx(spark, sf_dir)
+    req, sel = _selection(ctx)
+    bt = ctx.bank_tables()
+    chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"], entities=bt["entities"])
+    titles = agg.title_columns(lookups.value_set(ctx.values, TITLE_VALUE_SET))
+    tot = agg.selection_totals(sel)
+    out = req.select("file_id", "payment_document_id", "lang").join(tot, "file_id") \
+        .join(chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name",
+                           F.initcap("legal_entity_name").alias("legal_entity")), "payment_document_id") \
+        .join(F.broadcast(titles), F.col("lang") == F.col("language"))
+    return out.drop("language", "lang", "payment_document_id")
+
+
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-06 / SNK-04: sanitised file name (unit, document, run time) and extension per non-empty file."""
+    ctx = Ctx(spark, sf_dir)
+    req, sel = _selection(ctx)
+    bt = ctx.bank_tables()
+    chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"], units=bt["units"])
+    stamp = to_char_date(F.col("as_of"), "YYYY-MON-DD_HHAM-MI-SS")
+    raw = F.concat_ws("_", F.col("name"), F.col("payment_document_name"), stamp)
+    files = req.select("file_id", "payment_document_id", "format_id", "as_of") \
+        .join(agg.selection_totals(sel).select("file_id"), "file_id") \
+        .join(chain.select("payment_document_id", "name", "payment_document_name", "bank_party_id",
+                           "bank_account_id"), "payment_document_id") \
+        .join(F.broadcast(ctx.formats.select("format_id", "file_extension")), "format_id", "left")
+    return files.select("file_id", "bank_party_id", "bank_account_id",
+                        F.regexp_replace(raw, "[^A-Za-z0-9_-]", "").alias("file_name"),
+                        F.col("file_extension"))
+
+
+def assigned_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-18 / DQ-03: per non-empty file, the document's format and whether it can be rendered."""
+    ctx = Ctx(spark, sf_dir)
+    req, sel = _selection(ctx)
+    f = ctx.formats.select("format_id", "format_name", "enable_flag")
+    out = req.select("file_id", "payment_document_id", "format_id") \
+        .join(agg.selection_totals(sel), "file_id").join(F.broadcast(f), "format_id", "left")
+    status = (F.when(F.col("format_id").isNull(), F.lit("NO FORMAT"))
+              .when(F.col("format_name").isNull(), F.lit("UNKNOWN FORMAT"))
+              .when(F.col("enable_flag") != "Y", F.lit("DISABLED"))
+              .otherwise(F.lit("OK")))
+    return out.select("file_id", "payment_document_id", "format_id", "format_name", "trx_lines",
+                      status.alias("format_status"))
+
+
+def format_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-09 / RND-18: which parts each non-empty file will contain."""
+    ctx = Ctx(spark, sf_dir)
+    req, sel = _selection(ctx)
+    parts = agg.format_parts(ctx.fields, ctx.formats)
+    return req.select("file_id", "format_id").join(agg.selection_totals(sel).select("file_id"), "file_id") \
+        .join(F.broadcast(parts), "format_id")
+
+
+def latest_batch_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-19 / AGG-05 / FLT-20: name of the latest payment of each automatic batch."""
+    ctx = Ctx(spark, sf_dir)
+    return lookups.latest_batch_name(ctx.checks)
+
+
 QUERIES = {
     "check_register": check_register,
+    "selection_totals": selection_totals,
+    "legacy_batch_totals": legacy_batch_totals,
+    "optional_range": optional_range,
+    "report_lines": report_lines,
+    "report_lines_legacy": report_lines_legacy,
+    "paid_invoices": paid_invoices,
+    "invoice_list": invoice_list,
+    "supplier_bank_lines": supplier_bank_lines,
+    "value_set_labels": value_set_labels,
+    "register_heading": register_heading,
+    "file_names": file_names,
+    "assigned_format": assigned_format,
+    "format_parts": format_parts,
+    "latest_batch_name": latest_batch_name,
 }

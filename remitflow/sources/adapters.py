@@ -133,7 +133,7 @@ def legal_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     return n.select(
         F.col("n_nationkey").cast("bigint").alias("operating_unit_id"),
-        F.concat(F.lower(F.col("n_name")), F.lit(" payments s.a.")).alias("legal_entity_name"),
+        F.concat(F.lower(F.col("n_name")), F.lit(" payments sa")).alias("legal_entity_name"),
     )
 
 
