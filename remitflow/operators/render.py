@@ -285,37 +285,32 @@ class Layout:
 
 
 def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoice_order: list[str],
-                   hot_rows: int = HOT_GROUP_ROWS):
-    """WIN-01..04: body lines with seq1 (and seq3), detail lines with seq1, seq2 (and seq3).
+                   hot_rows: int = HOT_GROUP_ROWS, hot_files: list | None = None, hot_checks: list | None = None):
+    """WIN-01..04: body lines with seq1, seq3, line position; detail lines with seq1, seq2, seq3, position.
 
-    Only files whose format defines the part get its lines (RND-18).
+    Only files whose format defines the part get its lines (RND-18).  ``_pos``
+    is the 1-based place of a line among its file's payment and invoice lines.
     """
     body_fmts = layout.formats_with("BODY")
     det_fmts = layout.formats_with("DETAIL")
     body = selection.where(F.col("format_id").isin(body_fmts))
-    body = sequence_within(body, ["file_id"], ["check_number", "check_id"], "seq1", hot_rows)
+    body = sequence_within(body, ["file_id"], ["check_number", "check_id"], "seq1", hot_rows, hot_files)
     det = paid.where(F.col("format_id").isin(det_fmts))
-    det = sequence_within(det, ["file_id", "check_id"], list(invoice_order), "seq2", hot_rows)
+    det = sequence_within(det, ["file_id", "check_id"], list(invoice_order), "seq2", hot_rows, hot_checks)
     det = det.join(body.select("file_id", "check_id", "seq1"), ["file_id", "check_id"])
-    if layout.uses(T_SEQ3):
-        both = body.select("file_id", "check_id", "seq1", F.lit(0).alias("_sub"), F.lit(0).cast("bigint").alias("_s2")) \
-            .unionByName(det.select("file_id", "check_id", "seq1", F.lit(1).alias("_sub"), F.col("seq2").alias("_s2")))
-        pos = sequence_within(both, ["file_id"], ["seq1", "_sub", "_s2"], "_pos", hot_rows)
-        bpos = pos.where("_sub = 0").select("file_id", "check_id", (F.col("_pos") - 1).alias("seq3"))
-        dpos = pos.where("_sub = 1").select("file_id", "check_id", F.col("_s2").alias("seq2"),
-                                            (F.col("_pos") - 2).alias("seq3"))
-        body = body.join(bpos, ["file_id", "check_id"])
-        det = det.join(dpos, ["file_id", "check_id", "seq2"])
-    else:
-        body = body.withColumn("seq3", F.lit(None).cast("bigint"))
-        det = det.withColumn("seq3", F.lit(None).cast("bigint"))
-    return body, det
+    both = body.withColumn("_sub", F.lit(0)).withColumn("seq2", F.lit(None).cast("bigint")) \
+        .unionByName(det.withColumn("_sub", F.lit(1)), allowMissingColumns=True)
+    pos = sequence_within(both, ["file_id"], ["seq1", "_sub", F.coalesce(F.col("seq2"), F.lit(0))], "_pos",
+                          hot_rows, hot_files)
+    pos = pos.withColumn("seq3", F.col("_pos") - 1 - F.col("_sub"))
+    return pos.where("_sub = 0"), pos.where("_sub = 1")
 
 
 def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame, paid: DataFrame,
                  totals: DataFrame, layout: Layout, dyn: DynamicValues, invoice_order: list[str],
-                 legacy: frozenset = frozenset(), hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """RND-14..18 + SET-01: (file_id, format_id, part, seq1, seq2, seq3, value) for every line of every file.
+                 legacy: frozenset = frozenset(), hot_rows: int = HOT_GROUP_ROWS,
+                 hot_files: list | None = None, hot_checks: list | None = None) -> DataFrame:
+    """RND-14..18 + SET-01: (file_id, format_id, part, seq1, seq2, seq3, line_no, value) for every line.
 
     Files with an empty selection get no lines at all (DQ-01); files whose
     format is missing or disabled get none either (DQ-03).
@@ -325,9 +320,12 @@ def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame,
     fmt_of = F.broadcast(requests.select("file_id", "format_id"))
     sel = selection if "format_id" in selection.columns else selection.join(fmt_of, "file_id")
     pd_ = paid if "format_id" in paid.columns else paid.join(fmt_of, "file_id")
-    body, det = sequence_lines(sel, pd_, layout, invoice_order, hot_rows)
-    body = body.join(totals, "file_id").withColumn("seq2", F.lit(None).cast("bigint"))
-    det = det.join(totals, "file_id")
+    body, det = sequence_lines(sel, pd_, layout, invoice_order, hot_rows, hot_files, hot_checks)
+    # Totals have one row per file: bounded by the request count, broadcast.
+    tot_b = F.broadcast(totals)
+    body = body.join(tot_b, "file_id")
+    det = det.join(tot_b, "file_id")
+    has_header = F.col("format_id").isin(layout.formats_with("HEADER")).cast("bigint")
     has_body = F.col("format_id").isin(layout.formats_with("BODY"))
     out = []
     header_expr = _by_format(specs, "HEADER", legacy)
@@ -337,20 +335,21 @@ def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame,
             F.lit(0).cast("bigint").alias("seq2"), F.lit(0).cast("bigint").alias("seq3"))
         h = _attach(h, dyn, [s for s in specs if s.part == "HEADER"])
         out.append(h.select("file_id", "format_id", F.lit("HEADER").alias("part"), "seq1", "seq2", "seq3",
-                            header_expr.alias("value")))
+                            F.lit(1).cast("bigint").alias("line_no"), header_expr.alias("value")))
     body_expr = _by_format(specs, "BODY", legacy)
     if body_expr is not None:
         b = _attach(body, dyn, [s for s in specs if s.part == "BODY"])
         out.append(b.select("file_id", "format_id", F.lit("BODY").alias("part"), "seq1", "seq2", "seq3",
-                            body_expr.alias("value")))
+                            (F.col("_pos") + has_header).alias("line_no"), body_expr.alias("value")))
     det_expr = _by_format(specs, "DETAIL", legacy)
     if det_expr is not None:
         d = _attach(det, dyn, [s for s in specs if s.part == "DETAIL"])
         out.append(d.select("file_id", "format_id", F.lit("DETAIL").alias("part"), "seq1", "seq2", "seq3",
-                            det_expr.alias("value")))
+                            (F.col("_pos") + has_header).alias("line_no"), det_expr.alias("value")))
     trl_expr = _by_format(specs, "TRAILER", legacy)
     if trl_expr is not None:
-        n_det = det.groupBy("file_id").agg(F.count(F.lit(1)).alias("_nd"))
+        n_det = pd_.where(F.col("format_id").isin(layout.formats_with("DETAIL"))) \
+            .groupBy("file_id").agg(F.count(F.lit(1)).alias("_nd"))
         t = req.where(F.col("format_id").isin(layout.formats_with("TRAILER"))).join(n_det, "file_id", "left")
         t = t.select(
             "file_id", "format_id", "trx_lines", "sum_trans",
@@ -364,7 +363,7 @@ def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame,
             hv = _attach(t, dyn, [s for s in specs if s.part == "HEADER"])
             t, tv = hv, F.concat_ws("", F.when(F.col("format_id").isin(layout.formats_with("HEADER")), header_expr), trl_expr)
         out.append(t.select("file_id", "format_id", F.lit("TRAILER").alias("part"), "seq1", "seq2", "seq3",
-                            tv.alias("value")))
+                            (F.col("seq3") + has_header + 1).alias("line_no"), tv.alias("value")))
     lines = out[0]
     for o in out[1:]:
         lines = lines.unionByName(o)

@@ -54,16 +54,26 @@ def sequence_by_sort(df: DataFrame, group: list[str], order: list, out: str, che
         .drop("_pid", "_mid", "_lo", "_off")
 
 
+def hot_groups(df: DataFrame, group: list[str], hot_rows: int = HOT_GROUP_ROWS) -> list[tuple]:
+    """Keys of groups with more than ``hot_rows`` rows (at most total/hot_rows keys, collected)."""
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn"))
+    return [tuple(r[c] for c in group) for r in sizes.where(F.col("_gn") > hot_rows).select(*group).collect()]
+
+
 def sequence_within(df: DataFrame, group: list[str], order: list, out: str = "seq",
-                    hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                    hot_rows: int = HOT_GROUP_ROWS, hot_keys: list[tuple] | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row in its group under ``order``.
 
     ``order`` must make rows unique within a group (ties would make the
-    numbering depend on scheduling).
+    numbering depend on scheduling).  ``hot_keys`` may be passed when the
+    caller already knows the group sizes; otherwise one small aggregation finds
+    them.  With no hot group the plan is a single window.
     """
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_gn"))
-    # At most total_rows / hot_rows keys: a proven bound for the broadcast.
-    hot = F.broadcast(sizes.where(F.col("_gn") > hot_rows).select(*group))
+    if hot_keys is None:
+        hot_keys = hot_groups(df, group, hot_rows)
+    if not hot_keys:
+        return sequence_by_window(df, group, order, out)
+    hot = F.broadcast(df.sparkSession.createDataFrame(hot_keys, df.select(*group).schema))
     cold = sequence_by_window(df.join(hot, group, "left_anti"), group, order, out)
     warm = sequence_by_sort(df.join(hot, group, "left_semi"), group, order, out)
     return cold.unionByName(warm)

@@ -17,6 +17,7 @@ from ..operators import lookups, render
 from ..operators import selection as sel_ops
 from ..operators.sequences import HOT_GROUP_ROWS
 from ..schema import RunParams
+from ..session import materialize
 from ..sources.adapters import INVOICE_ORDER
 from .context import Ctx
 
@@ -36,8 +37,13 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     params = params or ctx.params
     spark = ctx.spark
     requests, selection = sel_ops.run_selection(spark, ctx.checks, ctx.sites, ctx.values, ctx.docs, params, doc_ids)
-    paid = lookups.paid_invoices(selection, ctx.invoice_payments, ctx.invoices)
+    # One snapshot of the selection and of its paid invoices feeds the file, the
+    # register and the status log (the reference re-read them six times, Q24).
+    selection = materialize(selection, "selection")
+    paid = materialize(lookups.paid_invoices(selection, ctx.invoice_payments, ctx.invoices)
+                       .join(F.broadcast(requests.select("file_id", "format_id")), "file_id"), "paid")
     totals = agg.selection_totals(selection)
+    hot_files, hot_checks = find_hot(totals, paid, hot_rows)
     layout = render.Layout.load(ctx.formats, ctx.fields)
     # Views the keyed queries of the layout are written against.
     selection.createOrReplaceTempView("selection")
@@ -47,5 +53,39 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     single_doc = doc_ids[0] if doc_ids and len(doc_ids) == 1 else None
     dyn = render.dynamic_values(spark, layout.specs, render.job_binds(params, single_doc))
     lines = render.render_lines(spark, requests, selection, paid, totals, layout, dyn, list(INVOICE_ORDER),
-                                legacy=params.legacy, hot_rows=hot_rows)
+                                legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files, hot_checks=hot_checks)
     return BankFileRun(requests, selection, paid, totals, layout, lines)
+
+
+def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int):
+    """Files and payments too large for one task, from two small aggregations.
+
+    Results are bounded: at most (lines / hot_rows) keys each.
+    """
+    per_file = totals.select("file_id", "trx_lines").join(
+        paid.groupBy("file_id").agg(F.count(F.lit(1)).alias("_nd")), "file_id", "left")
+    hot_files = [(r["file_id"],) for r in per_file.where(
+        F.col("trx_lines") + F.coalesce(F.col("_nd"), F.lit(0)) > hot_rows).select("file_id").collect()]
+    hot_checks = [(r["file_id"], r["check_id"]) for r in paid.groupBy("file_id", "check_id").agg(
+        F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("file_id", "check_id").collect()]
+    return hot_files, hot_checks
+
+
+def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, selection: DataFrame | None = None,
+                 requests: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """REPORT: register text for every file, from a given selection snapshot or a fresh one."""
+    from ..operators import register
+    from ..schema import TITLE_VALUE_SET
+    params = params or ctx.params
+    if selection is None:
+        requests, selection = sel_ops.run_selection(ctx.spark, ctx.checks, ctx.sites, ctx.values, ctx.docs,
+                                                    params, doc_ids)
+    bt = ctx.bank_tables()
+    chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"], entities=bt["entities"])
+    titles = agg.title_columns(lookups.value_set(ctx.values, TITLE_VALUE_SET))
+    heading = requests.select("file_id", "payment_document_id", "lang", "as_of") \
+        .join(chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name",
+                           F.initcap("legal_entity_name").alias("legal_entity")), "payment_document_id") \
+        .join(F.broadcast(titles), F.col("lang") == F.col("language"))
+    totals = agg.selection_totals(selection)
+    return register.register_text(selection, heading, totals, hot_rows)

@@ -37,7 +37,7 @@ invoices AS (SELECT p_partkey AS invoice_id, 'INV' || CAST(p_partkey AS VARCHAR)
 
 
 def selection_sql(start="1996-01-01", end="1998-12-31", statuses=("NEW", "PRINTED"), lang="US",
-                  doc_lo=None, doc_hi=None, base="0", top="99999999.99", run_id="run-1") -> str:
+                  doc_lo=None, doc_hi=None, base="0", top="99999999.99", run_id="run-1", name="sel") -> str:
     """The selection cursor with Oracle's TRUNC semantics written literally."""
     st = ", ".join(f"'{s}'" for s in statuses)
     lo = "NULL" if doc_lo is None else str(doc_lo)
@@ -45,7 +45,7 @@ def selection_sql(start="1996-01-01", end="1998-12-31", statuses=("NEW", "PRINTE
     b = "NULL" if base is None else f"CAST({base} AS DECIMAL(18,2))"
     t = "NULL" if top is None else f"CAST({top} AS DECIMAL(18,2))"
     return f"""
-sel AS (
+{name} AS (
   SELECT '{run_id}-' || CAST(c.payment_document_id AS VARCHAR) AS file_id, c.*, s.vendor_site_code, s.vendor_name,
          l.meaning AS send_status, COALESCE(c.attribute14, 'NEW') AS send_code
   FROM checks c
@@ -82,6 +82,126 @@ sup AS (
   FROM accts a JOIN customer c ON c.c_custkey = a.owner)
 """
 
+LINES = BASE + """
+, body AS (
+  SELECT file_id, check_id, payment_document_id, check_number, amount, check_date, vendor_name, vendor_site_code,
+         CAST(row_number() OVER (PARTITION BY file_id ORDER BY check_number, check_id) AS BIGINT) AS seq1
+  FROM sel WHERE payment_document_id IN (1, 2, 3, 4)),
+det0 AS (
+  SELECT s.file_id, s.check_id, s.payment_document_id, ip.invoice_id, i.invoice_num,
+         CAST(row_number() OVER (PARTITION BY s.file_id, s.check_id
+                                 ORDER BY ip.line_number, ip.invoice_id, ip.supplier_ref, ip.amount_paid) AS BIGINT) AS seq2
+  FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id JOIN invoices i ON i.invoice_id = ip.invoice_id
+  WHERE s.payment_document_id IN (1, 2, 4)),
+nd AS (SELECT file_id, check_id, COUNT(*) AS n FROM det0 GROUP BY file_id, check_id),
+body3 AS (
+  SELECT b.*, CAST(b.seq1 - 1 + COALESCE(SUM(COALESCE(nd.n, 0)) OVER (PARTITION BY b.file_id ORDER BY b.seq1
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS seq3
+  FROM body b LEFT JOIN nd ON nd.file_id = b.file_id AND nd.check_id = b.check_id),
+det AS (
+  SELECT d.*, b.seq1, CAST(b.seq3 + d.seq2 - 1 AS BIGINT) AS seq3
+  FROM det0 d JOIN body3 b ON b.file_id = d.file_id AND b.check_id = d.check_id),
+tot AS (SELECT file_id, payment_document_id, COUNT(*) AS trx_lines, SUM(amount) AS sum_trans,
+               (SELECT COUNT(*) FROM det WHERE det.file_id = sel.file_id) AS n_det
+        FROM sel GROUP BY file_id, payment_document_id),
+lines AS (
+  SELECT file_id, 'BODY' AS part, seq1, CAST(NULL AS BIGINT) AS seq2, 1 AS r, 0 AS sub,
+         CASE WHEN payment_document_id IN (1, 4) THEN
+           'PAYRECORD0000001' || lpad(CAST(check_number AS VARCHAR), 12, '0') || lpad(CAST(seq1 AS VARCHAR), 8, '0')
+           || lpad(printf('%.2f', amount), 16, ' ') || strftime(check_date, '%d%m%Y') || 'USD'
+           || rpad(vendor_name, 40, ' ') || lpad(CAST(seq3 AS VARCHAR), 6, '0') || '01'
+         WHEN payment_document_id = 2 THEN
+           'P;' || CAST(check_number AS VARCHAR) || ';' || format('{:,.2f}', amount) || ';'
+           || strftime(check_date, '%d/%m/%Y') || ';' || replace(vendor_name, ';', '') || ';' || 'X    ' || ';'
+           || lpad(CAST(seq1 AS VARCHAR), 6, '0') || ';'
+         ELSE CAST(seq1 AS VARCHAR) || chr(9) || vendor_site_code || chr(9) || 'EFT-----' || chr(9) || printf('%.2f', amount)
+         END AS value
+  FROM body3
+  UNION ALL
+  SELECT file_id, 'DETAIL', seq1, seq2, 1, 1,
+         CASE WHEN payment_document_id IN (1, 4) THEN
+           'VOI   ' || rpad(CAST(seq1 AS VARCHAR), 8, '0') || rpad(CAST(seq2 AS VARCHAR), 4, '0') || rpad(invoice_num, 20, ' ')
+           || lpad(CAST(seq3 AS VARCHAR), 6, '0')
+         ELSE 'D;' || CAST(seq2 AS VARCHAR) || ';' || invoice_num END
+  FROM det
+  UNION ALL
+  SELECT file_id, 'HEADER', 0, 0, 0, 0, 'H;' || 'DOC NATION_' || CAST(payment_document_id - 1 AS VARCHAR) || ';1996/01/01;0'
+  FROM tot WHERE payment_document_id = 2
+  UNION ALL
+  SELECT file_id, 'TRAILER', trx_lines + 1, CAST(NULL AS BIGINT), 2, 0,
+         CASE WHEN payment_document_id IN (1, 4) THEN
+           'TRL' || lpad(CAST(trx_lines AS VARCHAR), 9, '0') || lpad(printf('%.2f', sum_trans), 17, '0')
+           || lpad(CAST(trx_lines + 1 AS VARCHAR), 8, '0') || repeat(' ', 63)
+         ELSE 'T;' || CAST(trx_lines AS VARCHAR) || ';' || printf('%.2f', sum_trans) END
+  FROM tot WHERE payment_document_id IN (1, 2, 4)),
+numbered AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY file_id ORDER BY r, COALESCE(seq1, 0), sub, COALESCE(seq2, 0)) AS BIGINT)
+            AS line_no
+  FROM lines)
+"""
+
+US_TITLES = """
+tl AS (SELECT * FROM (VALUES
+  ('BANK', 'Bank'), ('BANK_ACCOUNT', 'Bank Account'), ('CHECK_AMOUNT', 'Amount'), ('CHECK_DATE', 'Check Date'),
+  ('CHECK_NUMBER', 'Check Number'), ('DATE_TIME', 'Date Time'), ('LEGAL_ENTITY', 'Legal Entity'),
+  ('PAYMENT_DOCUMENT', 'Payment Document'), ('REPORT_NAME', 'Payment Register'), ('SEND_STATUS', 'Status'),
+  ('SUPPLIER_NAME', 'Supplier Name'), ('SUPPLIER_SITE', 'Supplier Site')) t(code, meaning))
+"""
+
+
+def _money(x: str) -> str:
+    return f"CASE WHEN {x} >= 1000000000 THEN repeat('#', 15) ELSE lpad(format('{{:,.2f}}', {x}), 15, ' ') END"
+
+
+def _t(code: str) -> str:
+    return f"(SELECT meaning FROM tl WHERE code = '{code}')"
+
+
+REGISTER_TEXT = BASE + ", " + US_TITLES.strip() + f"""
+, head AS (SELECT s.file_id, n.n_name, r.r_name, COUNT(*) AS n, SUM(s.amount) AS total
+           FROM sel s JOIN nation n ON n.n_nationkey + 1 = s.payment_document_id
+           JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY s.file_id, n.n_name, r.r_name),
+reg AS (
+  SELECT file_id, 1 AS line_no, '' AS value FROM head
+  UNION ALL SELECT file_id, 2, {_t('REPORT_NAME')} FROM head
+  UNION ALL SELECT file_id, 3, rpad({_t('LEGAL_ENTITY')}, 18, ' ') || ': ' ||
+      array_to_string(list_transform(string_split(lower(n_name) || ' payments sa', ' '),
+                                     lambda w: upper(w[1]) || lower(w[2:])), ' ') FROM head
+  UNION ALL SELECT file_id, 4, rpad({_t('BANK')}, 18, ' ') || ': ' || r_name || ' BANK' FROM head
+  UNION ALL SELECT file_id, 5, rpad({_t('BANK_ACCOUNT')}, 18, ' ') || ': ' || n_name || ' OPERATING' FROM head
+  UNION ALL SELECT file_id, 6, rpad({_t('PAYMENT_DOCUMENT')}, 18, ' ') || ': ' || 'DOC ' || n_name FROM head
+  UNION ALL SELECT file_id, 7, rpad({_t('DATE_TIME')}, 18, ' ') || ': ' || '25-APR-2014 09:09:17' FROM head
+  UNION ALL SELECT file_id, 8, '' FROM head
+  UNION ALL SELECT file_id, 9, '  ' || lpad({_t('CHECK_NUMBER')}, 15, ' ') || '  ' || rpad({_t('CHECK_DATE')}, 14, ' ')
+      || '  ' || rpad({_t('SUPPLIER_NAME')}, 50, ' ') || '  ' || rpad({_t('SUPPLIER_SITE')}, 15, ' ')
+      || '  ' || lpad({_t('CHECK_AMOUNT')}, 15, ' ') || '  ' || rpad({_t('SEND_STATUS')}, 15, ' ') FROM head
+  UNION ALL SELECT file_id, 9 + row_number() OVER (PARTITION BY file_id ORDER BY check_number, check_id),
+      '  ' || lpad(CAST(COALESCE(check_number, 0) AS VARCHAR), 15, ' ') || '  '
+      || rpad(upper(strftime(check_date, '%d-%b-%Y')), 14, ' ') || '  ' || rpad(COALESCE(vendor_name, ' '), 50, ' ')
+      || '  ' || rpad(COALESCE(vendor_site_code, ' '), 15, ' ') || '  ' || {_money('amount')}
+      || '  ' || rpad(COALESCE(send_status, ' '), 15, ' ') FROM sel
+  UNION ALL SELECT file_id, 10 + n, repeat('-', 135) FROM head
+  UNION ALL SELECT file_id, 11 + n, '  COUNT ' || lpad(CAST(n AS VARCHAR), 9, ' ') || repeat(' ', 87) || {_money('total')}
+  FROM head)
+"""
+
+FINAL1 = selection_sql(start="1996-01-01", end="1997-12-31", statuses=("NEW",), run_id="final-1", name="sel1")
+
+GRANTS = """
+grants AS (SELECT * FROM (VALUES ('G1', ' ap_supervisor ', 'Y', NULL, NULL),
+                                 ('G2', 'treasury_lead', 'Y', DATE '2010-01-01', DATE '2012-12-31'),
+                                 ('G3', 'intern', 'N', NULL, NULL),
+                                 ('G4', 'Controller', 'Y', DATE '2013-01-01', NULL),
+                                 ('G5', 'CONTROLLER ', 'Y', NULL, NULL)) t(code, meaning, enabled, s, e)),
+users AS (SELECT * FROM (VALUES (1001, 'AP_SUPERVISOR'), (1002, 'TREASURY_LEAD'), (1003, 'INTERN'),
+                                (1004, 'CONTROLLER'), (1005, 'AUDITOR')) t(user_id, user_name)),
+ng AS (SELECT u.user_id, COUNT(g.code) AS n FROM users u LEFT JOIN grants g
+         ON upper(trim(g.meaning)) = u.user_name AND g.enabled = 'Y'
+        AND DATE '2014-04-25' BETWEEN COALESCE(CAST(g.s AS DATE), DATE '2014-04-25')
+                              AND COALESCE(CAST(g.e AS DATE), DATE '2014-04-25')
+       GROUP BY u.user_id)
+"""
+
 ORACLE = {
     "check_register": BASE + """
 SELECT file_id, check_id, doc_sequence_value, check_number, amount, check_date, vendor_name, send_status,
@@ -201,6 +321,78 @@ parts AS (SELECT * FROM (VALUES (1, false, true, true, true), (2, true, true, tr
 SELECT DISTINCT s.file_id, CAST(p.format_id AS BIGINT) AS format_id, p.has_header, p.has_body, p.has_detail,
        p.has_trailer
 FROM sel s JOIN docfmt df ON df.doc = s.payment_document_id JOIN parts p ON p.format_id = df.format_id
+""",
+    "seq_body": LINES + "SELECT file_id, check_id, seq1, seq3 FROM body3",
+    "seq_detail": LINES + "SELECT file_id, check_id, invoice_id, seq1, seq2, seq3 FROM det",
+    "line_numbers": LINES + "SELECT file_id, part, seq1, seq2, line_no FROM numbered",
+    "fixed_width_lines": LINES + """
+SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-1', 'run-1-4')""",
+    "delimited_lines": LINES + """
+SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-2', 'run-1-3')""",
+    "register_text": REGISTER_TEXT + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",
+    "mark_printed": with_(ENTITIES, FINAL1) + """
+SELECT check_id, 'PRINTED' AS status, 'final-1' AS run_id, TIMESTAMP '2014-04-25 09:09:17' AS event_ts FROM sel1
+""",
+    "current_status": with_(ENTITIES, FINAL1) + """
+SELECT c.check_id, CASE WHEN s.check_id IS NOT NULL THEN 'PRINTED' ELSE c.attribute14 END AS status_code
+FROM checks c LEFT JOIN sel1 s ON s.check_id = c.check_id
+""",
+    "unsent_after_final": with_(ENTITIES, FINAL1, selection_sql(statuses=("NEW",), run_id="final-2")) + """
+SELECT file_id, check_id, doc_sequence_value, check_number, amount, check_date, vendor_name, send_status,
+       vendor_site_code
+FROM sel WHERE check_id NOT IN (SELECT check_id FROM sel1)
+""",
+    "unlock": BASE + """
+SELECT check_id, 'NEW' AS status, 'unlock-1' AS run_id, TIMESTAMP '2014-04-25 09:09:17' AS event_ts FROM sel
+""",
+    "unlock_outcome": BASE + ", " + GRANTS.strip() + """
+SELECT user_id, n AS n_grants, CASE WHEN n = 1 THEN '0' ELSE '1' END AS retcode,
+       CASE WHEN n = 0 THEN 'User Does not have Access'
+            WHEN n > 1 THEN 'Contac Payables Setup Administator for Help' END AS errbuf,
+       CAST(CASE WHEN n = 1 THEN (SELECT COUNT(*) FROM sel) ELSE 0 END AS BIGINT) AS rows_updated
+FROM ng
+""",
+    "flex_project": with_(ENTITIES) + """
+SELECT check_id, attribute_category,
+  CASE WHEN attribute_category = 'EL SALVADOR' THEN attribute14 END AS xx_status_check,
+  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN '000' END AS citibank_tdm,
+  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN 'No' END AS priority_flag,
+  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN COALESCE(attribute12, 'OUR') END AS charges_indicator_citi,
+  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN COALESCE(attribute13, 'N') END AS confidential,
+  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN attribute14 END AS nro_de_solicitud,
+  CAST(NULL AS VARCHAR) AS fecha_de_proceso
+FROM checks
+""",
+    "flex_unpivot": with_(ENTITIES) + """
+SELECT check_id, 'EL SALVADOR' AS context_code, 'XX_STATUS_CHECK' AS segment, 'ATTRIBUTE14' AS application_column_name,
+       attribute14 AS value, 'XX_EFT_STATUS_CHECK' AS value_set_name
+FROM checks WHERE attribute_category = 'EL SALVADOR' AND attribute14 IS NOT NULL
+UNION ALL SELECT check_id, 'PARAGUAY CITI', 'Charges Indicator (Citi)', 'ATTRIBUTE12', attribute12, 'XX_AP_PY_CITI_CHI_VS'
+FROM checks WHERE attribute_category = 'PARAGUAY CITI' AND attribute12 IS NOT NULL
+UNION ALL SELECT check_id, 'PARAGUAY CITI', 'Confidential', 'ATTRIBUTE13', attribute13, 'XX_AP_PY_CITI_CON_VS'
+FROM checks WHERE attribute_category = 'PARAGUAY CITI' AND attribute13 IS NOT NULL
+UNION ALL SELECT check_id, 'PARAGUAY CITI', 'Nro de solicitud', 'ATTRIBUTE14', attribute14, NULL
+FROM checks WHERE attribute_category = 'PARAGUAY CITI' AND attribute14 IS NOT NULL
+""",
+    "dq_flex_domain": with_(ENTITIES) + """
+SELECT 'DQ-05 value outside value set' AS check_name, CAST(check_id AS VARCHAR) AS key, 'Priority_Flag=No' AS detail
+FROM checks WHERE attribute_category = 'PARAGUAY CITI'
+UNION ALL
+SELECT 'DQ-05 value outside value set', CAST(check_id AS VARCHAR), 'Confidential=' || COALESCE(attribute13, 'N')
+FROM checks WHERE attribute_category = 'PARAGUAY CITI' AND COALESCE(attribute13, 'N') NOT IN ('C', 'N', 'S')
+""",
+    "dq_requests": BASE + """
+SELECT 'DQ-01 empty selection' AS check_name, 'run-1-' || CAST(d.payment_document_id AS VARCHAR) AS key,
+       'Warning : Parameters did not retrieve any data' AS detail
+FROM docs d WHERE d.payment_document_id NOT IN (SELECT payment_document_id FROM sel)
+UNION ALL
+SELECT DISTINCT 'DQ-03 format not usable', file_id, 'format 4' FROM sel WHERE payment_document_id = 5
+""",
+    "ingest_file_status": """
+SELECT event_type, COUNT(*) FILTER (WHERE event_type <> 'error') AS n_good,
+       COUNT(*) FILTER (WHERE event_type = 'error') AS n_bad,
+       CASE WHEN COUNT(*) FILTER (WHERE event_type = 'error') > 0 THEN 'BATCH ERROR' ELSE 'OK' END AS status
+FROM events GROUP BY event_type
 """,
     "latest_batch_name": with_(ENTITIES) + """
 SELECT checkrun_id, arg_max(checkrun_name, check_id) AS checkrun_name, MAX(check_id) AS latest_check_id

@@ -16,6 +16,7 @@ from ..functions.text import number_text
 from ..operators import aggregate as agg
 from ..operators import lookups
 from ..operators import selection as sel_ops
+from ..operators.sequences import HOT_GROUP_ROWS
 from ..schema import TITLE_VALUE_SET
 from ..session import bounded_broadcast
 from ..sources import adapters
@@ -182,6 +183,187 @@ def latest_batch_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.latest_batch_name(ctx.checks)
 
 
+def _bank_run(spark: SparkSession, sf_dir: str):
+    from .jobs import bank_file_job
+    return bank_file_job(Ctx(spark, sf_dir))
+
+
+def _body_det(run):
+    from ..operators.render import sequence_lines
+    from .jobs import find_hot
+    hot_files, hot_checks = find_hot(run.totals, run.paid, HOT_GROUP_ROWS)
+    return sequence_lines(run.selection, run.paid, run.layout, list(INVOICE_ORDER), HOT_GROUP_ROWS,
+                          hot_files, hot_checks)
+
+
+def seq_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-01 / WIN-03: payment ordinal and running line counter per file."""
+    body, _ = _body_det(_bank_run(spark, sf_dir))
+    return body.select("file_id", "check_id", "seq1", "seq3")
+
+
+def seq_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-02 / WIN-03: invoice ordinal within its payment, payment ordinal, line counter."""
+    _, det = _body_det(_bank_run(spark, sf_dir))
+    return det.select("file_id", "check_id", "invoice_id", "seq1", "seq2", "seq3")
+
+
+def _numbered_lines(spark, sf_dir):
+    return _bank_run(spark, sf_dir).lines
+
+
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-04 / SET-01: every line's place in its file (header, payment, its invoices…, trailer)."""
+    return _numbered_lines(spark, sf_dir).select("file_id", "part", "seq1", "seq2", "line_no")
+
+
+def fixed_width_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RND-01..19: fixed-width files (constants, sequences, dynamic fields, masks, padding, totals)."""
+    return _numbered_lines(spark, sf_dir).where(F.col("format_id") == 1).select("file_id", "part", "line_no", "value")
+
+
+def delimited_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RND-12/13/14/17: delimited files with header and trailer, delimiter stripping, last-char drop."""
+    return _numbered_lines(spark, sf_dir).where(F.col("format_id").isin(2, 3)) \
+        .select("file_id", "part", "line_no", "value")
+
+
+# ---------------------------------------------------------------------------
+# Register text, status log, unlock
+# ---------------------------------------------------------------------------
+
+def register_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-01..04 / FN-08 / FN-28: the payment register, line by line, per file."""
+    from .jobs import register_job
+    return register_job(Ctx(spark, sf_dir))
+
+
+FINAL_1 = dict(run_id="final-1", only_unsent="Y", process_type="FINAL", start_date="1996/01/01 00:00:00",
+               end_date="1997/12/31 00:00:00")
+
+
+def _final_run(ctx: Ctx):
+    from ..operators import status
+    p = ctx.params.with_(**FINAL_1)
+    _, sel = _selection(ctx, p)
+    return status.mark(sel, "PRINTED", p.run_id, _as_of(p), p.process_type)
+
+
+def _as_of(p):
+    from datetime import datetime
+    return datetime.strptime(p.as_of, "%Y/%m/%d %H:%M:%S")
+
+
+def mark_printed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DML-01 / DML-07: a FINAL run's status-log rows (PRINTED for every payment in its files)."""
+    return _final_run(Ctx(spark, sf_dir))
+
+
+def current_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-06: every payment's status after the FINAL run (latest log entry, else its own column)."""
+    from ..operators import status
+    ctx = Ctx(spark, sf_dir)
+    cur = status.current_checks(ctx.checks, _final_run(ctx))
+    return cur.select("check_id", F.col("attribute14").alias("status_code"))
+
+
+def unsent_after_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST-02: the next run over a wider window only takes payments the FINAL run did not send."""
+    from ..operators import status
+    ctx = Ctx(spark, sf_dir)
+    log = _final_run(ctx)
+    p = ctx.params.with_(run_id="final-2", only_unsent="Y", process_type="FINAL")
+    cur = status.current_checks(ctx.checks, log)
+    _, sel = sel_ops.run_selection(ctx.spark, cur, ctx.sites, ctx.values, ctx.docs, p)
+    return sel_ops.register_rows(sel)
+
+
+USER_IDS = [1001, 1002, 1003, 1004, 1005]
+
+
+def unlock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DML-02 / JN-10: an authorised user resets every selected payment (sent or not, Q10) to NEW."""
+    from ..operators import status
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    p = ctx.params.with_(run_id="unlock-1", only_unsent="N")
+    _, sel = _selection(ctx, p)
+    return status.unlock(sel, ctx.values, metadata.users(spark), 1001, "NEW", p.run_id, _as_of(p))
+
+
+def unlock_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-08 / AGG-11: per requesting user, grant count, return code, message and rows reset."""
+    from ..operators import status
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    p = ctx.params.with_(only_unsent="N")
+    _, sel = _selection(ctx, p)
+    users = spark.createDataFrame([(u,) for u in USER_IDS], "user_id long")
+    o = status.grant_outcome(ctx.values, metadata.users(spark), users, _as_of(p))
+    n = sel.agg(F.count(F.lit(1))).scalar()
+    return o.select("user_id", "n_grants", "retcode", "errbuf",
+                    F.when(F.col("retcode") == "0", n).otherwise(F.lit(0)).cast("bigint").alias("rows_updated"))
+
+
+# ---------------------------------------------------------------------------
+# Flexfield, data quality, landing files
+# ---------------------------------------------------------------------------
+
+def flex_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLX-01 / FLX-03 / FLX-05: attribute columns → named columns of each payment's context, defaults applied."""
+    from ..operators import flexfield
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    return flexfield.project_context(ctx.checks, metadata.flex_segments(spark), ["check_id", "attribute_category"])
+
+
+def flex_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLX-02: (payment, context, segment, value) for every non-NULL segment value."""
+    from ..operators import flexfield
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    return flexfield.unpivot(ctx.checks, metadata.flex_segments(spark))
+
+
+def dq_flex_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-05 / Q36: segment values (after defaults) outside their value set."""
+    from ..operators import flexfield
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    return flexfield.domain_violations(ctx.checks, metadata.flex_segments(spark), metadata.flex_domains(spark))
+
+
+def dq_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-01 / DQ-03: requests that produce no file (empty selection, unusable format)."""
+    from ..operators import quality
+    ctx = Ctx(spark, sf_dir)
+    req, sel = _selection(ctx)
+    return quality.request_checks(req, agg.selection_totals(sel), ctx.formats)
+
+
+def ingest_file_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-13/14 / SNK-09/10 / DQ-09: land events as CSV files (one folder per event type, values of
+    'error' events unparsable), load them with quarantine and report each file's batch status."""
+    import uuid
+    from pyspark.sql import types as T
+    from ..session import scratch_path
+    from ..sources import ingest
+    from ..sources.tables import table
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    landing = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    ev.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id",
+              F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
+              .alias("value"), "event_type") \
+        .write.partitionBy("event_type").option("header", "false").csv(landing)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+                           T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    land = ingest.load_landing(spark, landing, schema, ["event_id", "value"])
+    st = land.file_status.withColumn("event_type", F.regexp_extract("file_path", "event_type=([^/]+)/", 1))
+    return st.groupBy("event_type").agg(
+        F.sum("n_good").cast("bigint").alias("n_good"), F.sum("n_bad").cast("bigint").alias("n_bad"),
+        F.when(F.sum("n_bad") > 0, F.lit("BATCH ERROR")).otherwise(F.lit("OK")).alias("status"))
+
+
 QUERIES = {
     "check_register": check_register,
     "selection_totals": selection_totals,
@@ -198,4 +380,20 @@ QUERIES = {
     "assigned_format": assigned_format,
     "format_parts": format_parts,
     "latest_batch_name": latest_batch_name,
+    "seq_body": seq_body,
+    "seq_detail": seq_detail,
+    "line_numbers": line_numbers,
+    "fixed_width_lines": fixed_width_lines,
+    "delimited_lines": delimited_lines,
+    "register_text": register_text,
+    "mark_printed": mark_printed,
+    "current_status": current_status,
+    "unsent_after_final": unsent_after_final,
+    "unlock": unlock,
+    "unlock_outcome": unlock_outcome,
+    "flex_project": flex_project,
+    "flex_unpivot": flex_unpivot,
+    "dq_flex_domain": dq_flex_domain,
+    "dq_requests": dq_requests,
+    "ingest_file_status": ingest_file_status,
 }

@@ -79,3 +79,16 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
     """
     n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor recomputes from the written files, not from
+    the source scans) and gives every consumer the same snapshot.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
