@@ -202,30 +202,40 @@ def dynamic_values(spark: SparkSession, specs: list[FieldSpec], binds: dict) ->
     single FETCH was not.  Keyless queries are scalars (first row only).
     """
     by_key: dict[tuple, list] = {}
+    fids: dict[tuple, list] = {}
     scalars: dict[int, str | None] = {}
+    by_sql: dict[str, list[FieldSpec]] = {}
     for s in specs:
-        if s.type_value != T_DYNAMIC or not s.sql:
-            continue
-        q = run_keyed_query(spark, s.sql, binds)
+        if s.type_value == T_DYNAMIC and s.sql:
+            by_sql.setdefault(s.sql, []).append(s)
+    # One scan per distinct query text; every field using it reads its rows.
+    for sql, group in by_sql.items():
+        q = run_keyed_query(spark, sql, binds)
         key = _key_of(q.columns)
-        text = typed_text(F.col("value"), s.data_type, s.format_model)
-        ordc = F.col("ord") if "ord" in q.columns else text
+        items = []
+        for s in group:
+            text = typed_text(F.col("value"), s.data_type, s.format_model)
+            ordc = F.col("ord") if "ord" in q.columns else text
+            items.append((s, text, ordc))
         if not key:
-            row = q.select(ordc.alias("o"), text.alias("t")).orderBy("o").limit(1).collect()
-            scalars[s.definition_id] = row[0]["t"] if row else None
+            for s, text, ordc in items:
+                row = q.select(ordc.alias("o"), text.alias("t")).orderBy("o").limit(1).collect()
+                scalars[s.definition_id] = row[0]["t"] if row else None
             continue
-        by_key.setdefault(key, []).append(
-            (s.definition_id,
-             q.select(*key, F.lit(s.definition_id).alias("_fid"),
-                      F.struct(ordc.cast("string").alias("o"), text.alias("t")).alias("_v"))))
+        packed = F.array(*[F.struct(F.lit(s.definition_id).alias("_fid"),
+                                    F.struct(ordc.cast("string").alias("o"), text.alias("t")).alias("_v"))
+                           for s, text, ordc in items])
+        by_key.setdefault(key, []).append(q.select(*key, F.explode(packed).alias("_e"))
+                                          .select(*key, "_e._fid", "_e._v"))
+        fids.setdefault(key, []).extend(s.definition_id for s, _, _ in items)
     frames = {}
-    for key, items in by_key.items():
-        u = items[0][1]
-        for _, fr in items[1:]:
+    for key, parts in by_key.items():
+        u = parts[0]
+        for fr in parts[1:]:
             u = u.unionByName(fr)
         frames[key] = u.groupBy(*key).agg(*[
             F.min(F.when(F.col("_fid") == fid, F.col("_v"))).getField("t").alias(f"dyn_{fid}")
-            for fid, _ in items])
+            for fid in fids[key]])
     return DynamicValues(frames, scalars)
 
 

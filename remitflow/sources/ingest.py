@@ -44,13 +44,36 @@ def split_rows(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFra
     return good, rejected
 
 
+def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """(file_path, length) of every landed file, empty ones included (file scans skip empty files).
+
+    Uses the Hadoop FileSystem listing — metadata only, as Spark's own file index does.
+    """
+    import fnmatch
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    it = fs.listFiles(p, True)
+    rows = []
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if fnmatch.fnmatch(name, glob):
+            rows.append((st.getPath().toUri().toString(), int(st.getLen())))
+    return spark.createDataFrame(rows, "file_path string, length long")
+
+
 def file_status(spark: SparkSession, path: str, good: DataFrame, rejected: DataFrame,
                 glob: str = "*.csv") -> DataFrame:
     """SNK-10 / DQ-09: per landed file: good rows, rejected rows, status."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-               .load(path).select(F.col("path").alias("file_path"), "length"))
-    g = good.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_good"))
-    b = rejected.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_bad"))
+    # Listing and scan spell URIs differently ("file:/x" vs "file:///x"): compare on the path part.
+    def norm(c):
+        return F.regexp_replace(F.col(c), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    listing = list_files(spark, path, glob).withColumn("file_path", norm("file_path"))
+    g = good.groupBy(norm("file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_good"))
+    b = rejected.groupBy(norm("file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_bad"))
     s = listing.join(g, "file_path", "left").join(b, "file_path", "left").fillna(0, ["n_good", "n_bad"])
     status = (F.when(F.col("length") == 0, F.lit("EMPTY FILE"))
               .when(F.col("n_bad") > 0, F.lit("BATCH ERROR")).otherwise(F.lit("OK")))
