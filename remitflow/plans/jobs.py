@@ -89,3 +89,44 @@ def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, select
         .join(F.broadcast(titles), F.col("lang") == F.col("language"))
     totals = agg.selection_totals(selection)
     return register.register_text(selection, heading, totals, hot_rows)
+
+
+@dataclass
+class MainResult:
+    run: BankFileRun
+    file_folders: list
+    register_path: str
+    outcome: DataFrame
+    status_log: DataFrame | None
+
+
+def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=None,
+             status_log_path: str | None = None, hot_rows: int = HOT_GROUP_ROWS) -> MainResult:
+    """MAIN: select → render → write bank files → register text → run outcome → (FINAL) status log.
+
+    The status log is appended only after the files and the register are
+    written (Q38/Q39 fixed: nothing is marked sent unless it is in a written
+    file; a request with an unusable format produces no file and no log rows).
+    """
+    from datetime import datetime
+
+    from ..operators import quality, status
+    from ..sinks import files
+
+    params = params or ctx.params
+    run = bank_file_job(ctx, params, doc_ids, hot_rows)
+    folders = files.write_bank_files(run.lines, ctx.formats, f"{out_path}/files")
+    reg = register_job(ctx, params, selection=run.selection, requests=run.requests, hot_rows=hot_rows)
+    reg_path = files.write_text(reg, f"{out_path}/register")
+    dq = quality.request_checks(run.requests, run.totals, ctx.formats)
+    outcome = files.run_outcome(run.requests, run.totals, dq)
+    files.append_outcome(outcome, f"{out_path}/outcome")
+    log = None
+    if params.process_type == "FINAL":
+        written = run.lines.select("file_id").distinct()
+        sent = run.selection.join(written, "file_id", "left_semi")
+        log = status.mark(sent, "PRINTED", params.run_id,
+                          datetime.strptime(params.as_of, "%Y/%m/%d %H:%M:%S"), params.process_type)
+        if status_log_path:
+            log.write.mode("append").parquet(status_log_path)
+    return MainResult(run, folders, reg_path, outcome, log)
