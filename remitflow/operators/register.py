@@ -72,3 +72,41 @@ def register_text(selection: DataFrame, heading: DataFrame, totals: DataFrame,
     tail = tail.select("file_id", "trx_lines", F.posexplode("_t").alias("_i", "value")).select(
         "file_id", (F.col("trx_lines") + HEADING_LINES + 1 + F.col("_i")).cast("bigint").alias("line_no"), "value")
     return head.unionByName(det).unionByName(tail)
+
+
+LEGACY_RULE = "-" * 35
+
+
+def legacy_register_text(selection: DataFrame, heading: DataFrame, totals: DataFrame,
+                         hot_rows: int = HOT_GROUP_ROWS, hot_files=None) -> DataFrame:
+    """RPT-06 / SNK-07: the G1 register layout (document sequence, check state, raw send status)."""
+    head = heading.join(totals.select("file_id"), "file_id").select(
+        "file_id", F.posexplode(F.array(
+            F.lit("Registro de Pagos "),
+            cat(F.lit("BANK              : "), F.col("bank_name")),
+            cat(F.lit("BANK ACCOUNT NAME : "), F.col("bank_account_name")),
+            cat(F.lit("PAYMENT DOCUMENT  : "), F.col("payment_document_name")),
+            F.lit("  "),
+            cat(F.lit("  "), F.rpad(F.lit("DOC SEQUENCE"), 12, " "), F.lit("  "), F.rpad(F.lit("CHECK DATE"), 15, " "),
+                F.lit("  "), F.rpad(F.lit("SUPPLIER NAME"), 50, " "), F.lit("  "), F.rpad(F.lit("VENDOR SITE"), 15, " "),
+                F.lit("  "), F.lpad(F.lit("AMOUNT"), 15, " "), F.lit("  "), F.rpad(F.lit("CHECK STATUS"), 15, " "),
+                F.lit("  "), F.rpad(F.lit("SEND STATUS"), 15, " "))
+        )).alias("_i", "value")).select("file_id", (F.col("_i") + 1).cast("bigint").alias("line_no"), "value")
+    n_head = 6
+    det = sequence_within(selection, ["file_id"], ["doc_sequence_value", "check_id"], "_n", hot_rows, hot_files)
+    det = det.select(
+        "file_id", (F.col("_n") + n_head).alias("line_no"),
+        cat(F.lit("  "), F.lpad(F.coalesce(F.col("doc_sequence_value"), F.lit(0)).cast("string"), 12, " "),
+            F.lit("  "), F.rpad(to_char_date(F.col("check_date"), "DD/MM/YYYY"), 15, " "),
+            F.lit("  "), F.rpad(F.coalesce(F.col("vendor_name"), F.lit(" ")), 50, " "),
+            F.lit("  "), F.rpad(F.coalesce(F.col("vendor_site_code"), F.lit(" ")), 15, " "),
+            F.lit("  "), F.lpad(money(F.col("amount")), 15, " "),
+            F.lit("  "), F.rpad(F.coalesce(F.col("check_status"), F.lit(" ")), 15, " "),
+            F.lit("  "), F.rpad(F.coalesce(F.col("attribute14"), F.lit(" ")), 15, " ")).alias("value"))
+    tail = totals.select("file_id", "trx_lines", F.posexplode(F.array(
+        F.lit(LEGACY_RULE),
+        cat(F.lit("REPORT TOTAL     :"), F.lpad(money(F.col("sum_trans")), 15, " ")),
+        cat(F.lit("REPORT COUNT     :"), F.lpad(F.col("trx_lines").cast("string"), 15, " ")),
+    )).alias("_i", "value")).select(
+        "file_id", (F.col("trx_lines") + n_head + 1 + F.col("_i")).cast("bigint").alias("line_no"), "value")
+    return head.unionByName(det).unionByName(tail)

@@ -153,11 +153,12 @@ def run_selection(spark: SparkSession, checks: DataFrame, sites: DataFrame, valu
     return req, select_checks(checks, sites, values, req, env, status_col)
 
 
-def select_legacy(checks: DataFrame, requests: DataFrame, env: Envelope | None = None) -> DataFrame:
+def select_legacy(checks: DataFrame, requests: DataFrame, env: Envelope | None = None,
+                  status: str = STATUS_NEW) -> DataFrame:
     """G1 selection (FLT-05/08/10/11): EFT only, status defaulting to NEW must equal NEW, and either
     the batch (``req_checkrun_id``) or the document-sequence range; no site join."""
     c = checks.where(F.col("void_date").isNull() & (F.col("payment_method_code") == "EFT")
-                     & (F.coalesce(F.col("attribute14"), F.lit(STATUS_NEW)) == STATUS_NEW))
+                     & (F.coalesce(F.col("attribute14"), F.lit(STATUS_NEW)) == status))
     if env is not None and env.doc_ids:
         c = c.where(F.col("payment_document_id").isin(list(env.doc_ids)))
     j = c.join(bounded_broadcast(requests), "payment_document_id")

@@ -18,6 +18,7 @@ checks AS (
          CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) <= 2 THEN 'A' ELSE 'Q' END AS payment_type_flag,
          CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS checkrun_id,
          'PAYRUN ' || strftime(o_orderdate, '%Y-%m-%d') AS checkrun_name,
+         CASE WHEN day(o_orderdate) = 31 THEN 'VOIDED' ELSE 'NEGOTIABLE' END AS status_lookup_code,
          CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) = 5 THEN 'PARAGUAY CITI' ELSE 'EL SALVADOR' END AS attribute_category,
          CASE WHEN o_totalprice > 250000 THEN 'BEN' END AS attribute12,
          CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) = 5
@@ -393,6 +394,38 @@ SELECT event_type, COUNT(*) FILTER (WHERE event_type <> 'error') AS n_good,
        COUNT(*) FILTER (WHERE event_type = 'error') AS n_bad,
        CASE WHEN COUNT(*) FILTER (WHERE event_type = 'error') > 0 THEN 'BATCH ERROR' ELSE 'OK' END AS status
 FROM events GROUP BY event_type
+""",
+    "legacy_register": with_(ENTITIES) + f"""
+, g1 AS (
+  SELECT 'run-1-' || CAST(c.payment_document_id AS VARCHAR) AS file_id, c.*, s.vendor_name, s.vendor_site_code,
+         CASE c.status_lookup_code WHEN 'NEGOTIABLE' THEN 'Negotiable' WHEN 'VOIDED' THEN 'Voided' END AS check_status
+  FROM checks c JOIN docs d ON d.payment_document_id = c.payment_document_id
+  JOIN sites s ON s.vendor_site_id = c.vendor_site_id
+  WHERE CAST(c.check_date AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
+    AND c.amount >= 0 AND c.amount <= 99999999.99
+    AND c.payment_method_code = 'EFT' AND COALESCE(c.attribute14, 'NEW') = 'NEW' AND c.void_date IS NULL),
+head AS (SELECT g.file_id, n.n_name, r.r_name, COUNT(*) AS n, SUM(g.amount) AS total
+         FROM g1 g JOIN nation n ON n.n_nationkey + 1 = g.payment_document_id
+         JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY 1, 2, 3),
+reg AS (
+  SELECT file_id, 1 AS line_no, 'Registro de Pagos ' AS value FROM head
+  UNION ALL SELECT file_id, 2, 'BANK              : ' || r_name || ' BANK' FROM head
+  UNION ALL SELECT file_id, 3, 'BANK ACCOUNT NAME : ' || n_name || ' OPERATING' FROM head
+  UNION ALL SELECT file_id, 4, 'PAYMENT DOCUMENT  : DOC ' || n_name FROM head
+  UNION ALL SELECT file_id, 5, '  ' FROM head
+  UNION ALL SELECT file_id, 6, '  ' || rpad('DOC SEQUENCE', 12, ' ') || '  ' || rpad('CHECK DATE', 15, ' ') || '  '
+      || rpad('SUPPLIER NAME', 50, ' ') || '  ' || rpad('VENDOR SITE', 15, ' ') || '  ' || lpad('AMOUNT', 15, ' ')
+      || '  ' || rpad('CHECK STATUS', 15, ' ') || '  ' || rpad('SEND STATUS', 15, ' ') FROM head
+  UNION ALL SELECT file_id, 6 + row_number() OVER (PARTITION BY file_id ORDER BY doc_sequence_value, check_id),
+      '  ' || lpad(CAST(COALESCE(doc_sequence_value, 0) AS VARCHAR), 12, ' ') || '  '
+      || rpad(strftime(check_date, '%d/%m/%Y'), 15, ' ') || '  ' || rpad(COALESCE(vendor_name, ' '), 50, ' ')
+      || '  ' || rpad(COALESCE(vendor_site_code, ' '), 15, ' ') || '  ' || {_money('amount')}
+      || '  ' || rpad(COALESCE(check_status, ' '), 15, ' ') || '  ' || rpad(COALESCE(attribute14, ' '), 15, ' ')
+  FROM g1
+  UNION ALL SELECT file_id, 7 + n, repeat('-', 35) FROM head
+  UNION ALL SELECT file_id, 8 + n, 'REPORT TOTAL     :' || {_money('total')} FROM head
+  UNION ALL SELECT file_id, 9 + n, 'REPORT COUNT     :' || lpad(CAST(n AS VARCHAR), 15, ' ') FROM head)
+SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg
 """,
     "latest_batch_name": with_(ENTITIES) + """
 SELECT checkrun_id, arg_max(checkrun_name, check_id) AS checkrun_name, MAX(check_id) AS latest_check_id

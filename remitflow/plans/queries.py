@@ -364,6 +364,25 @@ def ingest_file_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.sum("n_bad") > 0, F.lit("BATCH ERROR")).otherwise(F.lit("OK")).alias("status"))
 
 
+def legacy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-06 / SNK-07 / JN-11 / FLT-05/08/10: the G1 register (EFT, unsent, with check-state labels)."""
+    from ..operators import register
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    req = sel_ops.build_requests(ctx.docs, ctx.params.with_(only_unsent="Y"))
+    sel = sel_ops.select_legacy(ctx.checks, req, sel_ops.envelope(req), status="NEW")
+    totals = agg.amount_totals(sel, ["file_id"])
+    states = metadata.lookup_codes(spark).where(F.col("lookup_type") == "CHECK STATE").select(
+        F.col("lookup_code").alias("status_lookup_code"), F.col("displayed_field").alias("check_status"))
+    lines = sel.join(ctx.sites, "vendor_site_id").join(bounded_broadcast(states), "status_lookup_code")
+    bt = ctx.bank_tables()
+    chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"])
+    heading = req.select("file_id", "payment_document_id").join(
+        chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name"),
+        "payment_document_id")
+    return register.legacy_register_text(lines, heading, totals)
+
+
 QUERIES = {
     "check_register": check_register,
     "selection_totals": selection_totals,
@@ -396,4 +415,5 @@ QUERIES = {
     "dq_flex_domain": dq_flex_domain,
     "dq_requests": dq_requests,
     "ingest_file_status": ingest_file_status,
+    "legacy_register": legacy_register,
 }

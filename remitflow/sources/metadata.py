@@ -97,6 +97,15 @@ USERS = [(1001, "AP_SUPERVISOR"), (1002, "TREASURY_LEAD"), (1003, "INTERN"), (10
          (1005, "AUDITOR")]
 
 
+# Payment-state lookup codes (lookup type CHECK STATE) shown by the legacy register.
+LOOKUP_CODES = [("CHECK STATE", "NEGOTIABLE", "Negotiable"), ("CHECK STATE", "VOIDED", "Voided"),
+                ("CHECK STATE", "CLEARED", "Cleared"), ("CHECK STATE", "STOP INITIATED", "Stop Initiated")]
+
+
+def lookup_codes(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(LOOKUP_CODES, "lookup_type string, lookup_code string, displayed_field string")
+
+
 def users(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(USERS, "user_id long, user_name string")
 
