@@ -51,14 +51,28 @@ def report_lines(selection: DataFrame, invoice_payments: DataFrame, legacy_produ
         .alias("report_lines"))
 
 
-def invoice_list(paid: DataFrame, order: list[str]) -> DataFrame:
-    """AGG-06: ``'DOCUMENTOS: ' || n1 || ' ' || n2 || ' ' …`` per check, ordered, untruncated."""
-    s = F.struct(*[F.col(c) for c in order], F.col("invoice_num").alias("_num"))
-    agg = paid.groupBy("check_id").agg(F.array_sort(F.collect_list(s)).alias("_l"))
+INVOICE_CHUNK = 1000
+
+
+def invoice_list(paid: DataFrame, order: list[str], chunk: int = INVOICE_CHUNK, hot_keys=None) -> DataFrame:
+    """AGG-06: ``'DOCUMENTOS: ' || n1 || ' ' || n2 || ' ' …`` per check, ordered, untruncated.
+
+    Two-phase so no task gathers a whole payment's invoices: invoices are
+    numbered per check (skew-safe), concatenated in ordered chunks of
+    ``chunk`` in parallel, and only the chunk strings are joined per check.
+    """
+    from .sequences import sequence_within
+
+    numbered = sequence_within(paid.select("check_id", "invoice_num", *order), ["check_id"], list(order), "_k",
+                               hot_keys=hot_keys)
+    part = numbered.groupBy("check_id", F.floor((F.col("_k") - 1) / chunk).alias("_c")).agg(
+        F.array_sort(F.collect_list(F.struct("_k", F.concat(F.col("invoice_num"), F.lit(" ")).alias("_t"))))
+        .alias("_l"))
+    part = part.select("check_id", "_c", F.concat_ws("", F.transform("_l", lambda x: x["_t"])).alias("_s"))
+    agg = part.groupBy("check_id").agg(F.array_sort(F.collect_list(F.struct("_c", "_s"))).alias("_l"))
     return agg.select(
         "check_id",
-        F.concat(F.lit(INVOICE_LIST_PREFIX),
-                 F.concat_ws("", F.transform("_l", lambda x: F.concat(x["_num"], F.lit(" "))))).alias("invoices"),
+        F.concat(F.lit(INVOICE_LIST_PREFIX), F.concat_ws("", F.transform("_l", lambda x: x["_s"]))).alias("invoices"),
     )
 
 

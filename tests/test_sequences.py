@@ -35,3 +35,12 @@ def test_sort_path_multi_column_group(spark):
     r = {(x.a, x.b, x.k): x.seq for x in out.collect()}
     assert r[(1, 1, 299)] == 1 and r[(1, 1, 0)] == 300
     assert r[(2, 1, 39)] == 1 and r[(1, 2, 0)] == 3
+
+
+def test_invoice_list_chunks_keep_order(spark):
+    from remitflow.operators.aggregate import invoice_list
+    rows = [(1, f"INV{i}", i) for i in range(2500)] + [(2, "INVB", 1), (2, "INVA", 2)]
+    paid = spark.createDataFrame(rows, "check_id long, invoice_num string, line_number long")
+    out = {r.check_id: r.invoices for r in invoice_list(paid, ["line_number"], chunk=100).collect()}
+    assert out[2] == "DOCUMENTOS: INVB INVA "
+    assert out[1] == "DOCUMENTOS: " + "".join(f"INV{i} " for i in range(2500))
