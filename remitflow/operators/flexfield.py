@@ -39,9 +39,37 @@ def segment_value(df: DataFrame, seg: dict, apply_default: bool = True) -> Colum
     v = _attr(df, seg["application_column_name"])
     if apply_default and seg.get("default_type") == "C" and seg.get("default_value") is not None:
         v = F.coalesce(v, F.lit(seg["default_value"]))
+    elif apply_default and seg.get("default_type") == "S" and seg.get("default_value"):
+        v = F.coalesce(v, F.lit(sql_default(df.sparkSession, seg["default_value"])))
     return v
 
 
+def sql_default(spark, query: str):
+    """FLX-04 / FLT-21: a default given as a query: its first column of its first row (NULL if none).
+
+    The query is expected to order its rows; only one scalar reaches the driver.
+    """
+    rows = spark.sql(query).limit(1).collect()
+    return None if not rows else (None if rows[0][0] is None else str(rows[0][0]))
+
+
+def context_listing(contexts: DataFrame, name_like: str | None = None) -> DataFrame:
+    """PRJ-08 / SRT-04 / FLT-18: contexts of a flexfield, global context first, then by code."""
+    c = contexts if name_like is None else contexts.where(F.col("flexfield_name").like(name_like))
+    return c.orderBy(F.when(F.col("global_flag") == "Y", 1).otherwise(2), "context_code")
+
+
+def segment_listing(segments: DataFrame, context: str) -> DataFrame:
+    """PRJ-08 / SRT-05: a context's segments by column sequence."""
+    return segments.where(F.col("context_code") == context).orderBy("column_seq_num")
+
+
+def locate_column(segments: DataFrame, end_user_name: str) -> DataFrame:
+    """PRJ-09 / FLX-05: physical column(s) holding a logical segment name, per context."""
+    return segments.where(F.col("end_user_column_name") == end_user_name) \
+        .select("context_code", "application_column_name")
+
+
 def project_context(df: DataFrame, segments: DataFrame, keep: list[str], context_col: str = "attribute_category",
                     apply_default: bool = True) -> DataFrame:
     """FLX-01: one named column per (context, segment); NULL on rows of other contexts."""

@@ -110,3 +110,27 @@ def first_row(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """WIN-05 / FLT-21: first row per key under an explicit order."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def accounts_of_unit(uses: DataFrame, accounts: DataFrame) -> DataFrame:
+    """JN-20 / SRT-03: bank accounts of each operating unit, positioned by account name."""
+    from .sequences import sequence_within
+    a = uses.join(accounts, "bank_account_id").select("org_id", "bank_account_id", "bank_account_name",
+                                                       "bank_account_num")
+    return sequence_within(a, ["org_id"], ["bank_account_name", "bank_account_id"], "account_pos")
+
+
+def active_documents(docs: DataFrame, payment_formats: DataFrame) -> DataFrame:
+    """JN-21 / FLT-17: documents with a known payment format and no inactive date."""
+    return docs.join(bounded_broadcast(payment_formats.select("format_code")), "format_code") \
+        .where(F.col("inactive_date").isNull())
+
+
+def latest_batch_of_document(checks: DataFrame, start: str, end: str) -> DataFrame:
+    """JN-22 batch list: per document, the batch of its latest automatic payment in the date range
+    (the reference used the start date for both bounds, quirk Q29, fixed)."""
+    from .selection import _ts, day_range
+    c = checks.where((F.col("payment_type_flag") == "A") & day_range(F.col("check_date"), _ts(start), _ts(end)))
+    return c.groupBy("payment_document_id").agg(
+        F.max_by("checkrun_id", "check_id").alias("checkrun_id"),
+        F.max_by("checkrun_name", "check_id").alias("checkrun_name"))

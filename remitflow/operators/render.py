@@ -165,10 +165,23 @@ def job_binds(params: RunParams, payment_document_id: int | None = None) -> dict
         "TOP_AMOUNT": params.top_amount,
         "P_DOC_INI": params.doc_ini,
         "P_DOC_FIN": params.doc_fin,
+        "CHECKRUN_ID": params.checkrun_id,
     }
 
 
+ALT_MARK = "/*SQLS_ALT*/"
+
+
+def choose_alternative(sql: str, batch_mode: bool) -> str:
+    """RND-08: ``<batch query> /*SQLS_ALT*/ <range query>`` → the text for the run's mode."""
+    if ALT_MARK not in sql:
+        return sql
+    first, second = sql.split(ALT_MARK, 1)
+    return (first if batch_mode else second).strip()
+
+
 def run_keyed_query(spark: SparkSession, sql: str, binds: dict) -> DataFrame:
+    sql = choose_alternative(sql, binds.get("CHECKRUN_ID") is not None)
     names = set(_MARKER.findall(sql))
     missing = names - set(binds)
     if missing:

@@ -426,6 +426,17 @@ reg AS (
   UNION ALL SELECT file_id, 8 + n, 'REPORT TOTAL     :' || {_money('total')} FROM head
   UNION ALL SELECT file_id, 9 + n, 'REPORT COUNT     :' || lpad(CAST(n AS VARCHAR), 15, ' ') FROM head)
 SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg
+""",
+    "dependent_lists": with_(ENTITIES) + """
+, b AS (SELECT payment_document_id, arg_max(checkrun_id, check_id) AS checkrun_id,
+               arg_max(checkrun_name, check_id) AS checkrun_name
+        FROM checks WHERE payment_type_flag = 'A'
+          AND CAST(check_date AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
+        GROUP BY payment_document_id)
+SELECT CAST(n.n_nationkey AS BIGINT) AS org_id, CAST(n.n_nationkey AS BIGINT) AS bank_account_id,
+       n.n_name || ' OPERATING' AS bank_account_name, lpad(CAST(n.n_nationkey AS VARCHAR), 10, '0') AS bank_account_num,
+       CAST(1 AS BIGINT) AS account_pos, d.payment_document_id, d.payment_document_name, b.checkrun_id, b.checkrun_name
+FROM nation n JOIN docs d ON d.bank_account_id = n.n_nationkey JOIN b ON b.payment_document_id = d.payment_document_id
 """,
     "latest_batch_name": with_(ENTITIES) + """
 SELECT checkrun_id, arg_max(checkrun_name, check_id) AS checkrun_name, MAX(check_id) AS latest_check_id

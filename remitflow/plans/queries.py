@@ -383,6 +383,19 @@ def legacy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return register.legacy_register_text(lines, heading, totals)
 
 
+def dependent_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-20/21/22 / FLT-17 / SRT-03: unit → account → active document → latest automatic batch."""
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    bt = ctx.bank_tables()
+    accts = lookups.accounts_of_unit(bt["uses"], bt["accounts"])
+    docs = lookups.active_documents(ctx.docs, metadata.payment_formats(spark))
+    batches = lookups.latest_batch_of_document(ctx.checks, ctx.params.start_date, ctx.params.end_date)
+    return accts.join(docs.select(F.col("internal_bank_account_id").alias("bank_account_id"),
+                                  "payment_document_id", "payment_document_name"), "bank_account_id") \
+        .join(batches, "payment_document_id")
+
+
 QUERIES = {
     "check_register": check_register,
     "selection_totals": selection_totals,
@@ -416,4 +429,5 @@ QUERIES = {
     "dq_requests": dq_requests,
     "ingest_file_status": ingest_file_status,
     "legacy_register": legacy_register,
+    "dependent_lists": dependent_lists,
 }

@@ -153,6 +153,7 @@ def payment_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("DOC "), F.col("n_name")).alias("payment_document_name"),
         F.when(doc == 5, F.lit("CHECK")).otherwise(F.lit("EFT")).alias("payment_doc_category"),
         F.lit(None).cast("timestamp_ntz").alias("inactive_date"),
+        F.when(doc == 5, F.lit("CHECK_FMT")).otherwise(F.lit("EFT_FMT")).alias("format_code"),
         fmt.alias("attribute11"),
     )
 

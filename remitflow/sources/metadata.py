@@ -106,6 +106,14 @@ def lookup_codes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LOOKUP_CODES, "lookup_type string, lookup_code string, displayed_field string")
 
 
+# Payment formats of the payments module that documents point to.
+PAYMENT_FORMATS = [("EFT_FMT", "Electronic funds transfer"), ("CHECK_FMT", "Printed check")]
+
+
+def payment_formats(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(PAYMENT_FORMATS, "format_code string, format_name string")
+
+
 def users(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(USERS, "user_id long, user_name string")
 
