@@ -57,7 +57,7 @@ def detail_line(sel: DataFrame) -> DataFrame:
 
 
 def register_text(selection: DataFrame, heading: DataFrame, totals: DataFrame,
-                  hot_rows: int = HOT_GROUP_ROWS, hot_files=None) -> DataFrame:
+                  hot_rows: int | None = None, hot_files=None) -> DataFrame:
     """RPT-01..04: (file_id, line_no, value) for every register line of every file with payments."""
     head = heading_lines(heading.join(totals.select("file_id"), "file_id"))
     det = sequence_within(selection, ["file_id"], ["check_number", "check_id"], "_n", hot_rows, hot_files)
@@ -78,7 +78,7 @@ LEGACY_RULE = "-" * 35
 
 
 def legacy_register_text(selection: DataFrame, heading: DataFrame, totals: DataFrame,
-                         hot_rows: int = HOT_GROUP_ROWS, hot_files=None) -> DataFrame:
+                         hot_rows: int | None = None, hot_files=None) -> DataFrame:
     """RPT-06 / SNK-07: the G1 register layout (document sequence, check state, raw send status)."""
     head = heading.join(totals.select("file_id"), "file_id").select(
         "file_id", F.posexplode(F.array(

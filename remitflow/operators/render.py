@@ -308,7 +308,7 @@ class Layout:
 
 
 def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoice_order: list[str],
-                   hot_rows: int = HOT_GROUP_ROWS, hot_files: list | None = None, hot_checks: list | None = None):
+                   hot_rows: int | None = None, hot_files: list | None = None, hot_checks: list | None = None):
     """WIN-01..04: body lines with seq1, seq3, line position; detail lines with seq1, seq2, seq3, position.
 
     Only files whose format defines the part get its lines (RND-18).  ``_pos``
@@ -331,7 +331,7 @@ def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoic
 
 def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame, paid: DataFrame,
                  totals: DataFrame, layout: Layout, dyn: DynamicValues, invoice_order: list[str],
-                 legacy: frozenset = frozenset(), hot_rows: int = HOT_GROUP_ROWS,
+                 legacy: frozenset = frozenset(), hot_rows: int | None = None,
                  hot_files: list | None = None, hot_checks: list | None = None) -> DataFrame:
     """RND-14..18 + SET-01: (file_id, format_id, part, seq1, seq2, seq3, line_no, value) for every line.
 
@@ -400,7 +400,7 @@ def line_order() -> list[Column]:
     return [rank, F.coalesce(F.col("seq1"), F.lit(0)), sub, F.coalesce(F.col("seq2"), F.lit(0))]
 
 
-def with_line_numbers(lines: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def with_line_numbers(lines: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """WIN-04: dense line number per file, skew-safe."""
     keyed = lines.select("*", *[c.alias(f"_k{i}") for i, c in enumerate(line_order())])
     numbered = sequence_within(keyed, ["file_id"], ["_k0", "_k1", "_k2", "_k3"], "line_no", hot_rows)

@@ -58,6 +58,16 @@ class Envelope:
     end: object
 
 
+def params_envelope(params: RunParams, doc_ids=None) -> Envelope:
+    """Envelope of requests built from one parameter set: known on the driver, no job needed."""
+    from datetime import datetime
+
+    def day(t):
+        d = datetime.strptime(t, "%Y/%m/%d %H:%M:%S") if t else None
+        return d.replace(hour=0, minute=0, second=0) if d else None
+    return Envelope(tuple(sorted(doc_ids)) if doc_ids else (), day(params.start_date), day(params.end_date))
+
+
 def envelope(requests: DataFrame) -> Envelope:
     row = requests.agg(
         F.sort_array(F.collect_set("payment_document_id")).alias("ids"),
@@ -149,8 +159,7 @@ def run_selection(spark: SparkSession, checks: DataFrame, sites: DataFrame, valu
                   docs: DataFrame, params: RunParams, doc_ids=None, status_col: str = "attribute14"):
     """Build requests for ``params`` and return (requests, selection)."""
     req = build_requests(docs, params, doc_ids)
-    env = envelope(req)
-    return req, select_checks(checks, sites, values, req, env, status_col)
+    return req, select_checks(checks, sites, values, req, params_envelope(params, doc_ids), status_col)
 
 
 def select_legacy(checks: DataFrame, requests: DataFrame, env: Envelope | None = None,

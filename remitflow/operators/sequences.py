@@ -23,6 +23,12 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 HOT_GROUP_ROWS = 2_000_000
+HOT_ROWS_CONF = "remitflow.hotGroupRows"
+
+
+def hot_rows_of(spark, default: int = HOT_GROUP_ROWS) -> int:
+    """Group size above which numbering leaves the single-task window (session setting)."""
+    return int(spark.conf.get(HOT_ROWS_CONF, str(default)))
 
 
 def _cols(xs) -> list[Column]:
@@ -61,7 +67,7 @@ def hot_groups(df: DataFrame, group: list[str], hot_rows: int = HOT_GROUP_ROWS)
 
 
 def sequence_within(df: DataFrame, group: list[str], order: list, out: str = "seq",
-                    hot_rows: int = HOT_GROUP_ROWS, hot_keys: list[tuple] | None = None) -> DataFrame:
+                    hot_rows: int | None = None, hot_keys: list[tuple] | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row in its group under ``order``.
 
     ``order`` must make rows unique within a group (ties would make the
@@ -69,6 +75,8 @@ def sequence_within(df: DataFrame, group: list[str], order: list, out: str = "se
     caller already knows the group sizes; otherwise one small aggregation finds
     them.  With no hot group the plan is a single window.
     """
+    if hot_rows is None:
+        hot_rows = hot_rows_of(df.sparkSession)
     if hot_keys is None:
         hot_keys = hot_groups(df, group, hot_rows)
     if not hot_keys:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as agg
 from ..operators import lookups, render
 from ..operators import selection as sel_ops
-from ..operators.sequences import HOT_GROUP_ROWS
+from ..operators.sequences import HOT_GROUP_ROWS, hot_rows_of
 from ..schema import RunParams
 from ..session import materialize
 from ..sources.adapters import INVOICE_ORDER
@@ -33,9 +33,10 @@ class BankFileRun:
 
 
 def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
-                  hot_rows: int = HOT_GROUP_ROWS) -> BankFileRun:
+                  hot_rows: int | None = None) -> BankFileRun:
     params = params or ctx.params
     spark = ctx.spark
+    hot_rows = hot_rows if hot_rows is not None else hot_rows_of(spark)
     requests, selection = sel_ops.run_selection(spark, ctx.checks, ctx.sites, ctx.values, ctx.docs, params, doc_ids)
     # One snapshot of the selection and of its paid invoices feeds the file, the
     # register and the status log (the reference re-read them six times, Q24).
@@ -57,11 +58,12 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     return BankFileRun(requests, selection, paid, totals, layout, lines)
 
 
-def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int):
+def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int | None = None):
     """Files and payments too large for one task, from two small aggregations.
 
     Results are bounded: at most (lines / hot_rows) keys each.
     """
+    hot_rows = hot_rows if hot_rows is not None else hot_rows_of(totals.sparkSession)
     per_file = totals.select("file_id", "trx_lines").join(
         paid.groupBy("file_id").agg(F.count(F.lit(1)).alias("_nd")), "file_id", "left")
     hot_files = [(r["file_id"],) for r in per_file.where(
@@ -72,7 +74,7 @@ def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int):
 
 
 def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, selection: DataFrame | None = None,
-                 requests: DataFrame | None = None, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                 requests: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """REPORT: register text for every file, from a given selection snapshot or a fresh one."""
     from ..operators import register
     from ..schema import TITLE_VALUE_SET
@@ -101,7 +103,7 @@ class MainResult:
 
 
 def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=None,
-             status_log_path: str | None = None, hot_rows: int = HOT_GROUP_ROWS) -> MainResult:
+             status_log_path: str | None = None, hot_rows: int | None = None) -> MainResult:
     """MAIN: select → render → write bank files → register text → run outcome → (FINAL) status log.
 
     The status log is appended only after the files and the register are

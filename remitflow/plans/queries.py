@@ -49,7 +49,7 @@ def legacy_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-02 / FLT-10/11: G1 totals per file and batch (EFT, unsent, batch predicate)."""
     ctx = Ctx(spark, sf_dir)
     req = sel_ops.build_requests(ctx.docs, ctx.params.with_(only_unsent="Y"))
-    sel = sel_ops.select_legacy(ctx.checks, req, sel_ops.envelope(req))
+    sel = sel_ops.select_legacy(ctx.checks, req, sel_ops.params_envelope(ctx.params))
     return agg.amount_totals(sel, ["file_id", "checkrun_id"])
 
 
@@ -191,9 +191,8 @@ def _bank_run(spark: SparkSession, sf_dir: str):
 def _body_det(run):
     from ..operators.render import sequence_lines
     from .jobs import find_hot
-    hot_files, hot_checks = find_hot(run.totals, run.paid, HOT_GROUP_ROWS)
-    return sequence_lines(run.selection, run.paid, run.layout, list(INVOICE_ORDER), HOT_GROUP_ROWS,
-                          hot_files, hot_checks)
+    hot_files, hot_checks = find_hot(run.totals, run.paid)
+    return sequence_lines(run.selection, run.paid, run.layout, list(INVOICE_ORDER), None, hot_files, hot_checks)
 
 
 def seq_body(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,7 +369,7 @@ def legacy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources import metadata
     ctx = Ctx(spark, sf_dir)
     req = sel_ops.build_requests(ctx.docs, ctx.params.with_(only_unsent="Y"))
-    sel = sel_ops.select_legacy(ctx.checks, req, sel_ops.envelope(req), status="NEW")
+    sel = sel_ops.select_legacy(ctx.checks, req, sel_ops.params_envelope(ctx.params), status="NEW")
     totals = agg.amount_totals(sel, ["file_id"])
     states = metadata.lookup_codes(spark).where(F.col("lookup_type") == "CHECK STATE").select(
         F.col("lookup_code").alias("status_lookup_code"), F.col("displayed_field").alias("check_status"))

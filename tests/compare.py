@@ -98,6 +98,8 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8)
+    if os.environ.get("REMITFLOW_HOT_ROWS"):
+        spark.conf.set("remitflow.hotGroupRows", os.environ["REMITFLOW_HOT_ROWS"])
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in res.items() if v[0] not in ("OK", "NO-ORACLE")]
     print("FAILED:", bad if bad else "none")

@@ -27,7 +27,6 @@ def test_sql_default_and_listings(spark):
         [("HQ", "ATTRIBUTE11", "APPROVER1", 10, "XX_AP002_APPROVERS", "S",
           "SELECT name FROM VALUES ('ZED'), ('AMY') AS t(name) ORDER BY name"),
          ("HQ", "ATTRIBUTE12", "APPROVER2", 20, None, "S", "SELECT name FROM VALUES ('x') AS t(name) WHERE 1 = 0")],
-        flexfield.metadata_schema() if hasattr(flexfield, "metadata_schema") else
         "context_code string, application_column_name string, end_user_column_name string, column_seq_num int, "
         "value_set_name string, default_type string, default_value string")
     rows = spark.createDataFrame([(1, "HQ", None, None), (2, "HQ", "BOB", "C")],
