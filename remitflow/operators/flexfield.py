@@ -111,3 +111,16 @@ def domain_violations(df: DataFrame, segments: DataFrame, domains: DataFrame, ke
                     ["value_set_name", "value"], "left_anti")
     return bad.select(F.lit("DQ-05 value outside value set").alias("check_name"), F.col(key).cast("string").alias("key"),
                       F.concat_ws("=", F.col("segment"), F.col("value")).alias("detail"))
+
+
+def with_resolved_column(df: DataFrame, segments: DataFrame, end_user_name: str, out: str,
+                         context_col: str = "attribute_category") -> DataFrame:
+    """FLX-05 / Q35: add ``out`` = the physical column that holds ``end_user_name`` in each row's
+    context (NULL in contexts without that segment).  With ``out`` as the selection's status
+    column, a request number stored in the same physical column elsewhere is not read as a status."""
+    where = [r.asDict() for r in locate_column(segments, end_user_name).collect()]
+    expr = F.lit(None).cast("string")
+    for w in where:
+        expr = F.when(F.col(context_col) == w["context_code"], _attr(df, w["application_column_name"])) \
+            .otherwise(expr)
+    return df.withColumn(out, expr)

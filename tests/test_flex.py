@@ -29,3 +29,20 @@ def test_unpivot_and_domain(spark):
                                                                    metadata.flex_domains(spark)).collect()}
     # Q36: the default 'No' is outside its own Y/N set
     assert bad == {("2", "Priority_Flag=X"), ("3", "Priority_Flag=No")}
+
+
+def test_status_resolved_through_metadata_q35(spark):
+    from conftest import SF
+    from remitflow.operators import selection as sel_ops
+    from remitflow.plans.context import Ctx
+    ctx = Ctx(spark, SF)
+    checks = flexfield.with_resolved_column(ctx.checks, metadata.flex_segments(spark), "XX_STATUS_CHECK", "send_status_col")
+    p = ctx.params.with_(only_unsent="Y")
+    _, faithful = sel_ops.run_selection(spark, ctx.checks, ctx.sites, ctx.values, ctx.docs, p)
+    _, fixed = sel_ops.run_selection(spark, checks, ctx.sites, ctx.values, ctx.docs, p, status_col="send_status_col")
+    # EL SALVADOR documents are unchanged; PARAGUAY CITI (document 5) no longer reads column 14 as a status
+    f = {r.payment_document_id: r.n for r in faithful.groupBy("payment_document_id").count().withColumnRenamed("count", "n").collect()}
+    g = {r.payment_document_id: r.n for r in fixed.groupBy("payment_document_id").count().withColumnRenamed("count", "n").collect()}
+    assert all(f[d] == g[d] for d in (1, 2, 3, 4))
+    assert g[5] > f[5]
+    assert fixed.where("payment_document_id = 5").where("send_code <> 'NEW'").count() == 0
