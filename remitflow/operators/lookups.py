@@ -48,9 +48,10 @@ def assigned_format(docs: DataFrame) -> DataFrame:
         F.when(F.count(F.lit(1)) == 1, F.first("format_id")).alias("format_id"))
 
 
-def paid_invoices(selection: DataFrame, invoice_payments: DataFrame, invoices: DataFrame) -> DataFrame:
+def paid_invoices(selection: DataFrame, invoice_payments: DataFrame, invoices: DataFrame,
+                  carry: tuple = ()) -> DataFrame:
     """JN-07: selected check ⋈ invoice payment ⋈ invoice (inner: payments without an invoice row drop)."""
-    sel = selection.select("file_id", "check_id")
+    sel = selection.select("file_id", "check_id", *carry)
     return sel.join(invoice_payments, "check_id").join(invoices, "invoice_id")
 
 

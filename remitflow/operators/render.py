@@ -307,20 +307,34 @@ class Layout:
         return any(s.type_value in types for s in self.specs)
 
 
-def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoice_order: list[str],
-                   hot_rows: int | None = None, hot_files: list | None = None, hot_checks: list | None = None):
-    """WIN-01..04: body lines with seq1, seq3, line position; detail lines with seq1, seq2, seq3, position.
+def _numbered_by_window(body: DataFrame, det: DataFrame, invoice_order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Files below the hot threshold: one window over payment + invoice lines gives every counter.
 
-    Only files whose format defines the part get its lines (RND-18).  ``_pos``
-    is the 1-based place of a line among its file's payment and invoice lines.
+    Order: payment (check_number, check_id), its line first, then its invoices.  ``_pos`` is
+    row_number; seq1 is the running count of payment lines; seq2 the running count of invoice
+    lines minus that count at the payment's own line; seq3 = position - 1 (- 1 more on invoices).
+    One exchange and one sort replace three windows and a join.
     """
-    body_fmts = layout.formats_with("BODY")
-    det_fmts = layout.formats_with("DETAIL")
-    body = selection.where(F.col("format_id").isin(body_fmts))
+    from pyspark.sql import Window
+    both = body.withColumn("_sub", F.lit(0)).unionByName(det.withColumn("_sub", F.lit(1)), allowMissingColumns=True)
+    order = [F.col("check_number"), F.col("check_id"), F.col("_sub")] + [F.col(c).asc_nulls_first() for c in invoice_order]
+    w = Window.partitionBy("file_id").orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = (both.withColumn("_pos", F.row_number().over(w).cast("bigint"))
+            .withColumn("seq1", F.sum(1 - F.col("_sub")).over(upto).cast("bigint"))
+            .withColumn("_dc", F.sum("_sub").over(upto).cast("bigint")))
+    both = both.withColumn("_bd", F.max(F.when(F.col("_sub") == 0, F.col("_dc"))).over(upto))
+    both = both.withColumn("seq2", F.when(F.col("_sub") == 1, F.col("_dc") - F.col("_bd")).cast("bigint")) \
+        .withColumn("seq3", F.col("_pos") - 1 - F.col("_sub")).drop("_dc", "_bd")
+    return both.where("_sub = 0"), both.where("_sub = 1")
+
+
+def _numbered_by_sort(body: DataFrame, det: DataFrame, invoice_order: list[str], hot_rows, hot_files, hot_checks):
+    """Hot files: separate skew-safe numberings (range-partitioned across tasks) and a join."""
     body = sequence_within(body, ["file_id"], ["check_number", "check_id"], "seq1", hot_rows, hot_files)
-    det = paid.where(F.col("format_id").isin(det_fmts))
-    det = sequence_within(det, ["file_id", "check_id"], list(invoice_order), "seq2", hot_rows, hot_checks)
-    det = det.join(body.select("file_id", "check_id", "seq1"), ["file_id", "check_id"])
+    det = sequence_within(det.drop("check_number"), ["file_id", "check_id"], list(invoice_order), "seq2", hot_rows,
+                          hot_checks)
+    det = det.join(body.select("file_id", "check_id", "seq1", "check_number"), ["file_id", "check_id"])
     both = body.withColumn("_sub", F.lit(0)).withColumn("seq2", F.lit(None).cast("bigint")) \
         .unionByName(det.withColumn("_sub", F.lit(1)), allowMissingColumns=True)
     pos = sequence_within(both, ["file_id"], ["seq1", "_sub", F.coalesce(F.col("seq2"), F.lit(0))], "_pos",
@@ -329,6 +343,32 @@ def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoic
     return pos.where("_sub = 0"), pos.where("_sub = 1")
 
 
+def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoice_order: list[str],
+                   hot_rows: int | None = None, hot_files: list | None = None, hot_checks: list | None = None):
+    """WIN-01..04: body lines with seq1, seq3, line position; detail lines with seq1, seq2, seq3, position.
+
+    Only files whose format defines the part get its lines (RND-18).  ``_pos``
+    is the 1-based place of a line among its file's payment and invoice lines.
+    ``paid`` must carry ``check_number``.
+    """
+    from .sequences import hot_groups, hot_rows_of
+    body = selection.where(F.col("format_id").isin(layout.formats_with("BODY")))
+    det = paid.where(F.col("format_id").isin(layout.formats_with("DETAIL")))
+    if "check_number" not in det.columns:
+        det = det.join(selection.select("file_id", "check_id", "check_number"), ["file_id", "check_id"])
+    if hot_files is None:
+        hot_rows = hot_rows if hot_rows is not None else hot_rows_of(selection.sparkSession)
+        hot_files = hot_groups(body.select("file_id").unionByName(det.select("file_id")), ["file_id"], hot_rows)
+    if not hot_files:
+        return _numbered_by_window(body, det, invoice_order)
+    hot = F.broadcast(selection.sparkSession.createDataFrame(hot_files, "file_id string"))
+    cb, cd = _numbered_by_window(body.join(hot, "file_id", "left_anti"), det.join(hot, "file_id", "left_anti"),
+                                 invoice_order)
+    hb, hd = _numbered_by_sort(body.join(hot, "file_id", "left_semi"), det.join(hot, "file_id", "left_semi"),
+                               invoice_order, hot_rows, hot_files, hot_checks)
+    return cb.unionByName(hb, allowMissingColumns=True), cd.unionByName(hd, allowMissingColumns=True)
+
+
 def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame, paid: DataFrame,
                  totals: DataFrame, layout: Layout, dyn: DynamicValues, invoice_order: list[str],
                  legacy: frozenset = frozenset(), hot_rows: int | None = None,

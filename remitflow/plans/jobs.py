@@ -41,7 +41,7 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     # One snapshot of the selection and of its paid invoices feeds the file, the
     # register and the status log (the reference re-read them six times, Q24).
     selection = materialize(selection, "selection")
-    paid = materialize(lookups.paid_invoices(selection, ctx.invoice_payments, ctx.invoices)
+    paid = materialize(lookups.paid_invoices(selection, ctx.invoice_payments, ctx.invoices, ("check_number",))
                        .join(F.broadcast(requests.select("file_id", "format_id")), "file_id"), "paid")
     totals = agg.selection_totals(selection)
     hot_files, hot_checks = find_hot(totals, paid, hot_rows)
