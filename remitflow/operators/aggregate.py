@@ -90,3 +90,11 @@ def title_columns(titles: DataFrame) -> DataFrame:
     return titles.groupBy("language").agg(*[
         F.max(F.when(F.col("code") == c, F.col("meaning"))).alias(f"tl_{c.lower()}") for c in TITLE_CODES
     ])
+
+
+def title_literals(titles: DataFrame, lang: str) -> list:
+    """RPT-05: the 12 titles of one language as literal columns (one bounded row, no join)."""
+    row = title_columns(titles.where(F.col("language") == lang)).limit(2).collect()
+    if len(row) != 1:
+        raise ValueError(f"register titles for language {lang!r}: {len(row)} rows")
+    return [F.lit(v).alias(k) for k, v in row[0].asDict().items() if k != "language"]

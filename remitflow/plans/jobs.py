@@ -84,11 +84,11 @@ def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, select
                                                     params, doc_ids)
     bt = ctx.bank_tables()
     chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"], entities=bt["entities"])
-    titles = agg.title_columns(lookups.value_set(ctx.values, TITLE_VALUE_SET))
-    heading = requests.select("file_id", "payment_document_id", "lang", "as_of") \
+    titles = agg.title_literals(lookups.value_set(ctx.values, TITLE_VALUE_SET), params.lang)
+    heading = requests.select("file_id", "payment_document_id", "as_of") \
         .join(chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name",
                            F.initcap("legal_entity_name").alias("legal_entity")), "payment_document_id") \
-        .join(F.broadcast(titles), F.col("lang") == F.col("language"))
+        .select("*", *titles)
     totals = agg.selection_totals(selection)
     return register.register_text(selection, heading, totals, hot_rows)
 

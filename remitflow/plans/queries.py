@@ -126,13 +126,12 @@ def register_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     req, sel = _selection(ctx)
     bt = ctx.bank_tables()
     chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"], entities=bt["entities"])
-    titles = agg.title_columns(lookups.value_set(ctx.values, TITLE_VALUE_SET))
+    titles = agg.title_literals(lookups.value_set(ctx.values, TITLE_VALUE_SET), ctx.params.lang)
     tot = agg.selection_totals(sel)
-    out = req.select("file_id", "payment_document_id", "lang").join(tot, "file_id") \
+    out = req.select("file_id", "payment_document_id").join(tot, "file_id") \
         .join(chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name",
-                           F.initcap("legal_entity_name").alias("legal_entity")), "payment_document_id") \
-        .join(F.broadcast(titles), F.col("lang") == F.col("language"))
-    return out.drop("language", "lang", "payment_document_id")
+                           F.initcap("legal_entity_name").alias("legal_entity")), "payment_document_id")
+    return out.select("*", *titles).drop("payment_document_id")
 
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
