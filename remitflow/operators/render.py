@@ -21,12 +21,11 @@ from pyspark.sql import functions as F
 
 from ..functions.masks import to_char_date, to_char_number
 from ..functions.text import number_text
-from ..schema import (DELIMITED, FIXED_WIDTH, INVOICE_LIST_PREFIX, PARTS, T_CONSTANT, T_DYNAMIC, T_SEQ1, T_SEQ2,
-                      T_SEQ3, T_SUM_TRANS, T_TRX_LINES, RunParams)
-from .sequences import HOT_GROUP_ROWS, sequence_within
+from ..schema import (DELIMITED, FIXED_WIDTH, T_CONSTANT, T_DYNAMIC, T_SEQ1, T_SEQ2, T_SEQ3, T_SUM_TRANS,
+                      T_TRX_LINES, RunParams)
+from .sequences import sequence_within
 
 FIELD_ROW_LIMIT = 50_000
-PART_RANK = {"HEADER": 0, "BODY": 1, "DETAIL": 1, "TRAILER": 2}
 
 
 @dataclass(frozen=True)

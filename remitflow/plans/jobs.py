@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as agg
 from ..operators import lookups, render
 from ..operators import selection as sel_ops
-from ..operators.sequences import HOT_GROUP_ROWS, hot_rows_of
+from ..operators.sequences import hot_rows_of
 from ..schema import RunParams
 from ..session import materialize
 from ..sources.adapters import INVOICE_ORDER

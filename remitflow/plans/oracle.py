@@ -437,6 +437,11 @@ SELECT CAST(n.n_nationkey AS BIGINT) AS org_id, CAST(n.n_nationkey AS BIGINT) AS
        n.n_name || ' OPERATING' AS bank_account_name, lpad(CAST(n.n_nationkey AS VARCHAR), 10, '0') AS bank_account_num,
        CAST(1 AS BIGINT) AS account_pos, d.payment_document_id, d.payment_document_name, b.checkrun_id, b.checkrun_name
 FROM nation n JOIN docs d ON d.bank_account_id = n.n_nationkey JOIN b ON b.payment_document_id = d.payment_document_id
+""",
+    "check_amount_lookup": with_(ENTITIES) + """
+SELECT ip.check_id, ip.invoice_id, ip.line_number, ip.supplier_ref,
+       COALESCE(c.amount, CAST(0 AS DECIMAL(18,2))) AS check_amount, COALESCE(i.invoice_num, '-1') AS invoice_num
+FROM inv_pay ip LEFT JOIN checks c ON c.check_id = ip.check_id LEFT JOIN invoices i ON i.invoice_id = ip.invoice_id
 """,
     "latest_batch_name": with_(ENTITIES) + """
 SELECT checkrun_id, arg_max(checkrun_name, check_id) AS checkrun_name, MAX(check_id) AS latest_check_id

@@ -16,7 +16,6 @@ from ..functions.text import number_text
 from ..operators import aggregate as agg
 from ..operators import lookups
 from ..operators import selection as sel_ops
-from ..operators.sequences import HOT_GROUP_ROWS
 from ..schema import TITLE_VALUE_SET
 from ..session import bounded_broadcast
 from ..sources import adapters
@@ -394,6 +393,14 @@ def dependent_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(batches, "payment_document_id")
 
 
+def check_amount_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-17: every invoice payment with its payment's amount (0 when the payment is unknown),
+    and its invoice number ('-1' when the invoice is unknown, JN-16)."""
+    ctx = Ctx(spark, sf_dir)
+    ip = ctx.invoice_payments.select("check_id", "invoice_id", "line_number", "supplier_ref")
+    return lookups.invoice_number(lookups.check_amount(ip, ctx.checks), ctx.invoices)
+
+
 QUERIES = {
     "check_register": check_register,
     "selection_totals": selection_totals,
@@ -428,4 +435,5 @@ QUERIES = {
     "ingest_file_status": ingest_file_status,
     "legacy_register": legacy_register,
     "dependent_lists": dependent_lists,
+    "check_amount_lookup": check_amount_lookup,
 }
