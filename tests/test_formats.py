@@ -73,3 +73,30 @@ def test_layout_quality_checks(spark):
     assert gaps.count() == 0
     # format 1's detail numbers are right-padded with zeros (Q12)
     assert quality.zero_right_padding(fields).count() == 2
+
+
+def test_migrated_legacy_layout_renders(spark):
+    """G1 layouts run through the G3 renderer after migration (DML-03 → RND-*)."""
+    from datetime import datetime
+    from decimal import Decimal
+    from remitflow.operators import aggregate as agg
+    from remitflow.operators import render
+    legacy = spark.createDataFrame([(7, None, None, "Legacy positions", "POSITIONS", 1, "Y")], LEGACY_FORMATS)
+    lf = spark.createDataFrame([
+        (1, 7, "K", "CONSTANT", "AB\\TC", 1, 1, 6, "STRING", None, None, "RIGHT", "Y", None, "TRX"),
+        (2, 7, "S", "SEQUENCE1", None, 2, 7, 10, "NUMBER", "9999", None, "LEFT", "Y", None, "TRX"),
+        (3, 7, "T", "TRX_LINES", None, 1, 1, 5, "NUMBER", "99999", None, "LEFT", "N", None, "FOOTER"),
+    ], LEGACY_FORMAT_FIELDS)
+    fmts, fields = fm.migrate_formats(legacy, lf, 0, 0, faithful=False)
+    layout = render.Layout.load(fmts, fields)
+    sel = spark.createDataFrame([("f", 1, 10, 10, Decimal("5.00"), datetime(2014, 1, 1)),
+                                 ("f", 1, 11, 11, Decimal("6.00"), datetime(2014, 1, 1))],
+                                "file_id string, format_id long, check_id long, check_number long, "
+                                "amount decimal(18,2), check_date timestamp_ntz")
+    paid = spark.createDataFrame([], "file_id string, format_id long, check_id long, invoice_id long, check_number long")
+    req = spark.createDataFrame([("f", 1)], "file_id string, format_id long")
+    lines = render.render_lines(spark, req, sel, paid, agg.selection_totals(sel), layout,
+                                render.dynamic_values(spark, layout.specs, {}), ["invoice_id"])
+    got = [r.value for r in lines.orderBy("line_no").collect()]
+    # escape decoded, NUMBER padded with '0' on the left, trailer direction kept for a POSITIONS file
+    assert got == ["AB\tC  0001", "AB\tC  0002", "00002"]
