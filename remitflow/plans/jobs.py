@@ -58,16 +58,31 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     return BankFileRun(requests, selection, paid, totals, layout, lines)
 
 
+def release(run: BankFileRun) -> None:
+    """Delete the run's selection / paid-invoice snapshots from the checkpoint folder."""
+    spark = run.selection.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folders = {f.rsplit("/", 1)[0] for df in (run.selection, run.paid) for f in df.inputFiles()}
+    for folder in folders:
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int | None = None):
-    """Files and payments too large for one task, from two small aggregations.
+    """Files and payments too large for one task, from small aggregations.
 
-    Results are bounded: at most (lines / hot_rows) keys each.
+    One job sizes every file (payments + invoice lines); per-payment sizes are
+    only computed when some file is hot.  Results are bounded: at most
+    (lines / hot_rows) keys each.
     """
     hot_rows = hot_rows if hot_rows is not None else hot_rows_of(totals.sparkSession)
-    per_file = totals.select("file_id", "trx_lines").join(
-        paid.groupBy("file_id").agg(F.count(F.lit(1)).alias("_nd")), "file_id", "left")
-    hot_files = [(r["file_id"],) for r in per_file.where(
-        F.col("trx_lines") + F.coalesce(F.col("_nd"), F.lit(0)) > hot_rows).select("file_id").collect()]
+    sizes = totals.select("file_id", F.col("trx_lines").alias("_n")).unionByName(
+        paid.groupBy("file_id").agg(F.count(F.lit(1)).alias("_n")))
+    hot_files = [(r["file_id"],) for r in sizes.groupBy("file_id").agg(F.sum("_n").alias("_n"))
+                 .where(F.col("_n") > hot_rows).select("file_id").collect()]
+    if not hot_files:
+        return [], []
     hot_checks = [(r["file_id"], r["check_id"]) for r in paid.groupBy("file_id", "check_id").agg(
         F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("file_id", "check_id").collect()]
     return hot_files, hot_checks
@@ -103,7 +118,8 @@ class MainResult:
 
 
 def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=None,
-             status_log_path: str | None = None, hot_rows: int | None = None) -> MainResult:
+             status_log_path: str | None = None, hot_rows: int | None = None,
+             release_snapshots: bool = True) -> MainResult:
     """MAIN: select → render → write bank files → register text → run outcome → (FINAL) status log.
 
     The status log is appended only after the files and the register are
@@ -131,4 +147,7 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
                           datetime.strptime(params.as_of, "%Y/%m/%d %H:%M:%S"), params.process_type)
         if status_log_path:
             log.write.mode("append").parquet(status_log_path)
+            log = log.sparkSession.read.parquet(status_log_path).where(F.col("run_id") == params.run_id)
+    if release_snapshots:
+        release(run)
     return MainResult(run, folders, reg_path, outcome, log)

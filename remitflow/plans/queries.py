@@ -209,6 +209,11 @@ def _numbered_lines(spark, sf_dir):
     return _bank_run(spark, sf_dir).lines
 
 
+def bank_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAIN flagship: (file_id, part, line_no, value) of every file of the run."""
+    return _numbered_lines(spark, sf_dir).select("file_id", "part", "line_no", "value")
+
+
 def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WIN-04 / SET-01: every line's place in its file (header, payment, its invoices…, trailer)."""
     return _numbered_lines(spark, sf_dir).select("file_id", "part", "seq1", "seq2", "line_no")

@@ -31,3 +31,10 @@ def test_bank_file_invariants(spark):
     nums = [int(r.value[16:28]) for r in body]
     assert nums == sorted(nums)
     lines.unpersist()
+    # snapshots live in the checkpoint folder until released
+    import os
+    from remitflow.plans.jobs import release
+    folders = {f.rsplit("/", 1)[0].replace("file:", "") for f in run.selection.inputFiles()}
+    assert all(os.path.isdir(d) for d in folders)
+    release(run)
+    assert not any(os.path.isdir(d) for d in folders)

@@ -7,7 +7,7 @@ from conftest import SF
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert "check_id" in df.columns
+    assert df.columns == ["file_id", "part", "line_no", "value"]
 
 
 def test_every_query_has_an_oracle():

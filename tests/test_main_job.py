@@ -12,7 +12,7 @@ def test_main_final_run_writes_then_logs(spark, tmp_out):
     ctx = Ctx(spark, SF)
     p = ctx.params.with_(process_type="FINAL", only_unsent="Y", run_id="m1")
     log_path = os.path.join(tmp_out, "status_log")
-    res = main_job(ctx, tmp_out, p, status_log_path=log_path)
+    res = main_job(ctx, tmp_out, p, status_log_path=log_path, release_snapshots=False)
     folders = sorted(os.path.basename(d) for d in glob.glob(os.path.join(tmp_out, "files", "*", "file_id=*")))
     assert folders == ["file_id=m1-1", "file_id=m1-2", "file_id=m1-3", "file_id=m1-4"]   # doc 5: disabled format
     crlf = b"".join(open(f, "rb").read() for f in sorted(glob.glob(os.path.join(tmp_out, "files", "crlf",
@@ -22,6 +22,7 @@ def test_main_final_run_writes_then_logs(spark, tmp_out):
     assert out["m1-5"].retcode == "1" and "DQ-03" in out["m1-5"].errbuf
     assert out["m1-1"].retcode == "0"
     logged = {r.check_id for r in spark.read.parquet(log_path).collect()}
+    assert {r.check_id for r in res.status_log.collect()} == logged
     in_files = {r.check_id for r in res.run.selection.where(F.col("file_id") != "m1-5").collect()}
     assert logged == in_files
     reg = open(sorted(glob.glob(os.path.join(tmp_out, "register", "file_id=m1-1", "part-*")))[0]).read()
