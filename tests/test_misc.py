@@ -52,3 +52,9 @@ def test_parameter_and_amount_checks(spark):
     assert sorted(r.key for r in quality.amount_domain(checks).collect()) == ["2", "3"]
     assert sorted(r.detail for r in quality.required_columns(
         spark.createDataFrame([(1, None), (2, "x")], "check_id long, v string"), ["v"]).collect()) == ["v"]
+
+
+def test_missing_dynamic_values_reported(spark):
+    ctx = spark.createDataFrame([(1, "x", None), (2, None, "y")], "check_id long, dyn_1 string, dyn_2 string")
+    got = sorted((r.key, r.detail) for r in quality.null_dynamic_values(ctx, "check_id", ["dyn_1", "dyn_2"]).collect())
+    assert got == [("1", "dyn_2"), ("2", "dyn_1")]
