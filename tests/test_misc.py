@@ -58,3 +58,12 @@ def test_missing_dynamic_values_reported(spark):
     ctx = spark.createDataFrame([(1, "x", None), (2, None, "y")], "check_id long, dyn_1 string, dyn_2 string")
     got = sorted((r.key, r.detail) for r in quality.null_dynamic_values(ctx, "check_id", ["dyn_1", "dyn_2"]).collect())
     assert got == [("1", "dyn_2"), ("2", "dyn_1")]
+
+
+def test_first_row_and_yes_no(spark):
+    from remitflow.functions.text import yes_no
+    from remitflow.operators.lookups import first_row
+    df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (2, 5, "e")], "k long, o long, v string")
+    assert sorted((r.k, r.v) for r in first_row(df, ["k"], ["o"]).collect()) == [(1, "a"), (2, "e")]
+    b = spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
+    assert [r[0] for r in b.select(yes_no(F.col("b"))).collect()] == ["Y", "N", "N"]
