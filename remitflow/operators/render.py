@@ -68,11 +68,15 @@ def field_projection(formats: DataFrame, fields: DataFrame) -> DataFrame:
     )
 
 
+class LayoutTooLarge(ValueError):
+    """More layout rows than the compiled renderer collects; use the relational renderer."""
+
+
 def load_specs(formats: DataFrame, fields: DataFrame, limit: int = FIELD_ROW_LIMIT) -> list[FieldSpec]:
     proj = field_projection(formats, fields)
     rows = proj.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} layout fields; use render_relational")
+        raise LayoutTooLarge(f"more than {limit} layout fields")
     return sorted((FieldSpec(**r.asDict()) for r in rows), key=lambda s: (s.format_id, s.part, s.secuence))
 
 
@@ -140,7 +144,7 @@ def field_text(spec: FieldSpec, legacy: frozenset = frozenset()) -> Column:
 
 def line_expr(specs: list[FieldSpec], legacy: frozenset = frozenset()) -> Column:
     """AGG-12 / RND-13: fields in SECUENCE order; delimited lines drop their last character."""
-    line = F.concat_ws("", *[field_text(s, legacy) for s in sorted(specs, key=lambda s: s.secuence)])
+    line = F.concat_ws("", *[field_text(s, legacy) for s in sorted(specs, key=lambda s: (s.secuence, s.definition_id))])
     if specs and specs[0].format_type == DELIMITED:
         line = F.substring(line, F.lit(1), F.length(line) - 1)
     return line
@@ -368,64 +372,70 @@ def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoic
     return cb.unionByName(hb, allowMissingColumns=True), cd.unionByName(hd, allowMissingColumns=True)
 
 
-def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame, paid: DataFrame,
-                 totals: DataFrame, layout: Layout, dyn: DynamicValues, invoice_order: list[str],
-                 legacy: frozenset = frozenset(), hot_rows: int | None = None,
-                 hot_files: list | None = None, hot_checks: list | None = None) -> DataFrame:
-    """RND-14..18 + SET-01: (file_id, format_id, part, seq1, seq2, seq3, line_no, value) for every line.
+def line_contexts(requests: DataFrame, selection: DataFrame, paid: DataFrame, totals: DataFrame, parts,
+                  invoice_order: list[str], hot_rows: int | None = None, hot_files: list | None = None,
+                  hot_checks: list | None = None) -> dict[str, DataFrame]:
+    """Per part, one context row per output line: keys, counters (seq1/2/3), file totals, line_no.
 
-    Files with an empty selection get no lines at all (DQ-01); files whose
-    format is missing or disabled get none either (DQ-03).
+    ``parts`` answers ``formats_with(part)`` (a Layout or a PartsIndex).  Files with an empty
+    selection get no lines (DQ-01); files whose format is missing or disabled get none (DQ-03).
     """
-    specs = layout.specs
     req = requests.select("file_id", "format_id").join(totals, "file_id")   # inner: empty files vanish
     fmt_of = F.broadcast(requests.select("file_id", "format_id"))
     sel = selection if "format_id" in selection.columns else selection.join(fmt_of, "file_id")
     pd_ = paid if "format_id" in paid.columns else paid.join(fmt_of, "file_id")
-    body, det = sequence_lines(sel, pd_, layout, invoice_order, hot_rows, hot_files, hot_checks)
-    # Totals have one row per file: bounded by the request count, broadcast.
+    body, det = sequence_lines(sel, pd_, parts, invoice_order, hot_rows, hot_files, hot_checks)
+    # Totals have one row per file: bounded by the (size-checked) request count, broadcast.
     tot_b = F.broadcast(totals)
-    body = body.join(tot_b, "file_id")
-    det = det.join(tot_b, "file_id")
-    has_header = F.col("format_id").isin(layout.formats_with("HEADER")).cast("bigint")
-    has_body = F.col("format_id").isin(layout.formats_with("BODY"))
-    out = []
-    header_expr = _by_format(specs, "HEADER", legacy)
-    if header_expr is not None:
-        h = req.where(F.col("format_id").isin(layout.formats_with("HEADER"))).select(
-            "file_id", "format_id", "trx_lines", "sum_trans", F.lit(0).cast("bigint").alias("seq1"),
-            F.lit(0).cast("bigint").alias("seq2"), F.lit(0).cast("bigint").alias("seq3"))
-        h = _attach(h, dyn, [s for s in specs if s.part == "HEADER"])
-        out.append(h.select("file_id", "format_id", F.lit("HEADER").alias("part"), "seq1", "seq2", "seq3",
-                            F.lit(1).cast("bigint").alias("line_no"), header_expr.alias("value")))
-    body_expr = _by_format(specs, "BODY", legacy)
-    if body_expr is not None:
-        b = _attach(body, dyn, [s for s in specs if s.part == "BODY"])
-        out.append(b.select("file_id", "format_id", F.lit("BODY").alias("part"), "seq1", "seq2", "seq3",
-                            (F.col("_pos") + has_header).alias("line_no"), body_expr.alias("value")))
-    det_expr = _by_format(specs, "DETAIL", legacy)
-    if det_expr is not None:
-        d = _attach(det, dyn, [s for s in specs if s.part == "DETAIL"])
-        out.append(d.select("file_id", "format_id", F.lit("DETAIL").alias("part"), "seq1", "seq2", "seq3",
-                            (F.col("_pos") + has_header).alias("line_no"), det_expr.alias("value")))
-    trl_expr = _by_format(specs, "TRAILER", legacy)
-    if trl_expr is not None:
-        n_det = pd_.where(F.col("format_id").isin(layout.formats_with("DETAIL"))) \
+    has_header = F.col("format_id").isin(parts.formats_with("HEADER")).cast("bigint")
+    has_body = F.col("format_id").isin(parts.formats_with("BODY"))
+    none = F.lit(None).cast("bigint")
+    out = {}
+    if parts.formats_with("HEADER"):
+        out["HEADER"] = req.where(F.col("format_id").isin(parts.formats_with("HEADER"))).select(
+            "file_id", "format_id", none.alias("check_id"), none.alias("invoice_id"), "trx_lines", "sum_trans",
+            F.lit(0).cast("bigint").alias("seq1"), F.lit(0).cast("bigint").alias("seq2"),
+            F.lit(0).cast("bigint").alias("seq3"), F.lit(1).cast("bigint").alias("line_no"))
+    if parts.formats_with("BODY"):
+        out["BODY"] = body.join(tot_b, "file_id").select(
+            "file_id", "format_id", "check_id", none.alias("invoice_id"), "trx_lines", "sum_trans", "seq1",
+            none.alias("seq2"), "seq3", (F.col("_pos") + has_header).alias("line_no"))
+    if parts.formats_with("DETAIL"):
+        out["DETAIL"] = det.join(tot_b, "file_id").select(
+            "file_id", "format_id", "check_id", "invoice_id", "trx_lines", "sum_trans", "seq1", "seq2", "seq3",
+            (F.col("_pos") + has_header).alias("line_no"))
+    if parts.formats_with("TRAILER"):
+        n_det = pd_.where(F.col("format_id").isin(parts.formats_with("DETAIL"))) \
             .groupBy("file_id").agg(F.count(F.lit(1)).alias("_nd"))
-        t = req.where(F.col("format_id").isin(layout.formats_with("TRAILER"))).join(n_det, "file_id", "left")
-        t = t.select(
-            "file_id", "format_id", "trx_lines", "sum_trans",
+        t = req.where(F.col("format_id").isin(parts.formats_with("TRAILER"))).join(n_det, "file_id", "left")
+        seq3 = (F.when(has_body, F.col("trx_lines")).otherwise(F.lit(0)) + F.coalesce(F.col("_nd"), F.lit(0)))
+        out["TRAILER"] = t.select(
+            "file_id", "format_id", none.alias("check_id"), none.alias("invoice_id"), "trx_lines", "sum_trans",
             F.when(has_body, F.col("trx_lines") + 1).otherwise(F.lit(0)).cast("bigint").alias("seq1"),
-            F.lit(None).cast("bigint").alias("seq2"),
-            (F.when(has_body, F.col("trx_lines")).otherwise(F.lit(0)) + F.coalesce(F.col("_nd"), F.lit(0)))
-            .cast("bigint").alias("seq3"))
-        t = _attach(t, dyn, [s for s in specs if s.part == "TRAILER"])
-        tv = trl_expr
-        if "Q6" in legacy and header_expr is not None:
-            hv = _attach(t, dyn, [s for s in specs if s.part == "HEADER"])
-            t, tv = hv, F.concat_ws("", F.when(F.col("format_id").isin(layout.formats_with("HEADER")), header_expr), trl_expr)
-        out.append(t.select("file_id", "format_id", F.lit("TRAILER").alias("part"), "seq1", "seq2", "seq3",
-                            (F.col("seq3") + has_header + 1).alias("line_no"), tv.alias("value")))
+            none.alias("seq2"), seq3.cast("bigint").alias("seq3"), (seq3 + has_header + 1).cast("bigint").alias("line_no"))
+    return out
+
+
+LINE_COLUMNS = ("file_id", "format_id", "part", "seq1", "seq2", "seq3", "line_no", "value")
+
+
+def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame, paid: DataFrame,
+                 totals: DataFrame, layout: Layout, dyn: DynamicValues, invoice_order: list[str],
+                 legacy: frozenset = frozenset(), hot_rows: int | None = None,
+                 hot_files: list | None = None, hot_checks: list | None = None) -> DataFrame:
+    """RND-14..18 + SET-01 (compiled form): (file_id, format_id, part, seq1, seq2, seq3, line_no, value)."""
+    specs = layout.specs
+    ctxs = line_contexts(requests, selection, paid, totals, layout, invoice_order, hot_rows, hot_files, hot_checks)
+    header_expr = _by_format(specs, "HEADER", legacy)
+    out = []
+    for part, ctx in ctxs.items():
+        expr = _by_format(specs, part, legacy)
+        c = _attach(ctx, dyn, [s for s in specs if s.part == part])
+        if part == "TRAILER" and "Q6" in legacy and header_expr is not None:
+            c = _attach(c, dyn, [s for s in specs if s.part == "HEADER"])
+            expr = F.concat_ws("", F.when(F.col("format_id").isin(layout.formats_with("HEADER")), header_expr), expr)
+        out.append(c.select("file_id", "format_id", F.lit(part).alias("part"), "seq1", "seq2", "seq3", "line_no",
+                            expr.alias("value")))
     lines = out[0]
     for o in out[1:]:
         lines = lines.unionByName(o)

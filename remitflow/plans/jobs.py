@@ -33,7 +33,13 @@ class BankFileRun:
 
 
 def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
-                  hot_rows: int | None = None) -> BankFileRun:
+                  hot_rows: int | None = None, renderer: str = "auto") -> BankFileRun:
+    """Select, snapshot and render every requested file.
+
+    ``renderer``: ``compiled`` (layout collected and compiled into expressions),
+    ``relational`` (lines ⋈ layout rows, nothing collected) or ``auto`` —
+    compiled unless the layout exceeds the compiled renderer's row bound.
+    """
     params = params or ctx.params
     spark = ctx.spark
     hot_rows = hot_rows if hot_rows is not None else hot_rows_of(spark)
@@ -45,16 +51,32 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
                        .join(F.broadcast(requests.select("file_id", "format_id")), "file_id"), "paid")
     totals = agg.selection_totals(selection)
     hot_files, hot_checks = find_hot(totals, paid, hot_rows)
-    layout = render.Layout.load(ctx.formats, ctx.fields)
     # Views the keyed queries of the layout are written against.
     selection.createOrReplaceTempView("selection")
     paid.createOrReplaceTempView("paid")
     ctx.invoices.createOrReplaceTempView("invoices")
     requests.createOrReplaceTempView("requests")
+    totals.createOrReplaceTempView("totals")
     single_doc = doc_ids[0] if doc_ids and len(doc_ids) == 1 else None
-    dyn = render.dynamic_values(spark, layout.specs, render.job_binds(params, single_doc))
-    lines = render.render_lines(spark, requests, selection, paid, totals, layout, dyn, list(INVOICE_ORDER),
-                                legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files, hot_checks=hot_checks)
+    binds = render.job_binds(params, single_doc)
+    layout = None
+    if renderer in ("auto", "compiled"):
+        try:
+            layout = render.Layout.load(ctx.formats, ctx.fields)
+        except render.LayoutTooLarge:
+            if renderer == "compiled":
+                raise
+    if layout is not None:
+        dyn = render.dynamic_values(spark, layout.specs, binds)
+        lines = render.render_lines(spark, requests, selection, paid, totals, layout, dyn, list(INVOICE_ORDER),
+                                    legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files,
+                                    hot_checks=hot_checks)
+    else:
+        from ..operators.render_relational import PartsIndex, render_relational
+        layout = PartsIndex.load(ctx.formats, ctx.fields)
+        lines = render_relational(spark, requests, selection, paid, totals, ctx.formats, ctx.fields, binds,
+                                  list(INVOICE_ORDER), legacy=params.legacy, hot_rows=hot_rows,
+                                  hot_files=hot_files, hot_checks=hot_checks)
     return BankFileRun(requests, selection, paid, totals, layout, lines)
 
 
