@@ -24,7 +24,8 @@ def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str
     """SNK-01/02/03: (file_id, format_id, line_no, value) → ``path/<eol>/file_id=<id>/part-*``.
 
     The CSV writer is used as a raw line writer because it honours
-    ``encoding``; one write per terminator class.  Returns the written folders.
+    ``encoding``; one write per terminator class.  Overwrites are dynamic: a
+    rerun replaces only its own ``file_id`` folders.  Returns the written folders.
     """
     eol = F.broadcast(formats.select("format_id", F.coalesce(F.col("end_of_line"), F.lit("LF")).alias("_eol")))
     tagged = lines.join(eol, "format_id", "left").withColumn("_eol", F.coalesce(F.col("_eol"), F.lit("LF")))
@@ -33,6 +34,7 @@ def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str
         part = tagged.where(F.col("_eol") == name).select("file_id", "line_no", latin1(F.col("value")).alias("value"))
         target = f"{path.rstrip('/')}/{name.lower()}"
         (_ordered(part).select("file_id", "value").write.mode(mode).partitionBy("file_id")
+         .option("partitionOverwriteMode", "dynamic")
          .option("encoding", "ISO-8859-1").option("lineSep", sep).option("quote", "")
          .option("sep", "\u0001").option("ignoreLeadingWhiteSpace", "false")
          .option("ignoreTrailingWhiteSpace", "false").option("escapeQuotes", "false")
@@ -44,7 +46,7 @@ def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str
 def write_text(lines: DataFrame, path: str, mode: str = "overwrite") -> str:
     """SNK-06/07: register text (UTF-8, LF, blank lines kept) partitioned by file."""
     _ordered(lines.select("file_id", "line_no", "value")).select("file_id", "value").write.mode(mode) \
-        .partitionBy("file_id").text(path)
+        .option("partitionOverwriteMode", "dynamic").partitionBy("file_id").text(path)
     return path
 
 
