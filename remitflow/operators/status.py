@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import FINAL, GRANT_VALUE_SET, STATUS_PRINTED
+from ..schema import FINAL, GRANT_VALUE_SET
 from .lookups import granted_users
 
 
@@ -77,5 +77,3 @@ def rows_updated(log_rows: DataFrame, selection: DataFrame) -> DataFrame:
     return selection.select("file_id", "check_id").join(log_rows.select("check_id"), "check_id") \
         .groupBy("file_id").agg(F.count(F.lit(1)).alias("rows_updated"))
 
-
-PRINTED = STATUS_PRINTED
