@@ -88,12 +88,21 @@ def format_attrs(formats: DataFrame) -> dict[int, dict]:
 # Field value → text
 # ---------------------------------------------------------------------------
 
-def typed_text(value: Column, data_type: str | None, mask: str | None) -> Column:
+def legacy_number(value: Column) -> Column:
+    """FN-10 / Q26: the legacy numeric fetch — strip '-' and blanks, then ``TO_NUMBER`` (NULL if not a number)."""
+    text = F.replace(F.replace(value.cast("string"), F.lit("-"), F.lit("")), F.lit(" "), F.lit(""))
+    return text.try_cast("decimal(38,10)")
+
+
+def typed_text(value: Column, data_type: str | None, mask: str | None, legacy: frozenset = frozenset()) -> Column:
     """RND-09: apply the field's type mask to a fetched value."""
+    # A value that does not convert is NULL (Q23: a failed fetch becomes a missing value,
+    # reported by quality.null_dynamic_values), never an aborted job.
     if data_type == "DATE":
-        return to_char_date(value.cast("timestamp_ntz"), mask)
+        return to_char_date(value.try_cast("timestamp_ntz"), mask)
     if data_type == "NUMBER":
-        return F.trim(to_char_number(value.cast("decimal(38,10)"), mask))
+        number = legacy_number(value) if "Q26" in legacy else value.try_cast("decimal(38,10)")
+        return F.trim(to_char_number(number, mask))
     return value.cast("string")
 
 
@@ -210,7 +219,8 @@ class DynamicValues:
     scalars: dict         # definition_id -> text (keyless queries)
 
 
-def dynamic_values(spark: SparkSession, specs: list[FieldSpec], binds: dict) -> DynamicValues:
+def dynamic_values(spark: SparkSession, specs: list[FieldSpec], binds: dict,
+                   legacy: frozenset = frozenset()) -> DynamicValues:
     """Evaluate every dynamic field once, grouped by key (JN-23, RND-05, WIN-05).
 
     The first row per key wins under the query's ``ord`` column when present,
@@ -230,7 +240,7 @@ def dynamic_values(spark: SparkSession, specs: list[FieldSpec], binds: dict) ->
         key = _key_of(q.columns)
         items = []
         for s in group:
-            text = typed_text(F.col("value"), s.data_type, s.format_model)
+            text = typed_text(F.col("value"), s.data_type, s.format_model, legacy)
             ordc = F.col("ord") if "ord" in q.columns else text
             items.append((s, text, ordc))
         if not key:

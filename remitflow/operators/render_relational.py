@@ -15,10 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.masks import to_char_date, to_char_number
+from ..functions.masks import to_char_number
 from ..functions.text import number_text
 from ..schema import DELIMITED, PARTS, T_CONSTANT, T_DYNAMIC, T_SEQ1, T_SEQ2, T_SEQ3, T_SUM_TRANS, T_TRX_LINES
-from .render import KEY_SETS, LINE_COLUMNS, _key_of, field_projection, line_contexts, run_keyed_query
+from .render import KEY_SETS, LINE_COLUMNS, _key_of, field_projection, line_contexts, run_keyed_query, typed_text
 
 MASK_LIMIT = 10_000
 DYNAMIC_LIMIT = 10_000
@@ -60,7 +60,8 @@ def _mask_chain(value: Column, mask: Column, masks: list[str], fn) -> Column:
     return out
 
 
-def dynamic_long(spark: SparkSession, fields: DataFrame, binds: dict) -> dict[tuple, DataFrame]:
+def dynamic_long(spark: SparkSession, fields: DataFrame, binds: dict,
+                 legacy: frozenset = frozenset()) -> dict[tuple, DataFrame]:
     """Dynamic field values in long form per key: (key…, definition_id, dyn_text), first row per key."""
     dyn = _bounded(fields.where((F.col("type_value") == T_DYNAMIC) & F.col("sql").isNotNull())
                    .select("definition_id", "sql", "data_type", "format_model"), DYNAMIC_LIMIT, "dynamic fields")
@@ -75,12 +76,7 @@ def dynamic_long(spark: SparkSession, fields: DataFrame, binds: dict) -> dict[tu
             continue          # scalars are resolved by the caller
         items = []
         for r in rows:
-            if r["data_type"] == "DATE":
-                text = to_char_date(F.col("value").cast("timestamp_ntz"), r["format_model"])
-            elif r["data_type"] == "NUMBER":
-                text = F.trim(to_char_number(F.col("value").cast("decimal(38,10)"), r["format_model"]))
-            else:
-                text = F.col("value").cast("string")
+            text = typed_text(F.col("value"), r["data_type"], r["format_model"], legacy)
             ordc = F.col("ord") if "ord" in q.columns else text
             items.append(F.struct(F.lit(r["definition_id"]).alias("definition_id"),
                                   F.struct(ordc.cast("string").alias("o"), text.alias("t")).alias("_v")))
@@ -111,7 +107,7 @@ def render_relational(spark: SparkSession, requests: DataFrame, selection: DataF
         lines = c if lines is None else lines.unionByName(c)
     # Layout rows are not broadcast here: this path exists for layouts too large to bound.
     x = lines.join(proj, ["format_id", "part"])
-    for key, fr in dynamic_long(spark, proj, binds).items():
+    for key, fr in dynamic_long(spark, proj, binds, legacy).items():
         if not key:
             continue
         x = x.join(fr.withColumnRenamed("dyn_text", f"_dyn_{'_'.join(key)}"), [*key, "definition_id"], "left")
@@ -123,8 +119,8 @@ def render_relational(spark: SparkSession, requests: DataFrame, selection: DataF
                       .select("definition_id", "sql", "data_type", "format_model"), DYNAMIC_LIMIT, "dynamic fields"):
         q = run_keyed_query(spark, r["sql"], binds)
         if not _key_of(q.columns):
-            from .render import typed_text
-            row = q.select(typed_text(F.col("value"), r["data_type"], r["format_model"]).alias("t")).limit(1).collect()
+            row = q.select(typed_text(F.col("value"), r["data_type"], r["format_model"], legacy).alias("t")) \
+                .limit(1).collect()
             scalars[r["definition_id"]] = row[0]["t"] if row else None
     dyn_text = F.coalesce(*[F.col(f"_dyn_{'_'.join(k)}") for k in KEY_SETS if k])
     for fid, text in scalars.items():

@@ -67,7 +67,7 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
             if renderer == "compiled":
                 raise
     if layout is not None:
-        dyn = render.dynamic_values(spark, layout.specs, binds)
+        dyn = render.dynamic_values(spark, layout.specs, binds, params.legacy)
         lines = render.render_lines(spark, requests, selection, paid, totals, layout, dyn, list(INVOICE_ORDER),
                                     legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files,
                                     hot_checks=hot_checks)

@@ -66,3 +66,12 @@ def test_line_drops_trailing_delimiter(spark):
     fields = [spec(secuence=2, constant_value="B", **d), spec(secuence=1, constant_value="A", **d),
               spec(secuence=3, type_value="DINAMIC", definition_id=1, **d)]
     assert ev(spark, line_expr(fields)) == "A;B;"
+
+
+def test_legacy_number_fetch_q26(spark):
+    from remitflow.operators.render import typed_text
+    df = spark.createDataFrame([("-12.5",), ("1 000",), ("abc",)], "v string")
+    fixed = [r[0] for r in df.select(typed_text(F.col("v"), "NUMBER", "99990.00")).collect()]
+    legacy = [r[0] for r in df.select(typed_text(F.col("v"), "NUMBER", "99990.00", frozenset({"Q26"}))).collect()]
+    assert legacy == ["12.50", "1000.00", None]        # sign lost, blanks removed, non-numbers NULL
+    assert fixed == ["-12.50", None, None]                # Q23: unconvertible values become NULL
