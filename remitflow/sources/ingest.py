@@ -75,7 +75,11 @@ def file_status(spark: SparkSession, path: str, good: DataFrame, rejected: DataF
     g = good.groupBy(norm("file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_good"))
     b = rejected.groupBy(norm("file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_bad"))
     s = listing.join(g, "file_path", "left").join(b, "file_path", "left").fillna(0, ["n_good", "n_bad"])
-    status = (F.when(F.col("length") == 0, F.lit("EMPTY FILE"))
+    names = s.groupBy(F.regexp_extract("file_path", "([^/]+)$", 1).alias("_name")).agg(
+        F.count(F.lit(1)).alias("_copies"))
+    s = s.join(names, F.regexp_extract("file_path", "([^/]+)$", 1) == F.col("_name"), "left")
+    status = (F.when(F.col("_copies") > 1, F.lit("DUPLICATE FILE NAME"))
+              .when(F.col("length") == 0, F.lit("EMPTY FILE"))
               .when(F.col("n_bad") > 0, F.lit("BATCH ERROR")).otherwise(F.lit("OK")))
     return s.select("file_path", "length", "n_good", "n_bad", status.alias("status"))
 

@@ -41,3 +41,15 @@ def test_landing_stream_available_now(spark, tmp_out):
     q = start_landing_stream(spark, land, SCHEMA, ["id", "amount"], out["good"], out["bad"], out["status"], out["ckpt"])
     q.awaitTermination(120)
     assert sorted(r.id for r in spark.read.parquet(out["good"]).collect()) == [1, 2, 4, 6]
+
+
+def test_duplicate_file_names_flagged(spark, tmp_out):
+    land = os.path.join(tmp_out, "land")
+    for sub in ("x", "y"):
+        os.makedirs(os.path.join(land, sub), exist_ok=True)
+        open(os.path.join(land, sub, "same.csv"), "w").write("1,a,1.0\n")
+    open(os.path.join(land, "x", "other.csv"), "w").write("2,b,2.0\n")
+    res = load_landing(spark, land, SCHEMA, ["id", "amount"])
+    st = sorted((r.file_path.split("/")[-2] + "/" + r.file_path.split("/")[-1], r.status)
+                for r in res.file_status.collect())
+    assert st == [("x/other.csv", "OK"), ("x/same.csv", "DUPLICATE FILE NAME"), ("y/same.csv", "DUPLICATE FILE NAME")]
