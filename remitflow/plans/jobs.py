@@ -159,7 +159,8 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
     reg = register_job(ctx, params, selection=run.selection, requests=run.requests, hot_rows=hot_rows)
     reg_path = files.write_text(reg, f"{out_path}/register")
     dq = quality.request_checks(run.requests, run.totals, ctx.formats)
-    outcome = files.run_outcome(run.requests, run.totals, dq)
+    names = file_names(ctx, run.requests).select("file_id", "file_name", "file_extension")
+    outcome = files.run_outcome(run.requests, run.totals, dq).join(names, "file_id", "left")
     files.append_outcome(outcome, f"{out_path}/outcome")
     log = None
     if params.process_type == "FINAL":
@@ -173,3 +174,19 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
     if release_snapshots:
         release(run)
     return MainResult(run, folders, reg_path, outcome, log)
+
+
+def file_names(ctx: Ctx, requests: DataFrame) -> DataFrame:
+    """SNK-04 / JN-06: per request, ``<unit>_<document>_<run time>`` sanitised to [A-Za-z0-9_-] and the
+    format's extension."""
+    from ..functions.masks import to_char_date
+    bt = ctx.bank_tables()
+    chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"], units=bt["units"])
+    stamp = to_char_date(F.col("as_of"), "YYYY-MON-DD_HHAM-MI-SS")
+    raw = F.concat_ws("_", F.col("name"), F.col("payment_document_name"), stamp)
+    return requests.select("file_id", "payment_document_id", "format_id", "as_of") \
+        .join(chain.select("payment_document_id", "name", "bank_party_id", "bank_account_id",
+                           "payment_document_name"), "payment_document_id") \
+        .join(F.broadcast(ctx.formats.select("format_id", "file_extension")), "format_id", "left") \
+        .select("file_id", "bank_party_id", "bank_account_id",
+                F.regexp_replace(raw, "[^A-Za-z0-9_-]", "").alias("file_name"), "file_extension")

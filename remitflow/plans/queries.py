@@ -135,20 +135,10 @@ def register_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-06 / SNK-04: sanitised file name (unit, document, run time) and extension per non-empty file."""
+    from .jobs import file_names as names_of
     ctx = Ctx(spark, sf_dir)
     req, sel = _selection(ctx)
-    bt = ctx.bank_tables()
-    chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"], units=bt["units"])
-    stamp = to_char_date(F.col("as_of"), "YYYY-MON-DD_HHAM-MI-SS")
-    raw = F.concat_ws("_", F.col("name"), F.col("payment_document_name"), stamp)
-    files = req.select("file_id", "payment_document_id", "format_id", "as_of") \
-        .join(agg.selection_totals(sel).select("file_id"), "file_id") \
-        .join(chain.select("payment_document_id", "name", "payment_document_name", "bank_party_id",
-                           "bank_account_id"), "payment_document_id") \
-        .join(F.broadcast(ctx.formats.select("format_id", "file_extension")), "format_id", "left")
-    return files.select("file_id", "bank_party_id", "bank_account_id",
-                        F.regexp_replace(raw, "[^A-Za-z0-9_-]", "").alias("file_name"),
-                        F.col("file_extension"))
+    return names_of(ctx, req).join(agg.selection_totals(sel).select("file_id"), "file_id")
 
 
 def assigned_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ def test_main_final_run_writes_then_logs(spark, tmp_out):
     out = {r.file_id: r for r in spark.read.parquet(os.path.join(tmp_out, "outcome")).collect()}
     assert out["m1-5"].retcode == "1" and "DQ-03" in out["m1-5"].errbuf
     assert out["m1-1"].retcode == "0"
+    assert out["m1-1"].file_name == "OUNATION_0_DOCNATION_0_2014-APR-25_09AM-09-17" and out["m1-1"].file_extension == "txt"
     logged = {r.check_id for r in spark.read.parquet(log_path).collect()}
     assert {r.check_id for r in res.status_log.collect()} == logged
     in_files = {r.check_id for r in res.run.selection.where(F.col("file_id") != "m1-5").collect()}
