@@ -132,6 +132,8 @@ def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, select
 
 @dataclass
 class MainResult:
+    """Outputs of a MAIN run.  With ``release_snapshots=True`` (default) the frames in ``run`` read
+    deleted snapshots; use the written files, ``outcome`` and ``status_log`` instead."""
     run: BankFileRun
     file_folders: list
     register_path: str

@@ -28,3 +28,14 @@ def test_main_final_run_writes_then_logs(spark, tmp_out):
     assert logged == in_files
     reg = open(sorted(glob.glob(os.path.join(tmp_out, "register", "file_id=m1-1", "part-*")))[0]).read()
     assert reg.splitlines()[1] == "Payment Register"
+
+
+def test_empty_selection_produces_no_files(spark, tmp_out):
+    ctx = Ctx(spark, SF)
+    p = ctx.params.with_(start_date="2030/01/01 00:00:00", end_date="2030/12/31 00:00:00", run_id="e1",
+                         process_type="FINAL")
+    res = main_job(ctx, tmp_out, p, status_log_path=os.path.join(tmp_out, "log"))
+    assert not glob.glob(os.path.join(tmp_out, "files", "*", "file_id=*"))
+    out = spark.read.parquet(os.path.join(tmp_out, "outcome")).collect()
+    assert out and all(r.retcode == "1" and "DQ-01" in r.errbuf for r in out)
+    assert res.status_log.count() == 0
