@@ -343,17 +343,51 @@ def _numbered_by_window(body: DataFrame, det: DataFrame, invoice_order: list[str
 
 
 def _numbered_by_sort(body: DataFrame, det: DataFrame, invoice_order: list[str], hot_rows, hot_files, hot_checks):
-    """Hot files: separate skew-safe numberings (range-partitioned across tasks) and a join."""
-    body = sequence_within(body, ["file_id"], ["check_number", "check_id"], "seq1", hot_rows, hot_files)
-    det = sequence_within(det.drop("check_number"), ["file_id", "check_id"], list(invoice_order), "seq2", hot_rows,
-                          hot_checks)
-    det = det.join(body.select("file_id", "check_id", "seq1", "check_number"), ["file_id", "check_id"])
-    both = body.withColumn("_sub", F.lit(0)).withColumn("seq2", F.lit(None).cast("bigint")) \
-        .unionByName(det.withColumn("_sub", F.lit(1)), allowMissingColumns=True)
-    pos = sequence_within(both, ["file_id"], ["seq1", "_sub", F.coalesce(F.col("seq2"), F.lit(0))], "_pos",
-                          hot_rows, hot_files)
-    pos = pos.withColumn("seq3", F.col("_pos") - 1 - F.col("_sub"))
-    return pos.where("_sub = 0"), pos.where("_sub = 1")
+    """Hot files: the same counters as ``_numbered_by_window`` in one distributed pass.
+
+    Lines are range-partitioned on (file, payment, part, invoice order), so a file spans many
+    tasks; ids from ``monotonically_increasing_id`` are consecutive inside a partition and are
+    frozen by a checkpoint.  A window per (file, partition) — bounded by the partition size —
+    gives local running counts; a per-(file, partition) table (at most #hot files + #partitions
+    rows, broadcast) gives each partition's offsets and the invoice count at the last payment
+    line of earlier partitions (a payment's invoices may continue in the next partition).
+    """
+    from pyspark.sql import Window
+
+    from ..session import ensure_checkpoint_dir
+    both = body.withColumn("_sub", F.lit(0)).unionByName(det.withColumn("_sub", F.lit(1)), allowMissingColumns=True)
+    keys = [F.col("file_id"), F.col("check_number"), F.col("check_id"), F.col("_sub")] + \
+        [F.col(c).asc_nulls_first() for c in invoice_order]
+    tagged = (both.repartitionByRange(*keys).sortWithinPartitions(*keys)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(both.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
+    upto = Window.partitionBy("file_id", "_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding,
+                                                                             Window.currentRow)
+    local = (tagged.withColumn("_lb", F.sum(1 - F.col("_sub")).over(upto))
+             .withColumn("_ld", F.sum("_sub").over(upto)))
+    local = local.withColumn("_lbd", F.max(F.when(F.col("_sub") == 0, F.col("_ld"))).over(upto))
+    stats = local.groupBy("file_id", "_pid").agg(
+        F.min("_mid").alias("_lo"), F.count(F.lit(1)).alias("_n"), F.sum(1 - F.col("_sub")).alias("_nb"),
+        F.sum("_sub").alias("_nd"), F.max(F.when(F.col("_sub") == 0, F.col("_ld"))).alias("_mbd"))
+    before = Window.partitionBy("file_id").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select(
+        "file_id", "_pid", "_lo", "_mbd",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_on"),
+        F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_ob"),
+        F.coalesce(F.sum("_nd").over(before), F.lit(0)).alias("_od"))
+    # invoice count (file-wide) at the last payment line of any earlier partition
+    offsets = offsets.withColumn("_carry", F.max(F.col("_od") + F.col("_mbd")).over(before)).drop("_mbd")
+    j = local.join(F.broadcast(offsets), ["file_id", "_pid"])
+    dcum = F.col("_od") + F.col("_ld")
+    bd = F.coalesce(F.col("_od") + F.col("_lbd"), F.col("_carry"))
+    out = (j.withColumn("_pos", (F.col("_on") + F.col("_mid") - F.col("_lo") + 1).cast("bigint"))
+           .withColumn("seq1", (F.col("_ob") + F.col("_lb")).cast("bigint"))
+           .withColumn("seq2", F.when(F.col("_sub") == 1, dcum - bd).cast("bigint")))
+    out = out.withColumn("seq3", F.col("_pos") - 1 - F.col("_sub")).drop(
+        "_pid", "_mid", "_lb", "_ld", "_lbd", "_lo", "_on", "_ob", "_od", "_carry")
+    return out.where("_sub = 0"), out.where("_sub = 1")
 
 
 def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoice_order: list[str],

@@ -68,6 +68,12 @@ def test_small_sample_layout(spark):
     # payment 8 has 35 invoices: ordinal '8' right-padded; invoice 1 and 10 collide as '1000' (Q12)
     of8 = [v for v in vois if v[31:39] == "80000000"]
     assert len(of8) == 35 and of8[0][39:43] == "1000" and of8[9][39:43] == "1000"
+    # every invoice ordinal of payment 8, in order, even where its run crosses partition boundaries
+    assert [v[39:43] for v in of8] == [str(k).ljust(4, "0") for k in range(1, 36)]
+    det_rows = [r for r in rows if r.part == "DETAIL"]
+    assert [r.seq2 for r in det_rows if r.seq1 == 8] == list(range(1, 36))
+    assert all(r.seq3 == r.line_no - 2 for r in det_rows) and all(r.seq3 == r.line_no - 1 for r in rows
+                                                                      if r.part == "BODY")
     # each payment line is followed by its invoices
     order = [r.part for r in rows]
     assert order[:3] == ["BODY", "DETAIL", "BODY"]

@@ -44,3 +44,19 @@ def test_invoice_list_chunks_keep_order(spark):
     out = {r.check_id: r.invoices for r in invoice_list(paid, ["line_number"], chunk=100).collect()}
     assert out[2] == "DOCUMENTOS: INVB INVA "
     assert out[1] == "DOCUMENTOS: " + "".join(f"INV{i} " for i in range(2500))
+
+
+def test_hot_file_single_pass_carries_across_partitions(spark):
+    """A payment whose invoices span several range partitions keeps dense invoice ordinals."""
+    from remitflow.operators.render import _numbered_by_sort
+    body = spark.createDataFrame([("f", 1, c, c) for c in range(1, 4)],
+                                 "file_id string, format_id long, check_id long, check_number long")
+    det = spark.createDataFrame([("f", 1, 2, 2, i) for i in range(1, 200)] + [("f", 1, 3, 3, 1)],
+                                "file_id string, format_id long, check_id long, check_number long, invoice_id long")
+    b, d = _numbered_by_sort(body, det, ["invoice_id"], 5, [("f",)], [])
+    assert sorted((r.check_id, r.seq1, r.seq3, r._pos) for r in b.collect()) == [(1, 1, 0, 1), (2, 2, 1, 2),
+                                                                                 (3, 3, 201, 202)]
+    dd = sorted((r.check_id, r.invoice_id, r.seq2, r.seq1, r.seq3) for r in d.collect())
+    assert [x[2] for x in dd if x[0] == 2] == list(range(1, 200))
+    assert [x[4] for x in dd if x[0] == 2] == list(range(1, 200))
+    assert [x for x in dd if x[0] == 3] == [(3, 1, 1, 3, 201)]
