@@ -92,22 +92,17 @@ def release(run: BankFileRun) -> None:
 
 
 def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int | None = None):
-    """Files and payments too large for one task, from small aggregations.
+    """Files too large for one task (payments + invoice lines > hot_rows), from one small aggregation.
 
-    One job sizes every file (payments + invoice lines); per-payment sizes are
-    only computed when some file is hot.  Results are bounded: at most
-    (lines / hot_rows) keys each.
+    Bounded: at most (lines / hot_rows) keys.  Returns (hot_files, hot_checks); hot files are
+    numbered in one distributed pass that also splits huge payments, so hot_checks is empty.
     """
     hot_rows = hot_rows if hot_rows is not None else hot_rows_of(totals.sparkSession)
     sizes = totals.select("file_id", F.col("trx_lines").alias("_n")).unionByName(
         paid.groupBy("file_id").agg(F.count(F.lit(1)).alias("_n")))
     hot_files = [(r["file_id"],) for r in sizes.groupBy("file_id").agg(F.sum("_n").alias("_n"))
                  .where(F.col("_n") > hot_rows).select("file_id").collect()]
-    if not hot_files:
-        return [], []
-    hot_checks = [(r["file_id"], r["check_id"]) for r in paid.groupBy("file_id", "check_id").agg(
-        F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("file_id", "check_id").collect()]
-    return hot_files, hot_checks
+    return hot_files, []
 
 
 def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, selection: DataFrame | None = None,
