@@ -62,3 +62,13 @@ def yes_no(col: Column) -> Column:
 
 def initcap_words(col: Column) -> Column:
     return F.initcap(col)
+
+
+def ntz(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime, independent of any time zone setting.
+
+    (A Python datetime passed to ``F.lit`` becomes a session-time-zone timestamp.)
+    """
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.to_timestamp_ntz(F.lit(value.strftime("%Y-%m-%d %H:%M:%S")), F.lit("yyyy-MM-dd HH:mm:ss"))

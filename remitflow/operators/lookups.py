@@ -98,7 +98,7 @@ def latest_batch_name(checks: DataFrame, auto_only: bool = True) -> DataFrame:
 
 def granted_users(values: DataFrame, users: DataFrame, set_name: str, as_of) -> DataFrame:
     """JN-10 / FLT-15 / FLT-16: users listed (enabled, effective on ``as_of``) in the grant value set."""
-    day = F.to_date(F.lit(as_of))
+    day = F.to_date(F.lit(as_of.strftime("%Y-%m-%d"))) if hasattr(as_of, "strftime") else F.to_date(F.lit(as_of))
     g = values.where((F.col("flex_value_set_name") == set_name) & (F.col("language") == "US")
                      & (F.col("enabled_flag") == "Y"))
     g = g.where(day.between(F.coalesce(F.to_date("start_date_active"), day),

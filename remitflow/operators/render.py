@@ -169,9 +169,13 @@ _MARKER = re.compile(r"(?<![:\w]):([A-Za-z_][A-Za-z0-9_]*)")
 def job_binds(params: RunParams, payment_document_id: int | None = None) -> dict:
     """RND-06: named job parameters available to keyed queries (end date bound to the end, Q5 fixed)."""
     fmt = "%Y/%m/%d %H:%M:%S"
+
+    def ts(text):
+        # a TIMESTAMP_NTZ SQL literal: a Python datetime would be shifted by the session time zone
+        return F.expr(f"TIMESTAMP_NTZ '{datetime.strptime(text, fmt):%Y-%m-%d %H:%M:%S}'")
     return {
-        "P_START_DATE": datetime.strptime(params.start_date, fmt),
-        "P_END_DATE": datetime.strptime(params.end_date, fmt),
+        "P_START_DATE": ts(params.start_date),
+        "P_END_DATE": ts(params.end_date),
         "PAY_DOCUMENT": payment_document_id,
         "BASE_AMOUNT": params.base_amount,
         "TOP_AMOUNT": params.top_amount,

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import ntz
 from ..schema import MONEY, STATUS_NEW, STATUS_VALUE_SET, RunParams
 from ..session import bounded_broadcast
 from .lookups import assigned_format, value_set
@@ -107,9 +108,9 @@ def filter_checks(checks: DataFrame, requests: DataFrame, env: Envelope | None =
         if env.doc_ids:
             c = c.where(F.col("payment_document_id").isin(list(env.doc_ids)))
         if env.start is not None:
-            c = c.where(F.col("check_date") >= F.lit(env.start))
+            c = c.where(F.col("check_date") >= ntz(env.start))
         if env.end is not None:
-            c = c.where(F.col("check_date") < F.lit(env.end) + F.expr("INTERVAL 1 DAY"))
+            c = c.where(F.col("check_date") < ntz(env.end) + F.expr("INTERVAL 1 DAY"))
     c = c.where(F.col("void_date").isNull())
     req = bounded_broadcast(requests)
     j = c.join(req, "payment_document_id")

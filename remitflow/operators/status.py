@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import ntz
 from ..schema import FINAL, GRANT_VALUE_SET
 from .lookups import granted_users
 
@@ -24,7 +25,7 @@ def mark(selection: DataFrame, status: str, run_id: str, event_ts: datetime, pro
         "check_id",
         F.lit(status).alias("status"),
         F.lit(run_id).alias("run_id"),
-        F.lit(event_ts).cast("timestamp_ntz").alias("event_ts"),
+        ntz(event_ts).alias("event_ts"),
     )
 
 
@@ -69,7 +70,7 @@ def unlock(selection: DataFrame, values: DataFrame, users: DataFrame, user_id: i
     if not granted:
         sel = sel.limit(0)
     return sel.select("check_id", F.lit(set_status).alias("status"), F.lit(run_id).alias("run_id"),
-                      F.lit(event_ts).cast("timestamp_ntz").alias("event_ts"))
+                      ntz(event_ts).alias("event_ts"))
 
 
 def rows_updated(log_rows: DataFrame, selection: DataFrame) -> DataFrame:
