@@ -54,26 +54,40 @@ def report_lines(selection: DataFrame, invoice_payments: DataFrame, legacy_produ
 INVOICE_CHUNK = 1000
 
 
-def invoice_list(paid: DataFrame, order: list[str], chunk: int = INVOICE_CHUNK, hot_keys=None) -> DataFrame:
+def _ordered_concat(df: DataFrame, keys: list[str], order: list[str], text: str, out: str) -> DataFrame:
+    s = F.struct(*[F.col(c) for c in order], F.col(text).alias("_t"))
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_list(s)).alias("_l")).select(
+        *keys, F.concat_ws("", F.transform("_l", lambda x: x["_t"])).alias(out))
+
+
+def invoice_list(paid: DataFrame, order: list[str], chunk: int = INVOICE_CHUNK, hot_keys=None,
+                 hot_rows: int | None = None) -> DataFrame:
     """AGG-06: ``'DOCUMENTOS: ' || n1 || ' ' || n2 || ' ' …`` per check, ordered, untruncated.
 
-    Two-phase so no task gathers a whole payment's invoices: invoices are
-    numbered per check (skew-safe), concatenated in ordered chunks of
-    ``chunk`` in parallel, and only the chunk strings are joined per check.
+    Payments with at most ``hot_rows`` invoices are concatenated by one ordered aggregation
+    (bounded by the threshold).  Larger ones go two-phase so no task gathers a whole payment:
+    invoices are numbered (skew-safe), concatenated in ordered chunks of ``chunk`` in
+    parallel, and only the chunk strings are joined per payment.
     """
-    from .sequences import sequence_within
-
-    numbered = sequence_within(paid.select("check_id", "invoice_num", *order), ["check_id"], list(order), "_k",
-                               hot_keys=hot_keys)
-    part = numbered.groupBy("check_id", F.floor((F.col("_k") - 1) / chunk).alias("_c")).agg(
-        F.array_sort(F.collect_list(F.struct("_k", F.concat(F.col("invoice_num"), F.lit(" ")).alias("_t"))))
-        .alias("_l"))
-    part = part.select("check_id", "_c", F.concat_ws("", F.transform("_l", lambda x: x["_t"])).alias("_s"))
-    agg = part.groupBy("check_id").agg(F.array_sort(F.collect_list(F.struct("_c", "_s"))).alias("_l"))
-    return agg.select(
-        "check_id",
-        F.concat(F.lit(INVOICE_LIST_PREFIX), F.concat_ws("", F.transform("_l", lambda x: x["_s"]))).alias("invoices"),
-    )
+    from .sequences import hot_groups, hot_rows_of, sequence_within
+
+    base = paid.select("check_id", F.concat(F.col("invoice_num"), F.lit(" ")).alias("_num"), *order)
+    if hot_keys is None:
+        hot_rows = hot_rows if hot_rows is not None else hot_rows_of(paid.sparkSession)
+        hot_keys = hot_groups(base, ["check_id"], hot_rows)
+    parts = []
+    if hot_keys:
+        hot = F.broadcast(paid.sparkSession.createDataFrame(hot_keys, base.select("check_id").schema))
+        cold_rows, hot_rows_df = base.join(hot, "check_id", "left_anti"), base.join(hot, "check_id", "left_semi")
+        numbered = sequence_within(hot_rows_df, ["check_id"], list(order), "_k", hot_keys=hot_keys)
+        chunks = _ordered_concat(numbered.withColumn("_c", F.floor((F.col("_k") - 1) / chunk)),
+                                 ["check_id", "_c"], ["_k"], "_num", "_s")
+        parts.append(_ordered_concat(chunks, ["check_id"], ["_c"], "_s", "_all"))
+    else:
+        cold_rows = base
+    parts.append(_ordered_concat(cold_rows, ["check_id"], list(order), "_num", "_all"))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select("check_id", F.concat(F.lit(INVOICE_LIST_PREFIX), F.col("_all")).alias("invoices"))
 
 
 def format_parts(fields: DataFrame, formats: DataFrame) -> DataFrame:

@@ -41,7 +41,9 @@ def test_invoice_list_chunks_keep_order(spark):
     from remitflow.operators.aggregate import invoice_list
     rows = [(1, f"INV{i}", i) for i in range(2500)] + [(2, "INVB", 1), (2, "INVA", 2)]
     paid = spark.createDataFrame(rows, "check_id long, invoice_num string, line_number long")
-    out = {r.check_id: r.invoices for r in invoice_list(paid, ["line_number"], chunk=100).collect()}
+    out = {r.check_id: r.invoices for r in invoice_list(paid, ["line_number"], chunk=100, hot_rows=50).collect()}
+    plain = {r.check_id: r.invoices for r in invoice_list(paid, ["line_number"]).collect()}
+    assert plain == out
     assert out[2] == "DOCUMENTOS: INVB INVA "
     assert out[1] == "DOCUMENTOS: " + "".join(f"INV{i} " for i in range(2500))
 
