@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # A selective payment selection prunes the invoice-payment scan before the shuffle join.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 # Dimension tables broadcast only below this many rows (checked, not assumed).
