@@ -158,7 +158,21 @@ def _t(code: str) -> str:
     return f"(SELECT meaning FROM tl WHERE code = '{code}')"
 
 
-REGISTER_TEXT = BASE + ", " + US_TITLES.strip() + f"""
+ES_TITLES = """
+tl AS (SELECT * FROM (VALUES
+  ('BANK', 'Banco'), ('BANK_ACCOUNT', 'Cuenta Bancaria'), ('CHECK_AMOUNT', 'Monto'), ('CHECK_DATE', 'Fecha de Pago'),
+  ('CHECK_NUMBER', 'Numero de Pago'), ('DATE_TIME', 'Fecha Hora'), ('LEGAL_ENTITY', 'Entidad Legal'),
+  ('PAYMENT_DOCUMENT', 'Documento de Pago'), ('REPORT_NAME', 'Registro de Pagos'), ('SEND_STATUS', 'Estado'),
+  ('SUPPLIER_NAME', 'Proveedor'), ('SUPPLIER_SITE', 'Sucursal')) t(code, meaning))
+"""
+
+
+def register_text_sql(lang: str = "US") -> str:
+    titles = US_TITLES if lang == "US" else ES_TITLES
+    return with_(ENTITIES, selection_sql(lang=lang)) + ", " + titles.strip() + REGISTER_BODY
+
+
+REGISTER_BODY = f"""
 , head AS (SELECT s.file_id, n.n_name, r.r_name, COUNT(*) AS n, SUM(s.amount) AS total
            FROM sel s JOIN nation n ON n.n_nationkey + 1 = s.payment_document_id
            JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY s.file_id, n.n_name, r.r_name),
@@ -185,6 +199,7 @@ reg AS (
   UNION ALL SELECT file_id, 11 + n, '  COUNT ' || lpad(CAST(n AS VARCHAR), 9, ' ') || repeat(' ', 87) || {_money('total')}
   FROM head)
 """
+REGISTER_TEXT = register_text_sql("US")
 
 FINAL1 = selection_sql(start="1996-01-01", end="1997-12-31", statuses=("NEW",), run_id="final-1", name="sel1")
 
@@ -331,6 +346,7 @@ SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-1',
     "delimited_lines": LINES + """
 SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-2', 'run-1-3')""",
     "register_text": REGISTER_TEXT + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",
+    "register_text_es": register_text_sql("ESA") + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",
     "mark_printed": with_(ENTITIES, FINAL1) + """
 SELECT check_id, 'PRINTED' AS status, 'final-1' AS run_id, TIMESTAMP '2014-04-25 09:09:17' AS event_ts FROM sel1
 """,

@@ -230,6 +230,13 @@ def register_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return register_job(Ctx(spark, sf_dir))
 
 
+def register_text_es(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-05 / FLT-14 / Q21: the same register in Spanish (titles and status meanings by one lang argument)."""
+    from .jobs import register_job
+    ctx = Ctx(spark, sf_dir)
+    return register_job(ctx, ctx.params.with_(lang="ESA"))
+
+
 FINAL_1 = dict(run_id="final-1", only_unsent="Y", process_type="FINAL", start_date="1996/01/01 00:00:00",
                end_date="1997/12/31 00:00:00")
 
@@ -418,6 +425,7 @@ QUERIES = {
     "fixed_width_lines": fixed_width_lines,
     "delimited_lines": delimited_lines,
     "register_text": register_text,
+    "register_text_es": register_text_es,
     "mark_printed": mark_printed,
     "current_status": current_status,
     "unsent_after_final": unsent_after_final,
