@@ -78,21 +78,26 @@ LEGACY_RULE = "-" * 35
 
 
 def legacy_register_text(selection: DataFrame, heading: DataFrame, totals: DataFrame,
-                         hot_rows: int | None = None, hot_files=None) -> DataFrame:
-    """RPT-06 / SNK-07: the G1 register layout (document sequence, check state, raw send status)."""
+                         hot_rows: int | None = None, hot_files=None, batch_mode: bool = False) -> DataFrame:
+    """RPT-06 / SNK-07: the G1 register layout (document sequence, check state, raw send status).
+
+    In batch mode the heading carries the batch name (``checkrun_name`` column of ``heading``).
+    """
+    batch = [cat(F.lit("CHECKRUN NAME     : "), F.col("checkrun_name"))] if batch_mode else []
     head = heading.join(totals.select("file_id"), "file_id").select(
         "file_id", F.posexplode(F.array(
             F.lit("Registro de Pagos "),
             cat(F.lit("BANK              : "), F.col("bank_name")),
             cat(F.lit("BANK ACCOUNT NAME : "), F.col("bank_account_name")),
             cat(F.lit("PAYMENT DOCUMENT  : "), F.col("payment_document_name")),
+            *batch,
             F.lit("  "),
             cat(F.lit("  "), F.rpad(F.lit("DOC SEQUENCE"), 12, " "), F.lit("  "), F.rpad(F.lit("CHECK DATE"), 15, " "),
                 F.lit("  "), F.rpad(F.lit("SUPPLIER NAME"), 50, " "), F.lit("  "), F.rpad(F.lit("VENDOR SITE"), 15, " "),
                 F.lit("  "), F.lpad(F.lit("AMOUNT"), 15, " "), F.lit("  "), F.rpad(F.lit("CHECK STATUS"), 15, " "),
                 F.lit("  "), F.rpad(F.lit("SEND STATUS"), 15, " "))
         )).alias("_i", "value")).select("file_id", (F.col("_i") + 1).cast("bigint").alias("line_no"), "value")
-    n_head = 6
+    n_head = 7 if batch_mode else 6
     det = sequence_within(selection, ["file_id"], ["doc_sequence_value", "check_id"], "_n", hot_rows, hot_files)
     det = det.select(
         "file_id", (F.col("_n") + n_head).alias("line_no"),

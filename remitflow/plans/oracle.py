@@ -442,6 +442,45 @@ reg AS (
   UNION ALL SELECT file_id, 8 + n, 'REPORT TOTAL     :' || {_money('total')} FROM head
   UNION ALL SELECT file_id, 9 + n, 'REPORT COUNT     :' || lpad(CAST(n AS VARCHAR), 15, ' ') FROM head)
 SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg
+""",
+    "legacy_register_batch": with_(ENTITIES) + f"""
+, batches AS (SELECT DISTINCT payment_document_id, checkrun_id FROM checks
+              WHERE payment_type_flag = 'A' AND CAST(check_date AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'),
+names AS (SELECT checkrun_id, arg_max(checkrun_name, check_id) AS checkrun_name FROM checks
+          WHERE payment_type_flag = 'A' AND checkrun_id IS NOT NULL GROUP BY checkrun_id),
+g1 AS (
+  SELECT 'run-1-' || CAST(c.payment_document_id AS VARCHAR) || '-' || CAST(b.checkrun_id AS VARCHAR) AS file_id,
+         b.checkrun_id AS batch, c.*, s.vendor_name, s.vendor_site_code,
+         CASE c.status_lookup_code WHEN 'NEGOTIABLE' THEN 'Negotiable' WHEN 'VOIDED' THEN 'Voided' END AS check_status
+  FROM batches b JOIN checks c ON c.payment_document_id = b.payment_document_id AND c.checkrun_id = b.checkrun_id
+  JOIN sites s ON s.vendor_site_id = c.vendor_site_id
+  WHERE CAST(c.check_date AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
+    AND c.amount >= 0 AND c.amount <= 99999999.99
+    AND c.payment_method_code = 'EFT' AND COALESCE(c.attribute14, 'NEW') = 'NEW' AND c.void_date IS NULL),
+head AS (SELECT g.file_id, n.n_name, r.r_name, nm.checkrun_name, COUNT(*) AS n, SUM(g.amount) AS total
+         FROM g1 g JOIN nation n ON n.n_nationkey + 1 = g.payment_document_id
+         JOIN region r ON r.r_regionkey = n.n_regionkey LEFT JOIN names nm ON nm.checkrun_id = g.batch
+         GROUP BY 1, 2, 3, 4),
+reg AS (
+  SELECT file_id, 1 AS line_no, 'Registro de Pagos ' AS value FROM head
+  UNION ALL SELECT file_id, 2, 'BANK              : ' || r_name || ' BANK' FROM head
+  UNION ALL SELECT file_id, 3, 'BANK ACCOUNT NAME : ' || n_name || ' OPERATING' FROM head
+  UNION ALL SELECT file_id, 4, 'PAYMENT DOCUMENT  : DOC ' || n_name FROM head
+  UNION ALL SELECT file_id, 5, 'CHECKRUN NAME     : ' || COALESCE(checkrun_name, '') FROM head
+  UNION ALL SELECT file_id, 6, '  ' FROM head
+  UNION ALL SELECT file_id, 7, '  ' || rpad('DOC SEQUENCE', 12, ' ') || '  ' || rpad('CHECK DATE', 15, ' ') || '  '
+      || rpad('SUPPLIER NAME', 50, ' ') || '  ' || rpad('VENDOR SITE', 15, ' ') || '  ' || lpad('AMOUNT', 15, ' ')
+      || '  ' || rpad('CHECK STATUS', 15, ' ') || '  ' || rpad('SEND STATUS', 15, ' ') FROM head
+  UNION ALL SELECT file_id, 7 + row_number() OVER (PARTITION BY file_id ORDER BY doc_sequence_value, check_id),
+      '  ' || lpad(CAST(COALESCE(doc_sequence_value, 0) AS VARCHAR), 12, ' ') || '  '
+      || rpad(strftime(check_date, '%d/%m/%Y'), 15, ' ') || '  ' || rpad(COALESCE(vendor_name, ' '), 50, ' ')
+      || '  ' || rpad(COALESCE(vendor_site_code, ' '), 15, ' ') || '  ' || {_money('amount')}
+      || '  ' || rpad(COALESCE(check_status, ' '), 15, ' ') || '  ' || rpad(COALESCE(attribute14, ' '), 15, ' ')
+  FROM g1
+  UNION ALL SELECT file_id, 8 + n, repeat('-', 35) FROM head
+  UNION ALL SELECT file_id, 9 + n, 'REPORT TOTAL     :' || {_money('total')} FROM head
+  UNION ALL SELECT file_id, 10 + n, 'REPORT COUNT     :' || lpad(CAST(n AS VARCHAR), 15, ' ') FROM head)
+SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg
 """,
     "dependent_lists": with_(ENTITIES) + """
 , b AS (SELECT payment_document_id, arg_max(checkrun_id, check_id) AS checkrun_id,

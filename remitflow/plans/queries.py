@@ -382,6 +382,37 @@ def legacy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return register.legacy_register_text(lines, heading, totals)
 
 
+def legacy_register_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT-06 / FLT-11 / JN-19: the G1 register per (document, automatic batch) — one file per batch,
+    requests derived from the payments, all planned in one job."""
+    from ..operators import register
+    from ..operators.selection import _ts, day_range
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    p = ctx.params.with_(only_unsent="Y")
+    c = ctx.checks
+    batches = c.where((F.col("payment_type_flag") == "A") & day_range(F.col("check_date"), _ts(p.start_date),
+                                                                      _ts(p.end_date))) \
+        .select("payment_document_id", "checkrun_id").distinct()
+    base = sel_ops.build_requests(ctx.docs, p)
+    req = base.join(batches, "payment_document_id").select(
+        F.concat_ws("-", F.col("file_id"), F.col("checkrun_id").cast("string")).alias("file_id"),
+        *[x for x in base.columns if x not in ("file_id", "req_checkrun_id")],
+        F.col("checkrun_id").alias("req_checkrun_id"))
+    sel = sel_ops.select_legacy(c, req, sel_ops.params_envelope(p), status="NEW")
+    totals = agg.amount_totals(sel, ["file_id"])
+    states = metadata.lookup_codes(spark).where(F.col("lookup_type") == "CHECK STATE").select(
+        F.col("lookup_code").alias("status_lookup_code"), F.col("displayed_field").alias("check_status"))
+    lines = sel.join(ctx.sites, "vendor_site_id").join(bounded_broadcast(states), "status_lookup_code")
+    bt = ctx.bank_tables()
+    chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"])
+    names = lookups.latest_batch_name(c).select(F.col("checkrun_id").alias("req_checkrun_id"), "checkrun_name")
+    heading = req.select("file_id", "payment_document_id", "req_checkrun_id").join(
+        chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name"),
+        "payment_document_id").join(names, "req_checkrun_id", "left")
+    return register.legacy_register_text(lines, heading, totals, batch_mode=True)
+
+
 def dependent_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-20/21/22 / FLT-17 / SRT-03: unit → account → active document → latest automatic batch."""
     from ..sources import metadata
@@ -437,6 +468,7 @@ QUERIES = {
     "dq_requests": dq_requests,
     "ingest_file_status": ingest_file_status,
     "legacy_register": legacy_register,
+    "legacy_register_batch": legacy_register_batch,
     "dependent_lists": dependent_lists,
     "check_amount_lookup": check_amount_lookup,
 }
