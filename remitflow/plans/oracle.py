@@ -341,6 +341,7 @@ FROM sel s JOIN docfmt df ON df.doc = s.payment_document_id JOIN parts p ON p.fo
     "seq_body": LINES + "SELECT file_id, check_id, seq1, seq3 FROM body3",
     "seq_detail": LINES + "SELECT file_id, check_id, invoice_id, seq1, seq2, seq3 FROM det",
     "line_numbers": LINES + "SELECT file_id, part, seq1, seq2, line_no FROM numbered",
+    "bank_file_lines": LINES + "SELECT file_id, part, line_no, value FROM numbered",
     "fixed_width_lines": LINES + """
 SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-1', 'run-1-4')""",
     "delimited_lines": LINES + """

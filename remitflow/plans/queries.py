@@ -453,6 +453,7 @@ QUERIES = {
     "seq_body": seq_body,
     "seq_detail": seq_detail,
     "line_numbers": line_numbers,
+    "bank_file_lines": bank_file_lines,
     "fixed_width_lines": fixed_width_lines,
     "delimited_lines": delimited_lines,
     "register_text": register_text,
