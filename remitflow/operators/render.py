@@ -242,6 +242,9 @@ def dynamic_values(spark: SparkSession, specs: list[FieldSpec], binds: dict,
     for sql, group in by_sql.items():
         q = run_keyed_query(spark, sql, binds)
         key = _key_of(q.columns)
+        if key and "ord" in q.columns:
+            # first row per key under the query's own order, compared in its own type
+            q = q.groupBy(*key).agg(F.min_by("value", "ord").alias("value"))
         items = []
         for s in group:
             text = typed_text(F.col("value"), s.data_type, s.format_model, legacy)

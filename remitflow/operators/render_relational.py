@@ -74,6 +74,8 @@ def dynamic_long(spark: SparkSession, fields: DataFrame, binds: dict,
         key = _key_of(q.columns)
         if not key:
             continue          # scalars are resolved by the caller
+        if "ord" in q.columns:
+            q = q.groupBy(*key).agg(F.min_by("value", "ord").alias("value"))
         items = []
         for r in rows:
             text = typed_text(F.col("value"), r["data_type"], r["format_model"], legacy)

@@ -67,3 +67,15 @@ def test_first_row_and_yes_no(spark):
     assert sorted((r.k, r.v) for r in first_row(df, ["k"], ["o"]).collect()) == [(1, "a"), (2, "e")]
     b = spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
     assert [r[0] for r in b.select(yes_no(F.col("b"))).collect()] == ["Y", "N", "N"]
+
+
+
+def test_keyed_query_first_row_uses_ord_in_its_type(spark):
+    from remitflow.operators.render import FieldSpec, dynamic_values
+    spark.createDataFrame([(1, "late", 10), (1, "early", 9), (2, "only", 1)],
+                          "check_id long, v string, o long").createOrReplaceTempView("kq_src")
+    spec = FieldSpec(7, 1, "FIXED_WIDTH", None, "BODY", 1, "DINAMIC", None, 5, "STRING", None, " ", "RIGTH", "Y",
+                     "SELECT check_id, v AS value, o AS ord FROM kq_src")
+    dyn = dynamic_values(spark, [spec], {})
+    got = {r.check_id: r.dyn_7 for r in dyn.frames[("check_id",)].collect()}
+    assert got == {1: "early", 2: "only"}
