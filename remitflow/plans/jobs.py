@@ -161,8 +161,11 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
     files.append_outcome(outcome, f"{out_path}/outcome")
     log = None
     if params.process_type == "FINAL":
-        written = run.lines.select("file_id").distinct()
-        sent = run.selection.join(written, "file_id", "left_semi")
+        # Files written = non-empty requests whose format renders at least one part; known from
+        # the snapshot and the layout, so the render plan is not executed a second time.
+        producing = sorted({f for part in ("HEADER", "BODY", "DETAIL", "TRAILER")
+                            for f in run.layout.formats_with(part)})
+        sent = run.selection.where(F.col("format_id").isin(producing))
         log = status.mark(sent, "PRINTED", params.run_id,
                           datetime.strptime(params.as_of, "%Y/%m/%d %H:%M:%S"), params.process_type)
         if status_log_path:
