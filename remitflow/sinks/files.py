@@ -29,6 +29,12 @@ def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str
     """
     eol = F.broadcast(formats.select("format_id", F.coalesce(F.col("end_of_line"), F.lit("LF")).alias("_eol")))
     tagged = lines.join(eol, "format_id", "left").withColumn("_eol", F.coalesce(F.col("_eol"), F.lit("LF")))
+    kinds = {r["_eol"] for r in formats.select(F.coalesce(F.col("end_of_line"), F.lit("LF")).alias("_eol"))
+             .distinct().limit(len(TERMINATORS) + 1).collect()}
+    if len(kinds & set(TERMINATORS)) > 1:
+        # One write per terminator class (the CSV writer has one lineSep per write); render once.
+        from ..session import materialize
+        tagged = materialize(tagged.select("file_id", "line_no", "value", "_eol"), "lines")
     out = []
     for name, sep in TERMINATORS.items():
         part = tagged.where(F.col("_eol") == name).select("file_id", "line_no", latin1(F.col("value")).alias("value"))
