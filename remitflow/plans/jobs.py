@@ -17,7 +17,7 @@ from ..operators import lookups, render
 from ..operators import selection as sel_ops
 from ..operators.sequences import hot_rows_of
 from ..schema import RunParams
-from ..session import materialize
+from ..session import drop_snapshot, materialize
 from ..sources.adapters import INVOICE_ORDER
 from .context import Ctx
 
@@ -82,13 +82,8 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
 
 def release(run: BankFileRun) -> None:
     """Delete the run's selection / paid-invoice snapshots from the checkpoint folder."""
-    spark = run.selection.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    folders = {f.rsplit("/", 1)[0] for df in (run.selection, run.paid) for f in df.inputFiles()}
-    for folder in folders:
-        p = jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(conf).delete(p, True)
+    for df in (run.selection, run.paid):
+        drop_snapshot(df)
 
 
 def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int | None = None):

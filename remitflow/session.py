@@ -94,3 +94,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_snapshot(df: DataFrame) -> None:
+    """Delete the folder(s) a ``materialize``d frame reads from (after its consumers have run)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(conf).delete(p, True)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import latin1
+from ..session import drop_snapshot, materialize
 
 TERMINATORS = {"LF": "\n", "CRLF": "\r\n"}
 
@@ -31,9 +32,9 @@ def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str
     tagged = lines.join(eol, "format_id", "left").withColumn("_eol", F.coalesce(F.col("_eol"), F.lit("LF")))
     kinds = {r["_eol"] for r in formats.select(F.coalesce(F.col("end_of_line"), F.lit("LF")).alias("_eol"))
              .distinct().limit(len(TERMINATORS) + 1).collect()}
-    if len(kinds & set(TERMINATORS)) > 1:
+    snapshot = len(kinds & set(TERMINATORS)) > 1
+    if snapshot:
         # One write per terminator class (the CSV writer has one lineSep per write); render once.
-        from ..session import materialize
         tagged = materialize(tagged.select("file_id", "line_no", "value", "_eol"), "lines")
     out = []
     for name, sep in TERMINATORS.items():
@@ -46,6 +47,8 @@ def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str
          .option("ignoreTrailingWhiteSpace", "false").option("escapeQuotes", "false")
          .csv(target))
         out.append(target)
+    if snapshot:
+        drop_snapshot(tagged)
     return out
 
 
