@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from remitflow.llm.bpe import op6_byte_level_bpe
 from remitflow.llm.packing import op8_best_fit_packing
 
-QUERIES = {f.__name__: f for f in (op8_best_fit_packing,)}
+QUERIES = {f.__name__: f for f in (op6_byte_level_bpe, op8_best_fit_packing)}
 
 #: None of the operators' rows can be expressed in SQL over whole tables; see tests/llm.
 ORACLE: dict[str, str] = {}
