@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from remitflow.llm.bpe import op6_byte_level_bpe
 from remitflow.llm.packing import op8_best_fit_packing
+from remitflow.llm.secrets import op7_secret_scans
 
-QUERIES = {f.__name__: f for f in (op6_byte_level_bpe, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op6_byte_level_bpe, op7_secret_scans, op8_best_fit_packing)}
 
 #: None of the operators' rows can be expressed in SQL over whole tables; see tests/llm.
 ORACLE: dict[str, str] = {}

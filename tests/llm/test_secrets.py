@@ -1,0 +1,76 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+from remitflow.llm.queries import QUERIES
+from remitflow.llm.secrets import PLACEHOLDER, base_spans, entropy_spans, joined, random_windows, redact, redacted_text, scan
+
+SF = "/root/testdata/sf0.001"
+PLAIN = [("assign", r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
+          r"""[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+         ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16)]
+
+
+def plain_base(text):
+    found = []
+    for k, (kind, pattern, group, least) in enumerate(PLAIN):
+        found += [(m.start(), k, m.end(), kind) for m in re.finditer(pattern, text) if len(m.group(group)) >= least]
+    return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found))
+
+
+def plain_windows(s, w, bits):
+    covered = set()
+    for i in range(len(s) - w + 1):
+        h = -sum(c / w * math.log2(c / w) for c in Counter(s[i:i + w]).values())
+        if h >= bits - 1e-9:
+            covered.update(range(i, i + w))
+    return covered
+
+
+def test_base_spans_against_the_patterns():
+    rng = random.Random(4)
+    bits = ["token", "PassWord", "api_key", "apikey", "secret", "passwd", ": ", "=", " ", '"', "'", "abcdefghijkl", "deadbeefdeadbeef",
+            "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef0", "x", "ſecret", "toKen", "é", "\n", "."]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        assert joined(base_spans(text)) == plain_base(text), text
+
+
+def test_windows_by_incremental_counts():
+    rng = random.Random(5)
+    for _ in range(200):
+        s = "".join(rng.choice("abcdef0123456789"[:rng.randint(1, 16)]) for _ in range(rng.randint(0, 90)))
+        spans = random_windows(s, 12, 2.8)
+        assert {i for a, b in spans for i in range(a, b)} == plain_windows(s, 12, 2.8)
+        assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_allowed_strings_stay():
+    assert not entropy_spans("anordinarylongwordwithoutanyspacesinit and 0123456789-0123456789-0123456789 ====================================")
+    assert entropy_spans("x Zk9vQ2xT8mPfR4wYb7Hc1NdJ5sLe0GuA z") == [(2, 34, "entropy")]
+    assert redacted_text("a token=abcdefghijklmnop b") == f"a {PLACEHOLDER} b"
+
+
+def test_query_against_the_patterns(spark):
+    got = {r.doc_id: r for r in QUERIES["op7_secret_scans"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(docs)
+    for d, text in docs:
+        want, r = plain_base(text or ""), got[d]
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(x.startswith(k) for x in want.split(",")) for k in ("assign", "access", "hex")]
+        assert set(filter(None, want.split(","))) <= set(r.spans.split(","))
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame([(1, None, "s"), (2, "", "s"), (None, "token: abcdefghijklmnop", "s"), (2, "", "s"),
+                                (3, "deadbeefdeadbeef " * 20000, "s")], "doc_id long, text string, spans string")
+    rows = scan(df).collect()
+    assert len(rows) == 5
+    assert sum(r.n_hex for r in rows) == 20000 and sum(r.n_assign for r in rows) == 1
+    assert {r.spans for r in rows if r.doc_id in (1, 2)} == {""}
+    out = redact(df).collect()
+    assert [r.text for r in out][:4] == [None, "", PLACEHOLDER, ""] and out[0].spans == "s"
+    assert scan(df.where("false")).count() == 0
