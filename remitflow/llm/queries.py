@@ -5,9 +5,10 @@ from __future__ import annotations
 from remitflow.llm.bpe import op6_byte_level_bpe
 from remitflow.llm.language_id import op1_language_id
 from remitflow.llm.packing import op8_best_fit_packing
+from remitflow.llm.quality import op5_quality_classifier
 from remitflow.llm.secrets import op7_secret_scans
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op6_byte_level_bpe, op7_secret_scans, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op5_quality_classifier, op6_byte_level_bpe, op7_secret_scans, op8_best_fit_packing)}
 
 #: None of the operators' rows can be expressed in SQL over whole tables; see tests/llm.
 ORACLE: dict[str, str] = {}
