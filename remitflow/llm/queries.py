@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from remitflow.llm.bpe import op6_byte_level_bpe
 from remitflow.llm.language_id import op1_language_id
+from remitflow.llm.line_dedup import OP4_SQL, op4_line_dedup
 from remitflow.llm.packing import op8_best_fit_packing
 from remitflow.llm.quality import op5_quality_classifier
 from remitflow.llm.secrets import op7_secret_scans
 from remitflow.llm.simhash import op2_simhash_near_dedup
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op5_quality_classifier, op6_byte_level_bpe, op7_secret_scans, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op4_line_dedup, op5_quality_classifier, op6_byte_level_bpe, op7_secret_scans, op8_best_fit_packing)}
 
-#: None of the operators' rows can be expressed in SQL over whole tables; see tests/llm.
-ORACLE: dict[str, str] = {}
+#: DuckDB SQL where it can express a query over whole tables; the others are tested in tests/llm.
+ORACLE: dict[str, str] = {"op4_line_dedup": OP4_SQL}
