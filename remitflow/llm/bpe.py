@@ -2,12 +2,8 @@
 
 A text is split by the tokenizer's pattern.  The distinct pieces of a slice of the corpus that a
 worker has not met before are encoded together (``merge_replay``): an inverted index from token pair
-to positions applies every merge in rank order.  The ids of each piece are then looked up per text,
-hashed, and decoded again.
-
-Two steps keep the pattern off the frequent path without changing its matches: a text is first cut
-into white-space runs and words with the one space before them, which no match of the pattern
-crosses, and the pattern itself runs on distinct words only.
+to positions applies every merge in rank order.  Their ids are decoded again by the vocabulary.  A
+text is then put together from its pieces, once as ids and once as decoded bytes, and hashed.
 
 Null texts are empty: no ids, both hashes those of the empty string.  Every row gives one row.
 """
@@ -16,9 +12,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,70 +27,62 @@ from remitflow.llm.common import column_or_empty, documents, text_slices
 from remitflow.llm.merge_replay import Merges, replay
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-# Unicode White_Space; Python's own \s would add U+001C to U+001F.
-_SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + f"{chr(0x2000)}-{chr(0x200A)}"
-_UNITS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-KNOWN_UNITS = 400_000
+#: Pieces a worker remembers before it starts anew.
+KNOWN_PIECES = 500_000
 _SLICE_BYTES = 8 << 20
 
 
 class ByteBpe:
+    """Ids and decoded bytes of texts.  Per piece it keeps two byte strings, the ids in decimal, a
+    space after each, and what they decode to; no containers, which would keep the collector busy."""
+
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.token = [b""] * (max(self.ranks.values()) + 1)
         for word, i in self.ranks.items():
             self.token[i] = word
+        self._decimal = [b"%d " % i for i in range(len(self.token))]
+        self._token_size, self._decimal_size = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (self.token, self._decimal))
         self._bytes = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self._merges = Merges.from_ranks(self.ranks)
-        self._pattern = regex.compile(pattern)
-        self._pieces: dict[str, list[int]] = {}
-        self._units: dict[str, tuple[bytes, bytes, int]] = {}
+        self._findall = regex.compile(pattern).findall
+        self._ids: dict[str, bytes] = {}
+        self._decoded: dict[str, bytes] = {}
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
         raw = [p.encode() for p in pieces]
-        rest = []
-        for p, b in zip(pieces, raw):
-            whole = self.ranks.get(b)  # a piece that is a token needs no merges
-            if whole is None:
-                rest.append((p, b))
-            else:
-                self._pieces[p] = [whole]
-        if not rest:
-            return
-        flat = self._bytes[np.frombuffer(b"".join(b for _, b in rest), dtype=np.uint8)]
-        starts = np.concatenate(([0], np.cumsum([len(b) for _, b in rest])))
-        ids, starts = replay(flat, starts, self._merges)
-        ids, starts = ids.tolist(), starts.tolist()
-        for k, (p, _) in enumerate(rest):
-            self._pieces[p] = ids[starts[k]:starts[k + 1]]
-
-    def _learn_units(self, units: list[str]) -> None:
-        """For each unit: its ids in decimal, the bytes they decode to, and their number."""
-        split = {u: self._pattern.findall(u) for u in units}
-        self._learn_pieces([p for p in dict.fromkeys(p for ps in split.values() for p in ps) if p not in self._pieces])
-        token, pieces = self.token, self._pieces
-        for u, ps in split.items():
-            ids = pieces[ps[0]] if len(ps) == 1 else [i for p in ps for i in pieces[p]]
-            self._units[u] = (" ".join(map(str, ids)).encode(), b"".join([token[i] for i in ids]), len(ids))
-
-    def slices(self, texts: list[str]) -> Iterator[list[tuple[bytes, bytes, int]]]:
-        """Per text, the learnt units in order."""
-        if len(self._units) > KNOWN_UNITS:
-            self._units.clear()
-        if len(self._pieces) > KNOWN_UNITS:
-            self._pieces.clear()
-        new: set[str] = set()
-        for t in texts:
-            new.update(_UNITS.findall(t))
-        if new := [u for u in new if u not in self._units]:
-            self._learn_units(new)
-        get = self._units.__getitem__
-        for t in texts:
-            yield list(map(get, _UNITS.findall(t)))
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        ids, starts = replay(self._bytes[np.frombuffer(b"".join(raw), dtype=np.uint8)], np.concatenate(([0], np.cumsum(sizes))), self._merges)
+        whole = np.fromiter(map(self.ranks.get, raw, repeat(-1)), dtype=np.int64, count=len(raw))
+        for k in np.flatnonzero((whole >= 0) & (np.diff(starts) > 1)).tolist():  # a piece that is a token needs no merges
+            ids[starts[k]] = whole[k]
+            ids[starts[k] + 1:starts[k + 1]] = -1
+        kept = np.concatenate(([0], np.cumsum(ids >= 0)))
+        ids, starts = ids[ids >= 0], kept[starts]
+        listed = ids.tolist()
+        for known, table, size in ((self._ids, self._decimal, self._decimal_size), (self._decoded, self.token, self._token_size)):
+            joined = b"".join(map(table.__getitem__, listed))
+            cuts = np.concatenate(([0], np.cumsum(size[ids])))[starts].tolist()
+            known.update(zip(pieces, map(joined.__getitem__, map(slice, cuts, cuts[1:]))))
+
+    def encode_bytes(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Per text: its ids in decimal, a space after each, and the bytes they decode to."""
+        if len(self._ids) > KNOWN_PIECES:
+            self._ids.clear()
+            self._decoded.clear()
+        split = [self._findall(t) for t in texts]
+        found: set[str] = set()
+        for pieces in split:
+            found.update(pieces)
+        if new := [p for p in found if p not in self._ids]:
+            self._learn(new)
+        ids, decoded = self._ids.__getitem__, self._decoded.__getitem__
+        for pieces in split:
+            yield b"".join(map(ids, pieces)), b"".join(map(decoded, pieces))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [[int(i) for ids, _, _ in units for i in ids.split()] for units in self.slices(texts)]
+        return [list(map(int, ids.split())) for ids, _ in self.encode_bytes(texts)]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.token[i] for i in ids])
@@ -114,11 +102,10 @@ def encoded_digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         bpe = byte_bpe(vocabulary)
         for part in text_slices(batches, "text", _SLICE_BYTES):
             counts, ids, decoded = [], [], []
-            for units in bpe.slices(column_or_empty(part.column("text"))):
-                a, b, n = zip(*units) if units else ((), (), ())
-                counts.append(sum(n))
-                ids.append(hashlib.sha256(b" ".join(a)).hexdigest())
-                decoded.append(hashlib.sha256(b"".join(b)).hexdigest())
+            for a, b in bpe.encode_bytes(column_or_empty(part.column("text"))):
+                counts.append(a.count(b" "))
+                ids.append(hashlib.sha256(a[:-1]).hexdigest())
+                decoded.append(hashlib.sha256(b).hexdigest())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)],
                                              schema=schema)
 
