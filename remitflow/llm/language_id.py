@@ -180,6 +180,18 @@ def language_of(docs: DataFrame, model: LanguageModel, *keep: str) -> DataFrame:
     return kept.mapInArrow(predict, schema)
 
 
+def of_known_language(docs: DataFrame, model: LanguageModel, least: float) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose language is found with a score of ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text", _SLICE_BYTES):
+            names, scores = shared.value.predict(column_or_empty(part.column("text")))
+            yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(column: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
     """Whether a row is kept from learning; a row without an id is."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % parts == part, F.lit(True))

@@ -68,14 +68,16 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed 64-bit number) of every row."""
+    """doc_id, version (a hash of the text), fp (the fingerprint as a signed 64-bit number) of every row."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text", _SLICE_BYTES):
             fps = [fingerprint(shingle_hashes(t, size, seed)) for t in column_or_empty(part.column("text"))]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("version"), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))],
+                                             ["doc_id", "version", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(mark, "doc_id long, fp long")
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), F.col("text").cast("string"))
+    return keyed.mapInArrow(mark, "doc_id long, version long, fp long")
 
 
 def _tile() -> Column:
@@ -160,7 +162,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) ->
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """doc_id, fp, component_id of every row."""
+    """doc_id, version, fp, component_id of every row."""
     rows = stored(fingerprints(docs, size), "fingerprints")
     nodes = stored(rows.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     found = components(links(nodes, radius, tile_rows), "a", "b", "simhash").select(F.col("node").alias("fp"), "root")
@@ -168,7 +170,17 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = named.join(names, "root").select("fp", "component_id")
     return (rows.join(by_fp, "fp", "left")
-            .select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+            .select("doc_id", "version", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the document that names it, once; rows
+    without a doc_id all stay."""
+    found = near_duplicates(docs, size, radius).where("doc_id = component_id")
+    stay = found.groupBy("doc_id").agg(F.min("version").alias("version")).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
+    known = docs.where("doc_id IS NOT NULL").withColumns({"_id": F.col("doc_id").cast("long"), "_version": F.xxhash64("text")})
+    kept = known.join(stay, ["_id", "_version"], "left_semi").dropDuplicates(["_id", "_version"])
+    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
