@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks.files import known_terminator
+
 OUT = ("check_name", "key", "detail")
 
 
@@ -16,7 +18,7 @@ def _rows(df: DataFrame, name: str, key, detail) -> DataFrame:
 def request_checks(requests: DataFrame, totals: DataFrame, formats: DataFrame) -> DataFrame:
     """DQ-01 empty selection (no file is produced) and DQ-03 missing / unknown / disabled format."""
     r = requests.select("file_id", "format_id").join(totals.select("file_id", "trx_lines"), "file_id", "left") \
-        .join(F.broadcast(formats.select("format_id", "enable_flag")), "format_id", "left")
+        .join(F.broadcast(formats.select("format_id", "enable_flag", "end_of_line")), "format_id", "left")
     empty = _rows(r.where(F.col("trx_lines").isNull()), "DQ-01 empty selection", F.col("file_id"),
                   F.lit("Warning : Parameters did not retrieve any data"))
     fmt = _rows(r.where(F.col("trx_lines").isNotNull() & (F.col("format_id").isNull()
@@ -24,7 +26,15 @@ def request_checks(requests: DataFrame, totals: DataFrame, formats: DataFrame) -
                                                          | (F.col("enable_flag") != "Y"))),
                 "DQ-03 format not usable", F.col("file_id"),
                 F.concat(F.lit("format "), F.coalesce(F.col("format_id").cast("string"), F.lit("none"))))
-    return empty.unionByName(fmt)
+    eol = _rows(r.where(F.col("trx_lines").isNotNull() & (F.col("enable_flag") == "Y") & ~known_terminator()),
+                "DQ-03 format not usable", F.col("file_id"),
+                F.concat(F.lit("line terminator "), F.col("end_of_line")))
+    return empty.unionByName(fmt).unionByName(eol)
+
+
+def usable_formats(formats: DataFrame) -> DataFrame:
+    """``formats`` with those of an unknown line terminator disabled: they render no line."""
+    return formats.withColumn("enable_flag", F.when(known_terminator(), F.col("enable_flag")).otherwise(F.lit("N")))
 
 
 def required_parameters(requests: DataFrame, required=("payment_document_id", "start_ts", "end_ts")) -> DataFrame:

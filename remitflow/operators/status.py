@@ -10,13 +10,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import ntz
 from ..schema import FINAL, GRANT_VALUE_SET
+from ..sinks.files import folder_exists
 from .lookups import granted_users
 
+# The messages of a refused reset.
+NO_ACCESS = "User Does not have Access"
+AMBIGUOUS_ACCESS = "Contac Payables Setup Administator for Help"
+
 
 def mark(selection: DataFrame, status: str, run_id: str, event_ts: datetime, process_type: str = FINAL) -> DataFrame:
     """DML-01 / DML-07: log rows for every selected payment; a DRAFT run logs nothing."""
@@ -52,8 +57,8 @@ def grant_outcome(values: DataFrame, users: DataFrame, user_ids: DataFrame, as_o
     return o.select(
         "user_id", "n_grants",
         F.when(F.col("n_grants") == 1, F.lit("0")).otherwise(F.lit("1")).alias("retcode"),
-        F.when(F.col("n_grants") == 0, F.lit("User Does not have Access"))
-        .when(F.col("n_grants") > 1, F.lit("Contac Payables Setup Administator for Help"))
+        F.when(F.col("n_grants") == 0, F.lit(NO_ACCESS))
+        .when(F.col("n_grants") > 1, F.lit(AMBIGUOUS_ACCESS))
         .alias("errbuf"),
     )
 
@@ -73,6 +78,26 @@ def unlock(selection: DataFrame, values: DataFrame, users: DataFrame, user_id: i
                       ntz(event_ts).alias("event_ts"))
 
 
+LOG_SCHEMA = "check_id long, status string, event_ts timestamp_ntz, run_id string"
+
+
+def read_log(spark: SparkSession, path: str, without_run: str | None = None) -> DataFrame | None:
+    """The written status log, or None before the first run.
+
+    ``without_run`` leaves out a run's own rows: a rerun of a run that failed half-way sees what
+    the first attempt saw, and makes the same files.
+    """
+    if not folder_exists(spark, path):
+        return None
+    log = spark.read.schema(LOG_SCHEMA).parquet(path)
+    return log if without_run is None else log.where(F.col("run_id") != without_run)
+
+
+def append_log(rows: DataFrame, path: str) -> None:
+    """Write a run's rows under its own ``run_id`` folder: a rerun replaces them."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
 def rows_updated(log_rows: DataFrame, selection: DataFrame) -> DataFrame:
     """AGG-11: changed rows per file."""
     return selection.select("file_id", "check_id").join(log_rows.select("check_id"), "check_id") \

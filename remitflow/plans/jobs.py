@@ -8,16 +8,18 @@ re-evaluated it six times per final run, quirk Q24).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
-from ..operators import lookups, render
+from ..operators import lookups, quality, render, status
 from ..operators import selection as sel_ops
 from ..operators.sequences import hot_rows_of
 from ..schema import RunParams
 from ..session import drop_snapshot, materialize
+from ..sinks import files
 from ..sources.adapters import INVOICE_ORDER
 from .context import Ctx
 
@@ -33,9 +35,11 @@ class BankFileRun:
 
 
 def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
-                  hot_rows: int | None = None, renderer: str = "auto") -> BankFileRun:
+                  hot_rows: int | None = None, renderer: str = "auto", log: DataFrame | None = None) -> BankFileRun:
     """Select, snapshot and render every requested file.
 
+    ``log``: the status log of earlier runs; a payment's latest entry overrides its own status.
+
     ``renderer``: ``compiled`` (layout collected and compiled into expressions),
     ``relational`` (lines ⋈ layout rows, nothing collected) or ``auto`` —
     compiled unless the layout exceeds the compiled renderer's row bound.
@@ -43,7 +47,9 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     params = params or ctx.params
     spark = ctx.spark
     hot_rows = hot_rows if hot_rows is not None else hot_rows_of(spark)
-    requests, selection = sel_ops.run_selection(spark, ctx.checks, ctx.sites, ctx.values, ctx.docs, params, doc_ids)
+    checks = status.current_checks(ctx.checks, log)
+    formats = quality.usable_formats(ctx.formats)
+    requests, selection = sel_ops.run_selection(spark, checks, ctx.sites, ctx.values, ctx.docs, params, doc_ids)
     # One snapshot of the selection and of its paid invoices feeds the file, the
     # register and the status log (the reference re-read them six times, Q24).
     selection = materialize(selection, "selection")
@@ -62,7 +68,7 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     layout = None
     if renderer in ("auto", "compiled"):
         try:
-            layout = render.Layout.load(ctx.formats, ctx.fields)
+            layout = render.Layout.load(formats, ctx.fields)
         except render.LayoutTooLarge:
             if renderer == "compiled":
                 raise
@@ -73,8 +79,8 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
                                     hot_checks=hot_checks)
     else:
         from ..operators.render_relational import PartsIndex, render_relational
-        layout = PartsIndex.load(ctx.formats, ctx.fields)
-        lines = render_relational(spark, requests, selection, paid, totals, ctx.formats, ctx.fields, binds,
+        layout = PartsIndex.load(formats, ctx.fields)
+        lines = render_relational(spark, requests, selection, paid, totals, formats, ctx.fields, binds,
                                   list(INVOICE_ORDER), legacy=params.legacy, hot_rows=hot_rows,
                                   hot_files=hot_files, hot_checks=hot_checks)
     return BankFileRun(requests, selection, paid, totals, layout, lines)
@@ -136,21 +142,20 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
              release_snapshots: bool = True) -> MainResult:
     """MAIN: select → render → write bank files → register text → run outcome → (FINAL) status log.
 
-    The status log is appended only after the files and the register are
-    written (Q38/Q39 fixed: nothing is marked sent unless it is in a written
-    file; a request with an unusable format produces no file and no log rows).
+    The selection sees the written status log, so a payment sent by an earlier FINAL run is not
+    sent again; rows of this run's own id are left out, so a rerun makes the same files.  The log is
+    written only after the files and the register (Q38/Q39 fixed: nothing is marked sent unless
+    it is in a written file; a request with an unusable format produces no file and no log rows).
     """
-    from datetime import datetime
-
-    from ..operators import quality, status
-    from ..sinks import files
-
     params = params or ctx.params
-    run = bank_file_job(ctx, params, doc_ids, hot_rows)
-    folders = files.write_bank_files(run.lines, ctx.formats, f"{out_path}/files")
+    spark = ctx.spark
+    earlier = status.read_log(spark, status_log_path, params.run_id) if status_log_path else None
+    run = bank_file_job(ctx, params, doc_ids, hot_rows, log=earlier)
+    lines = materialize(run.lines.select("file_id", "format_id", "line_no", "value"), "lines")  # rendered once: written, and checked
+    folder = files.write_bank_files(lines, ctx.formats, f"{out_path}/files", requests=run.requests)
     reg = register_job(ctx, params, selection=run.selection, requests=run.requests, hot_rows=hot_rows)
     reg_path = files.write_text(reg, f"{out_path}/register")
-    dq = quality.request_checks(run.requests, run.totals, ctx.formats)
+    dq = quality.request_checks(run.requests, run.totals, ctx.formats).unionByName(files.control_characters(lines))
     names = file_names(ctx, run.requests).select("file_id", "file_name", "file_extension")
     outcome = files.run_outcome(run.requests, run.totals, dq).join(names, "file_id", "left")
     files.append_outcome(outcome, f"{out_path}/outcome")
@@ -161,14 +166,41 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
         producing = sorted({f for part in ("HEADER", "BODY", "DETAIL", "TRAILER")
                             for f in run.layout.formats_with(part)})
         sent = run.selection.where(F.col("format_id").isin(producing))
-        log = status.mark(sent, "PRINTED", params.run_id,
-                          datetime.strptime(params.as_of, "%Y/%m/%d %H:%M:%S"), params.process_type)
+        log = status.mark(sent, "PRINTED", params.run_id, _moment(params.as_of), params.process_type)
         if status_log_path:
-            log.write.mode("append").parquet(status_log_path)
-            log = log.sparkSession.read.parquet(status_log_path).where(F.col("run_id") == params.run_id)
+            status.append_log(log, status_log_path)
+            log = spark.read.schema(status.LOG_SCHEMA).parquet(status_log_path).where(F.col("run_id") == params.run_id)
+    drop_snapshot(lines)
     if release_snapshots:
         release(run)
-    return MainResult(run, folders, reg_path, outcome, log)
+    return MainResult(run, [folder], reg_path, outcome, log)
+
+
+def _moment(text: str) -> datetime:
+    return datetime.strptime(text, "%Y/%m/%d %H:%M:%S")
+
+
+def unlock_job(ctx: Ctx, params: RunParams, users: DataFrame, status_log_path: str, doc_ids=None) -> DataFrame:
+    """UNLOCK: reset the payments that the request selects to ``params.set_status`` (NEW if not given).
+
+    Allowed to a user with exactly one grant.  Sent and unsent payments are selected alike (Q10), as the
+    status log has them.  Returns one row per request: retcode, errbuf, rows_updated.
+    """
+    spark = ctx.spark
+    p = params.with_(only_unsent="N")
+    checks = status.current_checks(ctx.checks, status.read_log(spark, status_log_path, p.run_id))
+    requests, selection = sel_ops.run_selection(spark, checks, ctx.sites, ctx.values, ctx.docs, p, doc_ids)
+    selection = materialize(selection.select("file_id", "check_id"), "unlock")
+    rows = status.unlock(selection, ctx.values, users, p.user_id, p.set_status or "NEW", p.run_id, _moment(p.as_of))
+    status.append_log(rows, status_log_path)
+    written = spark.read.schema(status.LOG_SCHEMA).parquet(status_log_path).where(F.col("run_id") == p.run_id)
+    me = spark.createDataFrame([(p.user_id,)], "user_id long")
+    grant = status.grant_outcome(ctx.values, users, me, _moment(p.as_of)).select("retcode", "errbuf")
+    out = materialize(requests.select("run_id", "file_id").join(status.rows_updated(written, selection), "file_id", "left")
+                      .crossJoin(F.broadcast(grant))  # one row
+                      .select("run_id", "file_id", "retcode", "errbuf", F.coalesce("rows_updated", F.lit(0)).alias("rows_updated")), "unlock-outcome")
+    drop_snapshot(selection)
+    return out
 
 
 def file_names(ctx: Ctx, requests: DataFrame) -> DataFrame:

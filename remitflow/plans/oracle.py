@@ -19,10 +19,10 @@ checks AS (
          CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS checkrun_id,
          'PAYRUN ' || strftime(o_orderdate, '%Y-%m-%d') AS checkrun_name,
          CASE WHEN day(o_orderdate) = 31 THEN 'VOIDED' ELSE 'NEGOTIABLE' END AS status_lookup_code,
-         CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) = 5 THEN 'PARAGUAY CITI' ELSE 'EL SALVADOR' END AS attribute_category,
-         CASE WHEN o_totalprice > 250000 THEN 'BEN' END AS attribute12,
+         CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) = 5 THEN 'EXPRESS' ELSE 'STANDARD' END AS attribute_category,
+         CASE WHEN o_totalprice > 250000 THEN 'PAYEE' END AS attribute12,
          CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) = 5
-              THEN CASE WHEN o_orderstatus = 'O' THEN 'X' ELSE 'N' END END AS attribute13,
+              THEN CASE WHEN o_orderstatus = 'O' THEN 'X' ELSE 'OPEN' END END AS attribute13,
          CASE o_orderstatus WHEN 'P' THEN 'NEW' WHEN 'F' THEN 'PRINTED' END AS attribute14,
          CASE WHEN day(o_orderdate) = 31 THEN o_orderdate + INTERVAL 1 DAY END AS void_date
   FROM orders),
@@ -372,32 +372,32 @@ FROM ng
 """,
     "flex_project": with_(ENTITIES) + """
 SELECT check_id, attribute_category,
-  CASE WHEN attribute_category = 'EL SALVADOR' THEN attribute14 END AS xx_status_check,
-  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN '000' END AS citibank_tdm,
-  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN 'No' END AS priority_flag,
-  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN COALESCE(attribute12, 'OUR') END AS charges_indicator_citi,
-  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN COALESCE(attribute13, 'N') END AS confidential,
-  CASE WHEN attribute_category = 'PARAGUAY CITI' THEN attribute14 END AS nro_de_solicitud,
-  CAST(NULL AS VARCHAR) AS fecha_de_proceso
+  CASE WHEN attribute_category = 'STANDARD' THEN attribute14 END AS send_mark,
+  CASE WHEN attribute_category = 'EXPRESS' THEN 'K2' END AS handling_class,
+  CASE WHEN attribute_category = 'EXPRESS' THEN 'MAYBE' END AS same_day,
+  CASE WHEN attribute_category = 'EXPRESS' THEN COALESCE(attribute12, 'PAYER') END AS fee_bearer,
+  CASE WHEN attribute_category = 'EXPRESS' THEN COALESCE(attribute13, 'OPEN') END AS visibility,
+  CASE WHEN attribute_category = 'EXPRESS' THEN attribute14 END AS ticket,
+  CAST(NULL AS VARCHAR) AS booked_on
 FROM checks
 """,
     "flex_unpivot": with_(ENTITIES) + """
-SELECT check_id, 'EL SALVADOR' AS context_code, 'XX_STATUS_CHECK' AS segment, 'ATTRIBUTE14' AS application_column_name,
+SELECT check_id, 'STANDARD' AS context_code, 'Send Mark' AS segment, 'ATTRIBUTE14' AS application_column_name,
        attribute14 AS value, 'XX_EFT_STATUS_CHECK' AS value_set_name
-FROM checks WHERE attribute_category = 'EL SALVADOR' AND attribute14 IS NOT NULL
-UNION ALL SELECT check_id, 'PARAGUAY CITI', 'Charges Indicator (Citi)', 'ATTRIBUTE12', attribute12, 'XX_AP_PY_CITI_CHI_VS'
-FROM checks WHERE attribute_category = 'PARAGUAY CITI' AND attribute12 IS NOT NULL
-UNION ALL SELECT check_id, 'PARAGUAY CITI', 'Confidential', 'ATTRIBUTE13', attribute13, 'XX_AP_PY_CITI_CON_VS'
-FROM checks WHERE attribute_category = 'PARAGUAY CITI' AND attribute13 IS NOT NULL
-UNION ALL SELECT check_id, 'PARAGUAY CITI', 'Nro de solicitud', 'ATTRIBUTE14', attribute14, NULL
-FROM checks WHERE attribute_category = 'PARAGUAY CITI' AND attribute14 IS NOT NULL
+FROM checks WHERE attribute_category = 'STANDARD' AND attribute14 IS NOT NULL
+UNION ALL SELECT check_id, 'EXPRESS', 'Fee Bearer', 'ATTRIBUTE12', attribute12, 'FEE_BEARERS'
+FROM checks WHERE attribute_category = 'EXPRESS' AND attribute12 IS NOT NULL
+UNION ALL SELECT check_id, 'EXPRESS', 'Visibility', 'ATTRIBUTE13', attribute13, 'VISIBILITY_LEVELS'
+FROM checks WHERE attribute_category = 'EXPRESS' AND attribute13 IS NOT NULL
+UNION ALL SELECT check_id, 'EXPRESS', 'Ticket', 'ATTRIBUTE14', attribute14, NULL
+FROM checks WHERE attribute_category = 'EXPRESS' AND attribute14 IS NOT NULL
 """,
     "dq_flex_domain": with_(ENTITIES) + """
-SELECT 'DQ-05 value outside value set' AS check_name, CAST(check_id AS VARCHAR) AS key, 'Priority_Flag=No' AS detail
-FROM checks WHERE attribute_category = 'PARAGUAY CITI'
+SELECT 'DQ-05 value outside value set' AS check_name, CAST(check_id AS VARCHAR) AS key, 'Same Day=MAYBE' AS detail
+FROM checks WHERE attribute_category = 'EXPRESS'
 UNION ALL
-SELECT 'DQ-05 value outside value set', CAST(check_id AS VARCHAR), 'Confidential=' || COALESCE(attribute13, 'N')
-FROM checks WHERE attribute_category = 'PARAGUAY CITI' AND COALESCE(attribute13, 'N') NOT IN ('C', 'N', 'S')
+SELECT 'DQ-05 value outside value set', CAST(check_id AS VARCHAR), 'Visibility=' || COALESCE(attribute13, 'OPEN')
+FROM checks WHERE attribute_category = 'EXPRESS' AND COALESCE(attribute13, 'OPEN') NOT IN ('OPEN', 'SEALED', 'TEAM')
 """,
     "dq_requests": BASE + """
 SELECT 'DQ-01 empty selection' AS check_name, 'run-1-' || CAST(d.payment_document_id AS VARCHAR) AS key,

@@ -8,48 +8,67 @@ is split across many ordered part files (consumers concatenate the parts of a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import latin1
-from ..session import drop_snapshot, materialize
 
+# What ends a line, by the format's code; no code means LF.
 TERMINATORS = {"LF": "\n", "CRLF": "\r\n"}
+_CONTROL = "[\\x00-\\x1F\\x7F]"
+
+
+def terminator_code(column: str = "end_of_line") -> Column:
+    return F.coalesce(F.col(column), F.lit("LF"))
+
+
+def known_terminator(column: str = "end_of_line") -> Column:
+    return terminator_code(column).isin(list(TERMINATORS))
 
 
 def _ordered(lines: DataFrame) -> DataFrame:
     return lines.repartitionByRange("file_id", "line_no").sortWithinPartitions("file_id", "line_no")
 
 
-def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str = "overwrite") -> list[str]:
-    """SNK-01/02/03: (file_id, format_id, line_no, value) → ``path/<eol>/file_id=<id>/part-*``.
+def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str = "overwrite",
+                     requests: DataFrame | None = None) -> str:
+    """SNK-01/02/03: (file_id, format_id, line_no, value) → ``path/file_id=<id>/part-*``.
 
-    The CSV writer is used as a raw line writer because it honours
-    ``encoding``; one write per terminator class.  Overwrites are dynamic: a
-    rerun replaces only its own ``file_id`` folders.  Returns the written folders.
+    The text writer writes a string's bytes as they are, so a line is its ISO-8859-1 bytes; it ends
+    lines with LF, and the carriage return of a CRLF format is the line's last byte.  Empty lines,
+    quotes, ``#`` and blanks come out unchanged.  Overwrites are dynamic: a rerun replaces its own
+    ``file_id`` folders, and the folders of ``requests`` that have no line now are removed.  A format
+    with another terminator code is not written; ``quality.request_checks`` reports it.
     """
-    eol = F.broadcast(formats.select("format_id", F.coalesce(F.col("end_of_line"), F.lit("LF")).alias("_eol")))
-    tagged = lines.join(eol, "format_id", "left").withColumn("_eol", F.coalesce(F.col("_eol"), F.lit("LF")))
-    kinds = {r["_eol"] for r in formats.select(F.coalesce(F.col("end_of_line"), F.lit("LF")).alias("_eol"))
-             .distinct().limit(len(TERMINATORS) + 1).collect()}
-    snapshot = len(kinds & set(TERMINATORS)) > 1
-    if snapshot:
-        # One write per terminator class (the CSV writer has one lineSep per write); render once.
-        tagged = materialize(tagged.select("file_id", "line_no", "value", "_eol"), "lines")
-    out = []
-    for name, sep in TERMINATORS.items():
-        part = tagged.where(F.col("_eol") == name).select("file_id", "line_no", latin1(F.col("value")).alias("value"))
-        target = f"{path.rstrip('/')}/{name.lower()}"
-        (_ordered(part).select("file_id", "value").write.mode(mode).partitionBy("file_id")
-         .option("partitionOverwriteMode", "dynamic")
-         .option("encoding", "ISO-8859-1").option("lineSep", sep).option("quote", "")
-         .option("sep", "\u0001").option("ignoreLeadingWhiteSpace", "false")
-         .option("ignoreTrailingWhiteSpace", "false").option("escapeQuotes", "false")
-         .csv(target))
-        out.append(target)
-    if snapshot:
-        drop_snapshot(tagged)
-    return out
+    eol = formats.where(known_terminator()).select("format_id", terminator_code().alias("_eol"))
+    tagged = lines.join(F.broadcast(eol), "format_id")
+    text = F.concat(latin1(F.coalesce(F.col("value"), F.lit(""))), F.when(F.col("_eol") == "CRLF", F.lit("\r")).otherwise(F.lit("")))
+    out = tagged.select("file_id", "line_no", F.encode(text, "ISO-8859-1").cast("string").alias("value"))
+    (_ordered(out).select("file_id", "value").write.mode(mode).partitionBy("file_id")
+     .option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").text(path))
+    if requests is not None:
+        empty = requests.select("file_id").join(lines.select("file_id").distinct(), "file_id", "left_anti")
+        for r in empty.toLocalIterator():
+            remove_folder(lines.sparkSession, f"{path.rstrip('/')}/file_id={r['file_id']}")
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def control_characters(lines: DataFrame) -> DataFrame:
+    """Lines whose value holds a control character (a line break, a NUL …), as data-quality rows per file."""
+    n = F.count(F.lit(1)).cast("string")
+    return lines.where(F.col("value").rlike(_CONTROL)).groupBy("file_id").agg(n.alias("_n")).select(
+        F.lit("DQ-11 control character").alias("check_name"), F.col("file_id").alias("key"),
+        F.concat(F.col("_n"), F.lit(" lines")).alias("detail"))
 
 
 def write_text(lines: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -48,9 +48,9 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("PAYRUN "), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("checkrun_name"),
         F.when(F.dayofmonth("o_orderdate") == 31, F.lit("VOIDED")).otherwise(F.lit("NEGOTIABLE"))
         .alias("status_lookup_code"),
-        F.when(doc == 5, F.lit("PARAGUAY CITI")).otherwise(F.lit("EL SALVADOR")).alias("attribute_category"),
-        F.when(F.col("o_totalprice") > 250000, F.lit("BEN")).alias("attribute12"),
-        F.when(doc == 5, F.when(F.col("o_orderstatus") == "O", F.lit("X")).otherwise(F.lit("N")))
+        F.when(doc == 5, F.lit("EXPRESS")).otherwise(F.lit("STANDARD")).alias("attribute_category"),
+        F.when(F.col("o_totalprice") > 250000, F.lit("PAYEE")).alias("attribute12"),
+        F.when(doc == 5, F.when(F.col("o_orderstatus") == "O", F.lit("X")).otherwise(F.lit("OPEN")))
         .alias("attribute13"),
         F.when(F.col("o_orderstatus") == "P", F.lit(STATUS_NEW))
         .when(F.col("o_orderstatus") == "F", F.lit(STATUS_PRINTED))

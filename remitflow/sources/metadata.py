@@ -38,24 +38,24 @@ TITLE_MEANINGS = [
     ("SUPPLIER_NAME", "Supplier Name", "Proveedor"),
     ("SUPPLIER_SITE", "Supplier Site", "Sucursal"),
 ]
-# Flexfield contexts and segments of the payment descriptive flexfield
+# Invented contexts and segments of the payment descriptive flexfield
 # (context, column, end-user name, value set, default type, default value).
 FLEX_SEGMENTS = [
-    ("EL SALVADOR", "ATTRIBUTE14", "XX_STATUS_CHECK", 10, "XX_EFT_STATUS_CHECK", None, None),
-    ("PARAGUAY CITI", "ATTRIBUTE10", "Citibank_TDM", 1, "XX_AP_PY_CITI_TDM_VS", "C", "000"),
-    ("PARAGUAY CITI", "ATTRIBUTE11", "Priority_Flag", 2, "GR_YES_NO", "C", "No"),
-    ("PARAGUAY CITI", "ATTRIBUTE12", "Charges Indicator (Citi)", 3, "XX_AP_PY_CITI_CHI_VS", "C", "OUR"),
-    ("PARAGUAY CITI", "ATTRIBUTE13", "Confidential", 4, "XX_AP_PY_CITI_CON_VS", "C", "N"),
-    ("PARAGUAY CITI", "ATTRIBUTE14", "Nro de solicitud", 5, None, None, None),
-    ("PARAGUAY CITI", "ATTRIBUTE15", "Fecha de Proceso", 6, None, None, None),
+    ("STANDARD", "ATTRIBUTE14", "Send Mark", 10, "XX_EFT_STATUS_CHECK", None, None),
+    ("EXPRESS", "ATTRIBUTE10", "Handling Class", 1, "HANDLING_CLASSES", "C", "K2"),
+    ("EXPRESS", "ATTRIBUTE11", "Same Day", 2, "TICK_BOX", "C", "MAYBE"),
+    ("EXPRESS", "ATTRIBUTE12", "Fee Bearer", 3, "FEE_BEARERS", "C", "PAYER"),
+    ("EXPRESS", "ATTRIBUTE13", "Visibility", 4, "VISIBILITY_LEVELS", "C", "OPEN"),
+    ("EXPRESS", "ATTRIBUTE14", "Ticket", 5, None, None, None),
+    ("EXPRESS", "ATTRIBUTE15", "Booked On", 6, None, None, None),
 ]
 # Code lists of the value sets the segments above are bound to.
 FLEX_DOMAINS = {
     "XX_EFT_STATUS_CHECK": ["NEW", "PRINTED"],
-    "XX_AP_PY_CITI_TDM_VS": ["000", "001", "002", "003", "004", "005"],
-    "GR_YES_NO": ["N", "Y"],
-    "XX_AP_PY_CITI_CHI_VS": ["BEN", "OUR"],
-    "XX_AP_PY_CITI_CON_VS": ["C", "N", "S"],
+    "HANDLING_CLASSES": ["K1", "K2", "K3"],
+    "TICK_BOX": ["OFF", "ON"],
+    "FEE_BEARERS": ["PAYEE", "PAYER"],
+    "VISIBILITY_LEVELS": ["OPEN", "SEALED", "TEAM"],
 }
 
 VALUE_SET_ROWS = T.StructType([

@@ -3,8 +3,8 @@ from remitflow.sources import metadata
 
 
 def _checks(spark):
-    rows = [(1, "EL SALVADOR", None, None, None, "PRINTED"), (2, "PARAGUAY CITI", "BEN", None, "X", "REQ-7"),
-            (3, "PARAGUAY CITI", None, "C", None, None)]
+    rows = [(1, "STANDARD", None, None, None, "PRINTED"), (2, "EXPRESS", "PAYEE", None, "X", "REQ-7"),
+            (3, "EXPRESS", None, "TEAM", None, None)]
     return spark.createDataFrame(rows, "check_id long, attribute_category string, attribute12 string, "
                                        "attribute13 string, attribute11 string, attribute14 string")
 
@@ -12,23 +12,23 @@ def _checks(spark):
 def test_project_context_with_defaults(spark):
     out = flexfield.project_context(_checks(spark), metadata.flex_segments(spark), ["check_id"])
     r = {x.check_id: x for x in out.collect()}
-    # Q35: column 14 is the send status only in EL SALVADOR; a request number elsewhere
-    assert r[1].xx_status_check == "PRINTED" and r[1].nro_de_solicitud is None
-    assert r[2].nro_de_solicitud == "REQ-7" and r[2].xx_status_check is None
-    assert (r[3].charges_indicator_citi, r[3].citibank_tdm, r[3].priority_flag) == ("OUR", "000", "No")
-    assert r[1].charges_indicator_citi is None
+    # Q35: column 14 is the send status only in STANDARD; a request number elsewhere
+    assert r[1].send_mark == "PRINTED" and r[1].ticket is None
+    assert r[2].ticket == "REQ-7" and r[2].send_mark is None
+    assert (r[3].fee_bearer, r[3].handling_class, r[3].same_day) == ("PAYER", "K2", "MAYBE")
+    assert r[1].fee_bearer is None
 
 
 def test_unpivot_and_domain(spark):
     c = _checks(spark)
     long = flexfield.unpivot(c, metadata.flex_segments(spark))
     assert {(r.check_id, r.segment, r.value) for r in long.collect()} == {
-        (1, "XX_STATUS_CHECK", "PRINTED"), (2, "Charges Indicator (Citi)", "BEN"), (2, "Priority_Flag", "X"),
-        (2, "Nro de solicitud", "REQ-7"), (3, "Confidential", "C")}
+        (1, "Send Mark", "PRINTED"), (2, "Fee Bearer", "PAYEE"), (2, "Same Day", "X"),
+        (2, "Ticket", "REQ-7"), (3, "Visibility", "TEAM")}
     bad = {(r.key, r.detail) for r in flexfield.domain_violations(c, metadata.flex_segments(spark),
                                                                    metadata.flex_domains(spark)).collect()}
-    # Q36: the default 'No' is outside its own Y/N set
-    assert bad == {("2", "Priority_Flag=X"), ("3", "Priority_Flag=No")}
+    # Q36: the default 'MAYBE' is outside its own set
+    assert bad == {("2", "Same Day=X"), ("3", "Same Day=MAYBE")}
 
 
 def test_status_resolved_through_metadata_q35(spark):
@@ -36,11 +36,11 @@ def test_status_resolved_through_metadata_q35(spark):
     from remitflow.operators import selection as sel_ops
     from remitflow.plans.context import Ctx
     ctx = Ctx(spark, SF)
-    checks = flexfield.with_resolved_column(ctx.checks, metadata.flex_segments(spark), "XX_STATUS_CHECK", "send_status_col")
+    checks = flexfield.with_resolved_column(ctx.checks, metadata.flex_segments(spark), "Send Mark", "send_status_col")
     p = ctx.params.with_(only_unsent="Y")
     _, faithful = sel_ops.run_selection(spark, ctx.checks, ctx.sites, ctx.values, ctx.docs, p)
     _, fixed = sel_ops.run_selection(spark, checks, ctx.sites, ctx.values, ctx.docs, p, status_col="send_status_col")
-    # EL SALVADOR documents are unchanged; PARAGUAY CITI (document 5) no longer reads column 14 as a status
+    # STANDARD documents are unchanged; EXPRESS (document 5) no longer reads column 14 as a status
     f = {r.payment_document_id: r.n for r in faithful.groupBy("payment_document_id").count().withColumnRenamed("count", "n").collect()}
     g = {r.payment_document_id: r.n for r in fixed.groupBy("payment_document_id").count().withColumnRenamed("count", "n").collect()}
     assert all(f[d] == g[d] for d in (1, 2, 3, 4))
