@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
-from itertools import islice
+from itertools import compress, islice
+from operator import not_
 
 import numpy as np
 import regex
@@ -19,7 +20,7 @@ import regex
 _ODD = regex.compile("[\x1c-\x1f]")
 _WORDS = regex.compile(r"\S+")
 # Fixed value: the split pattern of the vocabulary file, after white space is gone.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")  # and newlines, which mark words here
 #: Words beyond these letters go through the library's own normaliser.
 _PLAIN_BELOW = "ɐ"
 KNOWN_WORDS = 500_000
@@ -57,17 +58,30 @@ class WordTokens:
                 begin = end
 
     def _learn_words(self, words: list[str]) -> None:
-        split: dict[str, list[str]] = {}
-        for w in words:
-            if max(w) < _PLAIN_BELOW:
-                low = w.lower()
-                split[w] = [low] if low.isalpha() else _PIECES.findall(low)
-            else:
-                self._words[w] = np.array(self._whole.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        self._learn_pieces([p for p in dict.fromkeys(p for ps in split.values() for p in ps) if p not in self._known])
+        joined = "\n".join(words)  # words hold no white space
+        if max(joined) >= _PLAIN_BELOW:
+            for w in words:
+                if max(w) >= _PLAIN_BELOW:
+                    self._words[w] = np.array(self._whole.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            words = [w for w in words if max(w) < _PLAIN_BELOW]
+            joined = "\n".join(words)
+        if not words:
+            return
+        lower = joined.lower().split("\n")
+        alone = list(map(str.isalpha, lower))  # a word of letters is one piece
+        mixed = [x for x, one in zip(lower, alone) if not one]
+        parts = _PIECES.findall("\n".join([*mixed, ""]))
+        found = set(parts)
+        found.update(compress(lower, alone))
+        found.discard("\n")
+        self._learn_pieces([p for p in found if p not in self._known])
         get = self._known.__getitem__
-        for w, ps in split.items():
-            self._words[w] = get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))
+        # The pieces of all mixed words in one go, cut where the newlines stood.
+        ids = map(get, compress(lower, alone))
+        self._words.update(zip(compress(words, alone), ids))
+        rest = iter(parts)
+        for w in compress(words, map(not_, alone)):
+            self._words[w] = b"".join(map(get, iter(rest.__next__, "\n")))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
