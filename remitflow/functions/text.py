@@ -11,18 +11,6 @@ def cat(*cols: Column) -> Column:
     return F.concat_ws("", *cols)
 
 
-def nullif_empty(col: Column) -> Column:
-    """Empty text is NULL, as in the reference's database."""
-    return F.when(col == "", F.lit(None).cast("string")).otherwise(col)
-
-
-def pad(col: Column, length: int | Column, pad_char: str, direction: str) -> Column:
-    """LEFT → lpad; anything else → rpad (both truncate to ``length``)."""
-    if direction == "LEFT":
-        return F.lpad(col, length, pad_char)
-    return F.rpad(col, length, pad_char)
-
-
 def number_text(col: Column) -> Column:
     """``TO_CHAR(n)`` without a mask: no trailing fractional zeros, no trailing point."""
     s = col.cast("string")
@@ -60,10 +48,6 @@ def yes_no(col: Column) -> Column:
     return F.when(col, F.lit("Y")).otherwise(F.lit("N"))
 
 
-def initcap_words(col: Column) -> Column:
-    return F.initcap(col)
-
-
 def ntz(value) -> Column:
     """A TIMESTAMP_NTZ literal from a naive datetime, independent of any time zone setting.
 

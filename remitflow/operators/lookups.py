@@ -107,12 +107,6 @@ def granted_users(values: DataFrame, users: DataFrame, set_name: str, as_of) ->
         .select("user_id", "user_name", F.col("flex_value").alias("grant_code"))
 
 
-def first_row(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """WIN-05 / FLT-21: first row per key under an explicit order."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def accounts_of_unit(uses: DataFrame, accounts: DataFrame) -> DataFrame:
     """JN-20 / SRT-03: bank accounts of each operating unit, positioned by account name."""
     from .sequences import sequence_within

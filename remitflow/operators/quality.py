@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bounded_broadcast
 from ..sinks.files import known_terminator
 
 OUT = ("check_name", "key", "detail")
@@ -81,13 +82,30 @@ def required_columns(df: DataFrame, columns: list[str], key: str = "check_id") -
     return out
 
 
-def null_dynamic_values(lines_ctx: DataFrame, key: str, dyn_cols: list[str]) -> DataFrame:
-    """DQ-10: dynamic fields with no value for a payment (the query returned no row)."""
-    out = None
-    for c in dyn_cols:
-        d = _rows(lines_ctx.where(F.col(c).isNull()), "DQ-10 dynamic value missing", F.col(key), F.lit(c))
-        out = d if out is None else out.unionByName(d)
-    return out
+def dynamic_values_missing(missing: DataFrame, specs) -> DataFrame:
+    """DQ-10: a dynamic field without a value (no row, or one that does not convert), with the payment or
+    invoice it is missing for, its definition and its query (``missing``: ``render.missing_values``)."""
+    spark = missing.sparkSession
+    sql = spark.createDataFrame([(s.definition_id, s.sql) for s in specs if s.sql] or [], "definition_id long, sql string")
+    key = F.concat_ws("/", "file_id", F.col("check_id").cast("string"), F.col("invoice_id").cast("string"))
+    return _rows(missing.join(bounded_broadcast(sql), "definition_id", "left"), "DQ-10 dynamic value missing", key,
+                 F.concat(F.lit("definition "), F.col("definition_id").cast("string"), F.lit(": "), F.coalesce("sql", F.lit("no query"))))
+
+
+def missing_by_file(missing: DataFrame) -> DataFrame:
+    """DQ-10 for the run outcome: one row per file and field, with the number of payments or invoices."""
+    n = missing.groupBy("file_id", "definition_id").agg(F.count(F.lit(1)).alias("n"))
+    return _rows(n, "DQ-10 dynamic value missing", F.col("file_id"),
+                 F.concat(F.lit("definition "), F.col("definition_id").cast("string"), F.lit(": "), F.col("n").cast("string"), F.lit(" lines")))
+
+
+def unconverted_fields(requests: DataFrame, specs, failed: dict) -> DataFrame:
+    """Fields whose query could not be run, for every file of their format."""
+    spark = requests.sparkSession
+    rows = [(s.format_id, s.definition_id, failed[s.definition_id]) for s in specs if s.definition_id in failed]
+    bad = bounded_broadcast(spark.createDataFrame(rows or [], "format_id long, definition_id long, why string"))
+    return _rows(requests.join(bad, "format_id"), "DQ-12 query not runnable", F.col("file_id"),
+                 F.concat(F.lit("definition "), F.col("definition_id").cast("string"), F.lit(": "), F.col("why")))
 
 
 def zero_right_padding(fields: DataFrame) -> DataFrame:

@@ -6,16 +6,21 @@ rendering is a projection inside whole-stage codegen — no per-field join, no U
 
 Dynamic fields are *keyed queries*: SQL over the job's views returning key
 columns (``check_id`` / ``invoice_id`` / ``file_id``) and ``value``.  All
-dynamic fields of one key are evaluated together (union → one conditional
-aggregation → one join), instead of one query per field per row.
+dynamic fields of one key are evaluated together (one scan per query text, one
+aggregation, one join), instead of one query per field per row.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +28,7 @@ from ..functions.masks import to_char_date, to_char_number
 from ..functions.text import number_text
 from ..schema import (DELIMITED, FIXED_WIDTH, T_CONSTANT, T_DYNAMIC, T_SEQ1, T_SEQ2, T_SEQ3, T_SUM_TRANS,
                       T_TRX_LINES, RunParams)
-from .sequences import sequence_within
+from ..session import bounded_broadcast
 
 FIELD_ROW_LIMIT = 50_000
 
@@ -80,10 +85,6 @@ def load_specs(formats: DataFrame, fields: DataFrame, limit: int = FIELD_ROW_LIM
     return sorted((FieldSpec(**r.asDict()) for r in rows), key=lambda s: (s.format_id, s.part, s.secuence))
 
 
-def format_attrs(formats: DataFrame) -> dict[int, dict]:
-    return {r["format_id"]: r.asDict() for r in formats.limit(FIELD_ROW_LIMIT).collect()}
-
-
 # ---------------------------------------------------------------------------
 # Field value → text
 # ---------------------------------------------------------------------------
@@ -97,7 +98,7 @@ def legacy_number(value: Column) -> Column:
 def typed_text(value: Column, data_type: str | None, mask: str | None, legacy: frozenset = frozenset()) -> Column:
     """RND-09: apply the field's type mask to a fetched value."""
     # A value that does not convert is NULL (Q23: a failed fetch becomes a missing value,
-    # reported by quality.null_dynamic_values), never an aborted job.
+    # reported by quality.dynamic_values_missing), never an aborted job.
     if data_type == "DATE":
         return to_char_date(value.try_cast("timestamp_ntz"), mask)
     if data_type == "NUMBER":
@@ -164,19 +165,27 @@ def line_expr(specs: list[FieldSpec], legacy: frozenset = frozenset()) -> Column
 # ---------------------------------------------------------------------------
 
 _MARKER = re.compile(r"(?<![:\w]):([A-Za-z_][A-Za-z0-9_]*)")
+_COMPARED = re.compile(r"([\w.]+)\s*(<=|>=|<>|!=|=|<|>)\s*:(\w+)\b")
+_BETWEEN = re.compile(r"([\w.]+)\s+BETWEEN\s+(:\w+|[^\s()]+)\s+AND\s+(:\w+|[^\s()]+)", re.I)
 
+# Views the keyed queries of a layout are written against.
+VIEWS = ("selection", "paid", "invoices", "requests", "totals")
+# RND-06: markers whose value is of the file, payment or invoice the field stands in, not of the job.
+FILE_MARKERS = {"PAY_DOCUMENT": "payment_document_id", "V_TRX_LINES": "trx_lines", "V_SUM_TRANS": "sum_trans"}
+CHECK_MARKERS = {"IDCHECK": "check_id", "CHECK_ID": "check_id", "IDCHECKRUN": "checkrun_id"}
+INVOICE_MARKERS = {"INVOICEID": "invoice_id"}
 
-def job_binds(params: RunParams, payment_document_id: int | None = None) -> dict:
+
+def job_binds(params: RunParams) -> dict:
     """RND-06: named job parameters available to keyed queries (end date bound to the end, Q5 fixed)."""
     fmt = "%Y/%m/%d %H:%M:%S"
 
     def ts(text):
         # a TIMESTAMP_NTZ SQL literal: a Python datetime would be shifted by the session time zone
-        return F.expr(f"TIMESTAMP_NTZ '{datetime.strptime(text, fmt):%Y-%m-%d %H:%M:%S}'")
+        return F.expr(f"TIMESTAMP_NTZ '{datetime.strptime(text, fmt):%Y-%m-%d %H:%M:%S}'") if text else None
     return {
         "P_START_DATE": ts(params.start_date),
         "P_END_DATE": ts(params.end_date),
-        "PAY_DOCUMENT": payment_document_id,
         "BASE_AMOUNT": params.base_amount,
         "TOP_AMOUNT": params.top_amount,
         "P_DOC_INI": params.doc_ini,
@@ -196,14 +205,73 @@ def choose_alternative(sql: str, batch_mode: bool) -> str:
     return (first if batch_mode else second).strip()
 
 
-def run_keyed_query(spark: SparkSession, sql: str, binds: dict) -> DataFrame:
-    sql = choose_alternative(sql, binds.get("CHECKRUN_ID") is not None)
+def without_unset(sql: str, binds: dict) -> str:
+    """RND-07: a predicate on a parameter that is not set compares its column with itself."""
+    def unset(marker: str) -> bool:
+        return marker in binds and binds[marker] is None
+
+    def compared(m: re.Match) -> str:
+        return f"{m[1]} {m[2] if '=' in m[2] and m[2] != '!=' else '='} {m[1]}" if unset(m[3]) else m[0]
+
+    def between(m: re.Match) -> str:
+        lo, hi = (m[1] if x.startswith(":") and unset(x[1:]) else x for x in (m[2], m[3]))
+        return f"{m[1]} BETWEEN {lo} AND {hi}"
+    return _COMPARED.sub(compared, _BETWEEN.sub(between, sql))
+
+
+@contextmanager
+def query_views(spark: SparkSession, **frames: DataFrame):
+    """The frames as temporary views of this run only: yields a function from a query text to its
+    DataFrame.  The names the queries use are bound inside each query, so runs in one session do
+    not replace each other's views, nor the user's."""
+    prefix = f"run_{uuid.uuid4().hex}_"
+    for name, df in frames.items():
+        df.createOrReplaceTempView(prefix + name)
+
+    def query(sql: str, args: dict | None = None) -> DataFrame:
+        names = ", ".join(f"{n} AS (SELECT * FROM {prefix}{n})" for n in frames)
+        whole = f"WITH {names} SELECT * FROM (\n{sql}\n)"
+        return spark.sql(whole, args=args) if args else spark.sql(whole)
+    try:
+        yield query
+    finally:  # plans are resolved by now
+        for name in frames:
+            spark.catalog.dropTempView(prefix + name)
+
+
+def run_keyed_query(query: Callable[..., DataFrame], sql: str, binds: dict) -> DataFrame:
+    """A keyed query with its markers bound.
+
+    Markers of the file, payment or invoice make the query lateral to the rows it is asked for,
+    whose keys then are the result's: one join for all rows, for any number of documents.
+    """
+    sql = without_unset(choose_alternative(sql, binds.get("CHECKRUN_ID") is not None), binds)
     names = set(_MARKER.findall(sql))
-    missing = names - set(binds)
+    local = FILE_MARKERS | CHECK_MARKERS | INVOICE_MARKERS
+    missing = names - set(binds) - set(local)
     if missing:
-        raise ValueError(f"unbound parameters {sorted(missing)} in keyed query: {sql}")
-    args = {k: binds[k] for k in names}
-    return spark.sql(sql, args=args) if args else spark.sql(sql)
+        raise ValueError(f"unbound parameters {sorted(missing)}")
+    args = {k: binds[k] for k in names & set(binds)}
+    if not names & set(local):
+        return query(sql, args)
+    bound = _MARKER.sub(lambda m: f"outer_row.{local[m[1]]}" if m[1] in local else m[0], sql)
+    base = "SELECT r.file_id, r.payment_document_id, t.trx_lines, t.sum_trans{} FROM requests r JOIN totals t ON t.file_id = r.file_id{}"
+    if names & set(INVOICE_MARKERS):
+        keys, base = ("check_id", "invoice_id"), base.format(", p.check_id, p.invoice_id, s.checkrun_id",
+            " JOIN (SELECT DISTINCT file_id, check_id, invoice_id FROM paid) p ON p.file_id = r.file_id"
+            " JOIN selection s ON s.file_id = p.file_id AND s.check_id = p.check_id")
+    elif names & set(CHECK_MARKERS):
+        keys, base = ("check_id",), base.format(", s.check_id, s.checkrun_id", " JOIN selection s ON s.file_id = r.file_id")
+    else:
+        keys, base = ("file_id",), base.format("", "")
+    own = [c for c in query(_MARKER.sub("NULL", sql)).columns]
+    value = "value" if "value" in own else own[0] if len(own) == 1 else None
+    if value is None:
+        raise ValueError(f"no column named value among {own}")
+    picked = [f"outer_row.{k}" for k in keys] + [f"q.{value} AS value"] + ["q.ord"] * ("ord" in own)
+    if keys == ("file_id",) and set(own) - {"value", "ord"}:  # the query has keys of its own
+        picked = [f"q.{c}" for c in own]
+    return query(f"SELECT {', '.join(picked)} FROM ({base}) outer_row, LATERAL (\n{bound}\n) q", args)
 
 
 KEY_SETS = (("check_id", "invoice_id"), ("check_id",), ("invoice_id",), ("file_id",), ())
@@ -219,57 +287,61 @@ def _key_of(columns: list[str]) -> tuple:
 
 @dataclass
 class DynamicValues:
-    frames: dict          # key tuple -> DataFrame(key..., dyn_<id>...)
+    frames: dict          # key columns -> DataFrame(key..., dyn_<id>...)
     scalars: dict         # definition_id -> text (keyless queries)
+    failed: dict          # definition_id -> why its query could not be run
+
+
+def scalar_value(q: DataFrame, text: Column) -> str | None:
+    """A keyless query's value: its first row, by ``ord`` or else by the text itself."""
+    order = F.col("ord") if "ord" in q.columns else text
+    row = q.select(order.alias("o"), text.alias("t")).orderBy("o").limit(1).collect()
+    return row[0]["t"] if row else None
 
 
-def dynamic_values(spark: SparkSession, specs: list[FieldSpec], binds: dict,
-                   legacy: frozenset = frozenset()) -> DynamicValues:
+def first_per_key(q: DataFrame, key: tuple) -> DataFrame:
+    """The first row of each key by the query's ``ord``, in its own type; without one, all rows."""
+    return q.groupBy(*key).agg(F.min_by("value", "ord").alias("value")) if key and "ord" in q.columns else q
+
+
+def dynamic_values(query: Callable[..., DataFrame], specs: list[FieldSpec], binds: dict,
+                   legacy: frozenset = frozenset(), wanted: dict[tuple, DataFrame] | None = None) -> DynamicValues:
     """Evaluate every dynamic field once, grouped by key (JN-23, RND-05, WIN-05).
 
+    One scan for each distinct query text, one aggregation and one join for each key.  ``wanted``:
+    the keys the run has, for keys whose queries read more than the run's own rows.
+
     The first row per key wins under the query's ``ord`` column when present,
     else the smallest rendered value — deterministic where the reference's
-    single FETCH was not.  Keyless queries are scalars (first row only).
+    single FETCH was not.  Keyless queries are scalars (first row only).  A query that
+    Spark cannot run leaves its fields empty and is listed in ``failed``.
     """
-    by_key: dict[tuple, list] = {}
-    fids: dict[tuple, list] = {}
-    scalars: dict[int, str | None] = {}
+    out = DynamicValues({}, {}, {})
+    parts: dict[tuple, list[DataFrame]] = {}
     by_sql: dict[str, list[FieldSpec]] = {}
     for s in specs:
         if s.type_value == T_DYNAMIC and s.sql:
             by_sql.setdefault(s.sql, []).append(s)
-    # One scan per distinct query text; every field using it reads its rows.
     for sql, group in by_sql.items():
-        q = run_keyed_query(spark, sql, binds)
-        key = _key_of(q.columns)
-        if key and "ord" in q.columns:
-            # first row per key under the query's own order, compared in its own type
-            q = q.groupBy(*key).agg(F.min_by("value", "ord").alias("value"))
-        items = []
-        for s in group:
-            text = typed_text(F.col("value"), s.data_type, s.format_model, legacy)
-            ordc = F.col("ord") if "ord" in q.columns else text
-            items.append((s, text, ordc))
-        if not key:
-            for s, text, ordc in items:
-                row = q.select(ordc.alias("o"), text.alias("t")).orderBy("o").limit(1).collect()
-                scalars[s.definition_id] = row[0]["t"] if row else None
+        texts = {s.definition_id: typed_text(F.col("value"), s.data_type, s.format_model, legacy) for s in group}
+        try:
+            q = run_keyed_query(query, sql, binds)
+            key = _key_of(q.columns)
+            if not key:
+                out.scalars.update({fid: scalar_value(q, text) for fid, text in texts.items()})
+                continue
+        except (ValueError, PySparkException) as e:
+            why = str(e).strip().split("\n")[0][:200]
+            out.failed.update({fid: why for fid in texts})
             continue
-        packed = F.array(*[F.struct(F.lit(s.definition_id).alias("_fid"),
-                                    F.struct(ordc.cast("string").alias("o"), text.alias("t")).alias("_v"))
-                           for s, text, ordc in items])
-        by_key.setdefault(key, []).append(q.select(*key, F.explode(packed).alias("_e"))
-                                          .select(*key, "_e._fid", "_e._v"))
-        fids.setdefault(key, []).extend(s.definition_id for s, _, _ in items)
-    frames = {}
-    for key, parts in by_key.items():
-        u = parts[0]
-        for fr in parts[1:]:
-            u = u.unionByName(fr)
-        frames[key] = u.groupBy(*key).agg(*[
-            F.min(F.when(F.col("_fid") == fid, F.col("_v"))).getField("t").alias(f"dyn_{fid}")
-            for fid in fids[key]])
-    return DynamicValues(frames, scalars)
+        if wanted and key in wanted:
+            q = q.join(wanted[key], list(key), "left_semi")
+        parts.setdefault(key, []).append(
+            first_per_key(q, key).select(*key, *[text.alias(f"dyn_{fid}") for fid, text in texts.items()]))
+    for key, frames in parts.items():
+        u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        out.frames[key] = u.groupBy(*key).agg(*[F.min(c).alias(c) for c in u.columns if c not in key])
+    return out
 
 
 def _attach(lines: DataFrame, dyn: DynamicValues, part_specs: list[FieldSpec]) -> DataFrame:
@@ -323,9 +395,6 @@ class Layout:
     def formats_with(self, part: str) -> list[int]:
         return sorted(f for f, ps in self.parts.items() if part in ps)
 
-    def uses(self, *types: str) -> bool:
-        return any(s.type_value in types for s in self.specs)
-
 
 def _numbered_by_window(body: DataFrame, det: DataFrame, invoice_order: list[str]) -> tuple[DataFrame, DataFrame]:
     """Files below the hot threshold: one window over payment + invoice lines gives every counter.
@@ -349,7 +418,7 @@ def _numbered_by_window(body: DataFrame, det: DataFrame, invoice_order: list[str
     return both.where("_sub = 0"), both.where("_sub = 1")
 
 
-def _numbered_by_sort(body: DataFrame, det: DataFrame, invoice_order: list[str], hot_rows, hot_files, hot_checks):
+def _numbered_by_sort(body: DataFrame, det: DataFrame, invoice_order: list[str], hot_rows, hot_files):
     """Hot files: the same counters as ``_numbered_by_window`` in one distributed pass.
 
     Lines are range-partitioned on (file, payment, part, invoice order), so a file spans many
@@ -397,8 +466,13 @@ def _numbered_by_sort(body: DataFrame, det: DataFrame, invoice_order: list[str],
     return out.where("_sub = 0"), out.where("_sub = 1")
 
 
+def detail_formats(layout) -> list[int]:
+    """Formats with invoice lines: they stand under their payment's line, so only with a BODY."""
+    return sorted(set(layout.formats_with("DETAIL")) & set(layout.formats_with("BODY")))
+
+
 def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoice_order: list[str],
-                   hot_rows: int | None = None, hot_files: list | None = None, hot_checks: list | None = None):
+                   hot_rows: int | None = None, hot_files: list | None = None):
     """WIN-01..04: body lines with seq1, seq3, line position; detail lines with seq1, seq2, seq3, position.
 
     Only files whose format defines the part get its lines (RND-18).  ``_pos``
@@ -407,7 +481,7 @@ def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoic
     """
     from .sequences import hot_groups, hot_rows_of
     body = selection.where(F.col("format_id").isin(layout.formats_with("BODY")))
-    det = paid.where(F.col("format_id").isin(layout.formats_with("DETAIL")))
+    det = paid.where(F.col("format_id").isin(detail_formats(layout)))
     if "check_number" not in det.columns:
         det = det.join(selection.select("file_id", "check_id", "check_number"), ["file_id", "check_id"])
     if hot_files is None:
@@ -419,25 +493,24 @@ def sequence_lines(selection: DataFrame, paid: DataFrame, layout: Layout, invoic
     cb, cd = _numbered_by_window(body.join(hot, "file_id", "left_anti"), det.join(hot, "file_id", "left_anti"),
                                  invoice_order)
     hb, hd = _numbered_by_sort(body.join(hot, "file_id", "left_semi"), det.join(hot, "file_id", "left_semi"),
-                               invoice_order, hot_rows, hot_files, hot_checks)
+                               invoice_order, hot_rows, hot_files)
     return cb.unionByName(hb, allowMissingColumns=True), cd.unionByName(hd, allowMissingColumns=True)
 
 
 def line_contexts(requests: DataFrame, selection: DataFrame, paid: DataFrame, totals: DataFrame, parts,
-                  invoice_order: list[str], hot_rows: int | None = None, hot_files: list | None = None,
-                  hot_checks: list | None = None) -> dict[str, DataFrame]:
+                  invoice_order: list[str], hot_rows: int | None = None,
+                  hot_files: list | None = None) -> dict[str, DataFrame]:
     """Per part, one context row per output line: keys, counters (seq1/2/3), file totals, line_no.
 
     ``parts`` answers ``formats_with(part)`` (a Layout or a PartsIndex).  Files with an empty
     selection get no lines (DQ-01); files whose format is missing or disabled get none (DQ-03).
     """
     req = requests.select("file_id", "format_id").join(totals, "file_id")   # inner: empty files vanish
-    fmt_of = F.broadcast(requests.select("file_id", "format_id"))
+    fmt_of = requests.select("file_id", "format_id")
     sel = selection if "format_id" in selection.columns else selection.join(fmt_of, "file_id")
     pd_ = paid if "format_id" in paid.columns else paid.join(fmt_of, "file_id")
-    body, det = sequence_lines(sel, pd_, parts, invoice_order, hot_rows, hot_files, hot_checks)
-    # Totals have one row per file: bounded by the (size-checked) request count, broadcast.
-    tot_b = F.broadcast(totals)
+    body, det = sequence_lines(sel, pd_, parts, invoice_order, hot_rows, hot_files)
+    tot_b = bounded_broadcast(totals)  # one row per file
     has_header = F.col("format_id").isin(parts.formats_with("HEADER")).cast("bigint")
     has_body = F.col("format_id").isin(parts.formats_with("BODY"))
     none = F.lit(None).cast("bigint")
@@ -451,12 +524,12 @@ def line_contexts(requests: DataFrame, selection: DataFrame, paid: DataFrame, to
         out["BODY"] = body.join(tot_b, "file_id").select(
             "file_id", "format_id", "check_id", none.alias("invoice_id"), "trx_lines", "sum_trans", "seq1",
             none.alias("seq2"), "seq3", (F.col("_pos") + has_header).alias("line_no"))
-    if parts.formats_with("DETAIL"):
+    if detail_formats(parts):
         out["DETAIL"] = det.join(tot_b, "file_id").select(
             "file_id", "format_id", "check_id", "invoice_id", "trx_lines", "sum_trans", "seq1", "seq2", "seq3",
             (F.col("_pos") + has_header).alias("line_no"))
     if parts.formats_with("TRAILER"):
-        n_det = pd_.where(F.col("format_id").isin(parts.formats_with("DETAIL"))) \
+        n_det = pd_.where(F.col("format_id").isin(detail_formats(parts))) \
             .groupBy("file_id").agg(F.count(F.lit(1)).alias("_nd"))
         t = req.where(F.col("format_id").isin(parts.formats_with("TRAILER"))).join(n_det, "file_id", "left")
         seq3 = (F.when(has_body, F.col("trx_lines")).otherwise(F.lit(0)) + F.coalesce(F.col("_nd"), F.lit(0)))
@@ -470,13 +543,36 @@ def line_contexts(requests: DataFrame, selection: DataFrame, paid: DataFrame, to
 LINE_COLUMNS = ("file_id", "format_id", "part", "seq1", "seq2", "seq3", "line_no", "value")
 
 
+def missing_values(requests: DataFrame, selection: DataFrame, paid: DataFrame, layout: Layout, dyn: DynamicValues) -> DataFrame:
+    """DQ-10 / RND-19: (file_id, part, check_id, invoice_id, definition_id) of every dynamic field without a value."""
+    none = F.lit(None).cast("bigint")
+    used = requests.join(selection.select("file_id").distinct(), "file_id", "left_semi")
+    rows = {"HEADER": used.select("file_id", "format_id", none.alias("check_id"), none.alias("invoice_id")),
+            "BODY": selection.select("file_id", "format_id", "check_id", none.alias("invoice_id")),
+            "DETAIL": paid.where(F.col("format_id").isin(detail_formats(layout))).select("file_id", "format_id", "check_id", "invoice_id")}
+    rows["TRAILER"] = rows["HEADER"]
+    out = None
+    for part, base in rows.items():
+        specs = [s for s in layout.specs if s.part == part and s.type_value == T_DYNAMIC]
+        if not specs:
+            continue
+        c = _attach(base.where(F.col("format_id").isin(sorted({s.format_id for s in specs}))), dyn, specs)
+        empty = F.array(*[F.when((F.col("format_id") == s.format_id) & F.col(f"dyn_{s.definition_id}").isNull(),
+                                 F.lit(s.definition_id).cast("bigint")) for s in specs])
+        found = c.select("file_id", F.lit(part).alias("part"), "check_id", "invoice_id",
+                         F.explode(F.array_compact(empty)).alias("definition_id"))
+        out = found if out is None else out.unionByName(found)
+    schema = "file_id string, part string, check_id long, invoice_id long, definition_id long"
+    return requests.sparkSession.createDataFrame([], schema) if out is None else out
+
+
 def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame, paid: DataFrame,
                  totals: DataFrame, layout: Layout, dyn: DynamicValues, invoice_order: list[str],
                  legacy: frozenset = frozenset(), hot_rows: int | None = None,
-                 hot_files: list | None = None, hot_checks: list | None = None) -> DataFrame:
+                 hot_files: list | None = None) -> DataFrame:
     """RND-14..18 + SET-01 (compiled form): (file_id, format_id, part, seq1, seq2, seq3, line_no, value)."""
     specs = layout.specs
-    ctxs = line_contexts(requests, selection, paid, totals, layout, invoice_order, hot_rows, hot_files, hot_checks)
+    ctxs = line_contexts(requests, selection, paid, totals, layout, invoice_order, hot_rows, hot_files)
     header_expr = _by_format(specs, "HEADER", legacy)
     out = []
     for part, ctx in ctxs.items():
@@ -491,17 +587,3 @@ def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame,
     for o in out[1:]:
         lines = lines.unionByName(o)
     return lines
-
-
-def line_order() -> list[Column]:
-    """WIN-04 sort key inside a file: header, (payment, its invoices)…, trailer."""
-    rank = F.when(F.col("part") == "HEADER", 0).when(F.col("part") == "TRAILER", 2).otherwise(1)
-    sub = F.when(F.col("part") == "DETAIL", 1).otherwise(0)
-    return [rank, F.coalesce(F.col("seq1"), F.lit(0)), sub, F.coalesce(F.col("seq2"), F.lit(0))]
-
-
-def with_line_numbers(lines: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """WIN-04: dense line number per file, skew-safe."""
-    keyed = lines.select("*", *[c.alias(f"_k{i}") for i, c in enumerate(line_order())])
-    numbered = sequence_within(keyed, ["file_id"], ["_k0", "_k1", "_k2", "_k3"], "line_no", hot_rows)
-    return numbered.drop("_k0", "_k1", "_k2", "_k3")

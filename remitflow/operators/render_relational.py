@@ -2,43 +2,38 @@
 
 The compiled renderer collects the layout to the driver; this form never does,
 so it is the path for layouts beyond ``render.FIELD_ROW_LIMIT`` (many formats,
-thousands of fields).  Only the *distinct* number masks and the dynamic
-fields' query texts reach the driver (each checked against a bound), because a
-mask compiles to an expression and a query text must be parsed by Spark.
-Both renderers produce identical bytes (tested).
+thousands of fields).  Only the *distinct* number masks, the format ids of each
+part and the dynamic fields' definitions reach the driver, because a mask compiles to an
+expression and a query text must be parsed by Spark.  Dynamic values come from
+the same function as in the compiled renderer.  Both produce identical bytes (tested).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.masks import to_char_number
 from ..functions.text import number_text
 from ..schema import DELIMITED, PARTS, T_CONSTANT, T_DYNAMIC, T_SEQ1, T_SEQ2, T_SEQ3, T_SUM_TRANS, T_TRX_LINES
-from .render import KEY_SETS, LINE_COLUMNS, _key_of, field_projection, line_contexts, run_keyed_query, typed_text
+from .render import LINE_COLUMNS, FieldSpec, dynamic_values, field_projection, line_contexts
 
-MASK_LIMIT = 10_000
-DYNAMIC_LIMIT = 10_000
-PART_LIMIT = 100_000
 COUNTERS = {T_SEQ1: "seq1", T_SEQ2: "seq2", T_SEQ3: "seq3", T_TRX_LINES: "trx_lines", T_SUM_TRANS: "sum_trans"}
 
 
 @dataclass
 class PartsIndex:
-    """Which formats define which part (at most 4 rows per format, collected with a bound)."""
+    """Which formats define which part (at most 4 rows per format)."""
     by_part: dict
 
     @classmethod
     def load(cls, formats: DataFrame, fields: DataFrame) -> "PartsIndex":
         proj = field_projection(formats, fields).select("format_id", "part").distinct()
-        rows = proj.limit(PART_LIMIT + 1).collect()
-        if len(rows) > PART_LIMIT:
-            raise ValueError("too many formats")
         by_part: dict = {p: set() for p in PARTS}
-        for r in rows:
+        for r in proj.collect():
             by_part.setdefault(r["part"], set()).add(r["format_id"])
         return cls(by_part)
 
@@ -46,13 +41,6 @@ class PartsIndex:
         return sorted(self.by_part.get(part, ()))
 
 
-def _bounded(df: DataFrame, limit: int, what: str) -> list:
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct {what}")
-    return rows
-
-
 def _mask_chain(value: Column, mask: Column, masks: list[str], fn) -> Column:
     out = F.lit(None).cast("string")
     for m in masks:
@@ -60,77 +48,37 @@ def _mask_chain(value: Column, mask: Column, masks: list[str], fn) -> Column:
     return out
 
 
-def dynamic_long(spark: SparkSession, fields: DataFrame, binds: dict,
-                 legacy: frozenset = frozenset()) -> dict[tuple, DataFrame]:
-    """Dynamic field values in long form per key: (key…, definition_id, dyn_text), first row per key."""
-    dyn = _bounded(fields.where((F.col("type_value") == T_DYNAMIC) & F.col("sql").isNotNull())
-                   .select("definition_id", "sql", "data_type", "format_model"), DYNAMIC_LIMIT, "dynamic fields")
-    by_sql: dict[str, list] = {}
-    for r in dyn:
-        by_sql.setdefault(r["sql"], []).append(r)
-    parts: dict[tuple, list] = {}
-    for sql, rows in by_sql.items():
-        q = run_keyed_query(spark, sql, binds)
-        key = _key_of(q.columns)
-        if not key:
-            continue          # scalars are resolved by the caller
-        if "ord" in q.columns:
-            q = q.groupBy(*key).agg(F.min_by("value", "ord").alias("value"))
-        items = []
-        for r in rows:
-            text = typed_text(F.col("value"), r["data_type"], r["format_model"], legacy)
-            ordc = F.col("ord") if "ord" in q.columns else text
-            items.append(F.struct(F.lit(r["definition_id"]).alias("definition_id"),
-                                  F.struct(ordc.cast("string").alias("o"), text.alias("t")).alias("_v")))
-        parts.setdefault(key, []).append(q.select(*key, F.explode(F.array(*items)).alias("_e"))
-                                         .select(*key, "_e.definition_id", "_e._v"))
-    out = {}
-    for key, frames in parts.items():
-        u = frames[0]
-        for fr in frames[1:]:
-            u = u.unionByName(fr)
-        out[key] = u.groupBy(*key, "definition_id").agg(F.min("_v").getField("t").alias("dyn_text"))
-    return out
-
-
-def render_relational(spark: SparkSession, requests: DataFrame, selection: DataFrame, paid: DataFrame,
+def render_relational(query: Callable[..., DataFrame], requests: DataFrame, selection: DataFrame, paid: DataFrame,
                       totals: DataFrame, formats: DataFrame, fields: DataFrame, binds: dict,
                       invoice_order: list[str], legacy: frozenset = frozenset(), hot_rows: int | None = None,
-                      hot_files: list | None = None, hot_checks: list | None = None) -> DataFrame:
+                      hot_files: list | None = None, wanted: dict[tuple, DataFrame] | None = None) -> DataFrame:
     """Same output as ``render.render_lines`` without collecting the layout."""
-    if "Q6" in legacy:
-        raise ValueError("the Q6 legacy switch is only supported by the compiled renderer")
     parts = PartsIndex.load(formats, fields)
     proj = field_projection(formats, fields)
-    ctxs = line_contexts(requests, selection, paid, totals, parts, invoice_order, hot_rows, hot_files, hot_checks)
+    ctxs = line_contexts(requests, selection, paid, totals, parts, invoice_order, hot_rows, hot_files)
     lines = None
     for part, ctx in ctxs.items():
-        c = ctx.withColumn("part", F.lit(part))
+        c = ctx.withColumn("part", F.lit(part)).withColumn("from_part", F.lit(part))
+        if part == "TRAILER" and "Q6" in legacy:  # the header's fields, in the trailer's context, come first
+            c = c.unionByName(ctx.withColumn("part", F.lit(part)).withColumn("from_part", F.lit("HEADER")))
         lines = c if lines is None else lines.unionByName(c)
     # Layout rows are not broadcast here: this path exists for layouts too large to bound.
-    x = lines.join(proj, ["format_id", "part"])
-    for key, fr in dynamic_long(spark, proj, binds, legacy).items():
-        if not key:
-            continue
-        x = x.join(fr.withColumnRenamed("dyn_text", f"_dyn_{'_'.join(key)}"), [*key, "definition_id"], "left")
-    for key in KEY_SETS:
-        if key and f"_dyn_{'_'.join(key)}" not in x.columns:
-            x = x.withColumn(f"_dyn_{'_'.join(key)}", F.lit(None).cast("string"))
-    scalars = {}
-    for r in _bounded(proj.where((F.col("type_value") == T_DYNAMIC) & F.col("sql").isNotNull())
-                      .select("definition_id", "sql", "data_type", "format_model"), DYNAMIC_LIMIT, "dynamic fields"):
-        q = run_keyed_query(spark, r["sql"], binds)
-        if not _key_of(q.columns):
-            row = q.select(typed_text(F.col("value"), r["data_type"], r["format_model"], legacy).alias("t")) \
-                .limit(1).collect()
-            scalars[r["definition_id"]] = row[0]["t"] if row else None
-    dyn_text = F.coalesce(*[F.col(f"_dyn_{'_'.join(k)}") for k in KEY_SETS if k])
-    for fid, text in scalars.items():
+    x = lines.join(proj.withColumnRenamed("part", "from_part"), ["format_id", "from_part"])
+    specs = [FieldSpec(**r.asDict()) for r in proj.where((F.col("type_value") == T_DYNAMIC) & F.col("sql").isNotNull()).collect()]
+    dyn = dynamic_values(query, specs, binds, legacy, wanted)
+    dyn_text = F.lit(None).cast("string")
+    for key, fr in dyn.frames.items():
+        ids = [c for c in fr.columns if c not in key]
+        long = fr.select(*key, F.explode(F.array(*[F.struct(F.lit(int(c[4:])).cast("bigint").alias("definition_id"), F.col(c).alias("t")) for c in ids])).alias("_e"))
+        name = f"_dyn_{'_'.join(key)}"
+        x = x.join(long.select(*key, "_e.definition_id", F.col("_e.t").alias(name)), [*key, "definition_id"], "left")
+        dyn_text = F.coalesce(dyn_text, F.col(name))
+    for fid, text in dyn.scalars.items():
         dyn_text = F.when(F.col("definition_id") == fid, F.lit(text)).otherwise(dyn_text)
 
-    masks = [r["format_model"] for r in _bounded(
-        proj.where((F.col("data_type") == "NUMBER") & F.col("format_model").isNotNull()
-                   & F.col("type_value").isin(*COUNTERS)).select("format_model").distinct(), MASK_LIMIT, "masks")]
+    masks = [r["format_model"] for r in
+             proj.where((F.col("data_type") == "NUMBER") & F.col("format_model").isNotNull()
+                        & F.col("type_value").isin(*COUNTERS)).select("format_model").distinct().collect()]
     num = F.lit(None).cast("decimal(38,10)")
     for t, col in COUNTERS.items():
         num = F.when(F.col("type_value") == t, F.col(col).cast("decimal(38,10)")).otherwise(num)
@@ -156,9 +104,12 @@ def render_relational(spark: SparkSession, requests: DataFrame, selection: DataF
     text = F.when((F.col("format_type") == DELIMITED) & delim.isNotNull(),
                   F.concat(F.coalesce(F.replace(text, delim, F.lit("")), F.lit("")), delim)).otherwise(text)
     x = x.select("file_id", "format_id", "part", "seq1", "seq2", "seq3", "line_no", "format_type",
-                 F.struct("secuence", "definition_id", text.alias("t")).alias("_f"))
+                 F.struct("secuence", "definition_id", text.alias("t"), (F.col("from_part") != F.col("part")).alias("header")).alias("_f"))
     folded = x.groupBy("file_id", "format_id", "part", "seq1", "seq2", "seq3", "line_no", "format_type").agg(
         F.array_sort(F.collect_list("_f")).alias("_fs"))
-    line = F.concat_ws("", F.transform("_fs", lambda f: f["t"]))
-    line = F.when(F.col("format_type") == DELIMITED, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
-    return folded.select(*LINE_COLUMNS[:-1], line.alias("value"))
+
+    def line_of(header: bool) -> Column:
+        own = F.filter("_fs", lambda f: f["header"] == F.lit(header))
+        line = F.concat_ws("", F.transform(own, lambda f: f["t"]))
+        return F.when(F.col("format_type") == DELIMITED, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    return folded.select(*LINE_COLUMNS[:-1], F.concat(line_of(True), line_of(False)).alias("value"))

@@ -69,15 +69,6 @@ def params_envelope(params: RunParams, doc_ids=None) -> Envelope:
     return Envelope(tuple(sorted(doc_ids)) if doc_ids else (), day(params.start_date), day(params.end_date))
 
 
-def envelope(requests: DataFrame) -> Envelope:
-    row = requests.agg(
-        F.sort_array(F.collect_set("payment_document_id")).alias("ids"),
-        F.min(F.date_trunc("DAY", "start_ts")).alias("lo"),
-        F.max(F.date_trunc("DAY", "end_ts")).alias("hi"),
-    ).first()
-    return Envelope(tuple(row["ids"] or ()), row["lo"], row["hi"])
-
-
 def day_range(col: Column, start: Column, end: Column) -> Column:
     """FLT-02: ``TRUNC(d) BETWEEN TRUNC(a) AND TRUNC(b)`` as a half-open, pushable range."""
     return (col >= F.date_trunc("DAY", start)) & (col < F.date_trunc("DAY", end) + F.expr("INTERVAL 1 DAY"))

@@ -18,7 +18,7 @@ from ..operators import lookups, quality, render, status
 from ..operators import selection as sel_ops
 from ..operators.sequences import hot_rows_of
 from ..schema import RunParams
-from ..session import drop_snapshot, materialize
+from ..session import bounded_broadcast, drop_snapshot, materialize
 from ..sinks import files
 from ..sources.adapters import INVOICE_ORDER
 from .context import Ctx
@@ -32,6 +32,7 @@ class BankFileRun:
     totals: DataFrame
     layout: render.Layout
     lines: DataFrame
+    dyn: render.DynamicValues | None   # of the compiled renderer
 
 
 def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
@@ -54,17 +55,12 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     # register and the status log (the reference re-read them six times, Q24).
     selection = materialize(selection, "selection")
     paid = materialize(lookups.paid_invoices(selection, ctx.invoice_payments, ctx.invoices, ("check_number",))
-                       .join(F.broadcast(requests.select("file_id", "format_id")), "file_id"), "paid")
+                       .join(bounded_broadcast(requests.select("file_id", "format_id")), "file_id"), "paid")
     totals = agg.selection_totals(selection)
-    hot_files, hot_checks = find_hot(totals, paid, hot_rows)
-    # Views the keyed queries of the layout are written against.
-    selection.createOrReplaceTempView("selection")
-    paid.createOrReplaceTempView("paid")
-    ctx.invoices.createOrReplaceTempView("invoices")
-    requests.createOrReplaceTempView("requests")
-    totals.createOrReplaceTempView("totals")
-    single_doc = doc_ids[0] if doc_ids and len(doc_ids) == 1 else None
-    binds = render.job_binds(params, single_doc)
+    hot_files = find_hot(totals, paid, hot_rows)
+    binds = render.job_binds(params)
+    views = dict(selection=selection, paid=paid, invoices=ctx.invoices, requests=requests, totals=totals)
+    wanted = {("invoice_id",): paid.select("invoice_id").distinct()}
     layout = None
     if renderer in ("auto", "compiled"):
         try:
@@ -72,18 +68,18 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
         except render.LayoutTooLarge:
             if renderer == "compiled":
                 raise
-    if layout is not None:
-        dyn = render.dynamic_values(spark, layout.specs, binds, params.legacy)
-        lines = render.render_lines(spark, requests, selection, paid, totals, layout, dyn, list(INVOICE_ORDER),
-                                    legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files,
-                                    hot_checks=hot_checks)
-    else:
-        from ..operators.render_relational import PartsIndex, render_relational
-        layout = PartsIndex.load(formats, ctx.fields)
-        lines = render_relational(spark, requests, selection, paid, totals, formats, ctx.fields, binds,
-                                  list(INVOICE_ORDER), legacy=params.legacy, hot_rows=hot_rows,
-                                  hot_files=hot_files, hot_checks=hot_checks)
-    return BankFileRun(requests, selection, paid, totals, layout, lines)
+    with render.query_views(spark, **views) as query:
+        if layout is not None:
+            dyn = render.dynamic_values(query, layout.specs, binds, params.legacy, wanted)
+            lines = render.render_lines(spark, requests, selection, paid, totals, layout, dyn, list(INVOICE_ORDER),
+                                        legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files)
+        else:
+            from ..operators.render_relational import PartsIndex, render_relational
+            layout, dyn = PartsIndex.load(formats, ctx.fields), None
+            lines = render_relational(query, requests, selection, paid, totals, formats, ctx.fields, binds,
+                                      list(INVOICE_ORDER), legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files,
+                                      wanted=wanted)
+    return BankFileRun(requests, selection, paid, totals, layout, lines, dyn)
 
 
 def release(run: BankFileRun) -> None:
@@ -95,15 +91,14 @@ def release(run: BankFileRun) -> None:
 def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int | None = None):
     """Files too large for one task (payments + invoice lines > hot_rows), from one small aggregation.
 
-    Bounded: at most (lines / hot_rows) keys.  Returns (hot_files, hot_checks); hot files are
-    numbered in one distributed pass that also splits huge payments, so hot_checks is empty.
+    Bounded: at most (lines / hot_rows) keys.  Hot files are numbered in one distributed pass that
+    also splits huge payments.
     """
     hot_rows = hot_rows if hot_rows is not None else hot_rows_of(totals.sparkSession)
     sizes = totals.select("file_id", F.col("trx_lines").alias("_n")).unionByName(
         paid.groupBy("file_id").agg(F.count(F.lit(1)).alias("_n")))
-    hot_files = [(r["file_id"],) for r in sizes.groupBy("file_id").agg(F.sum("_n").alias("_n"))
-                 .where(F.col("_n") > hot_rows).select("file_id").collect()]
-    return hot_files, []
+    return [(r["file_id"],) for r in sizes.groupBy("file_id").agg(F.sum("_n").alias("_n"))
+            .where(F.col("_n") > hot_rows).select("file_id").collect()]
 
 
 def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, selection: DataFrame | None = None,
@@ -156,6 +151,10 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
     reg = register_job(ctx, params, selection=run.selection, requests=run.requests, hot_rows=hot_rows)
     reg_path = files.write_text(reg, f"{out_path}/register")
     dq = quality.request_checks(run.requests, run.totals, ctx.formats).unionByName(files.control_characters(lines))
+    if run.dyn is not None:
+        missing = render.missing_values(run.requests, run.selection, run.paid, run.layout, run.dyn)
+        dq = dq.unionByName(quality.missing_by_file(missing)).unionByName(
+            quality.unconverted_fields(run.requests, run.layout.specs, run.dyn.failed))
     names = file_names(ctx, run.requests).select("file_id", "file_name", "file_extension")
     outcome = files.run_outcome(run.requests, run.totals, dq).join(names, "file_id", "left")
     files.append_outcome(outcome, f"{out_path}/outcome")

@@ -346,6 +346,27 @@ FROM sel s JOIN docfmt df ON df.doc = s.payment_document_id JOIN parts p ON p.fo
 SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-1', 'run-1-4')""",
     "delimited_lines": LINES + """
 SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-2', 'run-1-3')""",
+    "written_lines": LINES + "SELECT file_id, value || CASE WHEN file_id = 'run-1-2' THEN chr(13) ELSE '' END AS value FROM numbered",
+    "bound_fields": BASE + """
+, tot3 AS (SELECT file_id, COUNT(*) AS n, SUM(amount) AS total FROM sel WHERE payment_document_id = 3 GROUP BY file_id)
+SELECT s.file_id, 'BODY' AS part, '3' || chr(9) || CAST(t.n AS VARCHAR) || chr(9) || printf('%.2f', s.amount) || chr(9)
+       || CAST(s.check_number AS VARCHAR) || chr(9) || 'range' AS value
+FROM sel s JOIN tot3 t ON t.file_id = s.file_id
+UNION ALL
+SELECT s.file_id, 'DETAIL', i.invoice_num
+FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id JOIN invoices i ON i.invoice_id = ip.invoice_id WHERE s.payment_document_id = 3
+UNION ALL
+SELECT file_id, 'TRAILER', printf('%.2f', total) FROM tot3
+""",
+    "dq_dynamic_values": BASE + """
+SELECT 'DQ-10 dynamic value missing' AS check_name, file_id || '/' || CAST(check_id AS VARCHAR) AS key,
+       'definition 921: SELECT check_id, vendor_name AS value FROM selection WHERE amount > 100000' AS detail
+FROM sel WHERE payment_document_id IN (1, 4) AND amount <= 100000
+UNION ALL
+SELECT 'DQ-10 dynamic value missing', file_id || '/' || CAST(check_id AS VARCHAR),
+       'definition 922: SELECT check_id, vendor_name AS value FROM selection'
+FROM sel WHERE payment_document_id IN (1, 4)
+""",
     "register_text": REGISTER_TEXT + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",
     "register_text_es": register_text_sql("ESA") + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",
     "mark_printed": with_(ENTITIES, FINAL1) + """
@@ -359,6 +380,11 @@ FROM checks c LEFT JOIN sel1 s ON s.check_id = c.check_id
 SELECT file_id, check_id, doc_sequence_value, check_number, amount, check_date, vendor_name, send_status,
        vendor_site_code
 FROM sel WHERE check_id NOT IN (SELECT check_id FROM sel1)
+""",
+    "second_final_run": with_(ENTITIES, FINAL1, selection_sql(statuses=("NEW",), run_id="final-2")) + """
+SELECT check_id, 'PRINTED' AS status, 'final-2' AS run_id
+FROM sel WHERE payment_document_id IN (1, 2, 3, 4)
+  AND check_id NOT IN (SELECT check_id FROM sel1 WHERE payment_document_id IN (1, 2, 3, 4))
 """,
     "unlock": BASE + """
 SELECT check_id, 'NEW' AS status, 'unlock-1' AS run_id, TIMESTAMP '2014-04-25 09:09:17' AS event_ts FROM sel

@@ -179,8 +179,7 @@ def _bank_run(spark: SparkSession, sf_dir: str):
 def _body_det(run):
     from ..operators.render import sequence_lines
     from .jobs import find_hot
-    hot_files, hot_checks = find_hot(run.totals, run.paid)
-    return sequence_lines(run.selection, run.paid, run.layout, list(INVOICE_ORDER), None, hot_files, hot_checks)
+    return sequence_lines(run.selection, run.paid, run.layout, list(INVOICE_ORDER), None, find_hot(run.totals, run.paid))
 
 
 def seq_body(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,6 +219,63 @@ def delimited_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("file_id", "part", "line_no", "value")
 
 
+def written_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-01/02/03: the bytes of the written bank files, read back one row per line (a CRLF line ends in CR)."""
+    from ..session import new_scratch_path
+    from ..sinks.files import write_bank_files
+    ctx = Ctx(spark, sf_dir)
+    run = _bank_run(spark, sf_dir)
+    path = write_bank_files(run.lines, ctx.formats, new_scratch_path(spark, "bank-files"), requests=run.requests)
+    raw = spark.read.schema("value string, file_id string").option("lineSep", "\n").text(path)
+    return raw.select("file_id", F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("value"))
+
+
+def _with_fields(ctx: Ctx, rows: list[tuple], instead_of: int | None = None) -> Ctx:
+    """``ctx`` with more layout fields, instead of those of a format where one is named."""
+    from ..schema import FORMAT_FIELDS
+    own = ctx.fields if instead_of is None else ctx.fields.where(F.col("format_id") != instead_of)
+    ctx.__dict__["fields"] = own.unionByName(ctx.spark.createDataFrame(rows, FORMAT_FIELDS))
+    return ctx
+
+
+def _dynamic(fid: int, fmt: int, part: str, seq: int, kind: str, mask: str | None, sql: str) -> tuple:
+    return (fid, fmt, f"f{fid}", "DINAMIC", None, seq, None, None, kind, mask, None, None, sql, part)
+
+
+BOUND_FIELDS = [
+    _dynamic(911, 3, "BODY", 1, "NUMBER", "999", "SELECT :PAY_DOCUMENT AS value"),
+    _dynamic(912, 3, "BODY", 2, "NUMBER", "999999999", "SELECT :V_TRX_LINES AS value"),
+    _dynamic(913, 3, "BODY", 3, "NUMBER", "9999999990.00", "SELECT s.amount FROM selection s WHERE s.check_id = :CHECK_ID"),
+    _dynamic(914, 3, "BODY", 4, "NUMBER", "999999999", "SELECT check_id, check_number AS value FROM selection WHERE check_number >= :P_DOC_INI"),
+    _dynamic(915, 3, "BODY", 5, "STRING", None,
+             "SELECT check_id, 'batch' AS value FROM selection /*SQLS_ALT*/ SELECT check_id, 'range' AS value FROM selection"),
+    _dynamic(916, 3, "DETAIL", 1, "STRING", None, "SELECT invoice_num AS value FROM invoices WHERE invoice_id = :INVOICEID"),
+    _dynamic(917, 3, "TRAILER", 1, "NUMBER", "9999999999990.00", "SELECT :V_SUM_TRANS AS value"),
+]
+
+
+def bound_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RND-06/07/08: a layout that binds the document, totals, payment and invoice, an unset parameter, and an alternative."""
+    from .jobs import bank_file_job
+    ctx = _with_fields(Ctx(spark, sf_dir), BOUND_FIELDS, instead_of=3)
+    return bank_file_job(ctx, doc_ids=[1, 3]).lines.where("format_id = 3").select("file_id", "part", "value")
+
+
+MISSING_SQL = "SELECT check_id, vendor_name AS value FROM selection WHERE amount > 100000"
+NOT_A_NUMBER_SQL = "SELECT check_id, vendor_name AS value FROM selection"
+
+
+def dq_dynamic_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-10 / RND-19: payments for which a layout's query has no row, or a value of the wrong type."""
+    from ..operators import quality, render
+    from .jobs import bank_file_job
+    ctx = _with_fields(Ctx(spark, sf_dir), [_dynamic(921, 1, "BODY", 90, "STRING", None, MISSING_SQL),
+                                            _dynamic(922, 1, "BODY", 91, "NUMBER", "999", NOT_A_NUMBER_SQL)])
+    run = bank_file_job(ctx)
+    missing = render.missing_values(run.requests, run.selection, run.paid, run.layout, run.dyn)
+    return quality.dynamic_values_missing(missing, run.layout.specs)
+
+
 # ---------------------------------------------------------------------------
 # Register text, status log, unlock
 # ---------------------------------------------------------------------------
@@ -277,6 +333,17 @@ def unsent_after_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sel_ops.register_rows(sel)
 
 
+def second_final_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAIN / ST-02: two FINAL runs through the whole job with one written status log; what the second one sent."""
+    from ..session import new_scratch_path
+    from .jobs import main_job
+    ctx = Ctx(spark, sf_dir)
+    out, log = new_scratch_path(spark, "main-runs"), new_scratch_path(spark, "status-log")
+    main_job(ctx, f"{out}/1", ctx.params.with_(**FINAL_1), status_log_path=log)
+    second = ctx.params.with_(run_id="final-2", only_unsent="Y", process_type="FINAL")
+    return main_job(ctx, f"{out}/2", second, status_log_path=log).status_log.select("check_id", "status", "run_id")
+
+
 USER_IDS = [1001, 1002, 1003, 1004, 1005]
 
 
@@ -358,9 +425,8 @@ def ingest_file_status(spark: SparkSession, sf_dir: str) -> DataFrame:
                            T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
     land = ingest.load_landing(spark, landing, schema, ["event_id", "value"])
     st = land.file_status.withColumn("event_type", F.regexp_extract("file_path", "event_type=([^/]+)/", 1))
-    return st.groupBy("event_type").agg(
-        F.sum("n_good").cast("bigint").alias("n_good"), F.sum("n_bad").cast("bigint").alias("n_bad"),
-        F.when(F.sum("n_bad") > 0, F.lit("BATCH ERROR")).otherwise(F.lit("OK")).alias("status"))
+    return st.groupBy("event_type", "status").agg(
+        F.sum("n_good").cast("bigint").alias("n_good"), F.sum("n_bad").cast("bigint").alias("n_bad"))
 
 
 def legacy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,11 +522,15 @@ QUERIES = {
     "bank_file_lines": bank_file_lines,
     "fixed_width_lines": fixed_width_lines,
     "delimited_lines": delimited_lines,
+    "written_lines": written_lines,
+    "bound_fields": bound_fields,
+    "dq_dynamic_values": dq_dynamic_values,
     "register_text": register_text,
     "register_text_es": register_text_es,
     "mark_printed": mark_printed,
     "current_status": current_status,
     "unsent_after_final": unsent_after_final,
+    "second_final_run": second_final_run,
     "unlock": unlock,
     "unlock_outcome": unlock_outcome,
     "flex_project": flex_project,

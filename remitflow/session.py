@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (tests) is a scratch folder created.
+    Only on a local master (tests) is a scratch folder created when nothing is configured: on a cluster
+    it would be another folder on every machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="remitflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -73,6 +77,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def new_scratch_path(spark: SparkSession, name: str) -> str:
+    """As ``scratch_path``, another one each time."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``limit`` rows.
 
@@ -89,9 +98,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage (a lost executor recomputes from the written files, not from
     the source scans) and gives every consumer the same snapshot.
     """
-    import uuid
-
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    path = new_scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

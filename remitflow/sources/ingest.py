@@ -3,14 +3,15 @@
 Delimited files are read in PERMISSIVE mode with a corrupt-record column;
 each row carries its source file name.  A file with any rejected row is
 marked ``BATCH ERROR`` as a whole; empty files are reported from the file
-listing (``binaryFile`` with the content column pruned).
+listing.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +28,7 @@ class Landing:
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     return (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .option("sep", sep).option("header", "false").csv(path)
+            .option("sep", sep).option("header", "false").option("recursiveFileLookup", "true").csv(path)
             .withColumn("file_name", F.col("_metadata.file_name"))
             .withColumn("file_path", F.col("_metadata.file_path")))
 
@@ -45,48 +46,43 @@ def split_rows(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFra
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(file_path, length) of every landed file, empty ones included (file scans skip empty files).
+    """(file_path, length) of every landed file, empty ones included (scans skip those).
 
-    Uses the Hadoop FileSystem listing — metadata only, as Spark's own file index does.
+    The listing is Spark's own file index, made in parallel; file contents are not read.
     """
-    import fnmatch
-
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    it = fs.listFiles(p, True)
-    rows = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if fnmatch.fnmatch(name, glob):
-            rows.append((st.getPath().toUri().toString(), int(st.getLen())))
-    return spark.createDataFrame(rows, "file_path string, length long")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    names = spark.createDataFrame([(unquote(f),) for f in files.inputFiles()], "file_path string").withColumn("_p", path_of("file_path"))
+    sized = files.select(path_of("path").alias("_p"), "length")
+    return names.join(sized, "_p", "left").select("file_path", F.coalesce("length", F.lit(0)).cast("long").alias("length"))
+
+
+def path_of(column: str) -> Column:
+    """A file's path without scheme and host: listings and scans spell them differently."""
+    return F.regexp_replace(F.col(column), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+
+
+def batch_status(length: Column, n_good: Column, n_bad: Column) -> Column:
+    """SNK-10 / DQ-09: one reject fails the whole file; a file without a row is empty."""
+    return (F.when(length == 0, F.lit("EMPTY FILE")).when(n_bad > 0, F.lit("BATCH ERROR"))
+            .when(n_good == 0, F.lit("EMPTY FILE")).otherwise(F.lit("OK")))
 
 
 def file_status(spark: SparkSession, path: str, good: DataFrame, rejected: DataFrame,
                 glob: str = "*.csv") -> DataFrame:
     """SNK-10 / DQ-09: per landed file: good rows, rejected rows, status."""
-    # Listing and scan spell URIs differently ("file:/x" vs "file:///x"): compare on the path part.
-    def norm(c):
-        return F.regexp_replace(F.col(c), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
-    listing = list_files(spark, path, glob).withColumn("file_path", norm("file_path"))
-    g = good.groupBy(norm("file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_good"))
-    b = rejected.groupBy(norm("file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_bad"))
-    s = listing.join(g, "file_path", "left").join(b, "file_path", "left").fillna(0, ["n_good", "n_bad"])
-    names = s.groupBy(F.regexp_extract("file_path", "([^/]+)$", 1).alias("_name")).agg(
-        F.count(F.lit(1)).alias("_copies"))
-    s = s.join(names, F.regexp_extract("file_path", "([^/]+)$", 1) == F.col("_name"), "left")
-    status = (F.when(F.col("_copies") > 1, F.lit("DUPLICATE FILE NAME"))
-              .when(F.col("length") == 0, F.lit("EMPTY FILE"))
-              .when(F.col("n_bad") > 0, F.lit("BATCH ERROR")).otherwise(F.lit("OK")))
-    return s.select("file_path", "length", "n_good", "n_bad", status.alias("status"))
+    listing = list_files(spark, path, glob).withColumn("file_path", path_of("file_path"))
+    counted = (good.select(path_of("file_path").alias("file_path"), F.lit(1).alias("g"), F.lit(0).alias("b"))
+               .unionByName(rejected.select(path_of("file_path").alias("file_path"), F.lit(0).alias("g"), F.lit(1).alias("b")))
+               .groupBy("file_path").agg(F.sum("g").alias("n_good"), F.sum("b").alias("n_bad")))
+    s = listing.join(counted, "file_path", "left").fillna(0, ["n_good", "n_bad"])
+    return s.select("file_path", "length", "n_good", "n_bad", batch_status(F.col("length"), F.col("n_good"), F.col("n_bad")).alias("status"))
 
 
 def load_landing(spark: SparkSession, path: str, schema: T.StructType, required: list[str],
                  sep: str = ",") -> Landing:
+    """All-or-nothing per file: ``good`` holds the rows of files without a reject only."""
     rows = read_landing(spark, path, schema, sep)
     good, rejected = split_rows(rows, required)
     st = file_status(spark, path, good, rejected)
-    return Landing(good, rejected, st)
+    failed = rejected.select("file_path").distinct()
+    return Landing(good.join(failed, "file_path", "left_anti").select(*good.columns), rejected, st)

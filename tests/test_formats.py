@@ -96,7 +96,7 @@ def test_migrated_legacy_layout_renders(spark):
     paid = spark.createDataFrame([], "file_id string, format_id long, check_id long, invoice_id long, check_number long")
     req = spark.createDataFrame([("f", 1)], "file_id string, format_id long")
     lines = render.render_lines(spark, req, sel, paid, agg.selection_totals(sel), layout,
-                                render.dynamic_values(spark, layout.specs, {}), ["invoice_id"])
+                                render.dynamic_values(spark.sql, layout.specs, {}), ["invoice_id"])
     got = [r.value for r in lines.orderBy("line_no").collect()]
     # escape decoded, NUMBER padded with '0' on the left, trailer direction kept for a POSITIONS file
     assert got == ["AB\tC  0001", "AB\tC  0002", "00002"]

@@ -50,7 +50,7 @@ def test_small_sample_layout(spark):
         [("f", 1, 1000 + i, 10 * i + j, j) for i, d in enumerate(DETAILS) for j in range(1, d + 1)],
         "file_id string, format_id long, check_id long, invoice_id long, line_number long")
     requests = spark.createDataFrame([("f", 1)], "file_id string, format_id long")
-    dyn = render.dynamic_values(spark, layout.specs, {})
+    dyn = render.dynamic_values(spark.sql, layout.specs, {})
     lines = render.render_lines(spark, requests, sel, paid, agg.selection_totals(sel), layout, dyn,
                                 ["line_number", "invoice_id"], hot_rows=10)
     rows = lines.orderBy("line_no").collect()

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from remitflow.functions.masks import date_pattern, money, to_char_date, to_char_number
+from remitflow.functions.masks import date_elements, money, to_char_date, to_char_number
 from remitflow.functions.text import cat, decode_escapes, latin1, letter_code, number_text
 
 
@@ -21,6 +21,17 @@ from remitflow.functions.text import cat, decode_escapes, latin1, letter_code, n
     ("9999", Decimal("-2.5"), "   -3"),
     ("99999999", Decimal("42"), "       42"),
     ("999,999,999.99", Decimal("1000000000"), "###############"),
+    ("S999", Decimal("42"), " +42"),
+    ("S999", Decimal("-42"), " -42"),
+    ("999S", Decimal("-42"), " 42-"),
+    ("999MI", Decimal("-42"), " 42-"),
+    ("999MI", Decimal("42"), " 42 "),
+    ("999PR", Decimal("-42"), " <42>"),
+    ("999PR", Decimal("42"), "  42 "),
+    ("$9,999.00", Decimal("12.5"), "    $12.50"),
+    ("FM$999.00", Decimal("-12.5"), "-$12.50"),
+    ("999X", Decimal("1"), None),
+    ("EEEE", Decimal("1"), None),
 ])
 def test_number_mask(spark, mask, value, expected):
     df = spark.createDataFrame([(value,)], "x decimal(18,2)")
@@ -35,15 +46,23 @@ def test_number_mask_null(spark):
 
 
 def test_date_masks(spark):
-    assert date_pattern("YYYY-MON-DD_HHAM-MI-SS") == ("yyyy-MMM-dd_hha-mm-ss", True)
-    assert date_pattern("DDMMYYYY") == ("ddMMyyyy", False)
-    assert date_pattern("YYYY/MM/DD HH24:MI:SS") == ("yyyy/MM/dd HH:mm:ss", False)
     df = spark.sql("SELECT TIMESTAMP_NTZ '2014-04-25 09:09:17' AS t")
     got = df.select(to_char_date(F.col("t"), "YYYY-MON-DD_HHAM-MI-SS"), to_char_date(F.col("t"), "DD/MM/YYYY"),
                     to_char_date(F.col("t"), "DD-MON-YYYY HH24:MI:SS"), to_char_date(F.col("t"), None)).first()
     assert tuple(got) == ("2014-APR-25_09AM-09-17", "25/04/2014", "25-APR-2014 09:09:17", None)
 
 
+@pytest.mark.parametrize("mask,expected", [
+    ("RRRR", "2014"), ("DDD", "115"), ("Q", "2"), ("MONTH", "APRIL    "), ("Month", "April    "), ("Mon", "Apr"), ("mon", "apr"),
+    ("DY", "FRI"), ("Day", "Friday   "), ("D", "6"), ("IW", "17"), ("WW", "17"), ('DD" of "MM', "25 of 04"), ("YYYY\"T\"HH24", "2014T09"),
+    ("hh:mi am", "09:09 am"), ("YYYYZZ", None), ("FOO", None),
+])
+def test_date_mask_elements(spark, mask, expected):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2014-04-25 09:09:17' AS t")
+    assert df.select(to_char_date(F.col("t"), mask)).first()[0] == expected
+    assert (date_elements(mask) is None) == (expected is None)
+
+
 def test_text_helpers(spark):
     df = spark.createDataFrame([("a\\Tb\\Ec\\N", "T", Decimal("1013.70"), "x€é")], "s string, c string, n decimal(18,2), u string")
     r = df.select(decode_escapes(F.col("s")), letter_code(F.col("c")), number_text(F.col("n")), latin1(F.col("u")),

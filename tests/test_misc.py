@@ -11,17 +11,25 @@ def test_alternate_query_by_mode(spark):
     sql = "SELECT 1 AS value /*SQLS_ALT*/ SELECT 2 AS value"
     assert choose_alternative(sql, True) == "SELECT 1 AS value"
     assert choose_alternative(sql, False) == "SELECT 2 AS value"
-    assert run_keyed_query(spark, sql, {"CHECKRUN_ID": 7}).first()[0] == 1
-    assert run_keyed_query(spark, sql, {"CHECKRUN_ID": None}).first()[0] == 2
+    assert run_keyed_query(spark.sql, sql, {"CHECKRUN_ID": 7}).first()[0] == 1
+    assert run_keyed_query(spark.sql, sql, {"CHECKRUN_ID": None}).first()[0] == 2
 
 
 def test_named_binds(spark):
-    q = run_keyed_query(spark, "SELECT CAST(:P_START_DATE AS TIMESTAMP_NTZ) AS value, :PAY_DOCUMENT AS d",
-                        {"P_START_DATE": datetime(2014, 4, 25), "PAY_DOCUMENT": 3})
+    q = run_keyed_query(spark.sql, "SELECT CAST(:P_START_DATE AS TIMESTAMP_NTZ) AS value, :P_DOC_FIN AS d",
+                        {"P_START_DATE": datetime(2014, 4, 25), "P_DOC_FIN": 3})
     r = q.first()
     assert r.value == datetime(2014, 4, 25) and r.d == 3
 
 
+def test_unset_parameters_make_their_predicate_a_no_op():
+    from remitflow.operators.render import without_unset
+    binds = {"LO": None, "HI": 9, "X": None}
+    assert without_unset("a.n >= :LO AND n <= :HI AND m = :X AND k <> :X", binds) == "a.n >= a.n AND n <= :HI AND m = m AND k = k"
+    assert without_unset("n between :LO and :HI AND d BETWEEN 1 AND 2", binds) == "n BETWEEN n AND :HI AND d BETWEEN 1 AND 2"
+    assert without_unset("x > :LO", binds) == "x = x"
+
+
 def test_sql_default_and_listings(spark):
     seg = spark.createDataFrame(
         [("HQ", "ATTRIBUTE11", "APPROVER1", 10, "XX_AP002_APPROVERS", "S",
@@ -54,17 +62,22 @@ def test_parameter_and_amount_checks(spark):
         spark.createDataFrame([(1, None), (2, "x")], "check_id long, v string"), ["v"]).collect()) == ["v"]
 
 
-def test_missing_dynamic_values_reported(spark):
-    ctx = spark.createDataFrame([(1, "x", None), (2, None, "y")], "check_id long, dyn_1 string, dyn_2 string")
-    got = sorted((r.key, r.detail) for r in quality.null_dynamic_values(ctx, "check_id", ["dyn_1", "dyn_2"]).collect())
-    assert got == [("1", "dyn_2"), ("2", "dyn_1")]
+def test_a_query_that_cannot_run_is_listed(spark):
+    from remitflow.operators.render import FieldSpec, dynamic_values
+    def spec(i, sql):
+        return FieldSpec(i, 1, "FIXED_WIDTH", None, "BODY", i, "DINAMIC", None, 5, "STRING", None, " ", "RIGTH", "Y", sql)
+    dyn = dynamic_values(spark.sql, [spec(1, "SELECT x FROM no_such_table"), spec(2, "SELECT :NOBODY_KNOWS AS value"), spec(3, "SELECT 1 AS value")], {})
+    assert set(dyn.failed) == {1, 2} and "NOBODY_KNOWS" in dyn.failed[2] and dyn.scalars == {3: "1"}
+    req = spark.createDataFrame([("f", 1), ("g", 2)], "file_id string, format_id long")
+    rows = quality.unconverted_fields(req, [spec(1, "q"), spec(2, "q"), spec(3, "q")], dyn.failed).collect()
+    assert {(r.key, r.check_name) for r in rows} == {("f", "DQ-12 query not runnable")} and len(rows) == 2
 
 
 def test_first_row_and_yes_no(spark):
     from remitflow.functions.text import yes_no
-    from remitflow.operators.lookups import first_row
-    df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (2, 5, "e")], "k long, o long, v string")
-    assert sorted((r.k, r.v) for r in first_row(df, ["k"], ["o"]).collect()) == [(1, "a"), (2, "e")]
+    from remitflow.operators.render import first_per_key
+    df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (2, 5, "e")], "k long, ord long, value string")
+    assert sorted((r.k, r.value) for r in first_per_key(df, ("k",)).collect()) == [(1, "a"), (2, "e")]
     b = spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
     assert [r[0] for r in b.select(yes_no(F.col("b"))).collect()] == ["Y", "N", "N"]
 
@@ -76,6 +89,6 @@ def test_keyed_query_first_row_uses_ord_in_its_type(spark):
                           "check_id long, v string, o long").createOrReplaceTempView("kq_src")
     spec = FieldSpec(7, 1, "FIXED_WIDTH", None, "BODY", 1, "DINAMIC", None, 5, "STRING", None, " ", "RIGTH", "Y",
                      "SELECT check_id, v AS value, o AS ord FROM kq_src")
-    dyn = dynamic_values(spark, [spec], {})
+    dyn = dynamic_values(spark.sql, [spec], {})
     got = {r.check_id: r.dyn_7 for r in dyn.frames[("check_id",)].collect()}
     assert got == {1: "early", 2: "only"}

@@ -23,7 +23,7 @@ def test_q6_trailer_prefixed_with_header_only_in_legacy_mode(spark):
                                                                     "check_number long, amount decimal(18,2)")
     paid = spark.createDataFrame([], "file_id string, format_id long, check_id long, invoice_id long, check_number long")
     req = spark.createDataFrame([("f", 1)], "file_id string, format_id long")
-    dyn = render.dynamic_values(spark, layout.specs, {})
+    dyn = render.dynamic_values(spark.sql, layout.specs, {})
 
     def lines(legacy):
         out = render.render_lines(spark, req, sel, paid, agg.selection_totals(sel), layout, dyn, ["invoice_id"],

@@ -11,22 +11,40 @@ def _rows(df):
     return sorted(tuple(r) for r in df.select("file_id", "part", "line_no", "seq1", "seq2", "seq3", "value").collect())
 
 
+def _relational(ctx, run, p):
+    with render.query_views(ctx.spark, selection=run.selection, paid=run.paid, invoices=ctx.invoices, requests=run.requests, totals=run.totals) as query:
+        return render_relational(query, run.requests, run.selection, run.paid, run.totals, ctx.formats, ctx.fields,
+                                 render.job_binds(p), list(INVOICE_ORDER), legacy=p.legacy)
+
+
 def test_relational_equals_compiled(spark):
     ctx = Ctx(spark, SF)
     run = bank_file_job(ctx)
-    rel = render_relational(spark, run.requests, run.selection, run.paid, run.totals, ctx.formats, ctx.fields,
-                            render.job_binds(ctx.params), list(INVOICE_ORDER))
-    a, b = _rows(run.lines), _rows(rel)
+    a, b = _rows(run.lines), _rows(_relational(ctx, run, ctx.params))
     assert len(a) == len(b) and a == b
 
 
 def test_relational_equals_compiled_legacy_switches(spark):
     ctx = Ctx(spark, SF)
-    p = ctx.params.with_(legacy=frozenset({"Q2", "Q3"}))
+    p = ctx.params.with_(legacy=frozenset({"Q2", "Q3", "Q6"}))
     run = bank_file_job(ctx, p, doc_ids=[2, 3])
-    rel = render_relational(spark, run.requests, run.selection, run.paid, run.totals, ctx.formats, ctx.fields,
-                            render.job_binds(p), list(INVOICE_ORDER), legacy=p.legacy)
-    assert _rows(run.lines) == _rows(rel)
+    rows = _rows(run.lines)
+    assert rows == _rows(_relational(ctx, run, p))
+    assert any(r[1] == "TRAILER" and "T;" in r[-1] and not r[-1].startswith("T;") for r in rows)   # Q6
+
+
+def test_relational_equals_compiled_with_binds_of_several_documents_and_keyless_order(spark):
+    from remitflow.schema import FORMAT_FIELDS
+    ctx = Ctx(spark, SF)
+    extra = [(901, 1, "doc", "DINAMIC", None, 90, 1, 4, "NUMBER", "9999", None, "LEFT", "SELECT :PAY_DOCUMENT AS value", "BODY"),
+             (902, 2, "last", "DINAMIC", None, 90, None, None, "STRING", None, None, None,
+              "SELECT v AS value, o AS ord FROM VALUES ('late', 10), ('early', 9) AS t(v, o)", "BODY")]
+    ctx.__dict__["fields"] = ctx.fields.unionByName(spark.createDataFrame(extra, FORMAT_FIELDS))
+    run = bank_file_job(ctx)
+    rows = _rows(run.lines)
+    assert rows == _rows(_relational(ctx, run, ctx.params))
+    assert {(r[0][-1], r[-1][-4:]) for r in rows if r[1] == "BODY" and r[0][-1] in "14"} == {("1", "   1"), ("4", "   4")}
+    assert all(r[-1].endswith(";early") for r in rows if r[1] == "BODY" and r[0][-1] == "2")
 
 
 def test_auto_falls_back_to_relational(spark, monkeypatch):
