@@ -108,3 +108,21 @@ def backfill_ids(df: DataFrame, id_col: str, order: list[str]) -> DataFrame:
     top = df.agg(F.max(id_col)).first()[0] or 0
     missing = assign_ids(df.where(F.col(id_col).isNull()).drop(id_col), order, id_col, int(top))
     return df.where(F.col(id_col).isNotNull()).unionByName(missing.select(*df.columns))
+
+
+def only_format(df: DataFrame, id_col: str, value: int | None) -> DataFrame:
+    """FLT-19: ``id = NVL(:value, id)``: one format, or all of them when none is named; NULL ids never pass."""
+    return df.where(F.col(id_col) == F.coalesce(F.lit(value).cast("bigint"), F.col(id_col)))
+
+
+def without_named(formats: DataFrame, fields: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """DML-04: the layout tables without the formats of a name (``UPPER(TRIM(name))``) and without their fields."""
+    key = F.upper(F.trim(F.col("format_name")))
+    left = formats.where(F.coalesce(key != F.upper(F.trim(F.lit(name))), F.lit(True)))
+    return left, without_orphans(fields, left)
+
+
+def without_orphans(fields: DataFrame, formats: DataFrame) -> DataFrame:
+    """DML-04: the fields that stay when orphans are deleted (``orphan_fields``)."""
+    gone = orphan_fields(fields, formats).select("format_id").distinct()
+    return fields.join(gone, "format_id", "left_anti").select(*fields.columns)

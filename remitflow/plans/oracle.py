@@ -357,6 +357,16 @@ SELECT s.file_id, 'DETAIL', i.invoice_num
 FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id JOIN invoices i ON i.invoice_id = ip.invoice_id WHERE s.payment_document_id = 3
 UNION ALL
 SELECT file_id, 'TRAILER', printf('%.2f', total) FROM tot3
+""",
+    "migrated_lines": BASE + """
+, b AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY check_number, check_id) AS n FROM sel WHERE payment_document_id IN (1, 3))
+SELECT file_id, 'BODY' AS part, CAST(n AS BIGINT) AS line_no,
+       CASE WHEN payment_document_id = 1
+            THEN 'P' || chr(9) || 'Q   ' || lpad(CAST(check_number AS VARCHAR), 10, '0') || lpad(CAST(n AS VARCHAR), 7, '0')
+            ELSE 'R' || chr(9) || vendor_name || chr(9) || '   x' END AS value
+FROM b
+UNION ALL
+SELECT file_id, 'TRAILER', CAST(COUNT(*) + 1 AS BIGINT), lpad(CAST(COUNT(*) AS VARCHAR), 8, '0') FROM b WHERE payment_document_id = 1 GROUP BY file_id
 """,
     "dq_dynamic_values": BASE + """
 SELECT 'DQ-10 dynamic value missing' AS check_name, file_id || '/' || CAST(check_id AS VARCHAR) AS key,

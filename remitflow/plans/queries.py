@@ -261,6 +261,28 @@ def bound_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bank_file_job(ctx, doc_ids=[1, 3]).lines.where("format_id = 3").select("file_id", "part", "value")
 
 
+MIGRATED = {1: "7", 3: "6"}   # document -> id its legacy layout gets
+
+
+def migrated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DML-03..06 / PRJ-03/04 / SRC-05/15/16 / JN-15 / FN-21/29/30/31: every legacy layout migrated (ids filled in,
+    orphans and one format deleted by name), two of them rendering selected payments."""
+    from ..operators import formats as fm
+    from ..sources import metadata
+    from .jobs import bank_file_job
+    ctx = Ctx(spark, sf_dir)
+    legacy = fm.only_format(metadata.legacy_formats(spark), "id_master", None)
+    detail = fm.backfill_ids(metadata.legacy_format_fields(spark), "id_file_format", ["id_master", "secuence"])
+    top = ctx.formats.agg(F.max("format_id")).first()[0]
+    formats, fields = fm.migrate_formats(legacy, detail, int(top), 10_000, faithful=False)
+    formats, fields = fm.without_named(ctx.formats.unionByName(formats), ctx.fields.unionByName(fields), " OLD unused ")
+    fmt = F.col("attribute11")
+    for doc, layout in MIGRATED.items():
+        fmt = F.when(F.col("payment_document_id") == doc, F.lit(layout)).otherwise(fmt)
+    ctx.__dict__.update(formats=formats, fields=fields, docs=ctx.docs.withColumn("attribute11", fmt))
+    return bank_file_job(ctx, doc_ids=list(MIGRATED)).lines.select("file_id", "part", "line_no", "value")
+
+
 MISSING_SQL = "SELECT check_id, vendor_name AS value FROM selection WHERE amount > 100000"
 NOT_A_NUMBER_SQL = "SELECT check_id, vendor_name AS value FROM selection"
 
@@ -524,6 +546,7 @@ QUERIES = {
     "delimited_lines": delimited_lines,
     "written_lines": written_lines,
     "bound_fields": bound_fields,
+    "migrated_lines": migrated_lines,
     "dq_dynamic_values": dq_dynamic_values,
     "register_text": register_text,
     "register_text_es": register_text_es,

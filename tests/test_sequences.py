@@ -55,7 +55,7 @@ def test_hot_file_single_pass_carries_across_partitions(spark):
                                  "file_id string, format_id long, check_id long, check_number long")
     det = spark.createDataFrame([("f", 1, 2, 2, i) for i in range(1, 200)] + [("f", 1, 3, 3, 1)],
                                 "file_id string, format_id long, check_id long, check_number long, invoice_id long")
-    b, d = _numbered_by_sort(body, det, ["invoice_id"], 5, [("f",)], [])
+    b, d = _numbered_by_sort(body, det, ["invoice_id"], 5, [("f",)])
     assert sorted((r.check_id, r.seq1, r.seq3, r._pos) for r in b.collect()) == [(1, 1, 0, 1), (2, 2, 1, 2),
                                                                                  (3, 3, 201, 202)]
     dd = sorted((r.check_id, r.invoice_id, r.seq2, r.seq1, r.seq3) for r in d.collect())
