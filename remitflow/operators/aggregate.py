@@ -30,25 +30,25 @@ def amount_totals(selection: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def report_lines(selection: DataFrame, invoice_payments: DataFrame, legacy_product: bool = False) -> DataFrame:
-    """AGG-03: invoice-payment lines + payment lines per file.
+    """AGG-03/04: invoice-payment lines + payment lines per file, with payments and their total.
 
     Default counts the invoice payments of the selected checks (equi-join).
     ``legacy_product=True`` reproduces the reference's missing join predicate
     (quirk Q14): payments × all invoice payments, computed as a product of two
     counts, never as a cross join.
     """
-    pay = selection.groupBy("file_id").agg(F.count(F.lit(1)).alias("trx_lines"))
     if legacy_product:
+        pay = selection_totals(selection)
         n_ip = invoice_payments.where(F.col("invoice_id").isNotNull()).agg(F.count(F.lit(1))).scalar()
-        return pay.select("file_id", "trx_lines",
+        return pay.select("file_id", "trx_lines", "sum_trans",
                           (F.col("trx_lines") * n_ip + F.col("trx_lines")).cast("bigint").alias("report_lines"))
-    per_check = invoice_payments.where(F.col("invoice_id").isNotNull()).groupBy("check_id").agg(
-        F.count(F.lit(1)).alias("_n"))
-    inv = selection.select("file_id", "check_id").join(per_check, "check_id").groupBy("file_id").agg(
-        F.sum("_n").alias("_inv"))
-    return pay.join(inv, "file_id", "left").select(
-        "file_id", "trx_lines", (F.coalesce(F.col("_inv"), F.lit(0)) + F.col("trx_lines")).cast("bigint")
-        .alias("report_lines"))
+    # One join by payment and two aggregations that need no further shuffle by payment; one scan of each side.
+    per_check = (selection.select("file_id", "check_id", "amount")
+                 .join(invoice_payments.where(F.col("invoice_id").isNotNull()).select("check_id", "invoice_id"), "check_id", "left")
+                 .groupBy("check_id", "file_id").agg(F.first("amount").alias("amount"), F.count("invoice_id").alias("_n")))
+    return per_check.groupBy("file_id").agg(
+        F.count(F.lit(1)).alias("trx_lines"), F.sum("amount").cast(TOTAL_MONEY).alias("sum_trans"),
+        (F.sum("_n") + F.count(F.lit(1))).cast("bigint").alias("report_lines"))
 
 
 INVOICE_CHUNK = 1000

@@ -55,17 +55,21 @@ def paid_invoices(selection: DataFrame, invoice_payments: DataFrame, invoices: D
     return sel.join(invoice_payments, "check_id").join(invoices, "invoice_id")
 
 
-def supplier_bank(chain: dict[str, DataFrame], dedupe_site: bool = True) -> DataFrame:
+def supplier_bank(chain: dict[str, DataFrame], dedupe_site: bool = True, vendors: DataFrame | None = None) -> DataFrame:
     """JN-08: external account ⋈ owner ⋈ party site ⋈ party ⋈ supplier, DISTINCT.
 
     The reference keeps the party-site name in the DISTINCT, so a vendor with k
-    sites × m accounts repeats (quirk Q19); ``dedupe_site=False`` keeps that.
+    sites × m accounts repeats (quirk Q19); ``dedupe_site=False`` keeps that.  ``vendors``
+    (``vendor_id``) restricts the chain before its joins.
     """
+    suppliers = chain["suppliers"]
+    if vendors is not None:
+        suppliers = suppliers.join(vendors.select("vendor_id").distinct(), "vendor_id", "left_semi")
     out = (
         chain["ext_bank_accounts"].join(chain["account_owners"], "ext_bank_account_id")
         .join(chain["party_sites"], F.col("account_owner_party_id") == F.col("party_id"))
         .join(chain["parties"], "party_id")
-        .join(chain["suppliers"], "party_id")
+        .join(suppliers, "party_id")
     )
     cols = ["bank_account_name", "bank_account_num", "party_name", "vendor_id"]
     if not dedupe_site:

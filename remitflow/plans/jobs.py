@@ -101,6 +101,12 @@ def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int | None = None):
             .where(F.col("_n") > hot_rows).select("file_id").collect()]
 
 
+def hot_files_of(totals: DataFrame, hot_rows: int | None = None) -> list[tuple]:
+    """Files with more payments than one task numbers (at most payments / hot_rows keys)."""
+    hot_rows = hot_rows if hot_rows is not None else hot_rows_of(totals.sparkSession)
+    return [(r["file_id"],) for r in totals.where(F.col("trx_lines") > hot_rows).select("file_id").collect()]
+
+
 def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, selection: DataFrame | None = None,
                  requests: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """REPORT: register text for every file, from a given selection snapshot or a fresh one."""
@@ -110,6 +116,7 @@ def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, select
     if selection is None:
         requests, selection = sel_ops.run_selection(ctx.spark, ctx.checks, ctx.sites, ctx.values, ctx.docs,
                                                     params, doc_ids)
+        selection = materialize(selection, "register")  # read for the totals, the sizes and the lines
     bt = ctx.bank_tables()
     chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"], entities=bt["entities"])
     titles = agg.title_literals(lookups.value_set(ctx.values, TITLE_VALUE_SET), params.lang)
@@ -118,7 +125,7 @@ def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, select
                            F.initcap("legal_entity_name").alias("legal_entity")), "payment_document_id") \
         .select("*", *titles)
     totals = agg.selection_totals(selection)
-    return register.register_text(selection, heading, totals, hot_rows)
+    return register.register_text(selection, heading, totals, hot_rows, hot_files_of(totals, hot_rows))
 
 
 @dataclass

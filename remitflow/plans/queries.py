@@ -17,10 +17,11 @@ from ..operators import aggregate as agg
 from ..operators import lookups
 from ..operators import selection as sel_ops
 from ..schema import TITLE_VALUE_SET
-from ..session import bounded_broadcast
+from ..session import bounded_broadcast, materialize
 from ..sources import adapters
 from ..sources.adapters import INVOICE_ORDER
 from .context import Ctx
+from .jobs import hot_files_of
 
 
 def _selection(ctx: Ctx, params=None, doc_ids=None):
@@ -64,8 +65,7 @@ def report_lines(spark: SparkSession, sf_dir: str, legacy: bool = False) -> Data
     """AGG-03/04: payment + invoice lines per file, with the file total."""
     ctx = Ctx(spark, sf_dir)
     _, sel = _selection(ctx)
-    rl = agg.report_lines(sel, ctx.invoice_payments, legacy_product=legacy)
-    return rl.join(agg.selection_totals(sel).select("file_id", "sum_trans"), "file_id")
+    return agg.report_lines(sel, ctx.invoice_payments, legacy_product=legacy)
 
 
 def report_lines_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,9 +86,16 @@ def invoice_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-06 / JN-16: 'DOCUMENTOS: ' list of every invoice a selected payment pays, ordered."""
     ctx = Ctx(spark, sf_dir)
     _, sel = _selection(ctx)
-    ip = sel.select("file_id", "check_id").join(ctx.invoice_payments, "check_id")
+    sel = materialize(sel.select("file_id", "check_id"), "invoice-list")
+    ip = sel.join(ctx.invoice_payments, "check_id")
     named = lookups.invoice_number(ip, ctx.invoices)
-    return sel.select("file_id", "check_id").join(agg.invoice_list(named, list(INVOICE_ORDER)), "check_id")
+    return sel.join(agg.invoice_list(named, list(INVOICE_ORDER), hot_keys=_hot_payments(ip)), "check_id")
+
+
+def _hot_payments(invoice_payments: DataFrame) -> list[tuple]:
+    """Payments with more invoices than one task lists, from the invoice payments alone."""
+    from ..operators.sequences import hot_groups, hot_rows_of
+    return hot_groups(invoice_payments, ["check_id"], hot_rows_of(invoice_payments.sparkSession))
 
 
 def supplier_bank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,9 +104,10 @@ def supplier_bank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = ctx.checks.where(
         sel_ops.seconds_range(F.col("check_date"), "1996/01/01 00:00:00", "1996/12/31 23:59:59")
         & (F.col("payment_method_code") == "EFT") & F.col("void_date").isNull())
-    sup = lookups.supplier_bank(adapters.supplier_bank_accounts(spark, sf_dir))
+    c = materialize(c.select("check_id", "vendor_id", "ce_bank_acct_use_id", "amount", "check_date"), "supplier-payments")
+    sup = lookups.supplier_bank(adapters.supplier_bank_accounts(spark, sf_dir), vendors=c)
     ip = c.select("check_id").join(ctx.invoice_payments, "check_id")
-    lists = agg.invoice_list(lookups.invoice_number(ip, ctx.invoices), list(INVOICE_ORDER))
+    lists = agg.invoice_list(lookups.invoice_number(ip, ctx.invoices), list(INVOICE_ORDER), hot_keys=_hot_payments(ip))
     j = c.join(sup, "vendor_id").join(lists, "check_id", "left")
     line = F.concat_ws(
         "", F.replace(F.col("bank_account_num"), F.lit("-"), F.lit("")), F.lit(";"),
@@ -457,7 +465,7 @@ def legacy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources import metadata
     ctx = Ctx(spark, sf_dir)
     req = sel_ops.build_requests(ctx.docs, ctx.params.with_(only_unsent="Y"))
-    sel = sel_ops.select_legacy(ctx.checks, req, sel_ops.params_envelope(ctx.params), status="NEW")
+    sel = materialize(sel_ops.select_legacy(ctx.checks, req, sel_ops.params_envelope(ctx.params), status="NEW"), "legacy-register")
     totals = agg.amount_totals(sel, ["file_id"])
     states = metadata.lookup_codes(spark).where(F.col("lookup_type") == "CHECK STATE").select(
         F.col("lookup_code").alias("status_lookup_code"), F.col("displayed_field").alias("check_status"))
@@ -467,7 +475,7 @@ def legacy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     heading = req.select("file_id", "payment_document_id").join(
         chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name"),
         "payment_document_id")
-    return register.legacy_register_text(lines, heading, totals)
+    return register.legacy_register_text(lines, heading, totals, hot_files=hot_files_of(totals))
 
 
 def legacy_register_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,27 +486,26 @@ def legacy_register_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources import metadata
     ctx = Ctx(spark, sf_dir)
     p = ctx.params.with_(only_unsent="Y")
-    c = ctx.checks
-    batches = c.where((F.col("payment_type_flag") == "A") & day_range(F.col("check_date"), _ts(p.start_date),
-                                                                      _ts(p.end_date))) \
-        .select("payment_document_id", "checkrun_id").distinct()
+    # The payments of the period once: batches, selection and totals come from this snapshot.
+    c = materialize(ctx.checks.where(day_range(F.col("check_date"), _ts(p.start_date), _ts(p.end_date))), "batch-payments")
+    batches = c.where(F.col("payment_type_flag") == "A").select("payment_document_id", "checkrun_id").distinct()
     base = sel_ops.build_requests(ctx.docs, p)
     req = base.join(batches, "payment_document_id").select(
         F.concat_ws("-", F.col("file_id"), F.col("checkrun_id").cast("string")).alias("file_id"),
         *[x for x in base.columns if x not in ("file_id", "req_checkrun_id")],
         F.col("checkrun_id").alias("req_checkrun_id"))
-    sel = sel_ops.select_legacy(c, req, sel_ops.params_envelope(p), status="NEW")
+    sel = materialize(sel_ops.select_legacy(c, req, sel_ops.params_envelope(p), status="NEW"), "batch-register")
     totals = agg.amount_totals(sel, ["file_id"])
     states = metadata.lookup_codes(spark).where(F.col("lookup_type") == "CHECK STATE").select(
         F.col("lookup_code").alias("status_lookup_code"), F.col("displayed_field").alias("check_status"))
     lines = sel.join(ctx.sites, "vendor_site_id").join(bounded_broadcast(states), "status_lookup_code")
     bt = ctx.bank_tables()
     chain = lookups.bank_chain(ctx.docs, bt["uses"], bt["accounts"], bt["banks"])
-    names = lookups.latest_batch_name(c).select(F.col("checkrun_id").alias("req_checkrun_id"), "checkrun_name")
+    names = lookups.latest_batch_name(ctx.checks).select(F.col("checkrun_id").alias("req_checkrun_id"), "checkrun_name")
     heading = req.select("file_id", "payment_document_id", "req_checkrun_id").join(
         chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name"),
         "payment_document_id").join(names, "req_checkrun_id", "left")
-    return register.legacy_register_text(lines, heading, totals, batch_mode=True)
+    return register.legacy_register_text(lines, heading, totals, hot_files=hot_files_of(totals), batch_mode=True)
 
 
 def dependent_lists(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,8 +80,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def new_scratch_path(spark: SparkSession, name: str) -> str:
-    """As ``scratch_path``, another one each time."""
-    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    """As ``scratch_path``, another one each time; deleted when the process ends."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    remember_folder(path)
+    return path
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -92,11 +96,35 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFr
     return F.broadcast(df) if n <= limit else df
 
 
+_written: set[str] = set()
+
+
+def remember_folder(path: str) -> None:
+    """A folder of this process's own, to be deleted at its end if nothing has deleted it before."""
+    if not _written:
+        atexit.register(_delete_written)
+    _written.add(path)
+
+
+def _delete_written() -> None:
+    jvm = SparkContext._jvm
+    if jvm is None:
+        return
+    try:
+        conf = jvm.org.apache.hadoop.conf.Configuration()
+        for path in _written:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+    except Exception:  # the JVM is gone already: the checkpoint folder's own clean-up is left
+        pass
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts lineage (a lost executor recomputes from the written files, not from
-    the source scans) and gives every consumer the same snapshot.
+    the source scans) and gives every consumer the same snapshot.  The folder goes with
+    ``drop_snapshot``, or else when the process ends.
     """
     path = new_scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
