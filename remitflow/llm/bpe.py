@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitflow.llm.common import column_or_empty, documents, text_slices
+from remitflow.llm.common import batched, column_or_empty, documents, text_slices
 from remitflow.llm.merge_replay import Merges, replay
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -109,7 +109,7 @@ def encoded_digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)],
                                              schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return batched(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
@@ -122,7 +122,7 @@ def encoded(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(bpe.encode(column_or_empty(part.column("text"))), pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, "doc_id long, ids array<int>")
+    return batched(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, "doc_id long, ids array<int>")
 
 
 def decoded(tokens: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

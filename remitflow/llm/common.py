@@ -3,19 +3,20 @@ connected components."""
 
 from __future__ import annotations
 
-import uuid
+import gc
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitflow.session import ensure_checkpoint_dir, tune
+from remitflow.session import drop_snapshot, new_scratch_path, tune
 
-__all__ = ["documents", "embeddings", "stored", "drop_stored", "text_slices", "column_or_empty", "components",
-           "letters_or_empty", "partitions_for"]
+#: Rows of an Arrow batch that holds whole texts.
+TEXT_ROWS = 4000
+
+__all__ = ["batched", "documents", "embeddings", "stored", "drop_stored", "text_slices", "column_or_empty", "components"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,24 +36,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     depend on any executor staying alive.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = new_scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    # What the step shuffled is garbage now; without a collection on the driver its files would
+    # stay on the executors' disks while the next steps add theirs.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stored(*frames: DataFrame) -> None:
-    """Delete the folders that ``stored`` frames read from, once nothing reads them any more; then
-    let Spark remove the shuffle files of the jobs that are over."""
+    """Delete the folders that ``stored`` frames read from, once nothing reads them any more."""
     for df in frames:
-        spark = df.sparkSession
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            p.getFileSystem(conf).delete(p, True)
+        drop_snapshot(df)
 
 
-def partitions_for(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def batched(docs: DataFrame) -> DataFrame:
+    """``docs``, with Arrow batches of as many rows as fit a worker's memory when they hold texts."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
+    return docs
 
 
 def column_or_empty(values: pa.Array) -> list[str]:
@@ -60,10 +62,6 @@ def column_or_empty(values: pa.Array) -> list[str]:
     return [x or "" for x in values.to_pylist()]
 
 
-def letters_or_empty(text: str | None) -> str:
-    return text or ""
-
-
 def text_slices(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of about ``most`` bytes of ``column``; one row at least,
     so a longer text is a slice of its own."""
@@ -115,6 +113,3 @@ def components(edges: DataFrame, u: str, v: str, name: str = "components") -> Da
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

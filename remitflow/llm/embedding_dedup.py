@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitflow.llm.common import components, drop_stored, embeddings, stored
+from remitflow.llm.common import components, embeddings, stored
 from remitflow.llm.vectors import by_dims, rotation, usable
 from remitflow.session import bounded_broadcast
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from remitflow.llm.common import column_or_empty, documents, text_slices
+from remitflow.llm.common import batched, column_or_empty, documents, text_slices
 from remitflow.session import bounded_broadcast
 
 UNKNOWN = "und"
@@ -167,7 +167,7 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, longest:
 def language_of(docs: DataFrame, model: LanguageModel, *keep: str) -> DataFrame:
     """``keep`` columns of ``docs`` with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    kept = batched(docs).select(*keep, F.col("text").cast("string").alias("text"))
     schema = kept.drop("text").schema if "text" not in keep else kept.schema
     schema = schema.add("lang_pred", "string").add("score", "double")
 
@@ -189,7 +189,7 @@ def of_known_language(docs: DataFrame, model: LanguageModel, least: float) -> Da
             names, scores = shared.value.predict(column_or_empty(part.column("text")))
             yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)]))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return batched(docs).mapInArrow(keep, docs.schema)
 
 
 def held_out(column: str = "doc_id", parts: int = 4, part: int = 2) -> Column:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitflow.llm.common import column_or_empty, documents, stored, text_slices
+from remitflow.llm.common import batched, column_or_empty, documents, stored, text_slices
 
 RUN = 3
 _SLICE_BYTES = 8 << 20
@@ -62,7 +62,7 @@ def windows(docs: DataFrame, run: int = RUN) -> DataFrame:
                 [pa.array(own[0]), pa.array(own[1]), pa.array(fp), pa.array(at.astype(np.int32)), pa.array(start.astype(np.int32)),
                  pa.array([d for _, _, ds in found for d in ds], pa.binary())], ["doc_id", "version", "fp", "at", "start", "digest"])
 
-    keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), "text")
+    keyed = batched(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), "text")
     return keyed.mapInArrow(cut, _WINDOWS)
 
 

@@ -27,13 +27,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from remitflow.llm.common import column_or_empty, documents, drop_stored, stored, text_slices
+from remitflow.llm.common import batched, column_or_empty, documents, stored, text_slices
 
 CAPACITY = 2048
 SEPARATOR = 0
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_SLICE_BYTES = 8 << 20
+_SLICE_BYTES = 4 << 20
 _RANK_GROUP = 100_000  # pieces numbered by one task
 
 
@@ -57,7 +57,7 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: in
                     rows.append((doc, k, begin // 4, len(own) // 4, zlib.crc32(own)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, _PIECES)
+    return batched(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, _PIECES)
 
 
 @dataclass(frozen=True)

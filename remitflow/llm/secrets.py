@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitflow.llm.common import column_or_empty, documents, text_slices
+from remitflow.llm.common import batched, column_or_empty, documents, text_slices
 
 # The base patterns, their order and their shortest lengths.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -135,7 +135,7 @@ def scan(docs: DataFrame) -> DataFrame:
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return batched(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         find, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")
 
 
@@ -165,7 +165,7 @@ def redact(docs: DataFrame) -> DataFrame:
             texts = [x if x is None else redacted_text(x) for x in part.column("text").to_pylist()]
             yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
 
-    return docs.mapInArrow(replace, docs.schema)
+    return batched(docs).mapInArrow(replace, docs.schema)
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitflow.llm.common import column_or_empty, components, documents, stored, text_slices
+from remitflow.llm.common import batched, column_or_empty, components, documents, stored, text_slices
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 TILE_ROWS = 32_768
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> Data
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("version"), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))],
                                              ["doc_id", "version", "fp"])
 
-    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), F.col("text").cast("string"))
+    keyed = batched(docs).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), F.col("text").cast("string"))
     return keyed.mapInArrow(mark, "doc_id long, version long, fp long")
 
 
