@@ -300,8 +300,10 @@ def scalar_value(q: DataFrame, text: Column) -> str | None:
 
 
 def first_per_key(q: DataFrame, key: tuple) -> DataFrame:
-    """The first row of each key by the query's ``ord``, in its own type; without one, all rows."""
-    return q.groupBy(*key).agg(F.min_by("value", "ord").alias("value")) if key and "ord" in q.columns else q
+    """The first row of each key by the query's ``ord``, in its own type, then by value; without one, all rows."""
+    if not key or "ord" not in q.columns:
+        return q
+    return q.groupBy(*key).agg(F.min(F.struct("ord", "value")).alias("_first")).select(*key, "_first.value")
 
 
 def dynamic_values(query: Callable[..., DataFrame], specs: list[FieldSpec], binds: dict,

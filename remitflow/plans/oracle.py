@@ -218,6 +218,20 @@ ng AS (SELECT u.user_id, COUNT(g.code) AS n FROM users u LEFT JOIN grants g
        GROUP BY u.user_id)
 """
 
+SUPPLIER_LINES = with_(ENTITIES, SUPPLIER_BANK) + """
+, lists AS (
+  SELECT ip.check_id, 'DOCUMENTOS: ' || string_agg(COALESCE(i.invoice_num, '-1') || ' ', ''
+                      ORDER BY ip.line_number, ip.invoice_id, ip.supplier_ref, ip.amount_paid) AS invoices
+  FROM inv_pay ip LEFT JOIN invoices i ON i.invoice_id = ip.invoice_id GROUP BY ip.check_id)
+SELECT c.ce_bank_acct_use_id, c.check_id, sp.bank_account_num,
+       replace(sp.bank_account_num, '-', '') || ';' || replace(sp.bank_account_name, ';', ',') || ';;'
+       || rtrim(rtrim(CAST(c.amount AS VARCHAR), '0'), '.') || ';'
+       || strftime(c.check_date, '%d%m%Y') || ';' || replace(COALESCE(l.invoices, 'DOCUMENTOS: '), ';', ',') AS line
+FROM checks c JOIN sup sp ON sp.vendor_id = c.vendor_id LEFT JOIN lists l ON l.check_id = c.check_id
+WHERE c.check_date BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1996-12-31 23:59:59'
+  AND c.payment_method_code = 'EFT' AND c.void_date IS NULL
+"""
+
 ORACLE = {
     "check_register": BASE + """
 SELECT file_id, check_id, doc_sequence_value, check_number, amount, check_date, vendor_name, send_status,
@@ -265,19 +279,8 @@ SELECT s.file_id, s.check_id,
 FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id LEFT JOIN invoices i ON i.invoice_id = ip.invoice_id
 GROUP BY s.file_id, s.check_id
 """,
-    "supplier_bank_lines": with_(ENTITIES, SUPPLIER_BANK) + """
-, lists AS (
-  SELECT ip.check_id, 'DOCUMENTOS: ' || string_agg(COALESCE(i.invoice_num, '-1') || ' ', ''
-                      ORDER BY ip.line_number, ip.invoice_id, ip.supplier_ref, ip.amount_paid) AS invoices
-  FROM inv_pay ip LEFT JOIN invoices i ON i.invoice_id = ip.invoice_id GROUP BY ip.check_id)
-SELECT c.ce_bank_acct_use_id, c.check_id, sp.bank_account_num,
-       replace(sp.bank_account_num, '-', '') || ';' || replace(sp.bank_account_name, ';', ',') || ';;'
-       || rtrim(rtrim(CAST(c.amount AS VARCHAR), '0'), '.') || ';'
-       || strftime(c.check_date, '%d%m%Y') || ';' || replace(COALESCE(l.invoices, 'DOCUMENTOS: '), ';', ',') AS line
-FROM checks c JOIN sup sp ON sp.vendor_id = c.vendor_id LEFT JOIN lists l ON l.check_id = c.check_id
-WHERE c.check_date BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1996-12-31 23:59:59'
-  AND c.payment_method_code = 'EFT' AND c.void_date IS NULL
-""",
+    "supplier_bank_lines": SUPPLIER_LINES,
+    "supplier_bank_lines_account": SUPPLIER_LINES + "AND c.ce_bank_acct_use_id = 2",
     "value_set_labels": BASE + """
 SELECT s.file_id, s.send_code, l.lang AS language, l.meaning, COUNT(*) AS n_checks
 FROM sel s JOIN labels l ON l.code = s.send_code GROUP BY 1, 2, 3, 4
@@ -357,6 +360,18 @@ SELECT s.file_id, 'DETAIL', i.invoice_num
 FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id JOIN invoices i ON i.invoice_id = ip.invoice_id WHERE s.payment_document_id = 3
 UNION ALL
 SELECT file_id, 'TRAILER', printf('%.2f', total) FROM tot3
+""",
+    "layout_variants": BASE + """
+, b AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY check_number, check_id) AS n FROM sel WHERE payment_document_id = 3),
+firsts AS (SELECT s.check_id, first(i.invoice_num ORDER BY ip.line_number, i.invoice_num) AS num FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id
+           JOIN invoices i ON i.invoice_id = ip.invoice_id GROUP BY s.check_id)
+SELECT b.file_id, 'BODY' AS part, CAST(b.n AS BIGINT) AS line_no,
+       COALESCE(f.num, '') || chr(9) || rpad(strftime(check_date, '%B'), 9, ' ') || ' ' || strftime(check_date, '%d, %Y') || chr(9)
+       || CAST(quarter(check_date) AS VARCHAR) || '/' || strftime(check_date, '%j') || chr(9) || '+' || format('{:,.2f}', amount) || chr(9)
+       || '$' || format('{:,.2f}', amount) || chr(9) || '10' || CAST(check_number AS VARCHAR) AS value
+FROM b LEFT JOIN firsts f ON f.check_id = b.check_id
+UNION ALL SELECT file_id, 'HEADER', CAST(1 AS BIGINT), 'H' FROM sel WHERE payment_document_id = 2 GROUP BY file_id
+UNION ALL SELECT file_id, 'TRAILER', CAST(2 AS BIGINT), CAST(COUNT(*) AS VARCHAR) FROM sel WHERE payment_document_id = 2 GROUP BY file_id
 """,
     "migrated_lines": BASE + """
 , b AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY check_number, check_id) AS n FROM sel WHERE payment_document_id IN (1, 3))
@@ -390,6 +405,26 @@ FROM checks c LEFT JOIN sel1 s ON s.check_id = c.check_id
 SELECT file_id, check_id, doc_sequence_value, check_number, amount, check_date, vendor_name, send_status,
        vendor_site_code
 FROM sel WHERE check_id NOT IN (SELECT check_id FROM sel1)
+""",
+    "rows_updated_by_file": with_(ENTITIES, FINAL1) + """
+SELECT k.process_type, s.file_id, CASE WHEN k.process_type = 'FINAL' THEN COUNT(*) ELSE 0 END AS rows_updated
+FROM sel1 s, (VALUES ('FINAL'), ('DRAFT')) k(process_type) GROUP BY 1, 2
+""",
+    "status_by_metadata": with_(ENTITIES, selection_sql(statuses=("NEW", "PRINTED"))) + """
+SELECT file_id, check_id, send_code FROM (
+  SELECT s.file_id, s.check_id, CASE WHEN c.attribute_category = 'STANDARD' THEN COALESCE(c.attribute14, 'NEW') ELSE 'NEW' END AS send_code
+  FROM sel s JOIN checks c ON c.check_id = s.check_id) t
+WHERE send_code = 'NEW'
+""",
+    "flex_sql_default": with_(ENTITIES) + """
+SELECT check_id, CASE WHEN attribute_category = 'EXPRESS' THEN COALESCE(attribute12, 'AGENT') END AS fee_bearer FROM checks
+""",
+    "dq_payments": with_(ENTITIES) + """
+, c AS (SELECT * FROM checks WHERE payment_method_code = 'CHECK')
+SELECT DISTINCT 'DQ-02 missing parameter' AS check_name, 'run-1-' || CAST(payment_document_id AS VARCHAR) AS key, 'end_ts' AS detail FROM c
+UNION ALL SELECT 'DQ-06 amount outside domain', CAST(check_id AS VARCHAR), CAST(amount AS VARCHAR) FROM c WHERE amount <= 0 OR abs(amount) >= 100000
+UNION ALL SELECT 'DQ-07 required value missing', CAST(check_id AS VARCHAR), 'attribute12' FROM c WHERE attribute12 IS NULL
+UNION ALL SELECT 'DQ-07 required value missing', CAST(check_id AS VARCHAR), 'attribute14' FROM c WHERE attribute14 IS NULL
 """,
     "second_final_run": with_(ENTITIES, FINAL1, selection_sql(statuses=("NEW",), run_id="final-2")) + """
 SELECT check_id, 'PRINTED' AS status, 'final-2' AS run_id

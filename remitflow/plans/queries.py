@@ -98,12 +98,14 @@ def _hot_payments(invoice_payments: DataFrame) -> list[tuple]:
     return hot_groups(invoice_payments, ["check_id"], hot_rows_of(invoice_payments.sparkSession))
 
 
-def supplier_bank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RND-20: the G1 six-field supplier bank file for every bank account use (FLT-03/10/12, JN-08/09)."""
+def supplier_bank_lines(spark: SparkSession, sf_dir: str, account_use: int | None = None) -> DataFrame:
+    """RND-20: the G1 six-field supplier bank file for every bank account use, or one of them (FLT-03/10/12, JN-08/09)."""
     ctx = Ctx(spark, sf_dir)
     c = ctx.checks.where(
         sel_ops.seconds_range(F.col("check_date"), "1996/01/01 00:00:00", "1996/12/31 23:59:59")
         & (F.col("payment_method_code") == "EFT") & F.col("void_date").isNull())
+    if account_use is not None:
+        c = c.where(F.col("ce_bank_acct_use_id") == account_use)
     c = materialize(c.select("check_id", "vendor_id", "ce_bank_acct_use_id", "amount", "check_date"), "supplier-payments")
     sup = lookups.supplier_bank(adapters.supplier_bank_accounts(spark, sf_dir), vendors=c)
     ip = c.select("check_id").join(ctx.invoice_payments, "check_id")
@@ -117,6 +119,11 @@ def supplier_bank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("ce_bank_acct_use_id", "check_id", "bank_account_num", line.alias("line"))
 
 
+def supplier_bank_lines_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-12: the supplier bank file of one bank account use."""
+    return supplier_bank_lines(spark, sf_dir, account_use=2)
+
+
 def value_set_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN-03 / FLX-06 / FLT-14: selected payments per status meaning in every language."""
     ctx = Ctx(spark, sf_dir)
@@ -269,6 +276,30 @@ def bound_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bank_file_job(ctx, doc_ids=[1, 3]).lines.where("format_id = 3").select("file_id", "part", "value")
 
 
+VARIANT_FIELDS = [
+    _dynamic(931, 3, "BODY", 1, "STRING", None, "SELECT check_id, invoice_num AS value, line_number AS ord FROM paid"),
+    _dynamic(932, 3, "BODY", 2, "DATE", "Month DD, RRRR", "SELECT check_id, check_date AS value FROM selection"),
+    _dynamic(933, 3, "BODY", 3, "DATE", "Q/DDD", "SELECT check_id, check_date AS value FROM selection"),
+    _dynamic(934, 3, "BODY", 4, "NUMBER", "S999,999.00", "SELECT check_id, amount AS value FROM selection"),
+    _dynamic(935, 3, "BODY", 5, "NUMBER", "$999,999.00MI", "SELECT check_id, amount AS value FROM selection"),
+    _dynamic(936, 3, "BODY", 6, "NUMBER", "999999999999", "SELECT check_id, concat('10-', CAST(check_number AS STRING)) AS value FROM selection"),
+]
+NO_BODY_FIELDS = [
+    (941, 2, "f941", "CONSTANT", "H", 1, None, None, "STRING", None, None, None, None, "HEADER"),
+    _dynamic(942, 2, "DETAIL", 1, "STRING", None, "SELECT invoice_id, invoice_num AS value FROM invoices"),
+    (943, 2, "f943", "TRX_LINES", None, 1, None, None, "NUMBER", "999999999", None, None, None, "TRAILER"),
+]
+
+
+def layout_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-05 / FLT-21 / LIM-01 / FN-06/07/10 / RND-16: several rows per key with ``ord``, name, quarter and sign masks, the
+    legacy numeric fetch, and a layout with DETAIL but no BODY, which prints no invoice."""
+    from .jobs import bank_file_job
+    ctx = _with_fields(_with_fields(Ctx(spark, sf_dir), VARIANT_FIELDS, instead_of=3), NO_BODY_FIELDS, instead_of=2)
+    lines = bank_file_job(ctx, ctx.params.with_(legacy=frozenset({"Q26"})), doc_ids=[2, 3]).lines
+    return lines.select("file_id", "part", "line_no", "value")
+
+
 MIGRATED = {1: "7", 3: "6"}   # document -> id its legacy layout gets
 
 
@@ -363,6 +394,52 @@ def unsent_after_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sel_ops.register_rows(sel)
 
 
+def rows_updated_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-11 / DML-07: payments whose status a run changes, per file: all of a FINAL run's, none of a DRAFT run's."""
+    from ..operators import status
+    ctx = Ctx(spark, sf_dir)
+    out = []
+    for kind in ("FINAL", "DRAFT"):
+        p = ctx.params.with_(**{**FINAL_1, "process_type": kind})
+        _, sel = _selection(ctx, p)
+        n = status.rows_updated(status.mark(sel, "PRINTED", p.run_id, _as_of(p), kind), sel)
+        out.append(agg.selection_totals(sel).join(n, "file_id", "left").select(
+            F.lit(kind).alias("process_type"), "file_id", F.coalesce("rows_updated", F.lit(0)).cast("bigint").alias("rows_updated")))
+    return out[0].unionByName(out[1])
+
+
+def status_by_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLX-05 / Q35: the unsent payments when the status column is found through the segment metadata."""
+    from ..operators import flexfield
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    checks = flexfield.with_resolved_column(ctx.checks, metadata.flex_segments(spark), "Send Mark", "status_column")
+    _, sel = sel_ops.run_selection(spark, checks, ctx.sites, ctx.values, ctx.docs, ctx.params.with_(only_unsent="Y"), status_col="status_column")
+    return sel.select("file_id", "check_id", "send_code")
+
+
+def flex_sql_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLX-04: a segment whose default is a query, for payments of its context."""
+    from ..operators import flexfield
+    ctx = Ctx(spark, sf_dir)
+    segments = spark.createDataFrame(
+        [("EXPRESS", "ATTRIBUTE12", "Fee Bearer", 1, None, "S", "SELECT f FROM VALUES ('PAYER'), ('AGENT') AS t(f) ORDER BY f")],
+        "context_code string, application_column_name string, end_user_column_name string, column_seq_num int, value_set_name string, "
+        "default_type string, default_value string")
+    return flexfield.project_context(ctx.checks, segments, ["check_id"])
+
+
+def dq_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-02/06/07: requests without a mandatory parameter, amounts outside their domain, required values missing."""
+    from ..operators import quality
+    ctx = Ctx(spark, sf_dir)
+    checks = ctx.checks.where(F.col("payment_method_code") == "CHECK")
+    requests = sel_ops.build_requests(ctx.docs, ctx.params.with_(end_date=None))
+    used = requests.join(checks.select("payment_document_id").distinct(), "payment_document_id", "left_semi")
+    return (quality.required_parameters(used).unionByName(quality.amount_domain(checks, width=7))
+            .unionByName(quality.required_columns(checks, ["attribute12", "attribute14"])))
+
+
 def second_final_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MAIN / ST-02: two FINAL runs through the whole job with one written status log; what the second one sent."""
     from ..session import new_scratch_path
@@ -539,6 +616,7 @@ QUERIES = {
     "paid_invoices": paid_invoices,
     "invoice_list": invoice_list,
     "supplier_bank_lines": supplier_bank_lines,
+    "supplier_bank_lines_account": supplier_bank_lines_account,
     "value_set_labels": value_set_labels,
     "register_heading": register_heading,
     "file_names": file_names,
@@ -553,6 +631,7 @@ QUERIES = {
     "delimited_lines": delimited_lines,
     "written_lines": written_lines,
     "bound_fields": bound_fields,
+    "layout_variants": layout_variants,
     "migrated_lines": migrated_lines,
     "dq_dynamic_values": dq_dynamic_values,
     "register_text": register_text,
@@ -561,6 +640,10 @@ QUERIES = {
     "current_status": current_status,
     "unsent_after_final": unsent_after_final,
     "second_final_run": second_final_run,
+    "rows_updated_by_file": rows_updated_by_file,
+    "status_by_metadata": status_by_metadata,
+    "flex_sql_default": flex_sql_default,
+    "dq_payments": dq_payments,
     "unlock": unlock,
     "unlock_outcome": unlock_outcome,
     "flex_project": flex_project,
