@@ -3,7 +3,6 @@ connected components."""
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from remitflow.session import drop_snapshot, new_scratch_path, tune
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of an Arrow batch that holds whole texts.
 TEXT_ROWS = 4000
 
@@ -37,11 +37,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
-    # What the step shuffled is garbage now; without a collection on the driver its files would
-    # stay on the executors' disks while the next steps add theirs.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    # The written table replaces what this step shuffled: its shuffle files go when the write ends,
+    # not when the driver happens to collect its garbage.
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
