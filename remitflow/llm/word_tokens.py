@@ -23,7 +23,7 @@ _WORDS = regex.compile(r"\S+")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")  # and newlines, which mark words here
 #: Words beyond these letters go through the library's own normaliser.
 _PLAIN_BELOW = "ɐ"
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 800_000
 _AT_ONCE = 500
 
 
