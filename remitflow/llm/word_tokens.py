@@ -9,7 +9,7 @@ then starts anew, and gives only new pieces to the ``tokenizers`` library.
 from __future__ import annotations
 
 import os
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import compress, islice
 from operator import not_
 
@@ -23,7 +23,7 @@ _WORDS = regex.compile(r"\S+")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")  # and newlines, which mark words here
 #: Words beyond these letters go through the library's own normaliser.
 _PLAIN_BELOW = "ɐ"
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 800_000  # and as many pieces
 _AT_ONCE = 500
 
 
@@ -32,19 +32,27 @@ class WordTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._path = path
         self._pieces = Tokenizer.from_file(path)  # for pieces: lower case already, split at spaces only
         self._pieces.encode_special_tokens = True
         self._pieces.normalizer = normalizers.Sequence([])
         self._pieces.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        ends = [i for token, i in self._whole.get_vocab().items() if token.endswith("</w>")]
-        self._ends = np.zeros(self._whole.get_vocab_size() + 1, dtype=bool)
+        ends = [i for token, i in self._pieces.get_vocab().items() if token.endswith("</w>")]
+        self._ends = np.zeros(self._pieces.get_vocab_size() + 1, dtype=bool)
         self._ends[ends] = True
         self._words: dict[str, bytes] = {}
         self._known: dict[str, bytes] = {}
 
+    @cached_property
+    def _whole(self):
+        """The library with its own normaliser; most corpora never need it."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self._path)
+        library.encode_special_tokens = True  # their strings in a text are ordinary text
+        return library
+
     def _learn_pieces(self, pieces: list[str]) -> None:
         each = iter(pieces)
         while group := list(islice(each, _AT_ONCE)):
