@@ -18,7 +18,7 @@ from remitflow.llm.packing import best_fit_packing
 from remitflow.llm.secrets import redact
 from remitflow.llm.simhash import one_of_each
 
-#: A text that its own classifier rather denies than claims is of no language that was learned.
+#: A text that its own classifier rather denies than claims goes, beside those that the model finds unlike all it learned.
 LEAST_SCORE = 0.3
 
 

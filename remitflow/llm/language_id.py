@@ -14,6 +14,12 @@ The classifier is fitted on a bounded sample: at most ``per_language`` labelled
 language, of at most ``longest`` characters, the first by a hash of text; ``landmarks`` of them, spread
 over the languages, are the landmarks.
 
+A text of none of the languages is unlike every landmark, so all its values are near 0 and say
+nothing.  It is told by its coverage, the share of its own n-grams that some landmark of the predicted
+language holds: a text that falls short of ``COVERED`` times the median coverage of the language's
+training texts (each by the landmarks of other texts) is ``und``.  Short texts have an allowance of
+``DEVIATIONS`` standard deviations of a share of so many n-grams.
+
 Rows: null texts and texts without a letter are ``und`` with score 0, and so is every text if there
 is nothing to learn from.  Null lang values are not learned.  Repeated rows get equal results; an
 empty table gives no rows.  Columns beside the named ones are ignored.
@@ -35,6 +41,8 @@ from remitflow.session import bounded_broadcast
 
 UNKNOWN = "und"
 PER_LANGUAGE, LONGEST, LANDMARKS, RIDGE = 400, 20_000, 128, 1e-2
+#: Least coverage of a text, as a part of the median of its language; its allowance in standard deviations.
+COVERED, DEVIATIONS = 0.6, 2.0
 _SYMBOLS = 64  # 0: not a letter, 1: a rare letter
 _SLICE_BYTES = 4 << 20
 _ROWS = 256  # texts to a matrix product
@@ -85,18 +93,25 @@ class LanguageModel:
     features: np.ndarray  # n-gram codes that some landmark holds
     landmarks: np.ndarray  # features x landmarks: presence over the root of the landmark's own number
     weights: np.ndarray  # landmarks x languages
+    known: np.ndarray  # features x languages: whether a landmark of the language holds it
+    least: np.ndarray  # a language's least coverage
 
-    def kernels(self, grams: list[np.ndarray]) -> np.ndarray:
-        """Kernels of texts (their n-grams) with the landmarks, one row a text."""
+    def presence(self, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Which features each text (its n-grams) holds, one row a text, and its number of distinct n-grams."""
         present = np.zeros(_CODES, dtype=bool)
         held = np.empty((len(grams), len(self.features)), dtype=np.float32)
-        root = np.empty((len(grams), 1), dtype=np.float32)
+        own = np.empty((len(grams), 1), dtype=np.float32)
         for i, codes in enumerate(grams):
             present[codes] = True
             held[i] = present[self.features]
-            root[i] = np.sqrt(np.count_nonzero(present))
+            own[i] = np.count_nonzero(present)
             present[codes] = False
-        return held @ self.landmarks / root
+        return held, own
+
+    def kernels(self, grams: list[np.ndarray]) -> np.ndarray:
+        """Kernels of texts (their n-grams) with the landmarks, one row a text."""
+        held, own = self.presence(grams)
+        return held @ self.landmarks / np.sqrt(own)
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -107,11 +122,16 @@ class LanguageModel:
             rows = [i for i, g in enumerate(grams) if g is not None]
             if not rows:
                 continue
-            values = (self.kernels([grams[i] for i in rows]) @ self.weights).astype(np.float64)
+            held, own = self.presence([grams[i] for i in rows])
+            values = (held @ self.landmarks / np.sqrt(own) @ self.weights).astype(np.float64)
             best = values.argmax(axis=1)
-            for i, k, v in zip(rows, best, values.max(axis=1)):
-                names[begin + i] = self.languages[k]
-                scores[begin + i] = float(np.clip((v + 1) / 2, 0, 1))
+            covered = (held @ self.known)[np.arange(len(rows)), best] / own[:, 0]
+            least = self.least[best]
+            least = least - DEVIATIONS * np.sqrt(least * (1 - least) / own[:, 0])
+            for i, k, v, familiar in zip(rows, best, values.max(axis=1), covered >= least):
+                if familiar:
+                    names[begin + i] = self.languages[k]
+                    scores[begin + i] = float(np.clip((v + 1) / 2, 0, 1))
         return names, scores
 
 
@@ -121,7 +141,7 @@ def fit(samples: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float
     languages = sorted({g for _, g in samples})
     none = np.zeros((0, 0), dtype=np.float32)
     if not languages:
-        return LanguageModel([], Alphabet(_letter_table()), np.zeros(0, dtype=np.int64), none, none)
+        return LanguageModel([], Alphabet(_letter_table()), np.zeros(0, dtype=np.int64), none, none, none, none)
     turn: Counter[str] = Counter()
     order = []
     for i, (_, g) in enumerate(samples):  # the first of each language, the second of each, ...
@@ -135,7 +155,7 @@ def fit(samples: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float
     matrix = np.zeros((len(features), len(chosen)), dtype=np.float32)
     for k, codes in enumerate(own):
         matrix[np.searchsorted(features, codes), k] = 1 / np.sqrt(len(codes))
-    model = LanguageModel(languages, alphabet, features, matrix, none)
+    model = LanguageModel(languages, alphabet, features, matrix, none, none, none)
     blocks = [model.kernels(grams[i:i + _ROWS]).astype(np.float64) for i in range(0, len(grams), _ROWS)]
     kernel = np.concatenate(blocks)
     values, vectors = np.linalg.eigh((kernel[chosen] + kernel[chosen].T) / 2)
@@ -146,10 +166,31 @@ def fit(samples: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float
     counts = Counter(g for _, g in samples)
     weight = np.array([len(samples) / (len(languages) * counts[g]) for _, g in samples])[:, None]
     gram = mapped.T @ (mapped * weight) + ridge * len(samples) * np.eye(len(chosen))
+    model.known, model.least = _coverage(model, samples, grams, chosen)
     model.weights = (root @ np.linalg.solve(gram, mapped.T @ (target * weight))).astype(np.float32)
     return model
 
 
+def _coverage(model: LanguageModel, samples: list[tuple[str, str]], grams: list[np.ndarray], chosen: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """``known`` and ``least`` of the model."""
+    known = np.zeros((len(model.features), len(model.languages)), dtype=np.float32)
+    least = np.zeros(len(model.languages))
+    for k, language in enumerate(model.languages):
+        marks = {samples[i][0]: i for i in chosen if samples[i][1] == language}
+        held = np.zeros(len(model.features), dtype=np.int32)  # by how many landmark texts
+        for i in marks.values():
+            held[np.searchsorted(model.features, np.unique(grams[i]))] += 1
+        known[:, k] = held > 0
+        shares = []
+        for text, codes in {t: x for (t, g), x in zip(samples, grams) if g == language}.items():
+            own = np.unique(codes)
+            at = np.minimum(np.searchsorted(model.features, own), len(model.features) - 1)
+            others = (model.features[at] == own) & (held[at] > (text in marks))  # a landmark does not cover itself
+            shares.append(others.mean())
+        least[k] = COVERED * np.median(shares)
+    return known, least
+
+
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST) -> list[tuple[str, str]]:
     """(text, lang) of at most ``per_language`` texts of each language.  A hash of the text thins
     each language to a few times that number before its rows are put in order."""

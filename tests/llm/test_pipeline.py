@@ -97,3 +97,19 @@ def test_odd_rows(spark):
     assert P.STAGES[-1][1](spark, docs, SF).where("doc_id = 4").count() == 1
     for name, stage in P.STAGES:
         assert stage(spark, df.where("false"), SF).count() == 0
+
+
+FOREIGN = ["人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待", "Все люди рождаются свободными и равными в своем достоинстве и правах",
+           "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق وقد وهبوا عقلا وضميرا", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα",
+           "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+           "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+           "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+           "xqz wvkj zzxq pfgh qqwx jkvz bnmx tyqw zxcv lkjh qpzm wxnv fghj kqzx vbnq wpxz jqkx hzvq mxwz"]
+
+
+def test_unlearned_languages_go(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet")
+    more = [(10**6 + k, t, None, "s", len(t)) for k, t in enumerate([*FOREIGN, *(f"{t}\n" * 30 for t in FOREIGN)])]
+    docs = rows.unionByName(spark.createDataFrame(more, rows.schema))
+    left = {r.doc_id for r in P.language_id(spark, docs, SF).collect()}
+    assert left == {r.doc_id for r in rows.where("text RLIKE '\\\\p{L}'").collect()}
