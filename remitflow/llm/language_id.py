@@ -10,9 +10,10 @@ batch's presence matrix with the landmarks', one with the weights.
 Characters: lower-case; what is not a letter counts as a space; letters beyond the most frequent of
 the landmarks share one symbol.  The whole text is read.
 
-The classifier is fitted on a bounded sample: at most ``per_language`` labelled texts of each
-language, of at most ``longest`` characters, the first by a hash of text; ``landmarks`` of them, spread
-over the languages, are the landmarks.
+The classifier is fitted on a bounded sample: at most ``per_language`` distinct labelled texts of each
+language, the first by a hash of text, of a longer text its first ``longest`` characters; ``landmarks`` of
+them, spread over the languages, are the landmarks.  However many copies a text has, and however long
+all of a language's texts are, a language with a labelled text that has a letter is learned.
 
 A text of none of the languages is unlike every landmark, so all its values are near 0 and say
 nothing.  It is told by its coverage, the share of its own n-grams that some landmark of the predicted
@@ -192,14 +193,15 @@ def _coverage(model: LanguageModel, samples: list[tuple[str, str]], grams: list[
 
 
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST) -> list[tuple[str, str]]:
-    """(text, lang) of at most ``per_language`` texts of each language.  A hash of the text thins
-    each language to a few times that number before its rows are put in order."""
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    rows = rows.where(F.length("text") <= longest)
-    counts = rows.groupBy("lang").count()
-    share = F.abs(F.xxhash64("text") % 1_000_000) / 1_000_000
-    few = rows.withColumn("_share", share).join(bounded_broadcast(counts), "lang").where(F.col("_share") * F.col("count") <= 3 * per_language)
-    few = few.dropDuplicates(["lang", "text"])  # however many copies a text has, it is learned once
+    """(text, lang) of at most ``per_language`` distinct texts of each language, of longer ones the first
+    ``longest`` characters.  A hash of the text thins each language to a few times that number, by
+    its number of distinct texts, before its rows are put in order."""
+    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.substring(F.col("text").cast("string"), 1, longest).alias("text"), F.col("lang").cast("string"))
+    rows = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("_hash", F.xxhash64("text"))
+    counts = rows.select("lang", "_hash").distinct().groupBy("lang").count()
+    rows = rows.withColumn("_share", F.abs(F.col("_hash") % 1_000_000) / 1_000_000)
+    few = rows.join(bounded_broadcast(counts), "lang").where(F.col("_share") * F.col("count") <= 3 * per_language)
+    few = few.select("lang", "text", "_share").distinct()  # however many copies a text has, it is learned once
     first = Window.partitionBy("lang").orderBy("_share", "text")
     kept = few.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
     return [(r["text"], r["lang"]) for r in sorted(kept.collect(), key=lambda r: (r["lang"], r["_n"]))]

@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from remitflow.llm.language_id import fit, identify
+from remitflow.llm.language_id import fit, identify, training_sample
 from remitflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -49,3 +49,11 @@ def test_odd_rows(spark):
     assert rows[4].score == rows[5].score and rows[0].score == 0
     assert {r.lang_pred for r in identify(df, learn.where("false")).collect()} == {"und"}
     assert identify(df.where("false"), learn).count() == 0
+
+
+def test_sample_of_copied_and_of_long_texts(spark):
+    rows = [(f"ala ma kota {k % 3}", "pl") for k in range(3000)] + [(f"der hund {k}", "de") for k in range(50)]
+    rows += [(f"{k} " + "le chat et la maison " * 2000, "fr") for k in range(5)] + [("12 + 3", "xx"), (None, "xx")]
+    got = training_sample(spark.createDataFrame(rows, "text string, lang string"), per_language=10)
+    assert {g: sum(x == g for _, x in got) for _, g in got} == {"pl": 3, "de": 10, "fr": 5}
+    assert len(set(got)) == len(got) and max(len(t) for t, _ in got) == 20_000
