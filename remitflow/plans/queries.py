@@ -430,14 +430,13 @@ def flex_sql_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DQ-02/06/07: requests without a mandatory parameter, amounts outside their domain, required values missing."""
+    """DQ-02/06/07: requests without a mandatory parameter, amounts outside their domain, required values missing; of all
+    requests and payments, whatever their method."""
     from ..operators import quality
     ctx = Ctx(spark, sf_dir)
-    checks = ctx.checks.where(F.col("payment_method_code") == "CHECK")
     requests = sel_ops.build_requests(ctx.docs, ctx.params.with_(end_date=None))
-    used = requests.join(checks.select("payment_document_id").distinct(), "payment_document_id", "left_semi")
-    return (quality.required_parameters(used).unionByName(quality.amount_domain(checks, width=7))
-            .unionByName(quality.required_columns(checks, ["attribute12", "attribute14"])))
+    return (quality.required_parameters(requests).unionByName(quality.amount_domain(ctx.checks, width=7))
+            .unionByName(quality.required_columns(ctx.checks, ["attribute12", "attribute14"])))
 
 
 def second_final_run(spark: SparkSession, sf_dir: str) -> DataFrame:

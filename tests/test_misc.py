@@ -92,3 +92,17 @@ def test_keyed_query_first_row_uses_ord_in_its_type(spark):
     dyn = dynamic_values(spark.sql, [spec], {})
     got = {r.check_id: r.dyn_7 for r in dyn.frames[("check_id",)].collect()}
     assert got == {1: "early", 2: "only"}
+
+
+def test_payment_checks_cover_every_method_and_request(spark):
+    from conftest import SF
+    from remitflow.plans.context import Ctx
+    from remitflow.plans.queries import dq_payments
+    ctx = Ctx(spark, SF)
+    want = {("DQ-02 missing parameter", f"{ctx.params.run_id}-{r.payment_document_id}", "end_ts") for r in ctx.docs.collect()}
+    for r in ctx.checks.collect():
+        if r.amount <= 0 or r.amount >= 100000:
+            want.add(("DQ-06 amount outside domain", str(r.check_id), str(r.amount)))
+        want |= {("DQ-07 required value missing", str(r.check_id), c) for c in ("attribute12", "attribute14") if r[c] is None}
+    got = [tuple(r) for r in dq_payments(spark, SF).collect()]
+    assert len(got) == len(want) and set(got) == want
