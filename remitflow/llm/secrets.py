@@ -8,9 +8,11 @@ Further spans (kind ``entropy``) come from candidate strings, the runs of one ch
 (hexadecimal with capitals, or base64) that are long enough.  A window slides over the string; the
 Shannon entropy of its characters is kept by incremental counts: one character enters, one leaves,
 and the sum of c log c changes by two table look-ups.  Windows at or over the class's threshold are
-merged into spans.  Allowed strings are suppressed: public test values, and strings of one sort of
-character (words, capitals, numbers, rulers), which are long but not random.  Base spans are never
-suppressed.
+merged into spans.  The allow-list is matched against the parts of a candidate (cut at / = - _), not
+the whole of it: public test values and rulers are cut out, and what stands before and after them is
+judged as any other string.  Strings of digits are numbers.  Strings without a digit may be words or
+paths, so their windows need ``WORD_BITS``; random letters of one case do not reach that and stay.
+Base spans are never suppressed.
 
 Positions are code points, ends exclusive.  Null texts are empty and hold nothing; every row gives
 one row; an empty table gives none.
@@ -54,9 +56,13 @@ class EntropyClass:
 
 
 CLASSES = (EntropyClass(r"[0-9A-F]{24,}", 24, 3.2), EntropyClass(r"[A-Za-z0-9+/_=-]{24,}", 24, 4.0))
-#: Strings that are long without being secrets.
-ALLOWED = tuple(re.compile(p) for p in (
-    r"[A-Za-z_=+/-]+", r"[0-9_=+/-]+", r".*[Ee][Xx][Aa][Mm][Pp][Ll][Ee].*", r"0123456789ABCDEF.*", r"(.)\1+"))
+#: Parts of strings that are public test values.
+ALLOWED = (re.compile(r".*[Ee][Xx][Aa][Mm][Pp][Ll][Ee].*"),)
+#: Bits of a character in a window of a string without digits: 24 letters with five pairs of equal ones reach it, words do not.
+WORD_BITS = 4.16
+_PART = re.compile(r"[^/=_-]+")
+_RULER = re.compile(r"0123456789(?:ABCDEF)?|ABCDEFGHIJKLMNOPQRSTUVWXYZ|abcdefghijklmnopqrstuvwxyz")
+_NUMBER, _DIGIT = re.compile(r"[0-9_=+/-]+"), re.compile(r"[0-9]")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -96,13 +102,26 @@ def random_windows(string: str, window: int, bits: float) -> list[tuple[int, int
     return spans
 
 
+def judged(string: str, allowed: tuple[re.Pattern, ...] = ALLOWED) -> Iterator[tuple[int, str]]:
+    """What is left of ``string`` between its allowed parts and rulers, with the places."""
+    out = [m.span() for m in _PART.finditer(string) if any(a.fullmatch(m.group()) for a in allowed)]
+    at = 0
+    for a, b in sorted(out + [m.span() for m in _RULER.finditer(string)]):
+        if a > at:
+            yield at, string[at:a]
+        at = max(at, b)
+    if at < len(string):
+        yield at, string[at:]
+
+
 def entropy_spans(text: str, classes: tuple[EntropyClass, ...] = CLASSES, allowed: tuple[re.Pattern, ...] = ALLOWED) -> list[Span]:
     found: set[tuple[int, int]] = set()
     for kind in classes:
         for m in _compiled(kind.pattern).finditer(text):
-            string = m.group()
-            if not any(a.fullmatch(string) for a in allowed):
-                found.update((m.start() + a, m.start() + b) for a, b in random_windows(string, kind.window, kind.bits))
+            for begin, string in judged(m.group(), allowed):
+                if len(string) >= kind.window and not _NUMBER.fullmatch(string):
+                    bits = kind.bits if _DIGIT.search(string) else max(kind.bits, WORD_BITS)
+                    found.update((m.start() + begin + a, m.start() + begin + b) for a, b in random_windows(string, kind.window, bits))
     merged: list[Span] = []
     for a, b in sorted(found):
         if merged and a <= merged[-1][1]:
