@@ -19,10 +19,14 @@ checks AS (
          CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS checkrun_id,
          'PAYRUN ' || strftime(o_orderdate, '%Y-%m-%d') AS checkrun_name,
          CASE WHEN day(o_orderdate) = 31 THEN 'VOIDED' ELSE 'NEGOTIABLE' END AS status_lookup_code,
-         CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) = 5 THEN 'EXPRESS' ELSE 'STANDARD' END AS attribute_category,
-         CASE WHEN o_totalprice > 250000 THEN 'PAYEE' END AS attribute12,
-         CASE WHEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) = 5
-              THEN CASE WHEN o_orderstatus = 'O' THEN 'X' ELSE 'OPEN' END END AS attribute13,
+         CASE WHEN substr(o_orderpriority, 1, 1) = '5' THEN 'COURIER' ELSE 'STANDARD' END AS attribute_category,
+         CASE WHEN substr(o_orderpriority, 1, 1) <> '5' AND o_custkey % 11 <> 0 THEN 'B' || CAST(o_custkey % 9 AS VARCHAR) END AS attribute2,
+         CASE WHEN substr(o_orderpriority, 1, 1) = '5' AND o_orderstatus = 'O' THEN 'Y' END AS attribute3,
+         CASE WHEN substr(o_orderpriority, 1, 1) = '5'
+              THEN CASE WHEN o_orderkey % 10 = 3 THEN 'NOON' WHEN o_totalprice > 250000 THEN 'NIGHT' END END AS attribute5,
+         CASE WHEN substr(o_orderpriority, 1, 1) <> '5' THEN CAST(o_orderkey % 40 - 4 AS VARCHAR)
+              WHEN o_orderkey % 25 = 0 THEN 'n/a'
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) % CAST(1000 AS DECIMAL(18,2)) AS VARCHAR) END AS attribute8,
          CASE o_orderstatus WHEN 'P' THEN 'NEW' WHEN 'F' THEN 'PRINTED' END AS attribute14,
          CASE WHEN day(o_orderdate) = 31 THEN o_orderdate + INTERVAL 1 DAY END AS void_date
   FROM orders),
@@ -417,14 +421,36 @@ SELECT file_id, check_id, send_code FROM (
 WHERE send_code = 'NEW'
 """,
     "flex_sql_default": with_(ENTITIES) + """
-SELECT check_id, CASE WHEN attribute_category = 'EXPRESS' THEN COALESCE(attribute12, 'AGENT') END AS fee_bearer FROM checks
+SELECT check_id, CASE WHEN attribute_category = 'COURIER' THEN COALESCE(attribute5, 'EARLY') END AS delivery_window FROM checks
 """,
     "dq_payments": with_(ENTITIES) + """
-, c AS (SELECT * FROM checks WHERE payment_method_code = 'CHECK')
-SELECT DISTINCT 'DQ-02 missing parameter' AS check_name, 'run-1-' || CAST(payment_document_id AS VARCHAR) AS key, 'end_ts' AS detail FROM c
-UNION ALL SELECT 'DQ-06 amount outside domain', CAST(check_id AS VARCHAR), CAST(amount AS VARCHAR) FROM c WHERE amount <= 0 OR abs(amount) >= 100000
-UNION ALL SELECT 'DQ-07 required value missing', CAST(check_id AS VARCHAR), 'attribute12' FROM c WHERE attribute12 IS NULL
-UNION ALL SELECT 'DQ-07 required value missing', CAST(check_id AS VARCHAR), 'attribute14' FROM c WHERE attribute14 IS NULL
+SELECT 'DQ-02 missing parameter' AS check_name, 'run-1-' || CAST(payment_document_id AS VARCHAR) AS key, 'end_ts' AS detail FROM docs
+UNION ALL SELECT 'DQ-06 amount outside domain', CAST(check_id AS VARCHAR), CAST(amount AS VARCHAR) FROM checks
+          WHERE amount <= 0 OR abs(amount) >= 100000
+UNION ALL SELECT 'DQ-07 required value missing', CAST(check_id AS VARCHAR), 'attribute2' FROM checks WHERE attribute2 IS NULL
+UNION ALL SELECT 'DQ-07 required value missing', CAST(check_id AS VARCHAR), 'attribute14' FROM checks WHERE attribute14 IS NULL
+""",
+    "dq_segment_rules": with_(ENTITIES) + """
+, v AS (
+  SELECT check_id, 'Ledger Branch' AS segment, attribute2 AS value FROM checks WHERE attribute_category = 'STANDARD'
+  UNION ALL SELECT check_id, 'Value Days', attribute8 FROM checks WHERE attribute_category = 'STANDARD'
+  UNION ALL SELECT check_id, 'Send Mark', attribute14 FROM checks WHERE attribute_category = 'STANDARD'
+  UNION ALL SELECT check_id, 'Waybill', attribute14 FROM checks WHERE attribute_category = 'COURIER'
+  UNION ALL SELECT check_id, 'Parcel Grams', attribute8 FROM checks WHERE attribute_category = 'COURIER'
+  UNION ALL SELECT check_id, 'Delivery Window', COALESCE(attribute5, 'ANYTIME') FROM checks WHERE attribute_category = 'COURIER'),
+n AS (SELECT *, TRY_CAST(value AS DECIMAL(38,10)) AS x FROM v WHERE segment IN ('Value Days', 'Parcel Grams') AND value IS NOT NULL),
+found AS (
+  SELECT 'DQ-05 value outside value set' AS check_name, check_id, segment || '=' || value AS detail FROM v
+  WHERE (segment = 'Ledger Branch' AND value NOT IN ('B0', 'B1', 'B2', 'B3', 'B4', 'B5', 'B6', 'B7'))
+     OR (segment = 'Delivery Window' AND value NOT IN ('EARLY', 'LATE', 'NIGHT')) OR (segment = 'Send Mark' AND value NOT IN ('NEW', 'PRINTED'))
+  UNION ALL SELECT 'DQ-06 not a number', check_id, segment || '=' || value FROM n WHERE x IS NULL
+  UNION ALL SELECT 'DQ-06 below minimum', check_id, segment || '=' || value FROM n WHERE x < CASE segment WHEN 'Value Days' THEN 0 ELSE 50 END
+  UNION ALL SELECT 'DQ-06 above maximum', check_id, segment || '=' || value FROM n WHERE x > CASE segment WHEN 'Value Days' THEN 30 ELSE 950.5 END
+  UNION ALL SELECT 'DQ-06 too many decimals', check_id, segment || '=' || value FROM n WHERE CASE segment WHEN 'Value Days' THEN x <> round(x, 0) ELSE x <> round(x, 1) END
+  UNION ALL SELECT 'DQ-06 too long', check_id, segment || '=' || value FROM v
+  WHERE length(value) > CASE segment WHEN 'Ledger Branch' THEN 2 WHEN 'Value Days' THEN 2 WHEN 'Waybill' THEN 5 WHEN 'Parcel Grams' THEN 6 ELSE 999 END
+  UNION ALL SELECT 'DQ-07 required value missing', check_id, segment FROM v WHERE value IS NULL AND segment IN ('Ledger Branch', 'Waybill'))
+SELECT check_name, CAST(check_id AS VARCHAR) AS key, detail FROM found
 """,
     "second_final_run": with_(ENTITIES, FINAL1, selection_sql(statuses=("NEW",), run_id="final-2")) + """
 SELECT check_id, 'PRINTED' AS status, 'final-2' AS run_id
@@ -443,32 +469,33 @@ FROM ng
 """,
     "flex_project": with_(ENTITIES) + """
 SELECT check_id, attribute_category,
+  CASE WHEN attribute_category = 'STANDARD' THEN attribute2 END AS ledger_branch,
+  CASE WHEN attribute_category = 'STANDARD' THEN attribute8 END AS value_days,
   CASE WHEN attribute_category = 'STANDARD' THEN attribute14 END AS send_mark,
-  CASE WHEN attribute_category = 'EXPRESS' THEN 'K2' END AS handling_class,
-  CASE WHEN attribute_category = 'EXPRESS' THEN 'MAYBE' END AS same_day,
-  CASE WHEN attribute_category = 'EXPRESS' THEN COALESCE(attribute12, 'PAYER') END AS fee_bearer,
-  CASE WHEN attribute_category = 'EXPRESS' THEN COALESCE(attribute13, 'OPEN') END AS visibility,
-  CASE WHEN attribute_category = 'EXPRESS' THEN attribute14 END AS ticket,
-  CAST(NULL AS VARCHAR) AS booked_on
+  CASE WHEN attribute_category = 'COURIER' THEN attribute14 END AS waybill,
+  CASE WHEN attribute_category = 'COURIER' THEN attribute8 END AS parcel_grams,
+  CASE WHEN attribute_category = 'COURIER' THEN attribute3 END AS doorstep,
+  CASE WHEN attribute_category = 'COURIER' THEN COALESCE(attribute5, 'ANYTIME') END AS delivery_window
 FROM checks
 """,
     "flex_unpivot": with_(ENTITIES) + """
-SELECT check_id, 'STANDARD' AS context_code, 'Send Mark' AS segment, 'ATTRIBUTE14' AS application_column_name,
-       attribute14 AS value, 'XX_EFT_STATUS_CHECK' AS value_set_name
-FROM checks WHERE attribute_category = 'STANDARD' AND attribute14 IS NOT NULL
-UNION ALL SELECT check_id, 'EXPRESS', 'Fee Bearer', 'ATTRIBUTE12', attribute12, 'FEE_BEARERS'
-FROM checks WHERE attribute_category = 'EXPRESS' AND attribute12 IS NOT NULL
-UNION ALL SELECT check_id, 'EXPRESS', 'Visibility', 'ATTRIBUTE13', attribute13, 'VISIBILITY_LEVELS'
-FROM checks WHERE attribute_category = 'EXPRESS' AND attribute13 IS NOT NULL
-UNION ALL SELECT check_id, 'EXPRESS', 'Ticket', 'ATTRIBUTE14', attribute14, NULL
-FROM checks WHERE attribute_category = 'EXPRESS' AND attribute14 IS NOT NULL
+, u AS (
+  SELECT check_id, 'STANDARD' AS context_code, 'Ledger Branch' AS segment, 'ATTRIBUTE2' AS application_column_name, attribute2 AS value,
+         'BRANCHES' AS value_set_name FROM checks WHERE attribute_category = 'STANDARD'
+  UNION ALL SELECT check_id, 'STANDARD', 'Value Days', 'ATTRIBUTE8', attribute8, 'DAY_COUNT' FROM checks WHERE attribute_category = 'STANDARD'
+  UNION ALL SELECT check_id, 'STANDARD', 'Send Mark', 'ATTRIBUTE14', attribute14, 'XX_EFT_STATUS_CHECK' FROM checks WHERE attribute_category = 'STANDARD'
+  UNION ALL SELECT check_id, 'COURIER', 'Waybill', 'ATTRIBUTE14', attribute14, 'SHORT_CODES' FROM checks WHERE attribute_category = 'COURIER'
+  UNION ALL SELECT check_id, 'COURIER', 'Parcel Grams', 'ATTRIBUTE8', attribute8, 'GRAMS' FROM checks WHERE attribute_category = 'COURIER'
+  UNION ALL SELECT check_id, 'COURIER', 'Doorstep', 'ATTRIBUTE3', attribute3, NULL FROM checks WHERE attribute_category = 'COURIER'
+  UNION ALL SELECT check_id, 'COURIER', 'Delivery Window', 'ATTRIBUTE5', attribute5, 'WINDOWS' FROM checks WHERE attribute_category = 'COURIER')
+SELECT * FROM u WHERE value IS NOT NULL
 """,
     "dq_flex_domain": with_(ENTITIES) + """
-SELECT 'DQ-05 value outside value set' AS check_name, CAST(check_id AS VARCHAR) AS key, 'Same Day=MAYBE' AS detail
-FROM checks WHERE attribute_category = 'EXPRESS'
+SELECT 'DQ-05 value outside value set' AS check_name, CAST(check_id AS VARCHAR) AS key, 'Delivery Window=' || COALESCE(attribute5, 'ANYTIME') AS detail
+FROM checks WHERE attribute_category = 'COURIER' AND COALESCE(attribute5, 'ANYTIME') NOT IN ('EARLY', 'LATE', 'NIGHT')
 UNION ALL
-SELECT 'DQ-05 value outside value set', CAST(check_id AS VARCHAR), 'Visibility=' || COALESCE(attribute13, 'OPEN')
-FROM checks WHERE attribute_category = 'EXPRESS' AND COALESCE(attribute13, 'OPEN') NOT IN ('OPEN', 'SEALED', 'TEAM')
+SELECT 'DQ-05 value outside value set', CAST(check_id AS VARCHAR), 'Ledger Branch=' || attribute2
+FROM checks WHERE attribute_category = 'STANDARD' AND attribute2 NOT IN ('B0', 'B1', 'B2', 'B3', 'B4', 'B5', 'B6', 'B7')
 """,
     "dq_requests": BASE + """
 SELECT 'DQ-01 empty selection' AS check_name, 'run-1-' || CAST(d.payment_document_id AS VARCHAR) AS key,

@@ -423,7 +423,7 @@ def flex_sql_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import flexfield
     ctx = Ctx(spark, sf_dir)
     segments = spark.createDataFrame(
-        [("EXPRESS", "ATTRIBUTE12", "Fee Bearer", 1, None, "S", "SELECT f FROM VALUES ('PAYER'), ('AGENT') AS t(f) ORDER BY f")],
+        [("COURIER", "ATTRIBUTE5", "Delivery Window", 1, None, "S", "SELECT w FROM VALUES ('LATE'), ('EARLY') AS t(w) ORDER BY w")],
         "context_code string, application_column_name string, end_user_column_name string, column_seq_num int, value_set_name string, "
         "default_type string, default_value string")
     return flexfield.project_context(ctx.checks, segments, ["check_id"])
@@ -436,7 +436,7 @@ def dq_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = Ctx(spark, sf_dir)
     requests = sel_ops.build_requests(ctx.docs, ctx.params.with_(end_date=None))
     return (quality.required_parameters(requests).unionByName(quality.amount_domain(ctx.checks, width=7))
-            .unionByName(quality.required_columns(ctx.checks, ["attribute12", "attribute14"])))
+            .unionByName(quality.required_columns(ctx.checks, ["attribute2", "attribute14"])))
 
 
 def second_final_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -497,6 +497,14 @@ def flex_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flexfield.unpivot(ctx.checks, metadata.flex_segments(spark))
 
 
+def dq_segment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-05/06/07: every payment's segment values against the rules of the metadata."""
+    from ..operators import flexfield
+    from ..sources import metadata
+    ctx = Ctx(spark, sf_dir)
+    return flexfield.segment_rules(ctx.checks, metadata.flex_segments(spark), metadata.flex_rules(spark), metadata.flex_domains(spark))
+
+
 def dq_flex_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-05 / Q36: segment values (after defaults) outside their value set."""
     from ..operators import flexfield
@@ -648,6 +656,7 @@ QUERIES = {
     "flex_project": flex_project,
     "flex_unpivot": flex_unpivot,
     "dq_flex_domain": dq_flex_domain,
+    "dq_segment_rules": dq_segment_rules,
     "dq_requests": dq_requests,
     "ingest_file_status": ingest_file_status,
     "legacy_register": legacy_register,

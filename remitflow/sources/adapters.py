@@ -32,6 +32,7 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
               "o_orderdate", "o_orderpriority")
     doc = _doc_id(F.col("o_orderpriority"))
+    courier = F.coalesce(doc == 5, F.lit(False))
     return o.select(
         F.col("o_orderkey").alias("check_id"),
         F.col("o_orderkey").alias("doc_sequence_value"),
@@ -48,10 +49,14 @@ def checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("PAYRUN "), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("checkrun_name"),
         F.when(F.dayofmonth("o_orderdate") == 31, F.lit("VOIDED")).otherwise(F.lit("NEGOTIABLE"))
         .alias("status_lookup_code"),
-        F.when(doc == 5, F.lit("EXPRESS")).otherwise(F.lit("STANDARD")).alias("attribute_category"),
-        F.when(F.col("o_totalprice") > 250000, F.lit("PAYEE")).alias("attribute12"),
-        F.when(doc == 5, F.when(F.col("o_orderstatus") == "O", F.lit("X")).otherwise(F.lit("OPEN")))
-        .alias("attribute13"),
+        F.when(courier, F.lit("COURIER")).otherwise(F.lit("STANDARD")).alias("attribute_category"),
+        F.when(~courier & (F.col("o_custkey") % 11 != 0), F.concat(F.lit("B"), F.col("o_custkey") % 9)).alias("attribute2"),
+        F.when(courier & (F.col("o_orderstatus") == "O"), F.lit("Y")).alias("attribute3"),
+        F.when(courier, F.when(F.col("o_orderkey") % 10 == 3, F.lit("NOON")).when(F.col("o_totalprice") > 250000, F.lit("NIGHT")))
+        .alias("attribute5"),
+        F.when(~courier, (F.col("o_orderkey") % 40 - 4).cast("string"))
+        .otherwise(F.when(F.col("o_orderkey") % 25 == 0, F.lit("n/a"))
+                   .otherwise((F.col("o_totalprice").cast(MONEY) % F.lit(1000).cast(MONEY)).cast("string"))).alias("attribute8"),
         F.when(F.col("o_orderstatus") == "P", F.lit(STATUS_NEW))
         .when(F.col("o_orderstatus") == "F", F.lit(STATUS_PRINTED))
         .alias("attribute14"),

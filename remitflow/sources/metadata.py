@@ -38,24 +38,31 @@ TITLE_MEANINGS = [
     ("SUPPLIER_NAME", "Supplier Name", "Proveedor"),
     ("SUPPLIER_SITE", "Supplier Site", "Sucursal"),
 ]
-# Invented contexts and segments of the payment descriptive flexfield
-# (context, column, end-user name, value set, default type, default value).
+# Contexts of the payment descriptive flexfield: bank payments book to a branch, couriered cheques travel in parcels.
+# (context, column, end-user name, order, value set, default type, default value, required)
 FLEX_SEGMENTS = [
-    ("STANDARD", "ATTRIBUTE14", "Send Mark", 10, "XX_EFT_STATUS_CHECK", None, None),
-    ("EXPRESS", "ATTRIBUTE10", "Handling Class", 1, "HANDLING_CLASSES", "C", "K2"),
-    ("EXPRESS", "ATTRIBUTE11", "Same Day", 2, "TICK_BOX", "C", "MAYBE"),
-    ("EXPRESS", "ATTRIBUTE12", "Fee Bearer", 3, "FEE_BEARERS", "C", "PAYER"),
-    ("EXPRESS", "ATTRIBUTE13", "Visibility", 4, "VISIBILITY_LEVELS", "C", "OPEN"),
-    ("EXPRESS", "ATTRIBUTE14", "Ticket", 5, None, None, None),
-    ("EXPRESS", "ATTRIBUTE15", "Booked On", 6, None, None, None),
+    ("STANDARD", "ATTRIBUTE2", "Ledger Branch", 1, "BRANCHES", None, None, "Y"),
+    ("STANDARD", "ATTRIBUTE8", "Value Days", 2, "DAY_COUNT", None, None, "N"),
+    ("STANDARD", "ATTRIBUTE14", "Send Mark", 3, STATUS_VALUE_SET, None, None, "N"),
+    ("COURIER", "ATTRIBUTE14", "Waybill", 1, "SHORT_CODES", None, None, "Y"),
+    ("COURIER", "ATTRIBUTE8", "Parcel Grams", 2, "GRAMS", None, None, "N"),
+    ("COURIER", "ATTRIBUTE3", "Doorstep", 3, None, None, None, "N"),
+    ("COURIER", "ATTRIBUTE5", "Delivery Window", 4, "WINDOWS", "C", "ANYTIME", "N"),
 ]
-# Code lists of the value sets the segments above are bound to.
+# What a value set allows: (name, kind, least, greatest, decimals, characters).
+FLEX_RULES = [
+    ("BRANCHES", "LIST", None, None, None, 2),
+    ("DAY_COUNT", "NUMBER", "0", "30", 0, 2),
+    (STATUS_VALUE_SET, "LIST", None, None, None, None),
+    ("SHORT_CODES", "TEXT", None, None, None, 5),
+    ("GRAMS", "NUMBER", "50", "950.5", 1, 6),
+    ("WINDOWS", "LIST", None, None, None, None),
+]
+# Code lists of the sets of kind LIST.
 FLEX_DOMAINS = {
-    "XX_EFT_STATUS_CHECK": ["NEW", "PRINTED"],
-    "HANDLING_CLASSES": ["K1", "K2", "K3"],
-    "TICK_BOX": ["OFF", "ON"],
-    "FEE_BEARERS": ["PAYEE", "PAYER"],
-    "VISIBILITY_LEVELS": ["OPEN", "SEALED", "TEAM"],
+    "BRANCHES": [f"B{i}" for i in range(8)],
+    STATUS_VALUE_SET: ["NEW", "PRINTED"],
+    "WINDOWS": ["EARLY", "LATE", "NIGHT"],
 }
 
 VALUE_SET_ROWS = T.StructType([
@@ -218,6 +225,7 @@ FLEX_SEGMENT_SCHEMA = T.StructType([
     T.StructField("value_set_name", T.StringType()),
     T.StructField("default_type", T.StringType()),
     T.StructField("default_value", T.StringType()),
+    T.StructField("required_flag", T.StringType()),
 ])
 
 
@@ -225,6 +233,11 @@ def flex_segments(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FLEX_SEGMENTS, FLEX_SEGMENT_SCHEMA)
 
 
+def flex_rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(FLEX_RULES, "value_set_name string, kind string, minimum_value string, maximum_value string, "
+                                             "number_precision int, maximum_size int")
+
+
 def flex_domains(spark: SparkSession) -> DataFrame:
     rows = [(vs, code) for vs, codes in FLEX_DOMAINS.items() for code in codes]
     return spark.createDataFrame(rows, "value_set_name string, flex_value string")

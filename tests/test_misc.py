@@ -32,17 +32,17 @@ def test_unset_parameters_make_their_predicate_a_no_op():
 
 def test_sql_default_and_listings(spark):
     seg = spark.createDataFrame(
-        [("HQ", "ATTRIBUTE11", "APPROVER1", 10, "XX_AP002_APPROVERS", "S",
+        [("HQ", "ATTRIBUTE11", "FIRST READER", 10, "READERS", "S",
           "SELECT name FROM VALUES ('ZED'), ('AMY') AS t(name) ORDER BY name"),
-         ("HQ", "ATTRIBUTE12", "APPROVER2", 20, None, "S", "SELECT name FROM VALUES ('x') AS t(name) WHERE 1 = 0")],
+         ("HQ", "ATTRIBUTE12", "SECOND READER", 20, None, "S", "SELECT name FROM VALUES ('x') AS t(name) WHERE 1 = 0")],
         "context_code string, application_column_name string, end_user_column_name string, column_seq_num int, "
         "value_set_name string, default_type string, default_value string")
     rows = spark.createDataFrame([(1, "HQ", None, None), (2, "HQ", "BOB", "C")],
                                  "check_id long, attribute_category string, attribute11 string, attribute12 string")
-    out = {r.check_id: (r.approver1, r.approver2) for r in flexfield.project_context(rows, seg, ["check_id"]).collect()}
+    out = {r.check_id: (r.first_reader, r.second_reader) for r in flexfield.project_context(rows, seg, ["check_id"]).collect()}
     assert out == {1: ("AMY", None), 2: ("BOB", "C")}
     assert [r.context_code for r in flexfield.segment_listing(seg, "HQ").collect()] == ["HQ", "HQ"]
-    assert [r.application_column_name for r in flexfield.locate_column(seg, "APPROVER2").collect()] == ["ATTRIBUTE12"]
+    assert [r.application_column_name for r in flexfield.locate_column(seg, "SECOND READER").collect()] == ["ATTRIBUTE12"]
     ctxs = spark.createDataFrame([("AP_CHECKS", "ZZ", "N"), ("AP_CHECKS", "Global Data Elements", "Y"),
                                   ("AP_CHECKS", "AA", "N"), ("OTHER", "BB", "N")],
                                  "flexfield_name string, context_code string, global_flag string")
@@ -103,6 +103,6 @@ def test_payment_checks_cover_every_method_and_request(spark):
     for r in ctx.checks.collect():
         if r.amount <= 0 or r.amount >= 100000:
             want.add(("DQ-06 amount outside domain", str(r.check_id), str(r.amount)))
-        want |= {("DQ-07 required value missing", str(r.check_id), c) for c in ("attribute12", "attribute14") if r[c] is None}
+        want |= {("DQ-07 required value missing", str(r.check_id), c) for c in ("attribute2", "attribute14") if r[c] is None}
     got = [tuple(r) for r in dq_payments(spark, SF).collect()]
     assert len(got) == len(want) and set(got) == want
