@@ -46,8 +46,8 @@ BLOCKS = 32
 SLICES_TOGETHER = 128
 _SLICE_BYTES = 8 << 20
 #: A worker forgets its units beyond so many, or so many bytes of them.
-KNOWN_UNITS = 800_000
-KNOWN_BYTES = 48 << 20
+KNOWN_UNITS = 300_000
+KNOWN_BYTES = 24 << 20
 #: Texts of these letters go through the quicker of two libraries.
 _PLAIN_BELOW = "ɐ"
 _AT_ONCE = 1 << 17  # bytes of units that go to the libraries in one text

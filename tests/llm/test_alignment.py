@@ -53,18 +53,20 @@ class Brute:
         read, held = [], Counter()
         for doc, text in docs:
             a, b = self.tokens(text)
+            owners = [[k for k, (_, x) in enumerate(side) for _ in x] for side in (a, b)]
+            links = [(a[i][0], b[j][0]) for i, j in sorted(set(zip(*owners)))]
             spans = []
             for side in (a, b):
                 at = np.cumsum([0, *[len(x) for _, x in side]]).tolist()
                 spans.append(list(zip(at, at[1:])))
-            links = []
-            for (i, _), (x, y) in zip(a, spans[0]):
-                links += [(i, j) for (j, _), (u, v) in zip(b, spans[1]) if u < y and x < v]
             ends = sorted({y for _, y in spans[0]} & {y for _, y in spans[1]})
-            groups, low = [], 0
-            for end in ends:
-                groups.append([[t for (t, _), (x, y) in zip(side, s) if low <= x and y <= end] for side, s in zip((a, b), spans)])
-                low = end
+            group = {}
+            for k, end in enumerate(ends):
+                group.update(dict.fromkeys(range(ends[k - 1] if k else 0, end), k))
+            groups = [[[], []] for _ in ends]
+            for which, (side, s) in enumerate(zip((a, b), spans)):
+                for (t, _), (x, _) in zip(side, s):
+                    groups[group[x]][which].append(t)
             held.update(set(links))
             read.append((doc, len(a), len(b), groups, links))
         best = {}
