@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ntz
 from ..schema import FINAL, GRANT_VALUE_SET
-from ..sinks.files import folder_exists
 from .lookups import granted_users
 
 # The messages of a refused reset.
@@ -34,10 +33,19 @@ def mark(selection: DataFrame, status: str, run_id: str, event_ts: datetime, pro
     )
 
 
+def latest_entry(log: DataFrame) -> DataFrame:
+    """WIN-06: the latest entry of every payment (ties on time broken by run id, then status).
+
+    A mergeable state: the entry of a union is the entry of the parts' entries, so snapshots and later
+    rows are merged by the same partial aggregation.
+    """
+    last = log.groupBy("check_id").agg(F.max(F.struct("event_ts", "run_id", "status")).alias("_last"))
+    return last.select("check_id", "_last.status", "_last.event_ts", "_last.run_id")
+
+
 def latest_status(log: DataFrame) -> DataFrame:
-    """WIN-06: latest status per payment (ties on time broken by run id), partial aggregation."""
-    return log.groupBy("check_id").agg(
-        F.max_by("status", F.struct("event_ts", "run_id")).alias("logged_status"))
+    """WIN-06: latest status per payment."""
+    return latest_entry(log).select("check_id", F.col("status").alias("logged_status"))
 
 
 def current_checks(checks: DataFrame, log: DataFrame | None, status_col: str = "attribute14") -> DataFrame:
@@ -49,6 +57,13 @@ def current_checks(checks: DataFrame, log: DataFrame | None, status_col: str = "
     return j.withColumn(status_col, F.coalesce(F.col("logged_status"), F.col(status_col))).drop("logged_status")
 
 
+def as_claimed(checks: DataFrame, claimed: DataFrame, status_col: str = "attribute14") -> DataFrame:
+    """Checks in which a run's claimed payments have the status they had when it claimed them."""
+    own = claimed.select("check_id", F.col("status_before").alias("_before"), F.lit(True).alias("_own"))
+    return checks.join(own, "check_id", "left").withColumn(
+        status_col, F.when(F.col("_own"), F.col("_before")).otherwise(F.col(status_col))).drop("_before", "_own")
+
+
 def grant_outcome(values: DataFrame, users: DataFrame, user_ids: DataFrame, as_of) -> DataFrame:
     """DQ-08: per requesting user, the number of grants and the resulting return code / message."""
     g = granted_users(values, users, GRANT_VALUE_SET, as_of).groupBy("user_id").agg(
@@ -81,18 +96,6 @@ def unlock(selection: DataFrame, values: DataFrame, users: DataFrame, user_id: i
 LOG_SCHEMA = "check_id long, status string, event_ts timestamp_ntz, run_id string"
 
 
-def read_log(spark: SparkSession, path: str, without_run: str | None = None) -> DataFrame | None:
-    """The written status log, or None before the first run.
-
-    ``without_run`` leaves out a run's own rows: a rerun of a run that failed half-way sees what
-    the first attempt saw, and makes the same files.
-    """
-    if not folder_exists(spark, path):
-        return None
-    log = spark.read.schema(LOG_SCHEMA).parquet(path)
-    return log if without_run is None else log.where(F.col("run_id") != without_run)
-
-
 def append_log(rows: DataFrame, path: str) -> None:
     """Write a run's rows under its own ``run_id`` folder: a rerun replaces them."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)

@@ -7,6 +7,7 @@ re-evaluated it six times per final run, quirk Q24).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -20,6 +21,7 @@ from ..operators.sequences import hot_rows_of
 from ..schema import RunParams
 from ..session import bounded_broadcast, drop_snapshot, materialize
 from ..sinks import files
+from ..sinks.ledger import Ledger
 from ..sources.adapters import INVOICE_ORDER
 from .context import Ctx
 
@@ -36,11 +38,15 @@ class BankFileRun:
 
 
 def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
-                  hot_rows: int | None = None, renderer: str = "auto", log: DataFrame | None = None) -> BankFileRun:
+                  hot_rows: int | None = None, renderer: str = "auto", log: DataFrame | None = None,
+                  claim: Callable[[DataFrame], DataFrame] | None = None, claimed: DataFrame | None = None) -> BankFileRun:
     """Select, snapshot and render every requested file.
 
     ``log``: the status log of earlier runs; a payment's latest entry overrides its own status.
 
+    ``claim``: called with the selection before anything is made of it; returns the payments (check_id) that stay.
+    ``claimed``: what an earlier attempt of the same run has claimed; these payments have the status they had then.
+
     ``renderer``: ``compiled`` (layout collected and compiled into expressions),
     ``relational`` (lines ⋈ layout rows, nothing collected) or ``auto`` —
     compiled unless the layout exceeds the compiled renderer's row bound.
@@ -49,11 +55,17 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
     spark = ctx.spark
     hot_rows = hot_rows if hot_rows is not None else hot_rows_of(spark)
     checks = status.current_checks(ctx.checks, log)
+    if claimed is not None:
+        checks = status.as_claimed(checks, claimed)
     formats = quality.usable_formats(ctx.formats)
     requests, selection = sel_ops.run_selection(spark, checks, ctx.sites, ctx.values, ctx.docs, params, doc_ids)
     # One snapshot of the selection and of its paid invoices feeds the file, the
     # register and the status log (the reference re-read them six times, Q24).
     selection = materialize(selection, "selection")
+    if claim is not None:
+        allowed = claim(selection)
+        whole, selection = selection, materialize(selection.join(allowed, "check_id", "left_semi"), "selection")
+        drop_snapshot(whole)
     paid = materialize(lookups.paid_invoices(selection, ctx.invoice_payments, ctx.invoices, ("check_number",))
                        .join(bounded_broadcast(requests.select("file_id", "format_id")), "file_id"), "paid")
     totals = agg.selection_totals(selection)
@@ -141,18 +153,35 @@ class MainResult:
 
 def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=None,
              status_log_path: str | None = None, hot_rows: int | None = None,
-             release_snapshots: bool = True) -> MainResult:
-    """MAIN: select → render → write bank files → register text → run outcome → (FINAL) status log.
+             release_snapshots: bool = True, confirm: bool = True, renderer: str = "auto") -> MainResult:
+    """MAIN: select → (FINAL) claim → render → write bank files → register text → run outcome → (FINAL) status log.
 
-    The selection sees the written status log, so a payment sent by an earlier FINAL run is not
-    sent again; rows of this run's own id are left out, so a rerun makes the same files.  The log is
+    The selection sees the written status log and the claims of other runs, so a payment that an earlier FINAL run has
+    sent, or one at the same time is about to send, is not sent again.  A FINAL run claims its payments before it writes a
+    file (``sinks.ledger``); run again under its id it takes exactly those and makes the same files.  The log is
     written only after the files and the register (Q38/Q39 fixed: nothing is marked sent unless
-    it is in a written file; a request with an unusable format produces no file and no log rows).
+    it is in a written file; a request with an unusable format produces no file, no claim and no log rows).
+
+    ``confirm=False`` leaves the log out, as a run does that stops after its files; the same run id confirms later.
     """
     params = params or ctx.params
     spark = ctx.spark
-    earlier = status.read_log(spark, status_log_path, params.run_id) if status_log_path else None
-    run = bank_file_job(ctx, params, doc_ids, hot_rows, log=earlier)
+    as_of, final = _moment(params.as_of), params.process_type == "FINAL"
+    ledger = Ledger(spark, status_log_path) if status_log_path else None
+    state = ledger.state() if ledger else None
+    earlier = ledger.log(params.run_id, state) if ledger else None
+    claimed = ledger.own_claim(params.run_id, state) if ledger and final else None
+    producing = _producing_formats(ctx)
+
+    def claim(selection: DataFrame) -> DataFrame:
+        """The payments of requests that produce a file are claimed; the others are shown, but never sent."""
+        will = F.col("format_id").isin(producing)
+        rows = selection.where(will).select("check_id", "file_id", F.col("send_code").alias("status_before"))
+        mine = claimed if claimed is not None else ledger.claim(rows, params.run_id, as_of, state)
+        return mine.select("check_id").unionByName(selection.where(~F.coalesce(will, F.lit(False))).select("check_id"))
+
+    run = bank_file_job(ctx, params, doc_ids, hot_rows, renderer=renderer, log=earlier, claimed=claimed,
+                        claim=claim if ledger and final else None)
     lines = materialize(run.lines.select("file_id", "format_id", "line_no", "value"), "lines")  # rendered once: written, and checked
     folder = files.write_bank_files(lines, ctx.formats, f"{out_path}/files", requests=run.requests)
     reg = register_job(ctx, params, selection=run.selection, requests=run.requests, hot_rows=hot_rows)
@@ -166,14 +195,10 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
     outcome = files.run_outcome(run.requests, run.totals, dq).join(names, "file_id", "left")
     files.append_outcome(outcome, f"{out_path}/outcome")
     log = None
-    if params.process_type == "FINAL":
-        # Files written = non-empty requests whose format renders at least one part; known from
-        # the snapshot and the layout, so the render plan is not executed a second time.
-        producing = sorted({f for part in ("HEADER", "BODY", "DETAIL", "TRAILER")
-                            for f in run.layout.formats_with(part)})
+    if final:
         sent = run.selection.where(F.col("format_id").isin(producing))
-        log = status.mark(sent, "PRINTED", params.run_id, _moment(params.as_of), params.process_type)
-        if status_log_path:
+        log = status.mark(sent, "PRINTED", params.run_id, as_of, params.process_type)
+        if status_log_path and confirm:
             status.append_log(log, status_log_path)
             log = spark.read.schema(status.LOG_SCHEMA).parquet(status_log_path).where(F.col("run_id") == params.run_id)
     drop_snapshot(lines)
@@ -182,6 +207,13 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
     return MainResult(run, [folder], reg_path, outcome, log)
 
 
+def _producing_formats(ctx: Ctx) -> list[int]:
+    """Formats that render at least one part: a request of another one produces no file."""
+    from ..operators.render_relational import PartsIndex
+    index = PartsIndex.load(quality.usable_formats(ctx.formats), ctx.fields)
+    return sorted({f for part in ("HEADER", "BODY", "DETAIL", "TRAILER") for f in index.formats_with(part)})
+
+
 def _moment(text: str) -> datetime:
     return datetime.strptime(text, "%Y/%m/%d %H:%M:%S")
 
@@ -194,7 +226,7 @@ def unlock_job(ctx: Ctx, params: RunParams, users: DataFrame, status_log_path: s
     """
     spark = ctx.spark
     p = params.with_(only_unsent="N")
-    checks = status.current_checks(ctx.checks, status.read_log(spark, status_log_path, p.run_id))
+    checks = status.current_checks(ctx.checks, Ledger(spark, status_log_path).log(p.run_id))
     requests, selection = sel_ops.run_selection(spark, checks, ctx.sites, ctx.values, ctx.docs, p, doc_ids)
     selection = materialize(selection.select("file_id", "check_id"), "unlock")
     rows = status.unlock(selection, ctx.values, users, p.user_id, p.set_status or "NEW", p.run_id, _moment(p.as_of))

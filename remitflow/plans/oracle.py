@@ -456,6 +456,18 @@ SELECT check_name, CAST(check_id AS VARCHAR) AS key, detail FROM found
 SELECT check_id, 'PRINTED' AS status, 'final-2' AS run_id
 FROM sel WHERE payment_document_id IN (1, 2, 3, 4)
   AND check_id NOT IN (SELECT check_id FROM sel1 WHERE payment_document_id IN (1, 2, 3, 4))
+""",
+    "crashed_final_run": with_(ENTITIES, FINAL1, selection_sql(statuses=("NEW",), run_id="final-2")) + """
+SELECT check_id, 'PRINTED' AS status, 'final-1' AS run_id FROM sel1 WHERE payment_document_id IN (1, 2, 3, 4)
+UNION ALL
+SELECT check_id, 'PRINTED', 'final-2' FROM sel WHERE payment_document_id IN (1, 2, 3, 4)
+  AND check_id NOT IN (SELECT check_id FROM sel1 WHERE payment_document_id IN (1, 2, 3, 4))
+""",
+    "compacted_status": with_(ENTITIES, FINAL1, selection_sql(statuses=("NEW",), run_id="final-2")) + """
+, sent AS (SELECT check_id FROM sel1 WHERE payment_document_id IN (1, 2, 3, 4)
+           UNION SELECT check_id FROM sel WHERE payment_document_id IN (1, 2, 3, 4))
+SELECT c.check_id, CASE WHEN s.check_id IS NOT NULL THEN 'PRINTED' ELSE c.attribute14 END AS status_code
+FROM checks c LEFT JOIN sent s ON s.check_id = c.check_id
 """,
     "unlock": BASE + """
 SELECT check_id, 'NEW' AS status, 'unlock-1' AS run_id, TIMESTAMP '2014-04-25 09:09:17' AS event_ts FROM sel

@@ -450,6 +450,35 @@ def second_final_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_job(ctx, f"{out}/2", second, status_log_path=log).status_log.select("check_id", "status", "run_id")
 
 
+def crashed_final_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAIN / ST-02: a FINAL run stops between its files and its log, another one with a wider window follows, then the
+    first is run again under its id: what each of them has sent."""
+    from ..session import new_scratch_path
+    from .jobs import main_job
+    ctx = Ctx(spark, sf_dir)
+    out, log = new_scratch_path(spark, "main-runs"), new_scratch_path(spark, "status-log")
+    first = ctx.params.with_(**FINAL_1)
+    second = ctx.params.with_(run_id="final-2", only_unsent="Y", process_type="FINAL")
+    main_job(ctx, f"{out}/1", first, status_log_path=log, confirm=False)
+    two = main_job(ctx, f"{out}/2", second, status_log_path=log).status_log
+    one = main_job(ctx, f"{out}/1", first, status_log_path=log).status_log
+    return one.unionByName(two).select("check_id", "status", "run_id")
+
+
+def compacted_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-06: every payment's status after a FINAL run, a compaction of the log and a second FINAL run."""
+    from ..operators import status
+    from ..session import new_scratch_path
+    from ..sinks.ledger import Ledger
+    from .jobs import main_job
+    ctx = Ctx(spark, sf_dir)
+    out, log = new_scratch_path(spark, "main-runs"), new_scratch_path(spark, "status-log")
+    main_job(ctx, f"{out}/1", ctx.params.with_(**FINAL_1), status_log_path=log)
+    Ledger(spark, log).compact()
+    main_job(ctx, f"{out}/2", ctx.params.with_(run_id="final-2", only_unsent="Y", process_type="FINAL"), status_log_path=log)
+    return status.current_checks(ctx.checks, Ledger(spark, log).log()).select("check_id", F.col("attribute14").alias("status_code"))
+
+
 USER_IDS = [1001, 1002, 1003, 1004, 1005]
 
 
@@ -647,6 +676,8 @@ QUERIES = {
     "current_status": current_status,
     "unsent_after_final": unsent_after_final,
     "second_final_run": second_final_run,
+    "crashed_final_run": crashed_final_run,
+    "compacted_status": compacted_status,
     "rows_updated_by_file": rows_updated_by_file,
     "status_by_metadata": status_by_metadata,
     "flex_sql_default": flex_sql_default,
