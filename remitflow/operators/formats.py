@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bounded_broadcast
 from ..functions.text import ESCAPES, decode_escapes, letter_code
 from ..schema import LEGACY_PART_NAMES
 from .sequences import sequence_within
@@ -85,7 +86,7 @@ def migrate_formats(legacy: DataFrame, legacy_fields: DataFrame, max_format_id:
     h = migrate_header(legacy)
     if new_names is not None:
         nn = new_names.select(F.upper(F.trim("old_name")).alias("_k"), "new_name")
-        h = h.join(F.broadcast(nn), F.upper(F.trim(F.col("format_name"))) == F.col("_k"), "left") \
+        h = h.join(bounded_broadcast(nn), F.upper(F.trim(F.col("format_name"))) == F.col("_k"), "left") \
             .withColumn("format_name", F.coalesce(F.col("new_name"), F.col("format_name"))).drop("_k", "new_name")
     h = assign_ids(h, ["id_master"], "format_id", max_format_id)
     fields = migrate_fields(legacy_fields, legacy, faithful)

@@ -19,7 +19,7 @@ def _rows(df: DataFrame, name: str, key, detail) -> DataFrame:
 def request_checks(requests: DataFrame, totals: DataFrame, formats: DataFrame) -> DataFrame:
     """DQ-01 empty selection (no file is produced) and DQ-03 missing / unknown / disabled format."""
     r = requests.select("file_id", "format_id").join(totals.select("file_id", "trx_lines"), "file_id", "left") \
-        .join(F.broadcast(formats.select("format_id", "enable_flag", "end_of_line")), "format_id", "left")
+        .join(bounded_broadcast(formats.select("format_id", "enable_flag", "end_of_line")), "format_id", "left")
     empty = _rows(r.where(F.col("trx_lines").isNull()), "DQ-01 empty selection", F.col("file_id"),
                   F.lit("Warning : Parameters did not retrieve any data"))
     fmt = _rows(r.where(F.col("trx_lines").isNotNull() & (F.col("format_id").isNull()

@@ -169,11 +169,13 @@ _COMPARED = re.compile(r"([\w.]+)\s*(<=|>=|<>|!=|=|<|>)\s*:(\w+)\b")
 _BETWEEN = re.compile(r"([\w.]+)\s+BETWEEN\s+(:\w+|[^\s()]+)\s+AND\s+(:\w+|[^\s()]+)", re.I)
 
 # Views the keyed queries of a layout are written against.
-VIEWS = ("selection", "paid", "invoices", "requests", "totals")
+VIEWS = ("selection", "paid", "invoices", "requests", "totals", "lines")
 # RND-06: markers whose value is of the file, payment or invoice the field stands in, not of the job.
 FILE_MARKERS = {"PAY_DOCUMENT": "payment_document_id", "V_TRX_LINES": "trx_lines", "V_SUM_TRANS": "sum_trans"}
 CHECK_MARKERS = {"IDCHECK": "check_id", "CHECK_ID": "check_id", "IDCHECKRUN": "checkrun_id"}
 INVOICE_MARKERS = {"INVOICEID": "invoice_id"}
+# … or of the line itself: its running counter.
+LINE_MARKERS = {"V_SEQUENCE3": "seq3"}
 
 
 def job_binds(params: RunParams) -> dict:
@@ -239,15 +241,21 @@ def query_views(spark: SparkSession, **frames: DataFrame):
             spark.catalog.dropTempView(prefix + name)
 
 
-def run_keyed_query(query: Callable[..., DataFrame], sql: str, binds: dict) -> DataFrame:
+def uses_line_counters(specs: list[FieldSpec]) -> bool:
+    """Whether a field's query asks for a counter of the line it stands in: lines are then numbered first."""
+    return any(set(LINE_MARKERS) & set(_MARKER.findall(s.sql)) for s in specs if s.type_value == T_DYNAMIC and s.sql)
+
+
+def run_keyed_query(query: Callable[..., DataFrame], sql: str, binds: dict, places: set[tuple[int, str]] | None = None) -> DataFrame:
     """A keyed query with its markers bound.
 
-    Markers of the file, payment or invoice make the query lateral to the rows it is asked for,
-    whose keys then are the result's: one join for all rows, for any number of documents.
+    Markers of the file, payment, invoice or line make the query lateral to the rows it is asked for,
+    whose keys then are the result's: one join for all rows, for any number of documents.  ``places``: the
+    (format, part) in which the query's fields stand; lines of others are not asked for.
     """
     sql = without_unset(choose_alternative(sql, binds.get("CHECKRUN_ID") is not None), binds)
     names = set(_MARKER.findall(sql))
-    local = FILE_MARKERS | CHECK_MARKERS | INVOICE_MARKERS
+    local = FILE_MARKERS | CHECK_MARKERS | INVOICE_MARKERS | LINE_MARKERS
     missing = names - set(binds) - set(local)
     if missing:
         raise ValueError(f"unbound parameters {sorted(missing)}")
@@ -256,7 +264,13 @@ def run_keyed_query(query: Callable[..., DataFrame], sql: str, binds: dict) -> D
         return query(sql, args)
     bound = _MARKER.sub(lambda m: f"outer_row.{local[m[1]]}" if m[1] in local else m[0], sql)
     base = "SELECT r.file_id, r.payment_document_id, t.trx_lines, t.sum_trans{} FROM requests r JOIN totals t ON t.file_id = r.file_id{}"
-    if names & set(INVOICE_MARKERS):
+    if names & set(LINE_MARKERS):
+        keys = ("file_id", "line_no")
+        at = " OR ".join(f"(l.format_id = {int(f)} AND l.part = '{p}')" for f, p in sorted(places or ())) or "TRUE"
+        base = ("SELECT l.file_id, l.line_no, l.seq3, l.check_id, l.invoice_id, l.trx_lines, l.sum_trans, r.payment_document_id, s.checkrun_id"
+                " FROM lines l JOIN requests r ON r.file_id = l.file_id"
+                f" LEFT JOIN selection s ON s.file_id = l.file_id AND s.check_id = l.check_id WHERE {at}")
+    elif names & set(INVOICE_MARKERS):
         keys, base = ("check_id", "invoice_id"), base.format(", p.check_id, p.invoice_id, s.checkrun_id",
             " JOIN (SELECT DISTINCT file_id, check_id, invoice_id FROM paid) p ON p.file_id = r.file_id"
             " JOIN selection s ON s.file_id = p.file_id AND s.check_id = p.check_id")
@@ -274,7 +288,7 @@ def run_keyed_query(query: Callable[..., DataFrame], sql: str, binds: dict) -> D
     return query(f"SELECT {', '.join(picked)} FROM ({base}) outer_row, LATERAL (\n{bound}\n) q", args)
 
 
-KEY_SETS = (("check_id", "invoice_id"), ("check_id",), ("invoice_id",), ("file_id",), ())
+KEY_SETS = (("file_id", "line_no"), ("check_id", "invoice_id"), ("check_id",), ("invoice_id",), ("file_id",), ())
 
 
 def _key_of(columns: list[str]) -> tuple:
@@ -327,7 +341,7 @@ def dynamic_values(query: Callable[..., DataFrame], specs: list[FieldSpec], bind
     for sql, group in by_sql.items():
         texts = {s.definition_id: typed_text(F.col("value"), s.data_type, s.format_model, legacy) for s in group}
         try:
-            q = run_keyed_query(query, sql, binds)
+            q = run_keyed_query(query, sql, binds, {(s.format_id, s.part) for s in group})
             key = _key_of(q.columns)
             if not key:
                 out.scalars.update({fid: scalar_value(q, text) for fid, text in texts.items()})
@@ -545,16 +559,32 @@ def line_contexts(requests: DataFrame, selection: DataFrame, paid: DataFrame, to
 LINE_COLUMNS = ("file_id", "format_id", "part", "seq1", "seq2", "seq3", "line_no", "value")
 
 
-def missing_values(requests: DataFrame, selection: DataFrame, paid: DataFrame, layout: Layout, dyn: DynamicValues) -> DataFrame:
-    """DQ-10 / RND-19: (file_id, part, check_id, invoice_id, definition_id) of every dynamic field without a value."""
+def expected_rows(requests: DataFrame, selection: DataFrame, paid: DataFrame, layout,
+                  contexts: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Per part, (file_id, format_id, check_id, invoice_id[, line_no]) of the lines its fields stand in.
+
+    ``contexts``: numbered lines, where the run has them; only they know a line's number.
+    """
+    if contexts is not None:
+        return {part: c.select("file_id", "format_id", "check_id", "invoice_id", "line_no") for part, c in contexts.items()}
     none = F.lit(None).cast("bigint")
     used = requests.join(selection.select("file_id").distinct(), "file_id", "left_semi")
     rows = {"HEADER": used.select("file_id", "format_id", none.alias("check_id"), none.alias("invoice_id")),
             "BODY": selection.select("file_id", "format_id", "check_id", none.alias("invoice_id")),
             "DETAIL": paid.where(F.col("format_id").isin(detail_formats(layout))).select("file_id", "format_id", "check_id", "invoice_id")}
     rows["TRAILER"] = rows["HEADER"]
+    return rows
+
+
+MISSING_COLUMNS = ("file_id", "part", "check_id", "invoice_id", "definition_id")
+_MISSING_SCHEMA = "file_id string, part string, check_id long, invoice_id long, definition_id long"
+
+
+def missing_values(requests: DataFrame, selection: DataFrame, paid: DataFrame, layout: Layout, dyn: DynamicValues,
+                   contexts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """DQ-10 / RND-19: (file_id, part, check_id, invoice_id, definition_id) of every dynamic field without a value."""
     out = None
-    for part, base in rows.items():
+    for part, base in expected_rows(requests, selection, paid, layout, contexts).items():
         specs = [s for s in layout.specs if s.part == part and s.type_value == T_DYNAMIC]
         if not specs:
             continue
@@ -564,17 +594,16 @@ def missing_values(requests: DataFrame, selection: DataFrame, paid: DataFrame, l
         found = c.select("file_id", F.lit(part).alias("part"), "check_id", "invoice_id",
                          F.explode(F.array_compact(empty)).alias("definition_id"))
         out = found if out is None else out.unionByName(found)
-    schema = "file_id string, part string, check_id long, invoice_id long, definition_id long"
-    return requests.sparkSession.createDataFrame([], schema) if out is None else out
+    return requests.sparkSession.createDataFrame([], _MISSING_SCHEMA) if out is None else out
 
 
 def render_lines(spark: SparkSession, requests: DataFrame, selection: DataFrame, paid: DataFrame,
                  totals: DataFrame, layout: Layout, dyn: DynamicValues, invoice_order: list[str],
                  legacy: frozenset = frozenset(), hot_rows: int | None = None,
-                 hot_files: list | None = None) -> DataFrame:
+                 hot_files: list | None = None, contexts: dict[str, DataFrame] | None = None) -> DataFrame:
     """RND-14..18 + SET-01 (compiled form): (file_id, format_id, part, seq1, seq2, seq3, line_no, value)."""
     specs = layout.specs
-    ctxs = line_contexts(requests, selection, paid, totals, layout, invoice_order, hot_rows, hot_files)
+    ctxs = contexts if contexts is not None else line_contexts(requests, selection, paid, totals, layout, invoice_order, hot_rows, hot_files)
     header_expr = _by_format(specs, "HEADER", legacy)
     out = []
     for part, ctx in ctxs.items():

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from ..functions.masks import to_char_number
 from ..functions.text import number_text
 from ..schema import DELIMITED, PARTS, T_CONSTANT, T_DYNAMIC, T_SEQ1, T_SEQ2, T_SEQ3, T_SUM_TRANS, T_TRX_LINES
-from .render import LINE_COLUMNS, FieldSpec, dynamic_values, field_projection, line_contexts
+from ..session import bounded_broadcast
+from .render import (LINE_COLUMNS, MISSING_COLUMNS, DynamicValues, FieldSpec, dynamic_values, expected_rows, field_projection,
+                     line_contexts)
 
 COUNTERS = {T_SEQ1: "seq1", T_SEQ2: "seq2", T_SEQ3: "seq3", T_TRX_LINES: "trx_lines", T_SUM_TRANS: "sum_trans"}
 
@@ -48,14 +50,53 @@ def _mask_chain(value: Column, mask: Column, masks: list[str], fn) -> Column:
     return out
 
 
+def dynamic_specs(formats: DataFrame, fields: DataFrame) -> list[FieldSpec]:
+    """The fields whose value is a query: each text has to be parsed by Spark, so they reach the driver."""
+    proj = field_projection(formats, fields)
+    return [FieldSpec(**r.asDict()) for r in proj.where((F.col("type_value") == T_DYNAMIC) & F.col("sql").isNotNull()).collect()]
+
+
+def missing_relational(requests: DataFrame, selection: DataFrame, paid: DataFrame, formats: DataFrame, fields: DataFrame, parts: PartsIndex,
+                       dyn: DynamicValues, contexts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """DQ-10 / RND-19: as ``render.missing_values``, without the layout on the driver.
+
+    Expected values (lines ⋈ definitions of their format and part) less those that were found, an anti join on
+    the query's key and the definition for each key.
+    """
+    definitions = field_projection(formats, fields).where(F.col("type_value") == T_DYNAMIC).select("format_id", "part", "definition_id")
+    lines = None
+    for part, base in expected_rows(requests, selection, paid, parts, contexts).items():
+        c = base.withColumn("part", F.lit(part))
+        lines = c if lines is None else lines.unionByName(c)
+    left = lines.join(bounded_broadcast(definitions), ["format_id", "part"])
+    for key, frame in dyn.frames.items():
+        if set(key) <= set(left.columns):
+            left = left.join(_long(key, frame).where(F.col("t").isNotNull()).select(*key, "definition_id"), [*key, "definition_id"], "left_anti")
+    with_value = [fid for fid, text in dyn.scalars.items() if text is not None]
+    if with_value:
+        left = left.where(~F.col("definition_id").isin(with_value))
+    return left.select(*MISSING_COLUMNS)
+
+
+def _long(key: tuple, frame: DataFrame) -> DataFrame:
+    """(key, definition_id, t): one row per dynamic field of a key."""
+    ids = [c for c in frame.columns if c not in key]
+    pairs = F.array(*[F.struct(F.lit(int(c[4:])).cast("bigint").alias("definition_id"), F.col(c).alias("t")) for c in ids])
+    return frame.select(*key, F.explode(pairs).alias("_e")).select(*key, "_e.definition_id", "_e.t")
+
+
 def render_relational(query: Callable[..., DataFrame], requests: DataFrame, selection: DataFrame, paid: DataFrame,
                       totals: DataFrame, formats: DataFrame, fields: DataFrame, binds: dict,
                       invoice_order: list[str], legacy: frozenset = frozenset(), hot_rows: int | None = None,
-                      hot_files: list | None = None, wanted: dict[tuple, DataFrame] | None = None) -> DataFrame:
-    """Same output as ``render.render_lines`` without collecting the layout."""
+                      hot_files: list | None = None, wanted: dict[tuple, DataFrame] | None = None,
+                      contexts: dict[str, DataFrame] | None = None, dyn: DynamicValues | None = None) -> DataFrame:
+    """Same output as ``render.render_lines`` without collecting the layout.
+
+    ``contexts``, ``dyn``: numbered lines and dynamic values, where the caller has them already.
+    """
     parts = PartsIndex.load(formats, fields)
     proj = field_projection(formats, fields)
-    ctxs = line_contexts(requests, selection, paid, totals, parts, invoice_order, hot_rows, hot_files)
+    ctxs = contexts if contexts is not None else line_contexts(requests, selection, paid, totals, parts, invoice_order, hot_rows, hot_files)
     lines = None
     for part, ctx in ctxs.items():
         c = ctx.withColumn("part", F.lit(part)).withColumn("from_part", F.lit(part))
@@ -64,14 +105,12 @@ def render_relational(query: Callable[..., DataFrame], requests: DataFrame, sele
         lines = c if lines is None else lines.unionByName(c)
     # Layout rows are not broadcast here: this path exists for layouts too large to bound.
     x = lines.join(proj.withColumnRenamed("part", "from_part"), ["format_id", "from_part"])
-    specs = [FieldSpec(**r.asDict()) for r in proj.where((F.col("type_value") == T_DYNAMIC) & F.col("sql").isNotNull()).collect()]
-    dyn = dynamic_values(query, specs, binds, legacy, wanted)
+    if dyn is None:
+        dyn = dynamic_values(query, dynamic_specs(formats, fields), binds, legacy, wanted)
     dyn_text = F.lit(None).cast("string")
     for key, fr in dyn.frames.items():
-        ids = [c for c in fr.columns if c not in key]
-        long = fr.select(*key, F.explode(F.array(*[F.struct(F.lit(int(c[4:])).cast("bigint").alias("definition_id"), F.col(c).alias("t")) for c in ids])).alias("_e"))
         name = f"_dyn_{'_'.join(key)}"
-        x = x.join(long.select(*key, "_e.definition_id", F.col("_e.t").alias(name)), [*key, "definition_id"], "left")
+        x = x.join(_long(key, fr).withColumnRenamed("t", name), [*key, "definition_id"], "left")
         dyn_text = F.coalesce(dyn_text, F.col(name))
     for fid, text in dyn.scalars.items():
         dyn_text = F.when(F.col("definition_id") == fid, F.lit(text)).otherwise(dyn_text)

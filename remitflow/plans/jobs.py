@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as agg
 from ..operators import lookups, quality, render, status
 from ..operators import selection as sel_ops
+from ..operators.render_relational import PartsIndex, dynamic_specs, missing_relational, render_relational
 from ..operators.sequences import hot_rows_of
 from ..schema import RunParams
 from ..session import bounded_broadcast, drop_snapshot, materialize
@@ -32,9 +34,20 @@ class BankFileRun:
     selection: DataFrame
     paid: DataFrame
     totals: DataFrame
-    layout: render.Layout
+    layout: render.Layout | PartsIndex   # compiled or relational
     lines: DataFrame
-    dyn: render.DynamicValues | None   # of the compiled renderer
+    dyn: render.DynamicValues
+    specs: list[render.FieldSpec]        # all fields, or (relational) those with a query
+    formats: DataFrame
+    fields: DataFrame
+    numbered: DataFrame | None = None    # the lines with their counters, where a query asked for one
+    contexts: dict[str, DataFrame] | None = None
+
+    def missing(self) -> DataFrame:
+        """DQ-10 / RND-19: every dynamic field without a value, whichever renderer made the lines."""
+        if isinstance(self.layout, PartsIndex):
+            return missing_relational(self.requests, self.selection, self.paid, self.formats, self.fields, self.layout, self.dyn, self.contexts)
+        return render.missing_values(self.requests, self.selection, self.paid, self.layout, self.dyn, self.contexts)
 
 
 def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
@@ -80,24 +93,35 @@ def bank_file_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None,
         except render.LayoutTooLarge:
             if renderer == "compiled":
                 raise
+    if layout is None:
+        layout = PartsIndex.load(formats, ctx.fields)
+        specs = dynamic_specs(formats, ctx.fields)
+    else:
+        specs = layout.specs
+    numbered = contexts = None
+    if render.uses_line_counters(specs):
+        # RND-06: a line's counter is bound into queries, so the lines are numbered before any value is fetched.
+        parts = render.line_contexts(requests, selection, paid, totals, layout, list(INVOICE_ORDER), hot_rows, hot_files)
+        numbered = materialize(reduce(DataFrame.unionByName, [c.withColumn("part", F.lit(p)) for p, c in parts.items()]), "numbered")
+        contexts = {p: numbered.where(F.col("part") == p).drop("part") for p in parts}
+        views["lines"] = numbered
     with render.query_views(spark, **views) as query:
-        if layout is not None:
-            dyn = render.dynamic_values(query, layout.specs, binds, params.legacy, wanted)
-            lines = render.render_lines(spark, requests, selection, paid, totals, layout, dyn, list(INVOICE_ORDER),
-                                        legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files)
-        else:
-            from ..operators.render_relational import PartsIndex, render_relational
-            layout, dyn = PartsIndex.load(formats, ctx.fields), None
+        dyn = render.dynamic_values(query, specs, binds, params.legacy, wanted)
+        if isinstance(layout, PartsIndex):
             lines = render_relational(query, requests, selection, paid, totals, formats, ctx.fields, binds,
                                       list(INVOICE_ORDER), legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files,
-                                      wanted=wanted)
-    return BankFileRun(requests, selection, paid, totals, layout, lines, dyn)
+                                      wanted=wanted, contexts=contexts, dyn=dyn)
+        else:
+            lines = render.render_lines(spark, requests, selection, paid, totals, layout, dyn, list(INVOICE_ORDER),
+                                        legacy=params.legacy, hot_rows=hot_rows, hot_files=hot_files, contexts=contexts)
+    return BankFileRun(requests, selection, paid, totals, layout, lines, dyn, specs, formats, ctx.fields, numbered, contexts)
 
 
 def release(run: BankFileRun) -> None:
-    """Delete the run's selection / paid-invoice snapshots from the checkpoint folder."""
-    for df in (run.selection, run.paid):
-        drop_snapshot(df)
+    """Delete the run's selection, paid-invoice and line snapshots from the checkpoint folder."""
+    for df in (run.selection, run.paid, run.numbered):
+        if df is not None:
+            drop_snapshot(df)
 
 
 def find_hot(totals: DataFrame, paid: DataFrame, hot_rows: int | None = None):
@@ -187,10 +211,8 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
     reg = register_job(ctx, params, selection=run.selection, requests=run.requests, hot_rows=hot_rows)
     reg_path = files.write_text(reg, f"{out_path}/register")
     dq = quality.request_checks(run.requests, run.totals, ctx.formats).unionByName(files.control_characters(lines))
-    if run.dyn is not None:
-        missing = render.missing_values(run.requests, run.selection, run.paid, run.layout, run.dyn)
-        dq = dq.unionByName(quality.missing_by_file(missing)).unionByName(
-            quality.unconverted_fields(run.requests, run.layout.specs, run.dyn.failed))
+    dq = dq.unionByName(quality.missing_by_file(run.missing())).unionByName(
+        quality.unconverted_fields(run.requests, run.specs, run.dyn.failed))
     names = file_names(ctx, run.requests).select("file_id", "file_name", "file_extension")
     outcome = files.run_outcome(run.requests, run.totals, dq).join(names, "file_id", "left")
     files.append_outcome(outcome, f"{out_path}/outcome")
@@ -209,7 +231,6 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
 
 def _producing_formats(ctx: Ctx) -> list[int]:
     """Formats that render at least one part: a request of another one produces no file."""
-    from ..operators.render_relational import PartsIndex
     index = PartsIndex.load(quality.usable_formats(ctx.formats), ctx.fields)
     return sorted({f for part in ("HEADER", "BODY", "DETAIL", "TRAILER") for f in index.formats_with(part)})
 
@@ -252,6 +273,6 @@ def file_names(ctx: Ctx, requests: DataFrame) -> DataFrame:
     return requests.select("file_id", "payment_document_id", "format_id", "as_of") \
         .join(chain.select("payment_document_id", "name", "bank_party_id", "bank_account_id",
                            "payment_document_name"), "payment_document_id") \
-        .join(F.broadcast(ctx.formats.select("format_id", "file_extension")), "format_id", "left") \
+        .join(bounded_broadcast(ctx.formats.select("format_id", "file_extension")), "format_id", "left") \
         .select("file_id", "bank_party_id", "bank_account_id",
                 F.regexp_replace(raw, "[^A-Za-z0-9_-]", "").alias("file_name"), "file_extension")

@@ -355,13 +355,21 @@ SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-1',
 SELECT file_id, part, line_no, value FROM numbered WHERE file_id IN ('run-1-2', 'run-1-3')""",
     "written_lines": LINES + "SELECT file_id, value || CASE WHEN file_id = 'run-1-2' THEN chr(13) ELSE '' END AS value FROM numbered",
     "bound_fields": BASE + """
-, tot3 AS (SELECT file_id, COUNT(*) AS n, SUM(amount) AS total FROM sel WHERE payment_document_id = 3 GROUP BY file_id)
+, tot3 AS (SELECT file_id, COUNT(*) AS n, SUM(amount) AS total FROM sel WHERE payment_document_id = 3 GROUP BY file_id),
+det3 AS (SELECT s.file_id, s.check_id, i.invoice_id, i.invoice_num, ip.line_number,
+                row_number() OVER (PARTITION BY s.file_id, s.check_id ORDER BY ip.line_number, ip.invoice_id, ip.supplier_ref, ip.amount_paid) AS seq2,
+                MIN(ip.line_number) OVER (PARTITION BY s.check_id, i.invoice_id) AS first_line
+         FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id JOIN invoices i ON i.invoice_id = ip.invoice_id WHERE s.payment_document_id = 3),
+n3 AS (SELECT check_id, COUNT(*) AS n FROM det3 GROUP BY check_id),
+body3 AS (SELECT s.*, row_number() OVER w - 1 + COALESCE(SUM(COALESCE(n3.n, 0)) OVER (PARTITION BY s.file_id ORDER BY s.check_number, s.check_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seq3
+          FROM sel s LEFT JOIN n3 ON n3.check_id = s.check_id WHERE s.payment_document_id = 3 WINDOW w AS (PARTITION BY s.file_id ORDER BY s.check_number, s.check_id))
 SELECT s.file_id, 'BODY' AS part, '3' || chr(9) || CAST(t.n AS VARCHAR) || chr(9) || printf('%.2f', s.amount) || chr(9)
-       || CAST(s.check_number AS VARCHAR) || chr(9) || 'range' AS value
-FROM sel s JOIN tot3 t ON t.file_id = s.file_id
+       || CAST(s.check_number AS VARCHAR) || chr(9) || 'range' || chr(9) || 'L' || CAST(CAST(s.seq3 AS BIGINT) AS VARCHAR) AS value
+FROM body3 s JOIN tot3 t ON t.file_id = s.file_id
 UNION ALL
-SELECT s.file_id, 'DETAIL', i.invoice_num
-FROM sel s JOIN inv_pay ip ON ip.check_id = s.check_id JOIN invoices i ON i.invoice_id = ip.invoice_id WHERE s.payment_document_id = 3
+SELECT d.file_id, 'DETAIL', d.invoice_num || chr(9) || CAST(CAST(d.first_line + 10 * (b.seq3 + d.seq2 - 1) AS BIGINT) AS VARCHAR)
+FROM det3 d JOIN body3 b ON b.check_id = d.check_id
 UNION ALL
 SELECT file_id, 'TRAILER', printf('%.2f', total) FROM tot3
 """,
@@ -395,6 +403,15 @@ UNION ALL
 SELECT 'DQ-10 dynamic value missing', file_id || '/' || CAST(check_id AS VARCHAR),
        'definition 922: SELECT check_id, vendor_name AS value FROM selection'
 FROM sel WHERE payment_document_id IN (1, 4)
+""",
+    "dq_dynamic_values_relational": BASE + """
+SELECT 'DQ-10 dynamic value missing' AS check_name, file_id || '/' || CAST(check_id AS VARCHAR) AS key,
+       'definition 921: SELECT check_id, vendor_name AS value FROM selection WHERE amount > 100000' AS detail
+FROM sel WHERE payment_document_id IN (1, 4) AND amount <= 100000
+UNION ALL
+SELECT 'DQ-10 dynamic value missing', file_id || '/' || CAST(check_id AS VARCHAR),
+       'definition 922: SELECT check_id, vendor_name AS value FROM selection'
+FROM sel WHERE payment_document_id IN (1, 4)
 """,
     "register_text": REGISTER_TEXT + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",
     "register_text_es": register_text_sql("ESA") + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",

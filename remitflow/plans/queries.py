@@ -162,7 +162,7 @@ def assigned_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     req, sel = _selection(ctx)
     f = ctx.formats.select("format_id", "format_name", "enable_flag")
     out = req.select("file_id", "payment_document_id", "format_id") \
-        .join(agg.selection_totals(sel), "file_id").join(F.broadcast(f), "format_id", "left")
+        .join(agg.selection_totals(sel), "file_id").join(bounded_broadcast(f), "format_id", "left")
     status = (F.when(F.col("format_id").isNull(), F.lit("NO FORMAT"))
               .when(F.col("format_name").isNull(), F.lit("UNKNOWN FORMAT"))
               .when(F.col("enable_flag") != "Y", F.lit("DISABLED"))
@@ -177,7 +177,7 @@ def format_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     req, sel = _selection(ctx)
     parts = agg.format_parts(ctx.fields, ctx.formats)
     return req.select("file_id", "format_id").join(agg.selection_totals(sel).select("file_id"), "file_id") \
-        .join(F.broadcast(parts), "format_id")
+        .join(bounded_broadcast(parts), "format_id")
 
 
 def latest_batch_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,12 +265,16 @@ BOUND_FIELDS = [
     _dynamic(915, 3, "BODY", 5, "STRING", None,
              "SELECT check_id, 'batch' AS value FROM selection /*SQLS_ALT*/ SELECT check_id, 'range' AS value FROM selection"),
     _dynamic(916, 3, "DETAIL", 1, "STRING", None, "SELECT invoice_num AS value FROM invoices WHERE invoice_id = :INVOICEID"),
+    _dynamic(918, 3, "BODY", 6, "STRING", None, "SELECT concat('L', CAST(:V_SEQUENCE3 AS STRING)) AS value"),
+    _dynamic(919, 3, "DETAIL", 2, "NUMBER", "999999999",
+             "SELECT p.line_number + 10 * :V_SEQUENCE3 AS value, p.line_number AS ord FROM paid p WHERE p.check_id = :IDCHECK AND p.invoice_id = :INVOICEID"),
     _dynamic(917, 3, "TRAILER", 1, "NUMBER", "9999999999990.00", "SELECT :V_SUM_TRANS AS value"),
 ]
 
 
 def bound_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RND-06/07/08: a layout that binds the document, totals, payment and invoice, an unset parameter, and an alternative."""
+    """RND-06/07/08: a layout that binds the document, totals, payment, invoice and the line's counter, an unset parameter, and an
+    alternative."""
     from .jobs import bank_file_job
     ctx = _with_fields(Ctx(spark, sf_dir), BOUND_FIELDS, instead_of=3)
     return bank_file_job(ctx, doc_ids=[1, 3]).lines.where("format_id = 3").select("file_id", "part", "value")
@@ -324,17 +328,25 @@ def migrated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MISSING_SQL = "SELECT check_id, vendor_name AS value FROM selection WHERE amount > 100000"
 NOT_A_NUMBER_SQL = "SELECT check_id, vendor_name AS value FROM selection"
+MISSING_FIELDS = [_dynamic(921, 1, "BODY", 90, "STRING", None, MISSING_SQL), _dynamic(922, 1, "BODY", 91, "NUMBER", "999", NOT_A_NUMBER_SQL)]
 
 
 def dq_dynamic_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-10 / RND-19: payments for which a layout's query has no row, or a value of the wrong type."""
-    from ..operators import quality, render
+    from ..operators import quality
     from .jobs import bank_file_job
-    ctx = _with_fields(Ctx(spark, sf_dir), [_dynamic(921, 1, "BODY", 90, "STRING", None, MISSING_SQL),
-                                            _dynamic(922, 1, "BODY", 91, "NUMBER", "999", NOT_A_NUMBER_SQL)])
+    ctx = _with_fields(Ctx(spark, sf_dir), MISSING_FIELDS)
     run = bank_file_job(ctx)
-    missing = render.missing_values(run.requests, run.selection, run.paid, run.layout, run.dyn)
-    return quality.dynamic_values_missing(missing, run.layout.specs)
+    return quality.dynamic_values_missing(run.missing(), run.specs)
+
+
+def dq_dynamic_values_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-10 / RND-19: the same report by the relational renderer, for layouts of any size."""
+    from ..operators import quality
+    from .jobs import bank_file_job
+    ctx = _with_fields(Ctx(spark, sf_dir), MISSING_FIELDS)
+    run = bank_file_job(ctx, renderer="relational")
+    return quality.dynamic_values_missing(run.missing(), run.specs)
 
 
 # ---------------------------------------------------------------------------
@@ -670,6 +682,7 @@ QUERIES = {
     "layout_variants": layout_variants,
     "migrated_lines": migrated_lines,
     "dq_dynamic_values": dq_dynamic_values,
+    "dq_dynamic_values_relational": dq_dynamic_values_relational,
     "register_text": register_text,
     "register_text_es": register_text_es,
     "mark_printed": mark_printed,

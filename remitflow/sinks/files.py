@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import latin1
+from ..session import bounded_broadcast
 
 # What ends a line, by the format's code; no code means LF.
 TERMINATORS = {"LF": "\n", "CRLF": "\r\n"}
@@ -41,7 +42,7 @@ def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str
     with another terminator code is not written; ``quality.request_checks`` reports it.
     """
     eol = formats.where(known_terminator()).select("format_id", terminator_code().alias("_eol"))
-    tagged = lines.join(F.broadcast(eol), "format_id")
+    tagged = lines.join(bounded_broadcast(eol), "format_id")
     text = F.concat(latin1(F.coalesce(F.col("value"), F.lit(""))), F.when(F.col("_eol") == "CRLF", F.lit("\r")).otherwise(F.lit("")))
     out = tagged.select("file_id", "line_no", F.encode(text, "ISO-8859-1").cast("string").alias("value"))
     (_ordered(out).select("file_id", "value").write.mode(mode).partitionBy("file_id")

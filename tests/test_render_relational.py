@@ -56,3 +56,34 @@ def test_auto_falls_back_to_relational(spark, monkeypatch):
     run = bank_file_job(ctx, doc_ids=[1, 2])
     assert type(run.layout).__name__ == "PartsIndex"
     assert _rows(run.lines) == compiled
+
+
+def test_line_counter_is_bound_alike_in_both_forms_and_in_hot_files(spark):
+    from remitflow.plans.queries import BOUND_FIELDS, _with_fields
+    ctx = _with_fields(Ctx(spark, SF), BOUND_FIELDS, instead_of=3)
+    run = bank_file_job(ctx, doc_ids=[1, 3])
+    rows = _rows(run.lines)
+    assert rows == _rows(bank_file_job(ctx, doc_ids=[1, 3], renderer="relational").lines)
+    assert rows == _rows(bank_file_job(ctx, doc_ids=[1, 3], hot_rows=20).lines)
+    body = [r for r in rows if r[0].endswith("-3") and r[1] == "BODY"]
+    assert body and all(r[-1].endswith(f"\tL{r[5]}") for r in body)
+    assert run.missing().count() == 0
+
+
+def test_missing_values_are_reported_alike(spark, tmp_out):
+    from remitflow.plans.jobs import main_job
+    from remitflow.plans.queries import MISSING_FIELDS, _dynamic, _with_fields
+    more = [_dynamic(923, 2, "HEADER", 90, "STRING", None, "SELECT file_id, CAST(NULL AS STRING) AS value FROM requests"),
+            _dynamic(924, 2, "DETAIL", 90, "STRING", None, "SELECT invoice_id, invoice_num AS value FROM invoices WHERE invoice_id % 2 = 0"),
+            _dynamic(925, 2, "TRAILER", 90, "STRING", None, "SELECT x FROM nowhere"), _dynamic(926, 2, "TRAILER", 91, "STRING", None, "SELECT 1 AS value"),
+            _dynamic(927, 3, "BODY", 90, "STRING", None, "SELECT IF(:V_SEQUENCE3 % 2 = 0, 'even', NULL) AS value")]
+    ctx = _with_fields(Ctx(spark, SF), MISSING_FIELDS + more)
+    found = {r: sorted(map(str, bank_file_job(ctx, renderer=r).missing().collect())) for r in ("compiled", "relational")}
+    assert found["compiled"] == found["relational"]
+    assert all(any(f"definition_id={i})" in x for x in found["compiled"]) for i in (921, 922, 923, 924, 925, 927))
+    outcome = {}
+    for renderer in ("compiled", "relational"):
+        main_job(ctx, f"{tmp_out}/{renderer}", renderer=renderer)
+        outcome[renderer] = sorted((r.file_id, r.retcode, ";".join(sorted((r.errbuf or "").split("; ")))) for r in spark.read.parquet(f"{tmp_out}/{renderer}/outcome").collect())
+    assert outcome["compiled"] == outcome["relational"]
+    assert any("DQ-10" in e and "DQ-12" in e for _, _, e in outcome["relational"])
