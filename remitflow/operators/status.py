@@ -22,39 +22,53 @@ NO_ACCESS = "User Does not have Access"
 AMBIGUOUS_ACCESS = "Contac Payables Setup Administator for Help"
 
 
-def mark(selection: DataFrame, status: str, run_id: str, event_ts: datetime, process_type: str = FINAL) -> DataFrame:
-    """DML-01 / DML-07: log rows for every selected payment; a DRAFT run logs nothing."""
+def mark(selection: DataFrame, status: str, run_id: str, event_ts: datetime, process_type: str = FINAL,
+         category: str | None = None) -> DataFrame:
+    """DML-01 / DML-07: log rows for every selected payment; a DRAFT run logs nothing.
+
+    ``category``: the attribute context stamped on the payments with the status (none: they keep theirs).
+    """
     rows = selection.select("check_id").distinct() if process_type == FINAL else selection.select("check_id").limit(0)
     return rows.select(
         "check_id",
         F.lit(status).alias("status"),
         F.lit(run_id).alias("run_id"),
         ntz(event_ts).alias("event_ts"),
+        F.lit(category).cast("string").alias("attribute_category"),
     )
 
 
 def latest_entry(log: DataFrame) -> DataFrame:
-    """WIN-06: the latest entry of every payment (ties on time broken by run id, then status).
+    """WIN-06: the latest entry of every payment (ties on time broken by run id, then status), with the last category
+    that any entry has stamped.
 
-    A mergeable state: the entry of a union is the entry of the parts' entries, so snapshots and later
+    Both are mergeable states: the entry of a union is the entry of the parts' entries, so snapshots and later
     rows are merged by the same partial aggregation.
     """
-    last = log.groupBy("check_id").agg(F.max(F.struct("event_ts", "run_id", "status")).alias("_last"))
-    return last.select("check_id", "_last.status", "_last.event_ts", "_last.run_id")
+    when = F.struct("event_ts", "run_id", "status")
+    # A snapshot row keeps when its category was stamped, which may be before its last entry.
+    stamp = F.coalesce(F.col("category_ts"), F.col("event_ts")) if "category_ts" in log.columns else F.col("event_ts")
+    stamped = F.when(F.col("attribute_category").isNotNull(), F.struct(stamp.alias("category_ts"), F.col("attribute_category").alias("category"))) \
+        if "attribute_category" in log.columns else F.lit(None).cast("struct<category_ts:timestamp_ntz,category:string>")
+    last = log.groupBy("check_id").agg(F.max(when).alias("_last"), F.max(stamped).alias("_stamp"))
+    return last.select("check_id", "_last.status", "_last.event_ts", "_last.run_id", F.col("_stamp.category").alias("attribute_category"),
+                       F.col("_stamp.category_ts").alias("category_ts"))
 
 
 def latest_status(log: DataFrame) -> DataFrame:
     """WIN-06: latest status per payment."""
-    return latest_entry(log).select("check_id", F.col("status").alias("logged_status"))
+    return latest_entry(log).select("check_id", F.col("status").alias("logged_status"), F.col("attribute_category").alias("logged_category"))
 
 
 def current_checks(checks: DataFrame, log: DataFrame | None, status_col: str = "attribute14") -> DataFrame:
-    """Checks with ``status_col`` replaced by the latest logged status where one exists."""
+    """Checks with ``status_col`` replaced by the latest logged status where one exists, and the attribute context by the
+    last one stamped."""
     if log is None:
         return checks
-    latest = latest_status(log)
-    j = checks.join(latest, "check_id", "left")
-    return j.withColumn(status_col, F.coalesce(F.col("logged_status"), F.col(status_col))).drop("logged_status")
+    j = checks.join(latest_status(log), "check_id", "left").withColumn(status_col, F.coalesce(F.col("logged_status"), F.col(status_col)))
+    if "attribute_category" in checks.columns:
+        j = j.withColumn("attribute_category", F.coalesce(F.col("logged_category"), F.col("attribute_category")))
+    return j.drop("logged_status", "logged_category")
 
 
 def as_claimed(checks: DataFrame, claimed: DataFrame, status_col: str = "attribute14") -> DataFrame:
@@ -93,7 +107,7 @@ def unlock(selection: DataFrame, values: DataFrame, users: DataFrame, user_id: i
                       ntz(event_ts).alias("event_ts"))
 
 
-LOG_SCHEMA = "check_id long, status string, event_ts timestamp_ntz, run_id string"
+LOG_SCHEMA = "check_id long, status string, event_ts timestamp_ntz, attribute_category string, run_id string"
 
 
 def append_log(rows: DataFrame, path: str) -> None:

@@ -22,7 +22,7 @@ from ..operators.render_relational import PartsIndex, dynamic_specs, missing_rel
 from ..operators.sequences import hot_rows_of
 from ..schema import RunParams
 from ..session import bounded_broadcast, drop_snapshot, materialize
-from ..sinks import files
+from ..sinks import delivery, files
 from ..sinks.ledger import Ledger
 from ..sources.adapters import INVOICE_ORDER
 from .context import Ctx
@@ -173,6 +173,7 @@ class MainResult:
     register_path: str
     outcome: DataFrame
     status_log: DataFrame | None
+    manifest: DataFrame | None   # of the files by their names; None when no file was made
 
 
 def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=None,
@@ -210,23 +211,24 @@ def main_job(ctx: Ctx, out_path: str, params: RunParams | None = None, doc_ids=N
     folder = files.write_bank_files(lines, ctx.formats, f"{out_path}/files", requests=run.requests)
     reg = register_job(ctx, params, selection=run.selection, requests=run.requests, hot_rows=hot_rows)
     reg_path = files.write_text(reg, f"{out_path}/register")
-    dq = quality.request_checks(run.requests, run.totals, ctx.formats).unionByName(files.control_characters(lines))
+    dq = quality.request_checks(run.requests, run.totals, ctx.formats).unionByName(files.control_characters(lines, ctx.formats))
     dq = dq.unionByName(quality.missing_by_file(run.missing())).unionByName(
         quality.unconverted_fields(run.requests, run.specs, run.dyn.failed))
     names = file_names(ctx, run.requests).select("file_id", "file_name", "file_extension")
+    manifest = delivery.commit_manifest(names, f"{out_path}/files", f"{out_path}/manifest") if lines.limit(1).count() else None
     outcome = files.run_outcome(run.requests, run.totals, dq).join(names, "file_id", "left")
     files.append_outcome(outcome, f"{out_path}/outcome")
     log = None
     if final:
         sent = run.selection.where(F.col("format_id").isin(producing))
-        log = status.mark(sent, "PRINTED", params.run_id, as_of, params.process_type)
+        log = status.mark(sent, "PRINTED", params.run_id, as_of, params.process_type, params.mark_category)
         if status_log_path and confirm:
             status.append_log(log, status_log_path)
             log = spark.read.schema(status.LOG_SCHEMA).parquet(status_log_path).where(F.col("run_id") == params.run_id)
     drop_snapshot(lines)
     if release_snapshots:
         release(run)
-    return MainResult(run, [folder], reg_path, outcome, log)
+    return MainResult(run, [folder], reg_path, outcome, log, manifest)
 
 
 def _producing_formats(ctx: Ctx) -> list[int]:

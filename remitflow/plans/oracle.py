@@ -416,7 +416,7 @@ FROM sel WHERE payment_document_id IN (1, 4)
     "register_text": REGISTER_TEXT + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",
     "register_text_es": register_text_sql("ESA") + "SELECT file_id, CAST(line_no AS BIGINT) AS line_no, value FROM reg",
     "mark_printed": with_(ENTITIES, FINAL1) + """
-SELECT check_id, 'PRINTED' AS status, 'final-1' AS run_id, TIMESTAMP '2014-04-25 09:09:17' AS event_ts FROM sel1
+SELECT check_id, 'PRINTED' AS status, 'final-1' AS run_id, TIMESTAMP '2014-04-25 09:09:17' AS event_ts, 'SENT' AS attribute_category FROM sel1
 """,
     "current_status": with_(ENTITIES, FINAL1) + """
 SELECT c.check_id, CASE WHEN s.check_id IS NOT NULL THEN 'PRINTED' ELSE c.attribute14 END AS status_code
@@ -532,6 +532,50 @@ SELECT 'DQ-01 empty selection' AS check_name, 'run-1-' || CAST(d.payment_documen
 FROM docs d WHERE d.payment_document_id NOT IN (SELECT payment_document_id FROM sel)
 UNION ALL
 SELECT DISTINCT 'DQ-03 format not usable', file_id, 'format 4' FROM sel WHERE payment_document_id = 5
+""",
+    "ingest_rejects": """
+WITH r AS (
+  SELECT *, event_id // 1000 AS thousand, row_number() OVER (PARTITION BY event_type, event_id // 1000 ORDER BY event_id) AS record_no,
+         CASE WHEN user_id % 40 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS u,
+         CASE WHEN event_id % 50 <> 0 THEN CASE WHEN event_type = 'error' THEN 'n/a' ELSE printf('%.2f', value) END END AS v,
+         event_id % 60 = 7 AS more
+  FROM events),
+c AS (
+  SELECT *, CAST(event_id AS VARCHAR) || ',' || u || COALESCE(',' || v, '') || CASE WHEN more THEN ',more' ELSE '' END AS raw_record,
+         -- a line without its value but with the other column has that one in the value's place
+         CASE WHEN v IS NULL AND more THEN 'more' ELSE v END AS third, v IS NOT NULL AND more AS many, v IS NULL AND NOT more AS few
+  FROM r),
+bad AS (
+  SELECT *, NULL AS column_name, 'too few columns' AS reason FROM c WHERE few
+  UNION ALL SELECT *, NULL, 'too many columns' FROM c WHERE many
+  UNION ALL SELECT *, 'value', '''' || third || ''' is not a double' FROM c WHERE third IN ('n/a', 'more')
+  UNION ALL SELECT *, 'user_id', 'required value missing' FROM c WHERE u = '' AND NOT few)
+SELECT event_type, CAST(thousand AS BIGINT) AS thousand, record_no, 'BAD' AS kind, column_name, reason, raw_record FROM bad
+UNION ALL
+SELECT event_type, CAST(thousand AS BIGINT), record_no, 'DISCARDED', NULL, 'not value >= 2', raw_record FROM c
+WHERE NOT few AND NOT many AND u <> '' AND third NOT IN ('n/a', 'more') AND NOT (CAST(third AS DOUBLE) >= 2)
+""",
+    "landing_stream": "SELECT event_id, user_id, value FROM events WHERE event_type <> 'error'",
+    "delivered_files": LINES + """
+, named AS (SELECT 'run-1-' || CAST(n.n_nationkey + 1 AS VARCHAR) AS file_id,
+                   regexp_replace('OU ' || n.n_name || '_' || 'DOC ' || n.n_name || '_' || '2014-APR-25_09AM-09-17', '[^A-Za-z0-9_-]', '', 'g')
+                   || CASE n.n_nationkey WHEN 1 THEN '.csv' WHEN 2 THEN '.tsv' ELSE '.txt' END AS file_name FROM nation n)
+SELECT f.file_name, l.line_no, l.value || CASE WHEN l.file_id = 'run-1-2' THEN chr(13) ELSE '' END AS value
+FROM numbered l JOIN named f ON f.file_id = l.file_id
+""",
+    "main_register": REGISTER_TEXT + "SELECT file_id, value FROM reg",
+    "main_outcome": BASE + """
+, fmt AS (SELECT * FROM (VALUES (1, 'txt'), (2, 'csv'), (3, 'tsv'), (4, 'txt'), (5, 'ctl')) t(format_id, ext)),
+docfmt AS (SELECT * FROM (VALUES (1, 1), (2, 2), (3, 3), (4, 1), (5, 4), (6, 5), (7, 5)) t(doc, format_id)),
+t AS (SELECT payment_document_id, COUNT(*) AS n, SUM(amount) AS total FROM sel GROUP BY 1)
+SELECT 'run-1-' || CAST(d.payment_document_id AS VARCHAR) AS file_id,
+       CASE WHEN t.n IS NULL OR d.payment_document_id = 5 THEN '1' ELSE '0' END AS retcode,
+       CASE WHEN t.n IS NULL THEN 'DQ-01 empty selection' WHEN d.payment_document_id = 5 THEN 'DQ-03 format not usable' END AS errbuf,
+       COALESCE(t.n, 0) AS trx_lines, CAST(t.total AS DECIMAL(38,2)) AS sum_trans,
+       regexp_replace('OU ' || n.n_name || '_' || 'DOC ' || n.n_name || '_' || '2014-APR-25_09AM-09-17', '[^A-Za-z0-9_-]', '', 'g') AS file_name,
+       f.ext AS file_extension
+FROM docs d JOIN nation n ON n.n_nationkey + 1 = d.payment_document_id LEFT JOIN t ON t.payment_document_id = d.payment_document_id
+LEFT JOIN docfmt df ON df.doc = d.payment_document_id LEFT JOIN fmt f ON f.format_id = df.format_id
 """,
     "ingest_file_status": """
 SELECT event_type, COUNT(*) FILTER (WHERE event_type <> 'error') AS n_good,

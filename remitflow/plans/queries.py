@@ -383,8 +383,12 @@ def _as_of(p):
 
 
 def mark_printed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DML-01 / DML-07: a FINAL run's status-log rows (PRINTED for every payment in its files)."""
-    return _final_run(Ctx(spark, sf_dir))
+    """DML-01 / DML-07: a FINAL run's status-log rows (PRINTED and the stamped context for every payment in its files)."""
+    from ..operators import status
+    ctx = Ctx(spark, sf_dir)
+    p = ctx.params.with_(**FINAL_1, mark_category="SENT")
+    _, sel = _selection(ctx, p)
+    return status.mark(sel, "PRINTED", p.run_id, _as_of(p), p.process_type, p.mark_category)
 
 
 def current_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -584,6 +588,91 @@ def ingest_file_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("n_good").cast("bigint").alias("n_good"), F.sum("n_bad").cast("bigint").alias("n_bad"))
 
 
+def _landed_events(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Events as landing files: a folder for each type and thousand of ids, lines in the order of ids; values of 'error' events
+    do not parse, every 50th line lacks its value, every 60th has a column too many."""
+    from ..sources.tables import table
+    ev = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    value = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.format_string("%.2f", "value"))
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.when(F.col("user_id") % 40 == 0, F.lit("")).otherwise(F.col("user_id").cast("string")),
+                       F.when(F.col("event_id") % 50 != 0, value), F.when(F.col("event_id") % 60 == 7, F.lit("more")))
+    folder = F.floor(F.col("event_id") / 1000).alias("thousand")
+    ev.select("event_type", folder, "event_id", line.alias("value")).repartition("event_type", "thousand") \
+        .sortWithinPartitions("event_type", "thousand", "event_id").select("event_type", "thousand", "value") \
+        .write.partitionBy("event_type", "thousand").text(path)
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-09 / SRC-13: bad and discarded records of landed files, with their number in the file and the reason."""
+    from pyspark.sql import types as T
+    from ..session import new_scratch_path
+    from ..sources import rejects
+    landing = new_scratch_path(spark, "landing")
+    _landed_events(spark, sf_dir, landing)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    found = rejects.reject_report(spark, landing, schema, ["event_id", "user_id"], when="value >= 2")
+    return found.select(F.regexp_extract("file_path", "event_type=([^/]+)/", 1).alias("event_type"),
+                        F.regexp_extract("file_path", "thousand=([0-9]+)/", 1).cast("bigint").alias("thousand"),
+                        "record_no", "kind", "column_name", "reason", "raw_record")
+
+
+def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST-01: two waves of landed events through the stream, the second batch tried again as after a failure; the rows taken
+    (files of 'error' events hold values that do not parse: nothing of them is)."""
+    from pyspark.sql import types as T
+    from ..session import new_scratch_path
+    from ..sources.tables import table
+    from ..streaming.landing import forget_last_commit, start_landing_stream
+    ev = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value")
+    at = {k: new_scratch_path(spark, f"stream-{k}") for k in ("landing", "good", "rejected", "status", "checkpoint")}
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+
+    def run() -> None:
+        start_landing_stream(spark, at["landing"], schema, ["event_id", "value"], at["good"], at["rejected"], at["status"], at["checkpoint"]).awaitTermination()
+
+    for wave in (0, 1):
+        own = ev.where(F.col("event_id") % 2 == wave)
+        own.where("event_type <> 'error'").select("event_id", "user_id", "value").write.mode("append").csv(at["landing"])
+        own.where("event_type = 'error'").select("event_id", "user_id", F.lit("n/a").alias("value")).write.mode("append").csv(at["landing"])
+        run()
+    forget_last_commit(spark, at["checkpoint"])
+    run()
+    return spark.read.parquet(at["good"]).select("event_id", "user_id", "value")
+
+
+def delivered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-01 / SNK-04: the lines of the bank files by their names, read part by part from the committed manifest."""
+    from ..session import new_scratch_path
+    from ..sinks import delivery
+    from ..sinks.files import write_bank_files
+    from .jobs import file_names
+    ctx = Ctx(spark, sf_dir)
+    run = _bank_run(spark, sf_dir)
+    out = new_scratch_path(spark, "delivery")
+    write_bank_files(run.lines, ctx.formats, f"{out}/files", requests=run.requests)
+    manifest = delivery.commit_manifest(file_names(ctx, run.requests), f"{out}/files", f"{out}/manifest")
+    return delivery.delivered_lines(manifest, f"{out}/files")
+
+
+def main_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-06: the register text that MAIN has written, read back one row per line."""
+    from ..session import new_scratch_path
+    from .jobs import main_job
+    ctx = Ctx(spark, sf_dir)
+    path = main_job(ctx, new_scratch_path(spark, "main-runs"), ctx.params).register_path
+    return spark.read.schema("value string, file_id string").option("lineSep", "\n").text(path).select("file_id", "value")
+
+
+def main_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-08: the outcome that MAIN has written: return code, message, totals and file name of every request."""
+    from ..session import new_scratch_path
+    from .jobs import main_job
+    ctx = Ctx(spark, sf_dir)
+    out = new_scratch_path(spark, "main-runs")
+    main_job(ctx, out, ctx.params)
+    return spark.read.parquet(f"{out}/outcome").select("file_id", "retcode", "errbuf", "trx_lines", "sum_trans", "file_name", "file_extension")
+
+
 def legacy_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RPT-06 / SNK-07 / JN-11 / FLT-05/08/10: the G1 register (EFT, unsent, with check-state labels)."""
     from ..operators import register
@@ -703,6 +792,11 @@ QUERIES = {
     "dq_segment_rules": dq_segment_rules,
     "dq_requests": dq_requests,
     "ingest_file_status": ingest_file_status,
+    "ingest_rejects": ingest_rejects,
+    "landing_stream": landing_stream,
+    "delivered_files": delivered_files,
+    "main_register": main_register,
+    "main_outcome": main_outcome,
     "legacy_register": legacy_register,
     "legacy_register_batch": legacy_register_batch,
     "dependent_lists": dependent_lists,

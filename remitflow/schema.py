@@ -151,6 +151,7 @@ class RunParams:
     lang: str = "US"
     as_of: str = "2014/04/25 09:09:17"
     set_status: str | None = None
+    mark_category: str | None = None   # attribute context stamped with the status
     user_id: int | None = None
     checkrun_id: int | None = None
     legacy: frozenset = field(default_factory=frozenset)

@@ -16,6 +16,8 @@ from ..session import bounded_broadcast
 
 # What ends a line, by the format's code; no code means LF.
 TERMINATORS = {"LF": "\n", "CRLF": "\r\n"}
+#: Lines of a part file, at most; a reader takes parts as a whole.
+PART_LINES = 500_000
 _CONTROL = "[\\x00-\\x1F\\x7F]"
 
 
@@ -39,14 +41,15 @@ def write_bank_files(lines: DataFrame, formats: DataFrame, path: str, mode: str
     lines with LF, and the carriage return of a CRLF format is the line's last byte.  Empty lines,
     quotes, ``#`` and blanks come out unchanged.  Overwrites are dynamic: a rerun replaces its own
     ``file_id`` folders, and the folders of ``requests`` that have no line now are removed.  A format
-    with another terminator code is not written; ``quality.request_checks`` reports it.
+    with another terminator code is not written; ``quality.request_checks`` reports it.  A part holds at
+    most ``PART_LINES`` lines.
     """
     eol = formats.where(known_terminator()).select("format_id", terminator_code().alias("_eol"))
     tagged = lines.join(bounded_broadcast(eol), "format_id")
     text = F.concat(latin1(F.coalesce(F.col("value"), F.lit(""))), F.when(F.col("_eol") == "CRLF", F.lit("\r")).otherwise(F.lit("")))
     out = tagged.select("file_id", "line_no", F.encode(text, "ISO-8859-1").cast("string").alias("value"))
     (_ordered(out).select("file_id", "value").write.mode(mode).partitionBy("file_id")
-     .option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").text(path))
+     .option("partitionOverwriteMode", "dynamic").option("lineSep", "\n").option("maxRecordsPerFile", PART_LINES).text(path))
     if requests is not None:
         empty = requests.select("file_id").join(lines.select("file_id").distinct(), "file_id", "left_anti")
         for r in empty.toLocalIterator():
@@ -64,10 +67,16 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def control_characters(lines: DataFrame) -> DataFrame:
-    """Lines whose value holds a control character (a line break, a NUL …), as data-quality rows per file."""
+def control_characters(lines: DataFrame, formats: DataFrame | None = None) -> DataFrame:
+    """Lines whose value holds a control character (a line break, a NUL …), as data-quality rows per file; the delimiter of
+    the line's own format (``formats``) is none."""
     n = F.count(F.lit(1)).cast("string")
-    return lines.where(F.col("value").rlike(_CONTROL)).groupBy("file_id").agg(n.alias("_n")).select(
+    value = F.col("value")
+    if formats is not None:
+        own = formats.select("format_id", F.chr("ascii_delimiter").alias("_delimiter")).where("_delimiter IS NOT NULL")
+        lines = lines.join(bounded_broadcast(own), "format_id", "left")
+        value = F.coalesce(F.replace(value, F.col("_delimiter"), F.lit("")), value)
+    return lines.where(value.rlike(_CONTROL)).groupBy("file_id").agg(n.alias("_n")).select(
         F.lit("DQ-11 control character").alias("check_name"), F.col("file_id").alias("key"),
         F.concat(F.col("_n"), F.lit(" lines")).alias("detail"))
 

@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from ..functions.text import ntz
 from ..schema import STATUS_PRINTED
 
-LOG_SCHEMA = "check_id long, status string, event_ts timestamp_ntz, run_id string"
+LOG_SCHEMA = "check_id long, status string, event_ts timestamp_ntz, attribute_category string, run_id string"
+_SNAPSHOT_SCHEMA = LOG_SCHEMA + ", category_ts timestamp_ntz"
 _CLAIM_SCHEMA = "check_id long, file_id string, status_before string"
-_COLUMNS = ("check_id", "status", "event_ts", "run_id")
+_COLUMNS = ("check_id", "status", "event_ts", "run_id", "attribute_category", "category_ts")
 
 
 class ClaimConflict(Exception):
@@ -50,6 +51,12 @@ class LedgerState:
     last_snapshot: int = -1
 
 
+def _entries(rows: DataFrame) -> DataFrame:
+    """Log, claim and snapshot rows in the same columns."""
+    missing = {"attribute_category": "string", "category_ts": "timestamp_ntz"}
+    return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(missing[c]).alias(c) for c in _COLUMNS])
+
+
 class Ledger:
     def __init__(self, spark: SparkSession, log_path: str):
         self.spark = spark
@@ -146,7 +153,7 @@ class Ledger:
         state = state or self.state()
         parts = []
         if state.snapshot:
-            parts.append(self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/{state.snapshot}"))
+            parts.append(self.spark.read.schema(_SNAPSHOT_SCHEMA).parquet(f"{self.path}/{state.snapshot}"))
         rows = self._deltas(state)
         if rows is not None:
             parts.append(rows if without_run is None else rows.where(F.col("run_id") != without_run))
@@ -156,7 +163,7 @@ class Ledger:
                                           F.lit(c["run_id"]).alias("run_id")) for c in pending]
         out = None
         for part in parts:
-            out = part.select(*_COLUMNS) if out is None else out.unionByName(part.select(*_COLUMNS))
+            out = _entries(part) if out is None else out.unionByName(_entries(part))
         return out
 
     def _claimed(self, claim: dict) -> DataFrame:
@@ -231,9 +238,9 @@ class Ledger:
         runs = self._runs(rows)
         if not runs:
             return []
-        rows = rows.where(F.col("run_id").isin(runs)).select(*_COLUMNS)
+        rows = _entries(rows.where(F.col("run_id").isin(runs)))
         if state.snapshot:
-            rows = rows.unionByName(self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/{state.snapshot}"))
+            rows = rows.unionByName(self.spark.read.schema(_SNAPSHOT_SCHEMA).parquet(f"{self.path}/{state.snapshot}"))
         data = f"snapshots/{uuid.uuid4().hex}"
         latest_entry(rows).select(*_COLUMNS).write.parquet(f"{self.path}/{data}")
         covered = sorted({*state.covered, *runs})

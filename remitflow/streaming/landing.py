@@ -51,6 +51,16 @@ def start_landing_stream(spark: SparkSession, landing: str, schema: T.StructType
             .trigger(availableNow=True).start())
 
 
+def forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Make the stream try its last batch again, as after a failure between a batch's writes and its commit."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit()]
+    if done:
+        fs.delete(hadoop.Path(f"{checkpoint}/commits/{max(done)}"), False)
+
+
 def empty_files(spark: SparkSession, landing: str, glob: str = "*.csv") -> DataFrame:
     """Status rows of landed files without a byte, which the stream never sees a row of."""
     return list_files(spark, landing, glob).where("length = 0").select(
