@@ -7,21 +7,22 @@ the inverse root of the landmarks' own kernel matrix, and kernel ridge regressio
 against the rest, gives a value per language.  Texts are scored in batches: one product of the
 batch's presence matrix with the landmarks', one with the weights.
 
-Characters: lower-case; what is not a letter counts as a space; letters beyond the most frequent of
-the landmarks share one symbol.  The whole text is read.
+Characters: lower-case code points; what is not a letter counts as a space.  An n-gram's feature is a hash of
+its code points, so any number of scripts stands side by side.  The whole text is read.
 
 The classifier is fitted on a bounded sample: at most ``per_language`` distinct labelled texts of each
-language, the first by a hash of text, of a longer text its first ``longest`` characters; ``landmarks`` of
-them, spread over the languages, are the landmarks.  However many copies a text has, and however long
-all of a language's texts are, a language with a labelled text that has a letter is learned.
-
-A text of none of the languages is unlike every landmark, so all its values are near 0 and say
-nothing.  It is told by its coverage, the share of its own n-grams that some landmark of the predicted
-language holds: a text that falls short of ``COVERED`` times the median coverage of the language's
-training texts (each by the landmarks of other texts) is ``und``.  Short texts have an allowance of
-``DEVIATIONS`` standard deviations of a share of so many n-grams.
-
-Rows: null texts and texts without a letter are ``und`` with score 0, and so is every text if there
+language, the first by a hash of text, whole; ``landmarks`` of them, spread over the languages, are the
+landmarks.  Only the features that a text holds leave the executors.  However many copies a text has, a
+language with a labelled text that has a letter is learned.
+
+Every text with a letter gets the language of the greatest value, of equal ones the first by name.  A text of
+none of the languages is unlike every landmark, so all its values are near 0 and say nothing; that is
+told by its coverage, the share of its own n-grams that some landmark of the predicted language holds.  A
+text is ``familiar`` unless it falls short of ``COVERED`` times the median coverage of the language's training
+texts (each by the landmarks of other texts); short texts have an allowance of ``DEVIATIONS`` standard
+deviations of a share of so many n-grams.  Coverage changes no prediction; ``of_known_language`` rejects by it.
+
+Rows: null texts and texts without a letter are ``und`` with score and coverage 0, and so is every text if there
 is nothing to learn from.  Null lang values are not learned.  Repeated rows get equal results; an
 empty table gives no rows.  Columns beside the named ones are ignored.
 """
@@ -41,57 +42,48 @@ from remitflow.llm.common import batched, column_or_empty, documents, text_slice
 from remitflow.session import bounded_broadcast
 
 UNKNOWN = "und"
-PER_LANGUAGE, LONGEST, LANDMARKS, RIDGE = 400, 20_000, 128, 1e-2
+PER_LANGUAGE, LANDMARKS, RIDGE = 400, 128, 1e-2
 #: Least coverage of a text, as a part of the median of its language; its allowance in standard deviations.
-COVERED, DEVIATIONS = 0.6, 2.0
-_SYMBOLS = 64  # 0: not a letter, 1: a rare letter
+COVERED, DEVIATIONS = 0.6, 2.5
+_BITS = 20  # of a feature
 _SLICE_BYTES = 4 << 20
 _ROWS = 256  # texts to a matrix product
 
 
-@dataclass
-class Alphabet:
-    """Symbols of code points, as a table over the planes in use."""
-
-    table: np.ndarray
-
-    @classmethod
-    def of(cls, texts: list[str]) -> Alphabet:
-        counts = Counter(c for t in texts for c in t.lower() if c.isalpha())
-        letters = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: _SYMBOLS - 2]]
-        table = _letter_table().copy()
-        table[[ord(c) for c in letters]] = np.arange(2, 2 + len(letters), dtype=np.int32)
-        return cls(table)
-
-    def ngrams(self, text: str) -> np.ndarray | None:
-        """Codes of the n-grams of ``text`` (with repeats); None if it has no letter."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        s = self.table[points]
-        if not s.any():
-            return None
-        s = np.concatenate((_EDGE, s, _EDGE))
-        two = s[:-1] * _SYMBOLS + s[1:]
-        three = two[:-1] * _SYMBOLS + s[2:]
-        return np.concatenate((s, two + _SYMBOLS, three + (_SYMBOLS + _SYMBOLS**2)))
-
-
-_EDGE = np.zeros(1, dtype=np.int32)
-_CODES = _SYMBOLS + _SYMBOLS**2 + _SYMBOLS**3
+_CODES = 1 << _BITS
+_EDGE = np.zeros(1, dtype=np.uint32)
+#: Odd multipliers: of the first, second and third character of an n-gram, and of the last mixing step.
+_FIRST, _SECOND, _THIRD, _MIX = (np.uint32(x) for x in (2654435761, 2246822519, 3266489917, 668265263))
 _letters: list[np.ndarray] = []
 
 
 def _letter_table() -> np.ndarray:
-    """1 for letters, 0 for other code points."""
+    """Letters as themselves, 0 for other code points."""
     if not _letters:
-        _letters.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=np.int32, count=0x110000))
+        _letters.append(np.fromiter((i if chr(i).isalpha() else 0 for i in range(0x110000)), dtype=np.uint32, count=0x110000))
     return _letters[0]
 
 
+def _feature(h: np.ndarray, length: int) -> np.ndarray:
+    h = (h + np.uint32(length)) * _MIX
+    return ((h ^ (h >> np.uint32(15))) * _FIRST) >> np.uint32(32 - _BITS)
+
+
+def ngrams(text: str) -> np.ndarray | None:
+    """Features of the n-grams of ``text`` (with repeats); None if it has no letter."""
+    s = _letter_table()[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+    if not s.any():
+        return None
+    s = np.concatenate((_EDGE, s, _EDGE))
+    one, two, three = s * _FIRST, s * _SECOND, s * _THIRD
+    pair = one[:-1] + two[1:]
+    return np.concatenate((_feature(one, 1), _feature(pair, 2), _feature(pair[:-1] + three[2:], 3)))
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
-    alphabet: Alphabet
-    features: np.ndarray  # n-gram codes that some landmark holds
+    features: np.ndarray  # that some landmark holds
     landmarks: np.ndarray  # features x landmarks: presence over the root of the landmark's own number
     weights: np.ndarray  # landmarks x languages
     known: np.ndarray  # features x languages: whether a landmark of the language holds it
@@ -114,49 +106,50 @@ class LanguageModel:
         held, own = self.presence(grams)
         return held @ self.landmarks / np.sqrt(own)
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float], list[bool]]:
+        """Language, score, coverage and whether the text is familiar, of each text."""
+        names, scores, covered, familiar = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts), [False] * len(texts)
         if not self.languages:
-            return names, scores
+            return names, scores, covered, familiar
         for begin in range(0, len(texts), _ROWS):
-            grams = [self.alphabet.ngrams(t) for t in texts[begin:begin + _ROWS]]
+            grams = [ngrams(t) for t in texts[begin:begin + _ROWS]]
             rows = [i for i, g in enumerate(grams) if g is not None]
             if not rows:
                 continue
             held, own = self.presence([grams[i] for i in rows])
             values = (held @ self.landmarks / np.sqrt(own) @ self.weights).astype(np.float64)
             best = values.argmax(axis=1)
-            covered = (held @ self.known)[np.arange(len(rows)), best] / own[:, 0]
+            share = ((held @ self.known)[np.arange(len(rows)), best] / own[:, 0]).astype(np.float64)
             least = self.least[best]
             least = least - DEVIATIONS * np.sqrt(least * (1 - least) / own[:, 0])
-            for i, k, v, familiar in zip(rows, best, values.max(axis=1), covered >= least):
-                if familiar:
-                    names[begin + i] = self.languages[k]
-                    scores[begin + i] = float(np.clip((v + 1) / 2, 0, 1))
-        return names, scores
+            for i, k, v, c, f in zip(rows, best, values.max(axis=1), share, share >= least):
+                names[begin + i] = self.languages[k]
+                scores[begin + i] = float(np.clip((v + 1) / 2, 0, 1))
+                covered[begin + i], familiar[begin + i] = float(c), bool(f)
+        return names, scores, covered, familiar
 
 
-def fit(samples: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
-    """``samples``: (text, language)."""
-    samples = [(t, g) for t, g in samples if any(c.isalpha() for c in t)]
+def fit(samples: list[tuple[str | np.ndarray, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
+    """``samples``: (text, or the features it holds; language)."""
+    read = [(ngrams(x) if isinstance(x, str) else x, g) for x, g in samples]
+    samples = [(np.unique(x), g) for x, g in read if x is not None and len(x)]
     languages = sorted({g for _, g in samples})
     none = np.zeros((0, 0), dtype=np.float32)
     if not languages:
-        return LanguageModel([], Alphabet(_letter_table()), np.zeros(0, dtype=np.int64), none, none, none, none)
+        return LanguageModel([], np.zeros(0, dtype=np.int64), none, none, none, none)
     turn: Counter[str] = Counter()
     order = []
     for i, (_, g) in enumerate(samples):  # the first of each language, the second of each, ...
         order.append((turn[g], i))
         turn[g] += 1
     chosen = [i for _, i in sorted(order)[:max(landmarks, len(languages))]]
-    alphabet = Alphabet.of([samples[i][0] for i in chosen])
-    grams = [alphabet.ngrams(t) for t, _ in samples]
-    own = [np.unique(grams[i]) for i in chosen]
+    grams = [x for x, _ in samples]
+    own = [grams[i] for i in chosen]
     features = np.unique(np.concatenate(own))
     matrix = np.zeros((len(features), len(chosen)), dtype=np.float32)
     for k, codes in enumerate(own):
         matrix[np.searchsorted(features, codes), k] = 1 / np.sqrt(len(codes))
-    model = LanguageModel(languages, alphabet, features, matrix, none, none, none)
+    model = LanguageModel(languages, features, matrix, none, none, none)
     blocks = [model.kernels(grams[i:i + _ROWS]).astype(np.float64) for i in range(0, len(grams), _ROWS)]
     kernel = np.concatenate(blocks)
     values, vectors = np.linalg.eigh((kernel[chosen] + kernel[chosen].T) / 2)
@@ -172,65 +165,87 @@ def fit(samples: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float
     return model
 
 
-def _coverage(model: LanguageModel, samples: list[tuple[str, str]], grams: list[np.ndarray], chosen: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def _coverage(model: LanguageModel, samples: list[tuple[np.ndarray, str]], grams: list[np.ndarray], chosen: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """``known`` and ``least`` of the model."""
     known = np.zeros((len(model.features), len(model.languages)), dtype=np.float32)
     least = np.zeros(len(model.languages))
     for k, language in enumerate(model.languages):
-        marks = {samples[i][0]: i for i in chosen if samples[i][1] == language}
+        marks = {grams[i].tobytes(): i for i in chosen if samples[i][1] == language}
         held = np.zeros(len(model.features), dtype=np.int32)  # by how many landmark texts
         for i in marks.values():
-            held[np.searchsorted(model.features, np.unique(grams[i]))] += 1
+            held[np.searchsorted(model.features, grams[i])] += 1
         known[:, k] = held > 0
         shares = []
-        for text, codes in {t: x for (t, g), x in zip(samples, grams) if g == language}.items():
-            own = np.unique(codes)
+        for name, own in {x.tobytes(): x for x, g in samples if g == language}.items():
             at = np.minimum(np.searchsorted(model.features, own), len(model.features) - 1)
-            others = (model.features[at] == own) & (held[at] > (text in marks))  # a landmark does not cover itself
+            others = (model.features[at] == own) & (held[at] > (name in marks))  # a landmark does not cover itself
             shares.append(others.mean())
         least[k] = COVERED * np.median(shares)
     return known, least
 
 
-def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONGEST) -> list[tuple[str, str]]:
-    """(text, lang) of at most ``per_language`` distinct texts of each language, of longer ones the first
-    ``longest`` characters.  A hash of the text thins each language to a few times that number, by
-    its number of distinct texts, before its rows are put in order."""
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.substring(F.col("text").cast("string"), 1, longest).alias("text"), F.col("lang").cast("string"))
+def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[np.ndarray, str]]:
+    """(features it holds, lang) of at most ``per_language`` distinct whole texts of each language, the first by a hash
+    of the text.  At most ``per_language`` arrays of ``_CODES`` bits a language reach the driver."""
+    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(F.col("text").cast("string"), F.col("lang").cast("string"))
     rows = rows.where(F.col("text").rlike(r"\p{L}")).withColumn("_hash", F.xxhash64("text"))
-    counts = rows.select("lang", "_hash").distinct().groupBy("lang").count()
-    rows = rows.withColumn("_share", F.abs(F.col("_hash") % 1_000_000) / 1_000_000)
-    few = rows.join(bounded_broadcast(counts), "lang").where(F.col("_share") * F.col("count") <= 3 * per_language)
-    few = few.select("lang", "text", "_share").distinct()  # however many copies a text has, it is learned once
-    first = Window.partitionBy("lang").orderBy("_share", "text")
-    kept = few.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
-    return [(r["text"], r["lang"]) for r in sorted(kept.collect(), key=lambda r: (r["lang"], r["_n"]))]
+    texts = rows.select("lang", "_hash").distinct()  # however many copies a text has, it is learned once
+    counts = texts.groupBy("lang").count()
+    share = F.abs(F.col("_hash") % 1_000_000) / 1_000_000
+    # Thinned to a few times the number before it is put in order.
+    few = texts.join(bounded_broadcast(counts), "lang").where(share * F.col("count") <= 3 * per_language)
+    first = Window.partitionBy("lang").orderBy(share, "_hash")
+    chosen = few.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language).select("lang", "_hash", "_n")
+    own = rows.join(bounded_broadcast(chosen), ["lang", "_hash"]).groupBy("lang", "_n").agg(F.min("text").alias("text"))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text", _SLICE_BYTES):
+            packed, bits = [], []
+            for text in part.column("text").to_pylist():
+                codes = np.unique(ngrams(text)) if any(map(str.isalpha, text)) else np.zeros(0)
+                packed.append(4 * len(codes) > _CODES // 8)  # whichever is shorter
+                if packed[-1]:
+                    present = np.zeros(_CODES, dtype=bool)
+                    present[codes] = True
+                    bits.append(np.packbits(present).tobytes())
+                else:
+                    bits.append(codes.astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("_n"), pa.array(packed), pa.array(bits, pa.binary())],
+                                             ["lang", "n", "packed", "bits"])
+
+    def features(r) -> np.ndarray:
+        if r["packed"]:
+            return np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8))).astype(np.uint32)
+        return np.frombuffer(r["bits"], dtype="<u4")
+
+    found = batched(own).select("lang", "_n", "text").mapInArrow(held, "lang string, n int, packed boolean, bits binary").collect()
+    return [(features(r), r["lang"]) for r in sorted(found, key=lambda r: (r["lang"], r["n"]))]
 
 
 def language_of(docs: DataFrame, model: LanguageModel, *keep: str) -> DataFrame:
-    """``keep`` columns of ``docs`` with lang_pred and score."""
+    """``keep`` columns of ``docs`` with lang_pred, score and coverage."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = batched(docs).select(*keep, F.col("text").cast("string").alias("text"))
     schema = kept.drop("text").schema if "text" not in keep else kept.schema
-    schema = schema.add("lang_pred", "string").add("score", "double")
+    schema = schema.add("lang_pred", "string").add("score", "double").add("coverage", "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text", _SLICE_BYTES):
-            names, scores = shared.value.predict(column_or_empty(part.column("text")))
-            columns = [part.column(c) for c in keep] + [pa.array(names), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
+            names, scores, covered, _ = shared.value.predict(column_or_empty(part.column("text")))
+            columns = [part.column(c) for c in keep] + [pa.array(names), pa.array(scores, pa.float64()), pa.array(covered, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score", "coverage"])
 
     return kept.mapInArrow(predict, schema)
 
 
 def of_known_language(docs: DataFrame, model: LanguageModel, least: float) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose language is found with a score of ``least`` or more."""
+    """The rows of ``docs``, unchanged, that are familiar in their language and have a score of ``least`` or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text", _SLICE_BYTES):
-            names, scores = shared.value.predict(column_or_empty(part.column("text")))
-            yield part.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)]))
+            _, scores, _, familiar = shared.value.predict(column_or_empty(part.column("text")))
+            yield part.filter(pa.array([f and s >= least for f, s in zip(familiar, scores)]))
 
     return batched(docs).mapInArrow(keep, docs.schema)
 
@@ -241,11 +256,11 @@ def held_out(column: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
 
 
 def identify(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
-    """doc_id, lang_pred, score of ``docs``, learned from text and lang of ``learn_from``."""
+    """doc_id, lang_pred, score, coverage of ``docs``, learned from text and lang of ``learn_from``."""
     return language_of(docs.select(F.col("doc_id").cast("long"), "text"), fit(training_sample(learn_from)), "doc_id")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = identify(docs, docs.where(~held_out()))
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "coverage")

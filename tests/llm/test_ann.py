@@ -45,6 +45,8 @@ def test_query_recall_and_scores(spark):
 
 def test_chunked_lists_and_ties(spark, monkeypatch):
     monkeypatch.setattr(ann, "LIST_ROWS", 40)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 2)
+    monkeypatch.setattr(ann, "_CELLS", 500)
     rng = np.random.default_rng(3)
     rows = [(i, rng.integers(0, 3, 8).astype(float).tolist()) for i in range(600)]
     rows = [r for r in rows if any(r[1])]
@@ -55,6 +57,25 @@ def test_chunked_lists_and_ties(spark, monkeypatch):
     assert all([s for _, s in got[q]] == sorted(s for _, s in got[q]) for q in got)
 
 
+def test_small_lists_beside_a_hot_one(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, [1.0] * 16) for i in range(5000)]
+    for g in range(30):  # far from all others, four to a group
+        middle = rng.normal(size=16) * 100
+        rows += [(5000 + 4 * g + j, (middle + rng.normal(size=16) * 0.01).tolist()) for j in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = result(nearest(df, (F.col("vec_id") % 100 == 0) | (F.col("vec_id") >= 5000)))
+    assert len(got) == 50 + 120 and all(len(near) == 10 for near in got.values())
+    want = plain(rows, lambda i: i >= 5000)
+    assert recall({q: got[q] for q in want}, want) > 0.3 and all({v for v, _ in got[q][:3]} == {v for v, _ in want[q][:3]} for q in want)
+    assert all([v for v, _ in got[q]] == [v for v in range(11) if v != q][:10] for q in got if q < 5000)
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "vec_id long, embedding array<double>")
+    assert all(len(near) == 5 for near in result(nearest(df, F.lit(True))).values())
+
+
 def test_scan_abandons_little_that_counts():
     rng = np.random.default_rng(5)
     x, q = rng.normal(size=(2000, 64)), rng.normal(size=(20, 64))

@@ -50,8 +50,8 @@ def test_run_against_plain_python(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet")
     model = fit(training_sample(rows.where(~P.held_out())))
     docs = {r.doc_id: r.text for r in rows.collect()}
-    names, scores = model.predict(list(docs.values()))
-    docs = {d: t for (d, t), n, s in zip(docs.items(), names, scores) if n != "und" and s >= P.LEAST_SCORE}
+    _, scores, _, familiar = model.predict(list(docs.values()))
+    docs = {d: t for (d, t), f, s in zip(docs.items(), familiar, scores) if f and s >= P.LEAST_SCORE}
     docs = plain_near(plain_lines(docs))
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     t.encode_special_tokens = True
