@@ -44,7 +44,7 @@ from remitflow.session import bounded_broadcast
 UNKNOWN = "und"
 PER_LANGUAGE, LANDMARKS, RIDGE = 400, 128, 1e-2
 #: Least coverage of a text, as a part of the median of its language; its allowance in standard deviations.
-COVERED, DEVIATIONS = 0.6, 2.5
+COVERED, DEVIATIONS = 0.65, 3.3
 _BITS = 20  # of a feature
 _SLICE_BYTES = 4 << 20
 _ROWS = 256  # texts to a matrix product
