@@ -40,6 +40,11 @@ _MARGIN = 1e-5  # coordinates travel in single precision
 _PLACED = "label long, dims int, block int, cell long, home boolean, cls long, coords binary"
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two, exactly, so that squares neither overflow nor vanish."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
 def placed(classes: DataFrame, cosine: float) -> DataFrame:
     """A row for each block of each class and each cell that its ball in that block reaches."""
     names = ["label", "dims", "block", "cell", "home", "cls", "coords"]
@@ -49,6 +54,7 @@ def placed(classes: DataFrame, cosine: float) -> DataFrame:
             labels, ids = (batch.column(c).to_numpy() for c in ("label", "cls"))
             for rows, v in by_dims(batch.column("embedding")):
                 d = v.shape[1]
+                v = scaled(v)
                 unit = (v / np.linalg.norm(v, axis=1, keepdims=True)) @ rotation(d)
                 for k, begin in enumerate(range(0, d, BLOCK)):
                     x = np.ascontiguousarray(unit[:, begin:begin + BLOCK].astype(np.float32))
@@ -69,7 +75,7 @@ def placed(classes: DataFrame, cosine: float) -> DataFrame:
                             [pa.array(labels[rows]), pa.array(np.full(n, d, np.int32)), pa.array(np.full(n, k, np.int32)), pa.array(cell),
                              pa.array(np.full(n, not any(to))), pa.array(ids[rows]), coords], names)
 
-    return classes.select("label", "cls", "embedding").mapInArrow(place, _PLACED)
+    return classes.select(F.xxhash64("label").alias("label"), "cls", "embedding").mapInArrow(place, _PLACED)
 
 
 def _compare(cosine: float):
@@ -110,21 +116,23 @@ def candidates(classes: DataFrame, cosine: float, cell_rows: int = CELL_ROWS) ->
     # A row at home stands in its chunk of the homes against every chunk of visitors, and is a visitor too.
     homes = split.where("home").withColumn("mine", own).withColumn("theirs", F.explode(every))
     visits = split.withColumn("home", F.lit(False)).withColumn("theirs", own).withColumn("mine", F.explode(every))
-    groups = 1 + classes.count() * BLOCK * 9 // _GROUP_ROWS
+    blocks = classes.agg(F.sum(F.ceil(F.size("embedding") / BLOCK))).first()[0] or 0
+    groups = 1 + int(blocks) * 9 // _GROUP_ROWS
     keyed = homes.unionByName(visits).withColumn("bucket", F.pmod(F.xxhash64(*cell, "mine", "theirs"), F.lit(groups)))
     return keyed.groupBy("bucket").applyInArrow(_compare(cosine), "a long, b long").distinct()
 
 
 def links(classes: DataFrame, cosine: float = COSINE, cell_rows: int = CELL_ROWS) -> DataFrame:
     """(a, b) pairs of classes with that cosine or more."""
-    own = classes.select("cls", "embedding")
+    own = classes.select("cls", "embedding", "label")
     joined = (candidates(classes, cosine, cell_rows)
-              .join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b"))
+              .join(own.toDF("a", "x", "of_a"), "a").join(own.toDF("b", "y", "of_b"), "b").where("of_a = of_b"))  # labels go by a hash before
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, dtype=bool)
             for (rows, x), (_, y) in zip(by_dims(batch.column("x")), by_dims(batch.column("y"))):
+                x, y = scaled(x), scaled(y)
                 dot = np.einsum("ij,ij->i", x, y)
                 keep[rows] = dot / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1)) >= cosine
             yield batch.select(["a", "b"]).filter(pa.array(keep))
@@ -134,7 +142,7 @@ def links(classes: DataFrame, cosine: float = COSINE, cell_rows: int = CELL_ROWS
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, cell_rows: int = CELL_ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.col("label").cast("long"))
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), "label")
     fine = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable()
     # Equal vectors of a label are a class; its number stays once the table is written.
     classes = stored(rows.where(fine).groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.countDistinct("vec_id").alias("members"))

@@ -1,87 +1,142 @@
 """Repeated runs of lines, found by winnowing.
 
-Lines are what stands between newlines.  A run of at least ``run`` equal consecutive lines that
-occurs again, in the same document or in one with a larger doc_id, is deleted where it occurs later;
-all runs are judged on the input.  Put per window of ``run`` lines: its first occurrence, by
-(doc_id, line), stays, and every line of its other occurrences goes.  Longer runs are the union of
-their windows.
-
-Winnowing.  Every line has a hash; of each window of ``run`` lines the smallest hash (the leftmost of
-equal ones) is a fingerprint, so any two equal runs of that length share a fingerprint at the same
-place.  Positions are joined on fingerprints: those that occur once are done with.  From each shared
-fingerprint matches are extended both ways, by up to ``run - 1`` lines to either side: the windows
-that hold it, by a 128-bit digest of their lines.  No pairs of occurrences are formed; each window
-goes to its first occurrence by a pre-aggregated minimum.
-
-Rows: null texts have no lines, empty texts one empty line; texts of fewer than ``run`` lines stay as
-they are, and so do rows without a doc_id, which no other row is compared with.  Rows with the same
-doc_id and text are one document and fare alike; different texts under one doc_id are ordered by a
-hash of the text.  An empty table gives no rows.  Other columns are carried along.
+Lines are what stands between newlines.  A run of consecutive lines counts when it has ``run`` lines or more, or
+``words`` words or more (words: what ASCII white space separates).  A run that counts and occurs again, in the same
+document or in one with a larger doc_id, is deleted where it occurs later; all runs are judged on the
+input.  Put per window, the shortest runs that count (``run`` lines; fewer lines that hold ``words`` words): its
+first occurrence, by (doc_id, line), stays, and every line of its other occurrences goes.  Longer runs are the
+union of their windows.
+
+Winnowing.  Every line has a hash; of each window the smallest hash (the leftmost of equal ones) is selected, so
+any two equal windows share a selected line at the same place.  Each selected line is written once, with the
+windows that selected it and the digests of the lines that these reach.  Positions are joined on the hash:
+lines that are selected once in the corpus are done with.  From each other position the match is extended line by
+line to both sides: a window goes on from the part of it that other positions share, first to two lines, then to
+three and so on, by the digests (128 bits) of its lines.  What is left at a window's full length is a repeat; its
+later occurrences are deleted.  No pairs of occurrences are formed.
+
+A line or window that a large part of all positions share (more than a ``_HOT``th of them, so there are few) is told apart by a broadcast table and takes no part in the shuffled joins.
+
+Rows: null texts have no lines, empty texts one empty line; texts without a window stay as they are, and so
+do rows without a doc_id, which no other row is compared with.  Rows with the same doc_id and text are one document
+and fare alike; different texts under one doc_id are ordered by a hash of the text.  Of equal hashes in a window
+the leftmost is selected.  Very long texts are read whole, a slice each.  An empty table gives no rows.  Other
+columns are carried along.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitflow.llm.common import batched, column_or_empty, documents, stored, text_slices
 
-RUN = 3
+RUN, WORDS = 3, 20
+_HOT, _HOT_ROWS = 5_000, 1_000
 _SLICE_BYTES = 8 << 20
-_WINDOWS = "doc_id long, version long, fp long, at int, start int, digest binary"
+_DIGEST = 16
+_SELECTED = "doc_id long, version long, fp long, at int, lead int, shapes long, near binary"
 
 
-def winnowed(text: str, run: int = RUN) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """For each window of ``run`` lines: its fingerprint, the fingerprint's line, its digest."""
-    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-    if len(lines) < run:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), []
-    hashes = np.array([xxhash.xxh64_intdigest(x) for x in lines], dtype=np.uint64)
-    at = np.lib.stride_tricks.sliding_window_view(hashes, run).argmin(axis=1) + np.arange(len(lines) - run + 1)
-    digests = [hashlib.blake2b(b"\n".join(lines[i:i + run]), digest_size=16).digest() for i in range(len(at))]
-    return hashes[at].view(np.int64), at, digests
+def shapes(run: int) -> list[tuple[int, int]]:
+    """(lines before the selected one, lines) of every window that can select a line; its place is its bit."""
+    return [(before, size) for size in range(1, run + 1) for before in range(size)]
 
 
-def windows(docs: DataFrame, run: int = RUN) -> DataFrame:
-    """The windows of every document, one row each."""
+def winnowed(text: str, run: int = RUN, words: int = WORDS) -> list[tuple[int, int, int, int, bytes]]:
+    """(hash, line, lines in ``near`` before it, bits of its windows, digests of the lines near it) of each selected line."""
+    lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+    hashes = np.array([xxhash.xxh64_intdigest(x) for x in lines], dtype=np.uint64)
+    count = np.concatenate(([0], np.cumsum([len(x.split()) for x in lines])))
+    bits = np.zeros(len(lines), dtype=np.int64)
+    left, right = np.zeros(len(lines), dtype=np.int64), np.zeros(len(lines), dtype=np.int64)
+    first_bit = 0
+    for size in range(1, min(run, len(lines)) + 1):
+        start = np.arange(len(lines) - size + 1)
+        if size < run:
+            start = start[count[start + size] - count[start] >= words]
+        if len(start):
+            before = np.lib.stride_tricks.sliding_window_view(hashes, size)[start].argmin(axis=1)
+            at = start + before
+            np.bitwise_or.at(bits, at, np.left_shift(1, first_bit + before))
+            np.maximum.at(left, at, before)
+            np.maximum.at(right, at, size - 1 - before)
+        first_bit += size
+    selected = np.flatnonzero(bits).tolist()
+    if not selected:
+        return []
+    digests = [hashlib.blake2b(x, digest_size=_DIGEST).digest() for x in lines]
+    signed = hashes.view(np.int64).tolist()
+    return [(signed[t], t, int(left[t]), int(bits[t]), b"".join(digests[t - int(left[t]):t + int(right[t]) + 1])) for t in selected]
+
+
+def selected_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
+    """The selected lines of every document, each once."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("fp", pa.int64()), ("at", pa.int32()), ("lead", pa.int32()), ("shapes", pa.int64()), ("near", pa.binary())])
         for part in text_slices(batches, "text", _SLICE_BYTES):
-            found = [winnowed(t, run) for t in column_or_empty(part.column("text"))]
-            counts = [len(d) for _, _, d in found]
-            own = [np.repeat(part.column(c).to_numpy(), counts) for c in ("doc_id", "version")]
-            fp, at = (np.concatenate([x[k] for x in found]) for k in (0, 1))
-            start = np.concatenate([np.arange(n) for n in counts])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own[0]), pa.array(own[1]), pa.array(fp), pa.array(at.astype(np.int32)), pa.array(start.astype(np.int32)),
-                 pa.array([d for _, _, ds in found for d in ds], pa.binary())], ["doc_id", "version", "fp", "at", "start", "digest"])
+            found = [winnowed(t, run, words) for t in column_or_empty(part.column("text"))]
+            owner = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            rows = list(zip(*[r for x in found for r in x])) or [()] * 5
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(owner), part.column("version").take(owner),
+                                              *[pa.array(c, f.type) for c, f in zip(rows, schema)]], ["doc_id", "version", *schema.names])
 
     keyed = batched(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), "text")
-    return keyed.mapInArrow(cut, _WINDOWS)
+    return keyed.mapInArrow(cut, _SELECTED)
+
+
+def _shared(rows: DataFrame, key: str, place: Column, least: int) -> DataFrame:
+    """``rows`` whose ``key`` stands at two places or more, with its ``first`` place.
+
+    Keys with more than ``least`` rows join by broadcast (so few that they fit, whatever the input), the others by a shuffle.
+    """
+    groups = rows.groupBy(key).agg(F.min(place).alias("first"), F.max(place).alias("_last"), F.count(F.lit(1)).alias("_n")).where("first <> _last")
+    groups = stored(groups.select(key, "first", "_n"), "line-groups")
+    hot, cold = (groups.where(F.col("_n") > least if much else F.col("_n") <= least).select(key, "first") for much in (True, False))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    return marked.where("first IS NOT NULL").unionByName(marked.where("first IS NULL").drop("first").join(cold, key))
 
 
-def deletions(docs: DataFrame, run: int = RUN) -> DataFrame:
+def deletions(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
     """doc_id, version, gone (the line numbers to delete, ascending) of documents that lose lines."""
-    found = stored(windows(docs, run), "line-windows")
-    place = F.struct("doc_id", "version", "at")
-    shared = found.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("fp")
-    extended = found.join(shared, "fp", "left_semi").select("digest", F.struct("doc_id", "version", "start").alias("place"))
-    first = extended.groupBy("digest").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last")
-    later = extended.join(first, "digest").where("place > first").select("place.*")
-    covered = later.select("doc_id", "version", F.explode(F.sequence("start", F.col("start") + (run - 1))).alias("line"))
+    found = stored(selected_lines(docs, run, words), "selected-lines")
+    least = max(_HOT_ROWS, found.count() // _HOT)
+    joined = _shared(found, "fp", F.struct("doc_id", "version", "at"), least).drop("first")
+    every = F.array(*[F.struct(F.lit(before).alias("before"), F.lit(size).alias("size"), F.lit(1 << k).cast("long").alias("bit"))
+                      for k, (before, size) in enumerate(shapes(run))])
+    # The windows of each position, grown line by line: to the left up to their beginning, then to the right.
+    matches = joined.withColumn("_w", F.explode(F.filter(every, lambda w: F.col("shapes").bitwiseAND(w["bit"]) != 0))).select(
+        "doc_id", "version", "lead", "near", (F.col("at") - F.col("_w.before")).alias("start"), "_w.before", "_w.size")
+    repeats = []
+    for size in range(1, run + 1):
+        # Lines left and right of the selected one that a window of more lines has reached at this size.
+        left = F.least("before", F.lit(size - 1))
+        key = F.expr(f"substring(near, (lead - least(before, {size - 1})) * {_DIGEST} + 1, {size * _DIGEST})")
+        grown = matches.where(F.col("size") >= size).withColumn("_left", left).withColumn("_key", F.concat(
+            F.lit(bytes([0])), F.col("size").cast("string").cast("binary"), F.lit(b":"), F.col("before").cast("string").cast("binary"), F.lit(b":"), key))
+        place = F.struct("doc_id", "version", "start")
+        grown = _shared(grown, "_key", place, least)
+        repeats.append(grown.where((F.col("size") == size) & (place > F.col("first"))).select("doc_id", "version", "start", "size"))
+        if size < run:
+            held = stored(grown.where(F.col("size") > size).select(*matches.columns), "line-matches")
+            matches = held
+    later = reduce(DataFrame.unionByName, repeats)
+    covered = later.select("doc_id", "version", F.explode(F.sequence("start", F.col("start") + F.col("size") - 1)).alias("line"))
     return covered.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("line")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def dedup_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
     """``docs`` with the deleted lines taken out of ``text``, and ``_lines``, ``_gone`` (numbers of lines, line numbers deleted)."""
     keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_version", F.xxhash64("text"))
-    gone = deletions(docs, run).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("gone").alias("_gone"))
+    gone = deletions(docs, run, words).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("gone").alias("_gone"))
     lines = F.split("text", "\n", -1)
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     joined = keyed.join(gone, ["_id", "_version"], "left")
@@ -104,13 +159,19 @@ OP4_SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
   FROM documents WHERE text IS NOT NULL
+), counted AS (
+  SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n FROM lines
 ), windows AS (
-  SELECT doc_id, i, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
-  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+  SELECT doc_id, i, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c, n, n + lead(n, 1) OVER w AS n2
+  FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), runs AS (
+  SELECT doc_id, i, 3 AS size, a, b, c FROM windows WHERE c IS NOT NULL
+  UNION ALL SELECT doc_id, i, 2, a, b, '' FROM windows WHERE b IS NOT NULL AND n2 >= 20
+  UNION ALL SELECT doc_id, i, 1, a, '', '' FROM windows WHERE n >= 20
 ), ranked AS (
-  SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS n FROM windows WHERE c IS NOT NULL
+  SELECT doc_id, i, size, row_number() OVER (PARTITION BY size, a, b, c ORDER BY doc_id, i) AS n FROM runs
 ), gone AS (
-  SELECT DISTINCT doc_id, i + k AS i FROM ranked, (VALUES (0), (1), (2)) AS t(k) WHERE n > 1
+  SELECT DISTINCT doc_id, i + k AS i FROM ranked, (VALUES (0), (1), (2)) AS t(k) WHERE n > 1 AND k < size
 ), marked AS (
   SELECT l.doc_id, l.i, l.line, g.i IS NOT NULL AS out, coalesce(lag(g.i IS NOT NULL) OVER (PARTITION BY l.doc_id ORDER BY l.i), FALSE) AS before
   FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i

@@ -61,3 +61,15 @@ def test_odd_rows(spark):
     alone = [(i, 0, i, True) for i in (6, 7, 8, 10, 11, 12, 13, 14, 15)]
     assert rows == sorted([(0, 0, None, True), (4, 2, 4, True), (4, 2, 4, True), (5, 2, 4, False), (9, 2, 4, False), *alone])
     assert near_duplicates(df.where("false")).count() == 0
+
+
+def test_labels_of_other_types_and_extreme_sizes(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(4, 768))
+    rows = []
+    for i in range(24):
+        v = (base[i % 4] + rng.normal(size=768) * 0.02) * (1e200 if i % 3 == 0 else 1e-200 if i % 3 == 1 else 1.0)
+        rows.append((i, v.tolist(), "even" if i % 2 == 0 else "odd"))
+    df = spark.createDataFrame([*rows, (99, rows[0][1], None)], "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(df).collect()}
+    assert got == {**{i: (5, i % 4) for i in range(24)}, 99: (0, 99)}

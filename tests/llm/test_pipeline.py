@@ -16,11 +16,13 @@ def plain_lines(docs):
     for d in sorted(docs):
         lines = docs[d].split("\n")
         gone = set()
-        for i in range(len(lines) - 2):
-            w = tuple(lines[i:i + 3])
-            if w in seen:
-                gone.update((i, i + 1, i + 2))
-            seen.add(w)
+        for i in range(len(lines)):
+            for size in (1, 2, 3):
+                w = tuple(lines[i:i + size])
+                if len(w) == size and (size == 3 or sum(len(x.encode().split()) for x in w) >= 20):
+                    if w in seen:
+                        gone.update(range(i, i + size))
+                    seen.add(w)
         if len(gone) < len(lines):
             out[d] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
