@@ -64,11 +64,12 @@ def supplier_bank(chain: dict[str, DataFrame], dedupe_site: bool = True, vendors
     suppliers = chain["suppliers"]
     if vendors is not None:
         suppliers = suppliers.join(vendors.select("vendor_id").distinct(), "vendor_id", "left_semi")
+    # From the restricted side on: every later join meets the wanted suppliers' rows only.
     out = (
-        chain["ext_bank_accounts"].join(chain["account_owners"], "ext_bank_account_id")
-        .join(chain["party_sites"], F.col("account_owner_party_id") == F.col("party_id"))
-        .join(chain["parties"], "party_id")
-        .join(suppliers, "party_id")
+        suppliers.join(chain["parties"], "party_id")
+        .join(chain["party_sites"], "party_id")
+        .join(chain["account_owners"], F.col("party_id") == F.col("account_owner_party_id"))
+        .join(chain["ext_bank_accounts"], "ext_bank_account_id")
     )
     cols = ["bank_account_name", "bank_account_num", "party_name", "vendor_id"]
     if not dedupe_site:

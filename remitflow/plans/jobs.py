@@ -160,7 +160,7 @@ def register_job(ctx: Ctx, params: RunParams | None = None, doc_ids=None, select
         .join(chain.select("payment_document_id", "bank_name", "bank_account_name", "payment_document_name",
                            F.initcap("legal_entity_name").alias("legal_entity")), "payment_document_id") \
         .select("*", *titles)
-    totals = agg.selection_totals(selection)
+    totals = materialize(agg.selection_totals(selection), "register-totals")   # read for the sizes, the heading and the footer
     return register.register_text(selection, heading, totals, hot_rows, hot_files_of(totals, hot_rows))
 
 

@@ -403,7 +403,7 @@ def unsent_after_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST-02: the next run over a wider window only takes payments the FINAL run did not send."""
     from ..operators import status
     ctx = Ctx(spark, sf_dir)
-    log = _final_run(ctx)
+    log = materialize(_final_run(ctx), "status-log")   # as a run finds it: written, not planned anew
     p = ctx.params.with_(run_id="final-2", only_unsent="Y", process_type="FINAL")
     cur = status.current_checks(ctx.checks, log)
     _, sel = sel_ops.run_selection(ctx.spark, cur, ctx.sites, ctx.values, ctx.docs, p)
