@@ -10,10 +10,9 @@ union of their windows.
 Winnowing.  Every line has a hash; of each window the smallest hash (the leftmost of equal ones) is selected, so
 any two equal windows share a selected line at the same place.  Each selected line is written once, with the
 windows that selected it and the digests of the lines that these reach.  Positions are joined on the hash:
-lines that are selected once in the corpus are done with.  From each other position the match is extended line by
-line to both sides: a window goes on from the part of it that other positions share, first to two lines, then to
-three and so on, by the digests (128 bits) of its lines.  What is left at a window's full length is a repeat; its
-later occurrences are deleted.  No pairs of occurrences are formed.
+lines that are selected once in the corpus are done with.  Around each other position the match is extended to both
+sides over the lines of its windows, by the digests (128 bits) of these lines: where a whole window is matched,
+its later occurrences are deleted.  No pairs of occurrences are formed.
 
 A line or window that a large part of all positions share (more than a ``_HOT``th of them, so there are few) is told apart by a broadcast table and takes no part in the shuffled joins.
 
@@ -28,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitflow.llm.common import batched, column_or_empty, documents, stored, text_slices
+from remitflow.llm.common import batched, column_or_empty, documents, drop_stored, stored, text_slices
 
 RUN, WORDS = 3, 20
 _HOT, _HOT_ROWS = 5_000, 1_000
@@ -109,28 +107,20 @@ def deletions(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
     """doc_id, version, gone (the line numbers to delete, ascending) of documents that lose lines."""
     found = stored(selected_lines(docs, run, words), "selected-lines")
     least = max(_HOT_ROWS, found.count() // _HOT)
-    joined = _shared(found, "fp", F.struct("doc_id", "version", "at"), least).drop("first")
+    joined = _shared(found, "fp", F.struct("doc_id", "version", "at"), least)
     every = F.array(*[F.struct(F.lit(before).alias("before"), F.lit(size).alias("size"), F.lit(1 << k).cast("long").alias("bit"))
                       for k, (before, size) in enumerate(shapes(run))])
-    # The windows of each position, grown line by line: to the left up to their beginning, then to the right.
-    matches = joined.withColumn("_w", F.explode(F.filter(every, lambda w: F.col("shapes").bitwiseAND(w["bit"]) != 0))).select(
-        "doc_id", "version", "lead", "near", (F.col("at") - F.col("_w.before")).alias("start"), "_w.before", "_w.size")
-    repeats = []
-    for size in range(1, run + 1):
-        # Lines left and right of the selected one that a window of more lines has reached at this size.
-        left = F.least("before", F.lit(size - 1))
-        key = F.expr(f"substring(near, (lead - least(before, {size - 1})) * {_DIGEST} + 1, {size * _DIGEST})")
-        grown = matches.where(F.col("size") >= size).withColumn("_left", left).withColumn("_key", F.concat(
-            F.lit(bytes([0])), F.col("size").cast("string").cast("binary"), F.lit(b":"), F.col("before").cast("string").cast("binary"), F.lit(b":"), key))
-        place = F.struct("doc_id", "version", "start")
-        grown = _shared(grown, "_key", place, least)
-        repeats.append(grown.where((F.col("size") == size) & (place > F.col("first"))).select("doc_id", "version", "start", "size"))
-        if size < run:
-            held = stored(grown.where(F.col("size") > size).select(*matches.columns), "line-matches")
-            matches = held
-    later = reduce(DataFrame.unionByName, repeats)
+    window = F.explode(F.filter(every, lambda w: F.col("shapes").bitwiseAND(w["bit"]) != 0))
+    reached = F.expr(f"substring(near, (lead - _w.before) * {_DIGEST} + 1, _w.size * {_DIGEST})")
+    matches = stored(joined.withColumn("_w", window).select(
+        "doc_id", "version", (F.col("at") - F.col("_w.before")).alias("start"), "_w.size", F.unhex(F.md5(reached)).alias("run")), "line-matches")
+    drop_stored(found)
+    place = F.struct("doc_id", "version", "start")
+    later = _shared(matches, "run", place, least).where(place > F.col("first"))
     covered = later.select("doc_id", "version", F.explode(F.sequence("start", F.col("start") + F.col("size") - 1)).alias("line"))
-    return covered.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("line")).alias("gone"))
+    gone = stored(covered.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("line")).alias("gone")), "line-deletions")
+    drop_stored(matches)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
