@@ -100,7 +100,7 @@ def _shared(rows: DataFrame, key: str, place: Column, least: int) -> DataFrame:
     groups = stored(groups.select(key, "first", "_n"), "line-groups")
     hot, cold = (groups.where(F.col("_n") > least if much else F.col("_n") <= least).select(key, "first") for much in (True, False))
     marked = rows.join(F.broadcast(hot), key, "left")
-    return marked.where("first IS NOT NULL").unionByName(marked.where("first IS NULL").drop("first").join(cold, key))
+    return marked.where("first IS NOT NULL").unionByName(marked.where("first IS NULL").drop("first").join(cold.hint("merge"), key))
 
 
 def deletions(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
@@ -129,7 +129,7 @@ def dedup_lines(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFram
     gone = deletions(docs, run, words).select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("gone").alias("_gone"))
     lines = F.split("text", "\n", -1)
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    joined = keyed.join(gone, ["_id", "_version"], "left")
+    joined = keyed.join(gone.hint("merge"), ["_id", "_version"], "left")  # both grow with the input: the same plan at every size
     return joined.withColumns({
         "_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
         "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left),
