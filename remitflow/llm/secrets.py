@@ -8,8 +8,9 @@ Further spans (kind ``entropy``) come from candidate strings, the runs of one ch
 (hexadecimal with capitals, or base64) that are long enough.  A window slides over the string; the
 Shannon entropy of its characters is kept by incremental counts: one character enters, one leaves,
 and the sum of c log c changes by two table look-ups.  Windows at or over the class's threshold are
-merged into spans.  The allow-list is matched against the parts of a candidate (cut at / = - _), not
-the whole of it: public test values and rulers are cut out, and what stands before and after them is
+merged into spans.  The allow-list is looked up in the parts of a candidate (cut at / = - _), not
+the whole of it: a part with a listed word is cut out, only the word itself where ``LEAST_REST`` or more
+characters of the part are left beside it, and so are rulers; what stands before and after them is
 judged as any other string.  Strings of digits are numbers.  Strings without a digit may be words or
 paths, so their windows need ``WORD_BITS``; random letters of one case do not reach that and stay.
 Base spans are never suppressed.
@@ -56,8 +57,10 @@ class EntropyClass:
 
 
 CLASSES = (EntropyClass(r"[0-9A-F]{24,}", 24, 3.2), EntropyClass(r"[A-Za-z0-9+/_=-]{24,}", 24, 4.0))
-#: Parts of strings that are public test values.
-ALLOWED = (re.compile(r".*[Ee][Xx][Aa][Mm][Pp][Ll][Ee].*"),)
+#: Words that mark public test values.
+ALLOWED = (re.compile(r"[Ee][Xx][Aa][Mm][Pp][Ll][Ee]"),)
+#: A part with such a word is a test value as a whole only if less than this is left beside the word.
+LEAST_REST = 24
 #: Bits of a character in a window of a string without digits: 24 letters with five pairs of equal ones reach it, words do not.
 WORD_BITS = 4.16
 _PART = re.compile(r"[^/=_-]+")
@@ -104,7 +107,12 @@ def random_windows(string: str, window: int, bits: float) -> list[tuple[int, int
 
 def judged(string: str, allowed: tuple[re.Pattern, ...] = ALLOWED) -> Iterator[tuple[int, str]]:
     """What is left of ``string`` between its allowed parts and rulers, with the places."""
-    out = [m.span() for m in _PART.finditer(string) if any(a.fullmatch(m.group()) for a in allowed)]
+    out = []
+    for m in _PART.finditer(string):
+        words = [w.span() for a in allowed for w in a.finditer(m.group())]
+        if words:
+            rest = len(m.group()) - sum(b - a for a, b in words)
+            out += [m.span()] if rest < LEAST_REST else [(m.start() + a, m.start() + b) for a, b in words]
     at = 0
     for a, b in sorted(out + [m.span() for m in _RULER.finditer(string)]):
         if a > at:

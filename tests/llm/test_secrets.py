@@ -78,7 +78,8 @@ def test_odd_rows(spark):
 
 def test_allowed_parts_hide_no_key_beside_them():
     key = "Zk9vQ2xT8mPfR4wYb7Hc1NdJ5sLe0GuA"
-    for before, after in (("/example/path/", ""), ("", "/example"), ("0123456789ABCDEF", ""), ("example-", "_example")):
+    for before, after in (("/example/path/", ""), ("", "/example"), ("0123456789ABCDEF", ""), ("example-", "_example"), ("Example", ""), ("", "EXAMPLE"),
+                          ("my/Example", "example")):
         text = f"x {before}{key}{after} z"
         assert any(a <= text.index(key) and b >= text.index(key) + len(key) for a, b, _ in entropy_spans(text)), text
     assert entropy_spans("0123456789ABCDEF" + "8F03B6D1C95E7A24E1B05D7F93A26C48")
