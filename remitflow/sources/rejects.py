@@ -21,26 +21,50 @@ _END = "\u0002"     # one column more, behind the last one: tells an empty last
 OUT = ("file_path", "record_no", "kind", "column_name", "reason", "raw_record")
 
 
-def numbered_records(spark: SparkSession, path: str) -> DataFrame:
-    """file_path, record_no (from 1), raw_record of every line of every landed file, written once."""
+#: Tasks that read landed files, for each core: small files go together into one.
+_TASKS_A_CORE = 4
+
+
+def _landed_records(spark: SparkSession, path: str, parsed: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Every line of every landed file, written once with its place in its split (and ``parsed`` as ``_r``); and what stands
+    before each split."""
     raw = spark.read.option("recursiveFileLookup", "true").text(path).select(
         path_of("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_id"), F.col("value").alias("raw_record"))
-    rows = materialize(raw, "landed-records")   # ids are frozen
+    if parsed is not None:
+        raw = raw.withColumn("_r", parsed)
+    # Ids count by the partitions of the scan, however many of these a task reads; written, they are frozen.
+    rows = materialize(raw.coalesce(_TASKS_A_CORE * spark.sparkContext.defaultParallelism), "landed-records")
     splits = rows.groupBy("file_path", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("file_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    return rows.join(splits.drop("_n"), ["file_path", "_split"]).select(
-        "file_path", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("record_no"), "raw_record")
+    return rows, splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+
+
+_RECORD_NO = "_before + _id - _first + 1"
+
+
+def numbered_records(spark: SparkSession, path: str) -> DataFrame:
+    """file_path, record_no (from 1), raw_record of every line of every landed file, written once."""
+    rows, splits = _landed_records(spark, path)
+    return rows.join(splits, ["file_path", "_split"]).select("file_path", F.expr(_RECORD_NO).alias("record_no"), "raw_record")
+
+
+def _columns_of(schema: T.StructType, sep: str) -> Column:
+    """The columns of ``raw_record`` as texts, and one more."""
+    raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema.fields) + 1)])
+    return F.from_csv(F.concat("raw_record", F.lit(sep + _END)), raw.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
+                      {"sep": sep, "mode": "PERMISSIVE", "nullValue": _EMPTY, "emptyValue": ""})
 
 
 def diagnosed(records: DataFrame, schema: T.StructType, required: list[str], sep: str = ",", when: str | None = None) -> DataFrame:
-    """``records`` with its columns by ``schema`` and ``_problems``: an array of (kind, column_name, reason)."""
+    """``records`` with its columns by ``schema`` and ``_problems``: an array of (kind, column_name, reason).
+
+    Records that were parsed before have their columns in ``_r``.
+    """
     names = [f.name for f in schema.fields]
-    raw = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
-    parsed = F.from_csv(F.concat("raw_record", F.lit(sep + _END)), raw.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
-                        {"sep": sep, "mode": "PERMISSIVE", "nullValue": _EMPTY, "emptyValue": ""})
-    x = records.where(F.trim("raw_record") != "").withColumn("_r", parsed)
+    x = records.where(F.trim("raw_record") != "")
+    if "_r" not in records.columns:
+        x = x.withColumn("_r", _columns_of(schema, sep))
 
     def problem(condition: Column, kind: str, column: str | None, reason: Column) -> Column:
         return F.when(condition, F.struct(F.lit(kind).alias("kind"), F.lit(column).cast("string").alias("column_name"), reason.alias("reason")))
@@ -66,6 +90,9 @@ def diagnosed(records: DataFrame, schema: T.StructType, required: list[str], sep
 def reject_report(spark: SparkSession, path: str, schema: T.StructType, required: list[str], sep: str = ",",
                   when: str | None = None) -> DataFrame:
     """One row per problem: file_path, record_no, kind, column_name, reason, raw_record."""
-    rows = diagnosed(numbered_records(spark, path), schema, required, sep, when)
-    found = rows.select("file_path", "record_no", "raw_record", F.explode("_problems").alias("_p"))
-    return found.select("file_path", "record_no", "_p.kind", "_p.column_name", "_p.reason", "raw_record")
+    # Parsed as they are written: a filter on the problems, pushed below the parser, would parse a record for every rule again.
+    records, splits = _landed_records(spark, path, _columns_of(schema, sep))
+    rows = diagnosed(records, schema, required, sep, when)
+    # Only records with a problem are given their number.
+    found = rows.select("file_path", "_split", "_id", "raw_record", F.explode("_problems").alias("_p")).join(splits, ["file_path", "_split"])
+    return found.select("file_path", F.expr(_RECORD_NO).alias("record_no"), "_p.kind", "_p.column_name", "_p.reason", "raw_record")
